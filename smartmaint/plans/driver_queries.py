@@ -450,3 +450,402 @@ FROM (SELECT count(*) AS k FROM readings GROUP BY ALL_COLUMNS_PLACEHOLDER)""".re
 def q_duplicate_rows(spark, sf):
     r, _ = _t(spark, sf)
     return Q.duplicate_rows(r)
+
+
+# ---------------------------------------------------------------------------
+# Step 3: quality checks and cleaning
+# ---------------------------------------------------------------------------
+
+S1_ALL_SQL = f"""s1 AS (SELECT {READING_COLS_SQL}, m.tipo_maquina, m.localizacao, m.status_operacional
+  FROM readings r JOIN machines m ON r.id_maquina = m.id_maquina
+  WHERE r."dataHora_medicao" >= {ASOF_SQL} - INTERVAL 744 HOUR)"""
+S1_COLS = ["id_medicao", "id_maquina", "id_sensor", '"dataHora_medicao"', *[c.strip() for c in MEASURES_SQL.split(",")],
+           "flag_falha", "fonte_dados", "tipo_maquina", "localizacao", "status_operacional"]
+QR_AGG_SQL = S1_ALL_SQL + f""",
+agg AS (SELECT count(*) AS n,
+  CAST({' + '.join(f'sum(CAST({c} IS NULL AS BIGINT))' for c in S1_COLS)} AS BIGINT) AS nulls,
+  count(*) FILTER (WHERE vl_temperatura < -50 OR vl_temperatura > 200) AS temp_out,
+  count(*) - count(DISTINCT id_medicao) - CAST(max(CAST(id_medicao IS NULL AS INTEGER)) AS BIGINT) AS dups,
+  count(*) FILTER (WHERE "dataHora_medicao" > {ASOF_SQL}) AS future FROM s1)"""
+
+
+@register("quality_report", with_mapping(f"""
+SELECT 'NULL_VALUES' AS check_name, nulls < n * 0.1::DOUBLE AS passed,
+  'Encontrados ' || nulls || ' valores nulos' AS message, {ASOF_SQL} AS timestamp,
+  nulls AS affected_records, n AS total_records FROM agg
+UNION ALL SELECT 'TEMPERATURE_RANGE', temp_out = 0, 'Temperatura fora do range: ' || temp_out || ' registros',
+  {ASOF_SQL}, temp_out, n FROM agg
+UNION ALL SELECT 'DUPLICATES', dups = 0, 'Registros duplicados: ' || dups, {ASOF_SQL}, dups, n FROM agg
+UNION ALL SELECT 'FUTURE_TIMESTAMPS', future = 0, 'Timestamps futuros: ' || future || ' registros',
+  {ASOF_SQL}, future, n FROM agg""", QR_AGG_SQL))
+def q_quality_report(spark, sf):
+    r, m = _t(spark, sf)
+    return Q.quality_report(S.recent_readings(r, m, AS_OF, hours=24 * 31), AS_OF)
+
+
+@register("constraint_violations", with_mapping("""
+SELECT rule, count(*) AS count FROM (
+  SELECT 'pressure_non_negative' AS rule FROM readings WHERE vl_pressao < 0
+  UNION ALL SELECT 'humidity_range' FROM readings WHERE vl_humidade < 0 OR vl_humidade > 100
+  UNION ALL SELECT 'temperature_range' FROM readings WHERE vl_temperatura < -50 OR vl_temperatura > 200
+  UNION ALL SELECT 'flag_domain' FROM readings WHERE flag_falha NOT IN ('S', 'N')
+  UNION ALL SELECT 'id_required' FROM readings WHERE id_medicao IS NULL
+  UNION ALL SELECT 'machine_required' FROM readings WHERE id_maquina IS NULL
+  UNION ALL SELECT 'sensor_required' FROM readings WHERE id_sensor IS NULL) GROUP BY rule"""))
+def q_constraint_violations(spark, sf):
+    r, _ = _t(spark, sf)
+    return (Q.constraint_violations(r).select(F.explode("violations").alias("rule"))
+            .groupBy("rule").agg(F.count(F.lit(1)).alias("count")))
+
+
+@register("key_violations", with_mapping("""
+SELECT id_medicao, count(*) AS copies, 'duplicate_key' AS problem FROM readings
+WHERE id_medicao IS NOT NULL GROUP BY id_medicao HAVING count(*) > 1
+UNION ALL SELECT id_medicao, count(*), 'null_key' FROM readings WHERE id_medicao IS NULL GROUP BY id_medicao"""))
+def q_key_violations(spark, sf):
+    r, _ = _t(spark, sf)
+    return Q.key_violations(r, ["id_medicao"])
+
+
+MED_SQL = """med AS (SELECT quantile_cont(vl_temperatura, 0.5) AS mt, quantile_cont(vl_pressao, 0.5) AS mp,
+                     quantile_cont(vl_humidade, 0.5) AS mh FROM readings)"""
+
+
+@register("fill_median", with_mapping(f"""
+SELECT id_medicao, {R8('coalesce(vl_temperatura, mt)')} AS vl_temperatura,
+  {R8('coalesce(vl_pressao, mp)')} AS vl_pressao, {R8('coalesce(vl_humidade, mh)')} AS vl_humidade
+FROM readings, med""", MED_SQL))
+def q_fill_median(spark, sf):
+    r, _ = _t(spark, sf)
+    return round_doubles(Q.fill_median(r).select("id_medicao", "vl_temperatura", "vl_pressao", "vl_humidade"))
+
+
+def _clip_sql(c: str, src: str) -> str:
+    lo = f"({c}_q1 - 3.0::DOUBLE * ({c}_q3 - {c}_q1))"
+    hi = f"({c}_q3 + 3.0::DOUBLE * ({c}_q3 - {c}_q1))"
+    return (f"CASE WHEN {src}.{c} IS NULL THEN NULL WHEN {src}.{c} < {lo} THEN {lo} "
+            f"WHEN {src}.{c} > {hi} THEN {hi} ELSE {src}.{c} END")
+
+
+def _q_sql(src: str, cols) -> str:
+    return ", ".join(f"quantile_cont({c}, 0.25) AS {c}_q1, quantile_cont({c}, 0.75) AS {c}_q3" for c in cols)
+
+
+CLIP3 = ["vl_temperatura", "vl_pressao", "vl_vibracao"]
+
+
+@register("clip_iqr", with_mapping(f"""
+SELECT id_medicao, {', '.join(R8(_clip_sql(c, 'readings')) + ' AS ' + c for c in CLIP3)}
+FROM readings, q""", f"q AS (SELECT {_q_sql('readings', CLIP3)} FROM readings)"))
+def q_clip_iqr(spark, sf):
+    r, _ = _t(spark, sf)
+    return round_doubles(Q.clip_iqr(r).select("id_medicao", *CLIP3))
+
+
+_MEAS = [c.strip() for c in MEASURES_SQL.split(",")]
+_FILLED = ", ".join(
+    (f"coalesce(b.{c}, med.{ {'vl_temperatura': 'mt', 'vl_pressao': 'mp', 'vl_humidade': 'mh'}[c] }) AS {c}"
+     if c in ("vl_temperatura", "vl_pressao", "vl_humidade") else f"coalesce(b.{c}, 0.0::DOUBLE) AS {c}")
+    for c in _MEAS)
+CLEAN_CTES = f"""base AS (SELECT {READING_COLS_SQL}, m.tipo_maquina, m.localizacao
+  FROM readings r JOIN machines m ON r.id_maquina = m.id_maquina WHERE {WINDOW_30D}),
+med AS (SELECT quantile_cont(vl_temperatura, 0.5) AS mt, quantile_cont(vl_pressao, 0.5) AS mp,
+               quantile_cont(vl_humidade, 0.5) AS mh FROM base),
+filled AS (SELECT coalesce(b.id_medicao, 0) AS id_medicao, b.id_maquina, b.id_sensor, b."dataHora_medicao",
+  {_FILLED}, b.flag_falha, b.fonte_dados, b.tipo_maquina, b.localizacao FROM base b, med),
+q AS (SELECT {_q_sql('filled', CLIP3)} FROM filled)"""
+
+
+@register("clean", with_mapping(f"""
+SELECT id_medicao, id_maquina, id_sensor, "dataHora_medicao",
+  {', '.join((R8(_clip_sql(c, 'f')) if c in CLIP3 else R8('f.' + c)) + ' AS ' + c for c in _MEAS)},
+  flag_falha, fonte_dados, tipo_maquina, localizacao,
+  {R8('sqrt(f.vl_vibr_x*f.vl_vibr_x + f.vl_vibr_y*f.vl_vibr_y + f.vl_vibr_z*f.vl_vibr_z)')} AS vibracao_magnitude,
+  CASE WHEN {_clip_sql('vl_temperatura', 'f')} > 95 THEN 'CRITICAL'
+       WHEN {_clip_sql('vl_temperatura', 'f')} > 85 THEN 'WARNING'
+       WHEN {_clip_sql('vl_temperatura', 'f')} IS NOT NULL THEN 'NORMAL' END AS temp_status
+FROM filled f, q""", CLEAN_CTES))
+def q_clean(spark, sf):
+    r, m = _t(spark, sf)
+    return round_doubles(Q.clean(S.historical_readings(r, m, AS_OF, 30)))
+
+
+@register("apply_retention", with_mapping(f"""
+SELECT * FROM readings r WHERE r."dataHora_medicao" >= {ASOF_SQL} - INTERVAL 10 DAY"""))
+def q_apply_retention(spark, sf):
+    r, _ = _t(spark, sf)
+    return Q.apply_retention(r, AS_OF, days=10)
+
+
+QCOLS = ["vl_temperatura", "vl_pressao", "vl_humidade", "vl_vibracao"]
+
+
+@register("quantiles", with_mapping(" UNION ALL ".join(
+    f"SELECT '{c}' AS column, {p}::DOUBLE AS p, {R8(f'quantile_cont({c}, {p})')} AS value FROM readings"
+    for c in QCOLS for p in (0.25, 0.5, 0.75))))
+def q_quantiles(spark, sf):
+    r, _ = _t(spark, sf)
+    return round_doubles(A.quantiles(r, QCOLS))
+
+
+@register("box_summary", with_mapping(f"""
+SELECT id_maquina, {R8('quantile_cont(vl_temperatura, 0.0)')} AS min, {R8('quantile_cont(vl_temperatura, 0.25)')} AS q1,
+  {R8('quantile_cont(vl_temperatura, 0.5)')} AS median, {R8('quantile_cont(vl_temperatura, 0.75)')} AS q3,
+  {R8('quantile_cont(vl_temperatura, 1.0)')} AS max, count(vl_temperatura) AS n
+FROM readings WHERE vl_temperatura IS NOT NULL GROUP BY id_maquina"""))
+def q_box_summary(spark, sf):
+    r, _ = _t(spark, sf)
+    return round_doubles(A.box_summary(r))
+
+
+@register("series_mean", with_mapping(f"""
+SELECT {R8('avg(vl_temperatura)')} AS mean, count(vl_temperatura) AS n,
+  count(*) FILTER (WHERE vl_temperatura > 95) AS above_critical FROM readings"""))
+def q_series_mean(spark, sf):
+    r, _ = _t(spark, sf)
+    return round_doubles(A.series_mean(r.select(F.col("vl_temperatura").alias("temperatura"))))
+
+
+# ---------------------------------------------------------------------------
+# Step 4: windows
+# ---------------------------------------------------------------------------
+
+WIN5 = 'PARTITION BY id_maquina ORDER BY "dataHora_medicao", id_medicao ROWS BETWEEN 4 PRECEDING AND CURRENT ROW'
+
+
+@register("rolling_features", with_mapping("SELECT id_medicao, id_maquina, " + ", ".join(
+    f"{R8(f'avg({c}) OVER ({WIN5})')} AS {c}_rolling_mean, {R8(f'stddev_samp({c}) OVER ({WIN5})')} AS {c}_rolling_std, "
+    f"{R8(f'{c} - avg({c}) OVER ({WIN5})')} AS {c}_diff_mean"
+    for c in ("vl_temperatura", "vl_pressao", "vl_humidade")) + " FROM readings"))
+def q_rolling_features(spark, sf):
+    r, _ = _t(spark, sf)
+    cols = ("vl_temperatura", "vl_pressao", "vl_humidade")
+    out = W.rolling_features(r, cols)
+    keep = [f"{c}_{s}" for c in cols for s in ("rolling_mean", "rolling_std", "diff_mean")]
+    return round_doubles(out.select("id_medicao", "id_maquina", *keep))
+
+
+WIN100 = 'PARTITION BY id_maquina ORDER BY "dataHora_medicao", id_medicao ROWS BETWEEN 99 PRECEDING AND CURRENT ROW'
+
+
+@register("device_running_stats", with_mapping(f"""
+SELECT id_medicao, id_maquina, {R8(f'avg(vl_temperatura) OVER ({WIN100})')} AS avg_temp_last_n,
+  {R8(f'greatest(max(sqrt(vl_vibr_x*vl_vibr_x + vl_vibr_y*vl_vibr_y + vl_vibr_z*vl_vibr_z)) OVER ({WIN100}), 0.0::DOUBLE)')}
+    AS max_vibration_last_n FROM readings"""))
+def q_device_running_stats(spark, sf):
+    r, _ = _t(spark, sf)
+    return round_doubles(W.device_running_stats(r).select("id_medicao", "id_maquina", "avg_temp_last_n",
+                                                          "max_vibration_last_n"))
+
+
+LATEST_SQL = """latest AS (SELECT * FROM readings
+  QUALIFY row_number() OVER (PARTITION BY id_maquina ORDER BY "dataHora_medicao" DESC, id_medicao DESC) = 1)"""
+
+
+@register("latest_per_machine", with_mapping("SELECT * FROM latest", LATEST_SQL))
+def q_latest_per_machine(spark, sf):
+    r, _ = _t(spark, sf)
+    return W.latest_per_machine(r)
+
+
+@register("label_encode", with_mapping(f"""
+SELECT r.id_medicao, m.localizacao,
+  dense_rank() OVER (ORDER BY m.localizacao NULLS FIRST) - 1 AS localizacao_encoded
+FROM readings r JOIN machines m ON r.id_maquina = m.id_maquina WHERE {WINDOW_30D}"""))
+def q_label_encode(spark, sf):
+    r, m = _t(spark, sf)
+    h = S.historical_readings(r, m, AS_OF, 30).select("id_medicao", "localizacao")
+    return W.label_encode(h, "localizacao").withColumn("localizacao_encoded",
+                                                       F.col("localizacao_encoded").cast("long"))
+
+
+@register("last_rows_per_machine", with_mapping("""
+SELECT *, row_number() OVER (PARTITION BY id_maquina ORDER BY "dataHora_medicao" DESC, id_medicao DESC) AS rn
+FROM readings QUALIFY rn <= 20"""))
+def q_last_rows_per_machine(spark, sf):
+    r, _ = _t(spark, sf)
+    return W.last_rows_per_machine(r, 20)
+
+
+@register("assign_ids", with_mapping(f"""
+SELECT id_sensor, id_maquina, "dataHora_medicao", flag_falha,
+  (SELECT max(id_medicao) FROM readings WHERE "dataHora_medicao" < {ASOF_SQL} - INTERVAL 24 HOUR)
+  + row_number() OVER (ORDER BY "dataHora_medicao", id_sensor, id_maquina, flag_falha) AS id_medicao
+FROM readings WHERE "dataHora_medicao" >= {ASOF_SQL} - INTERVAL 24 HOUR"""))
+def q_assign_ids(spark, sf):
+    r, _ = _t(spark, sf)
+    cut = S.hours_before(AS_OF, 24)
+    new = r.where(F.col("dataHora_medicao") >= cut).select("id_sensor", "id_maquina", "dataHora_medicao",
+                                                           "flag_falha")
+    old = r.where(F.col("dataHora_medicao") < cut)
+    return W.assign_ids(new, old, order=["dataHora_medicao", "id_sensor", "id_maquina", "flag_falha"])
+
+
+# ---------------------------------------------------------------------------
+# Step 5: alerts and risk
+# ---------------------------------------------------------------------------
+
+def _alert_sql(prefix, atype, sev, value, threshold, cond, limit):
+    return (f"SELECT '{prefix}_' || id_maquina || '_' || CAST(epoch_us(\"dataHora_medicao\") // 1000000 AS VARCHAR) AS id, "
+            f"id_maquina AS equipment_id, '{atype}' AS alert_type, '{sev}' AS severity, "
+            f"\"dataHora_medicao\" AS timestamp, {value} AS value, {threshold}::DOUBLE AS threshold, "
+            f"'ACTIVE' AS status, 'THRESHOLD' AS source, id_medicao AS reading_id, {limit} AS limit_breached "
+            f"FROM readings WHERE {cond}")
+
+
+ALERT_ROWS_SQL = "alert_rows AS (" + " UNION ALL ".join([
+    _alert_sql("TEMP", "TEMPERATURE_HIGH", "CRITICAL", "vl_temperatura", 95, "vl_temperatura > 95", "95.0::DOUBLE"),
+    _alert_sql("TEMP", "TEMPERATURE_HIGH", "WARNING", "vl_temperatura", 85,
+               "vl_temperatura > 85 AND NOT vl_temperatura > 95", "85.0::DOUBLE"),
+    _alert_sql("PRESS", "PRESSURE_ABNORMAL", "CRITICAL", "vl_pressao", 960,
+               "(vl_pressao < 960 OR vl_pressao > 1040)",
+               "CASE WHEN vl_pressao > 1040 THEN 1040.0::DOUBLE ELSE 960.0::DOUBLE END"),
+    _alert_sql("HUM", "HUMIDITY_HIGH", "WARNING", "vl_humidade", 80, "vl_humidade > 80", "80.0::DOUBLE"),
+]) + ")"
+
+
+def _no_message(df: DataFrame) -> DataFrame:
+    # the message text is compared through its value: '%.1f' rounds exact
+    # halves differently in Java and C
+    return df.drop("message")
+
+
+@register("threshold_alert_rows", with_mapping("SELECT * FROM alert_rows", ALERT_ROWS_SQL))
+def q_threshold_alert_rows(spark, sf):
+    r, _ = _t(spark, sf)
+    return _no_message(L.threshold_alert_rows(r))
+
+
+@register("threshold_alerts", with_mapping("""
+SELECT * FROM alert_rows
+QUALIFY row_number() OVER (PARTITION BY equipment_id, alert_type ORDER BY timestamp DESC, reading_id DESC) = 1""",
+                                           ALERT_ROWS_SQL))
+def q_threshold_alerts(spark, sf):
+    r, _ = _t(spark, sf)
+    return _no_message(L.threshold_alerts(r))
+
+
+ROW_ALERTS_SQL = f"""ra AS (SELECT id_maquina AS equipment_id,
+  CASE WHEN vl_humidade > 80 THEN 'HUMIDITY_HIGH' WHEN vl_pressao < 960 OR vl_pressao > 1040 THEN 'PRESSURE_ABNORMAL'
+       WHEN vl_temperatura > 85 THEN 'TEMPERATURE_HIGH' END AS alert_type,
+  CASE WHEN vl_humidade > 80 THEN 'WARNING' WHEN vl_pressao < 960 OR vl_pressao > 1040 THEN 'CRITICAL'
+       WHEN vl_temperatura > 95 THEN 'CRITICAL' WHEN vl_temperatura > 85 THEN 'WARNING' END AS severity,
+  vl_temperatura, vl_pressao, "dataHora_medicao" AS timestamp, id_medicao
+  FROM readings WHERE "dataHora_medicao" >= {ASOF_SQL} - INTERVAL 744 HOUR)"""
+
+
+@register("row_alerts", with_mapping(f"""
+SELECT equipment_id, alert_type, severity,
+  CASE WHEN alert_type = 'TEMPERATURE_HIGH' THEN vl_temperatura ELSE vl_pressao END AS value, timestamp, id_medicao
+FROM ra WHERE alert_type IS NOT NULL""", ROW_ALERTS_SQL))
+def q_row_alerts(spark, sf):
+    r, _ = _t(spark, sf)
+    return L.row_alerts(r, AS_OF, hours=24 * 31)
+
+
+@register("severity_counts", with_mapping("""
+SELECT count(*) FILTER (WHERE severity = 'CRITICAL') AS critical,
+  count(*) FILTER (WHERE severity = 'WARNING') AS warning, count(*) AS total
+FROM ra WHERE alert_type IS NOT NULL""", ROW_ALERTS_SQL))
+def q_severity_counts(spark, sf):
+    r, _ = _t(spark, sf)
+    return A.severity_counts(L.row_alerts(r, AS_OF, hours=24 * 31))
+
+
+VMAG = "sqrt(vl_vibr_x*vl_vibr_x + vl_vibr_y*vl_vibr_y + vl_vibr_z*vl_vibr_z)"
+
+
+@register("vibration_alerts", with_mapping(f"""
+SELECT 'VIB_' || id_maquina || '_' || CAST(epoch_us("dataHora_medicao") // 1000000 AS VARCHAR) AS id,
+  id_maquina AS equipment_id, 'VIBRATION_HIGH' AS alert_type,
+  CASE WHEN {VMAG} > 10 THEN 'CRITICAL' ELSE 'WARNING' END AS severity,
+  "dataHora_medicao" AS timestamp, {R8(VMAG)} AS value,
+  CASE WHEN {VMAG} > 10 THEN 10.0::DOUBLE ELSE 7.5::DOUBLE END AS threshold,
+  'ACTIVE' AS status, 'THRESHOLD' AS source, id_medicao AS reading_id
+FROM readings WHERE {VMAG} > 7.5"""))
+def q_vibration_alerts(spark, sf):
+    r, _ = _t(spark, sf)
+    return round_doubles(_no_message(L.vibration_alerts(r)))
+
+
+@register("active_alerts", with_mapping(f"""
+SELECT r.id_maquina, m.tipo_maquina, m.localizacao, r."dataHora_medicao", r.vl_temperatura, r.vl_pressao,
+  r.vl_humidade,
+  CASE WHEN r.vl_temperatura > 95 THEN 'TEMPERATURA_CRITICA'
+       WHEN r.vl_pressao < 960 OR r.vl_pressao > 1040 THEN 'PRESSAO_ANORMAL'
+       WHEN r.vl_humidade > 80 THEN 'HUMIDADE_ALTA'
+       WHEN r.flag_falha = 'S' THEN 'FALHA_DETECTADA' ELSE 'NORMAL' END AS tipo_alerta, r.id_medicao
+FROM machines m JOIN readings r ON m.id_maquina = r.id_maquina
+WHERE {WINDOW_24H} AND (r.vl_temperatura > 95 OR r.vl_pressao < 960 OR r.vl_pressao > 1040
+  OR r.vl_humidade > 80 OR r.flag_falha = 'S')"""))
+def q_active_alerts(spark, sf):
+    r, m = _t(spark, sf)
+    return L.active_alerts(r, m, AS_OF)
+
+
+ETL_RISK_SQL = LATEST_SQL + """,
+er AS (SELECT id_maquina AS equipment_id, "dataHora_medicao" AS timestamp,
+  least(greatest(coalesce((vl_temperatura - 70.0::DOUBLE) / 30.0::DOUBLE
+                          + (vl_vibracao - 2.0::DOUBLE) / 8.0::DOUBLE, 0.0::DOUBLE), 0.0::DOUBLE), 1.0::DOUBLE)
+    AS fault_probability FROM latest)"""
+
+
+@register("etl_risk", with_mapping(f"""
+SELECT equipment_id, timestamp, {R8('fault_probability')} AS fault_probability,
+  CASE WHEN fault_probability > 0.5 THEN 1 ELSE 0 END AS predicted_class,
+  CASE WHEN fault_probability > 0.7 THEN 'HIGH' WHEN fault_probability > 0.4 THEN 'MEDIUM' ELSE 'LOW' END
+    AS alert_level FROM er""", ETL_RISK_SQL))
+def q_etl_risk(spark, sf):
+    r, _ = _t(spark, sf)
+    return round_doubles(L.etl_risk(r))
+
+
+DRISK_SQL = LATEST_SQL + """,
+dr AS (SELECT id_maquina AS equipment, least(greatest(
+   CASE WHEN coalesce(vl_temperatura > 90, false) THEN 0.3::DOUBLE ELSE 0.0::DOUBLE END
+ + CASE WHEN coalesce(vl_pressao < 970 OR vl_pressao > 1030, false) THEN 0.2::DOUBLE ELSE 0.0::DOUBLE END
+ + CASE WHEN coalesce(vl_humidade > 75, false) THEN 0.1::DOUBLE ELSE 0.0::DOUBLE END
+ + CASE WHEN coalesce(vl_vibracao > 5, false) THEN 0.2::DOUBLE ELSE 0.0::DOUBLE END,
+   0.0::DOUBLE), 1.0::DOUBLE) AS risk_score FROM latest)"""
+DRISK_COLS_SQL = """CASE WHEN risk_score > 0.6 THEN 'HIGH' WHEN risk_score > 0.3 THEN 'MEDIUM' ELSE 'LOW' END AS risk_level,
+  CASE WHEN risk_score > 0.6 THEN 'MANUTENÇÃO NECESSÁRIA' WHEN risk_score > 0.3 THEN 'MONITORAR'
+       ELSE 'NORMAL' END AS prediction"""
+
+
+@register("dashboard_risk", with_mapping(f"SELECT equipment, {R8('risk_score')} AS risk_score, {DRISK_COLS_SQL} FROM dr",
+                                         DRISK_SQL))
+def q_dashboard_risk(spark, sf):
+    r, _ = _t(spark, sf)
+    return round_doubles(L.dashboard_risk(r))
+
+
+@register("risk_ranking", with_mapping(f"""
+SELECT equipment, {R8('risk_score')} AS risk_score, {DRISK_COLS_SQL},
+  rank() OVER (ORDER BY risk_score DESC) AS risk_rank FROM dr""", DRISK_SQL))
+def q_risk_ranking(spark, sf):
+    r, _ = _t(spark, sf)
+    return round_doubles(W.risk_ranking(L.dashboard_risk(r)))
+
+
+@register("machine_overview", with_mapping(f"""
+SELECT l.id_maquina, m.tipo_maquina, m.localizacao, l."dataHora_medicao" AS last_reading, l.flag_falha AS status,
+  l.vl_temperatura, l.vl_pressao, l.vl_humidade, l.vl_vibracao
+FROM (SELECT r.*, m.tipo_maquina, m.localizacao FROM readings r JOIN machines m ON r.id_maquina = m.id_maquina
+      WHERE {WINDOW_24H}
+      QUALIFY row_number() OVER (PARTITION BY r.id_maquina ORDER BY r."dataHora_medicao" DESC, r.id_medicao DESC) = 1) l
+JOIN machines m ON l.id_maquina = m.id_maquina"""))
+def q_machine_overview(spark, sf):
+    r, m = _t(spark, sf)
+    return L.machine_overview(S.realtime_readings(r, m, AS_OF))
+
+
+@register("probability_histogram", with_mapping("""
+SELECT bin, count(*) AS count, first(lo) AS lo, first(hi) AS hi FROM (
+  SELECT CASE WHEN hi = lo THEN 1
+              ELSE least(CAST(floor((fault_probability - lo) / (hi - lo) * 20) AS INTEGER) + 1, 20) END AS bin,
+         round_even(lo, 8) AS lo, round_even(hi, 8) AS hi
+  FROM er, (SELECT min(fault_probability) AS lo, max(fault_probability) AS hi FROM er) mm
+  WHERE fault_probability IS NOT NULL) GROUP BY bin""", ETL_RISK_SQL))
+def q_probability_histogram(spark, sf):
+    r, _ = _t(spark, sf)
+    return round_doubles(A.probability_histogram(L.etl_risk(r), "fault_probability", 20))
