@@ -8,8 +8,6 @@ reference's column naming; ``scale`` applies half-even rounding as pandas'
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -240,15 +238,15 @@ def trailing_mean_temperature(machines: DataFrame, readings: DataFrame, as_of,
 
 
 def quantiles(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75)) -> DataFrame:
-    """Exact interpolated quantiles of several columns, long form (column, p, value)."""
-    parts = []
-    for c in cols:
-        q = exact_quantiles(df, c, list(probs), (), [f"q{i}" for i in range(len(probs))])
-        parts.append(q.select(F.lit(c).alias("column"),
-                              F.inline(F.array(*[F.struct(F.lit(float(p)).alias("p"),
-                                                          F.col(f"q{i}").alias("value"))
-                                                 for i, p in enumerate(probs)]))))
-    return reduce(DataFrame.unionByName, parts)
+    """Exact interpolated quantiles of several columns, long form (column, p, value).
+
+    Fitted with the bounded global selection; the result (columns × probs
+    numbers) is returned as a DataFrame.
+    """
+    from .quantiles import global_quantiles
+    q = global_quantiles(df, cols, list(probs))
+    rows = [(c, float(p), q[(c, p)]) for c in cols for p in probs]
+    return df.sparkSession.createDataFrame(rows, "column string, p double, value double")
 
 
 def profile(df: DataFrame) -> DataFrame:

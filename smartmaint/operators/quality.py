@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, T, Thresholds
 from ..functions import scalars as P
-from .joins import with_row_stats
-from .quantiles import exact_quantiles_wide
+from .quantiles import global_quantiles
 
 
 def _d(x: float) -> Column:
@@ -128,12 +127,16 @@ CLIP_COLS = ["vl_temperatura", "vl_pressao", "vl_vibracao"]
 
 
 def fill_median(df: DataFrame, cols: list[str] = FILL_MEDIAN_COLS) -> DataFrame:
-    """NULL (and NaN) → exact median of the column (not ml Imputer: it takes the lower middle)."""
+    """NULL (and NaN) → exact median of the column.
+
+    Not ``ml.feature.Imputer``: it takes the lower middle value. The medians
+    are fitted eagerly (a bounded global selection, see ``global_quantiles``)
+    and enter the plan as literals, so the filled frame is a plain projection.
+    """
     cols = [c for c in cols if c in df.columns]
-    med = exact_quantiles_wide(df, cols, [0.5], [[f"_med_{c}"] for c in cols])
-    j = with_row_stats(df, med)
-    return j.select(*[F.coalesce(P.nan_to_null(c), F.col(f"_med_{c}")).alias(c) if c in cols else F.col(f"`{c}`")
-                      for c in df.columns])
+    med = global_quantiles(df, cols, [0.5]) if cols else {}
+    return df.select(*[F.coalesce(P.nan_to_null(c), F.lit(med[(c, 0.5)]).cast("double")).alias(c)
+                       if c in cols else F.col(f"`{c}`") for c in df.columns])
 
 
 def fill_zero(df: DataFrame, exclude: list[str] = FILL_MEDIAN_COLS) -> DataFrame:
@@ -144,21 +147,22 @@ def fill_zero(df: DataFrame, exclude: list[str] = FILL_MEDIAN_COLS) -> DataFrame
 
 
 def clip_iqr(df: DataFrame, cols: list[str] = CLIP_COLS, k: float = DEFAULT.iqr_k) -> DataFrame:
-    """Clip to [Q1 − k·IQR, Q3 + k·IQR] (the reference clips, not removes)."""
+    """Clip to [Q1 − k·IQR, Q3 + k·IQR] (the reference clips, not removes).
+
+    Quartiles are fitted eagerly (exact, bounded) and enter as literals.
+    """
     cols = [c for c in cols if c in df.columns]
-    q = exact_quantiles_wide(df, cols, [0.25, 0.75], [[f"_q1_{c}", f"_q3_{c}"] for c in cols])
-    j = with_row_stats(df, q)
+    q = global_quantiles(df, cols, [0.25, 0.75]) if cols else {}
     out = []
     for c in df.columns:
-        if c in cols:
-            q1, q3 = F.col(f"_q1_{c}"), F.col(f"_q3_{c}")
-            lo, hi = q1 - _d(k) * (q3 - q1), q3 + _d(k) * (q3 - q1)
+        q1, q3 = (q.get((c, 0.25)), q.get((c, 0.75))) if c in cols else (None, None)
+        if c in cols and q1 is not None:
+            lo, hi = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
             x = F.col(c)
-            out.append(F.when(x.isNull() | lo.isNull(), x)
-                       .when(x < lo, lo).when(x > hi, hi).otherwise(x).alias(c))
+            out.append(F.when(x < _d(lo), _d(lo)).when(x > _d(hi), _d(hi)).otherwise(x).alias(c))
         else:
             out.append(F.col(f"`{c}`"))
-    return j.select(*out)
+    return df.select(*out)
 
 
 def clean(df: DataFrame) -> DataFrame:

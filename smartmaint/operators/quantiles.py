@@ -105,3 +105,111 @@ def exact_quantiles_wide(df: DataFrame, cols: list[str], probs: list[float],
     one = q.agg(*[F.max(F.when(F.col("_col") == c, F.col(f"_p{i}"))).alias(names[j][i])
                   for j, c in enumerate(cols) for i in range(len(probs))])
     return one
+
+
+def global_quantiles(df: DataFrame, cols: list[str], probs: list[float], limit: int = 50_000,
+                     buckets: int = 1000, accuracy: int = 10_000) -> dict:
+    """Exact global quantiles of several columns by iterative narrowing.
+
+    Returns ``{(col, p): value}`` (None when a column has no values). Each
+    target order statistic keeps an interval (lo, hi] known to hold it and its
+    rank inside. While an interval holds more than ``limit`` rows, one job
+    sketches it (``percentile_approx`` cut points, collected: ≤ ``buckets``
+    numbers per target) and one job counts rows per bucket (collected:
+    ≤ 2·``buckets`` counts per target); every distinct cut point is its own
+    bucket, so heavy repeated values resolve at once. Each round shrinks an
+    interval by about ``buckets``×. Once an interval holds ≤ ``limit`` rows, a
+    window ranks it (at most ``limit`` rows per task) and only the answers
+    are collected. Nothing unbounded reaches the driver or one task.
+    """
+    import math
+
+    n_row = df.agg(*[F.count(F.when(~F.isnan(F.col(c).cast("double")), F.col(c))).alias(f"n{i}")
+                     for i, c in enumerate(cols)]).first()
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("k"), F.col(c).cast("double").alias("x")) for i, c in enumerate(cols)])).alias("u")
+    ).select("u.k", "u.x").where(F.col("x").isNotNull() & ~F.isnan("x"))
+
+    # search targets: distinct (column, rank)
+    targets = {}
+    plan = {}
+    for i, c in enumerate(cols):
+        n = n_row[f"n{i}"]
+        for p in probs:
+            if n == 0:
+                plan[(c, p)] = None
+                continue
+            pos = p * (n - 1)
+            lo = math.floor(pos)
+            hi = min(lo + 1, n - 1)
+            frac = pos - lo
+            for r in (lo, hi):
+                targets.setdefault((i, r), {"k": i, "r": r, "lo": None, "hi": None, "size": n, "value": None})
+            plan[(c, p)] = ((i, lo), (i, hi), frac)
+
+    spark = df.sparkSession
+
+    keyed = list(enumerate(targets.values()))
+    for _, t in keyed:
+        t.update(base=0, hi_open=False)
+
+    def tdf(ts, with_rank=False):
+        rows = [(tid, t["k"], t["lo"], t["hi"], bool(t["hi_open"]), t["r"] - t["base"]) for tid, t in ts]
+        return spark.createDataFrame(rows, "tid int, tk int, lo double, hi double, open_hi boolean, rr long")
+
+    def in_interval():
+        upper = F.when(F.col("open_hi"), F.col("x") < F.col("hi")).otherwise(F.col("x") <= F.col("hi"))
+        return ((F.col("k") == F.col("tk"))
+                & (F.col("lo").isNull() | (F.col("x") > F.col("lo")))
+                & (F.col("hi").isNull() | upper))
+
+    cut_p = [j / buckets for j in range(1, buckets)]
+    while True:
+        open_ = [(tid, t) for tid, t in keyed if t["value"] is None and t["size"] > limit]
+        if not open_:
+            break
+        sub = long.join(F.broadcast(tdf(open_)), in_interval()).select("tid", "x")
+        sk = {r["tid"]: sorted(set(r["c"])) for r in
+              sub.groupBy("tid").agg(F.percentile_approx("x", cut_p, accuracy).alias("c")).collect()}
+        cuts_df = spark.createDataFrame([(tid, sk[tid]) for tid, _ in open_], "tid int, cuts array<double>")
+        m = F.size(F.filter("cuts", lambda c: c < F.col("x")))
+        eq = F.array_contains("cuts", F.col("x")).cast("int")
+        per = {}
+        for row in (sub.join(F.broadcast(cuts_df), "tid")
+                    .groupBy("tid", (m * 2 + eq).alias("b")).agg(F.count(F.lit(1)).alias("cnt")).collect()):
+            per.setdefault(row["tid"], []).append((row["b"], row["cnt"]))
+        for tid, t in open_:
+            cuts, rel, before = sk[tid], t["r"] - t["base"], 0
+            for b, cnt in sorted(per[tid]):
+                if before + cnt > rel:
+                    break
+                before += cnt
+            if b % 2 == 1:            # point bucket: the cut value itself
+                t["value"] = cuts[b // 2]
+                continue
+            j = b // 2
+            if j > 0:
+                t["lo"] = cuts[j - 1]
+            if j < len(cuts):
+                t["hi"], t["hi_open"] = cuts[j], True
+            t["base"] += before
+            t["size"] = cnt
+
+    # final exact ranking inside the small intervals (≤ limit rows per task)
+    rest = [(tid, t) for tid, t in keyed if t["value"] is None]
+    if rest:
+        w = Window.partitionBy("tid").orderBy("x")
+        got = (long.join(F.broadcast(tdf(rest)), in_interval())
+               .withColumn("_rn", F.row_number().over(w) - 1)
+               .where(F.col("_rn") == F.col("rr")).select("tid", "x").collect())
+        for row in got:
+            keyed[row["tid"]][1]["value"] = row["x"]
+    res = {}
+    for key, spec in plan.items():
+        if spec is None:
+            res[key] = None
+            continue
+        (a, b, frac) = spec
+        lo_v, hi_v = targets[a]["value"], targets[b]["value"]
+        res[key] = lo_v if frac == 0.0 else lo_v + (hi_v - lo_v) * frac
+    return res
