@@ -134,7 +134,7 @@ def kpis(df: DataFrame, total_machines: int = 10, window: int = 100) -> DataFram
                   F.count(F.lit(1)).alias("n"),
                   fault_count().alias("faults"))
     ch = head_tail_change(df, "vl_temperatura", window)
-    b = base.crossJoin(F.broadcast(ch)).where(F.col("n") > 0)
+    b = base.withColumn("change", ch.scalar()).where(F.col("n") > 0)
     rate = F.col("faults") * F.lit(100.0) / F.col("n")
     avail = F.lit(100.0) - rate
     active_pct = F.col("active") * F.lit(100.0) / F.lit(float(total_machines))
@@ -269,14 +269,12 @@ def null_share(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 def probability_histogram(scored: DataFrame, col: str = "probability", bins: int = 20) -> DataFrame:
     """Equal-width histogram between the min and max; the last bin is closed."""
-    mm = scored.agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
-    b = (F.when(F.col("_hi") == F.col("_lo"), F.lit(1))
-         .otherwise(F.least(F.floor((F.col(col) - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
-                                    * F.lit(bins)).cast("int") + 1, F.lit(bins))))
-    return (scored.where(F.col(col).isNotNull()).crossJoin(F.broadcast(mm))
+    lo, hi = scored.agg(F.min(col)).scalar(), scored.agg(F.max(col)).scalar()
+    b = (F.when(hi == lo, F.lit(1))
+         .otherwise(F.least(F.floor((F.col(col) - lo) / (hi - lo) * F.lit(bins)).cast("int") + 1, F.lit(bins))))
+    return (scored.where(F.col(col).isNotNull())
             .groupBy(b.alias("bin"))
-            .agg(F.count(F.lit(1)).alias("count"),
-                 F.first("_lo").alias("lo"), F.first("_hi").alias("hi")))
+            .agg(F.count(F.lit(1)).alias("count"), F.first(lo).alias("lo"), F.first(hi).alias("hi")))
 
 
 def fault_scatter(df: DataFrame, measures: list[str] | None = None) -> DataFrame:

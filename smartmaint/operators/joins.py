@@ -25,12 +25,12 @@ def machines_left_readings(machines: DataFrame, readings: DataFrame) -> DataFram
 
 
 def with_row_stats(df: DataFrame, stats: DataFrame) -> DataFrame:
-    """Attach a one-row statistics frame to every row.
+    """Attach the columns of a one-row statistics frame to every row.
 
-    ``stats`` is a global aggregate (exactly one row), so broadcasting it is
-    bounded by construction.
+    Each column becomes a scalar subquery (Catalyst merges them into one
+    subquery over ``stats``), so no join is planned at all.
     """
-    return df.crossJoin(F.broadcast(stats))
+    return df.select("*", *[stats.select(c).scalar().alias(c) for c in stats.columns])
 
 
 def orphan_readings(readings: DataFrame, machines: DataFrame, sensors: DataFrame | None = None) -> DataFrame:

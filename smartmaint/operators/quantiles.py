@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 def _join(a: DataFrame, b: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
     if by:
         return a.join(b, by, how)
-    # b is a global aggregate: one row
-    return a.crossJoin(F.broadcast(b))
+    # b is a global aggregate (one row): its columns become scalar subqueries
+    return a.select("*", *[b.select(c).scalar().alias(c) for c in b.columns])
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: list[float], by: list[str] | tuple = (),
@@ -107,34 +107,19 @@ def exact_quantiles_wide(df: DataFrame, cols: list[str], probs: list[float],
     return one
 
 
-def global_quantiles(df: DataFrame, cols: list[str], probs: list[float], limit: int = 50_000,
-                     buckets: int = 1000, accuracy: int = 10_000) -> dict:
-    """Exact global quantiles of several columns by iterative narrowing.
-
-    Returns ``{(col, p): value}`` (None when a column has no values). Each
-    target order statistic keeps an interval (lo, hi] known to hold it and its
-    rank inside. While an interval holds more than ``limit`` rows, one job
-    sketches it (``percentile_approx`` cut points, collected: ≤ ``buckets``
-    numbers per target) and one job counts rows per bucket (collected:
-    ≤ 2·``buckets`` counts per target); every distinct cut point is its own
-    bucket, so heavy repeated values resolve at once. Each round shrinks an
-    interval by about ``buckets``×. Once an interval holds ≤ ``limit`` rows, a
-    window ranks it (at most ``limit`` rows per task) and only the answers
-    are collected. Nothing unbounded reaches the driver or one task.
+def global_quantiles(df: DataFrame, cols: list[str], probs: list[float], **kw) -> dict:
+    """Exact global quantiles (linear interpolation) → ``{(col, p): value}``.
+
+    Built on ``order_statistics``: for each column with ``n`` values the
+    order statistics at ranks floor(p(n−1)) and the next one are selected
+    exactly and interpolated. A column without values gives None.
     """
     import math
-
-    n_row = df.agg(*[F.count(F.when(~F.isnan(F.col(c).cast("double")), F.col(c))).alias(f"n{i}")
-                     for i, c in enumerate(cols)]).first()
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("k"), F.col(c).cast("double").alias("x")) for i, c in enumerate(cols)])).alias("u")
-    ).select("u.k", "u.x").where(F.col("x").isNotNull() & ~F.isnan("x"))
-
-    # search targets: distinct (column, rank)
-    targets = {}
-    plan = {}
+    counts = df.agg(*[F.count(F.when(~F.isnan(F.col(c).cast("double")), F.col(c))).alias(f"n{i}")
+                      for i, c in enumerate(cols)]).first()
+    ranks, plan = {}, {}
     for i, c in enumerate(cols):
-        n = n_row[f"n{i}"]
+        n = counts[f"n{i}"]
         for p in probs:
             if n == 0:
                 plan[(c, p)] = None
@@ -142,18 +127,53 @@ def global_quantiles(df: DataFrame, cols: list[str], probs: list[float], limit:
             pos = p * (n - 1)
             lo = math.floor(pos)
             hi = min(lo + 1, n - 1)
-            frac = pos - lo
-            for r in (lo, hi):
-                targets.setdefault((i, r), {"k": i, "r": r, "lo": None, "hi": None, "size": n, "value": None})
-            plan[(c, p)] = ((i, lo), (i, hi), frac)
+            ranks.setdefault(c, set()).update((lo, hi))
+            plan[(c, p)] = (lo, hi, pos - lo)
+    stats = order_statistics(df, {c: sorted(r) for c, r in ranks.items()},
+                             sizes={c: counts[f"n{i}"] for i, c in enumerate(cols)}, **kw)
+    res = {}
+    for (c, p), spec in plan.items():
+        if spec is None:
+            res[(c, p)] = None
+            continue
+        lo, hi, frac = spec
+        a, b = stats[(c, lo)], stats[(c, hi)]
+        res[(c, p)] = a if frac == 0.0 else a + (b - a) * frac
+    return res
 
+
+def order_statistics(df: DataFrame, ranks: dict, sizes: dict | None = None, limit: int = 50_000,
+                     buckets: int = 1000, accuracy: int = 10_000) -> dict:
+    """Exact order statistics by iterative narrowing → ``{(col, rank): value}``.
+
+    ``ranks`` maps a column to 0-based ranks among its non-null, non-NaN
+    values (ascending). Each target keeps an interval (lo, hi] known to hold
+    it and its rank inside. While an interval holds more than ``limit`` rows,
+    one job sketches it (``percentile_approx`` cut points, collected:
+    ≤ ``buckets`` numbers per target) and one job counts rows per bucket
+    (collected: ≤ 2·``buckets`` counts per target); every distinct cut point
+    is its own bucket, so a heavily repeated value resolves at once. Each
+    round shrinks an interval about ``buckets``-fold. Once an interval holds
+    ≤ ``limit`` rows a window ranks it (≤ ``limit`` rows per task) and only the
+    answers are collected. Nothing unbounded reaches the driver or one task.
+    """
+    cols = list(ranks)
     spark = df.sparkSession
+    if sizes is None:
+        row = df.agg(*[F.count(F.when(~F.isnan(F.col(c).cast("double")), F.col(c))).alias(f"n{i}")
+                       for i, c in enumerate(cols)]).first()
+        sizes = {c: row[f"n{i}"] for i, c in enumerate(cols)}
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("k"), F.col(c).cast("double").alias("x")) for i, c in enumerate(cols)])).alias("u")
+    ).select("u.k", "u.x").where(F.col("x").isNotNull() & ~F.isnan("x"))
 
-    keyed = list(enumerate(targets.values()))
-    for _, t in keyed:
-        t.update(base=0, hi_open=False)
+    keyed = []
+    for i, c in enumerate(cols):
+        for r in ranks[c]:
+            keyed.append((len(keyed), {"col": c, "k": i, "r": int(r), "lo": None, "hi": None,
+                                       "hi_open": False, "base": 0, "size": sizes[c], "value": None}))
 
-    def tdf(ts, with_rank=False):
+    def tdf(ts):
         rows = [(tid, t["k"], t["lo"], t["hi"], bool(t["hi_open"]), t["r"] - t["base"]) for tid, t in ts]
         return spark.createDataFrame(rows, "tid int, tk int, lo double, hi double, open_hi boolean, rr long")
 
@@ -195,7 +215,6 @@ def global_quantiles(df: DataFrame, cols: list[str], probs: list[float], limit:
             t["base"] += before
             t["size"] = cnt
 
-    # final exact ranking inside the small intervals (≤ limit rows per task)
     rest = [(tid, t) for tid, t in keyed if t["value"] is None]
     if rest:
         w = Window.partitionBy("tid").orderBy("x")
@@ -204,12 +223,4 @@ def global_quantiles(df: DataFrame, cols: list[str], probs: list[float], limit:
                .where(F.col("_rn") == F.col("rr")).select("tid", "x").collect())
         for row in got:
             keyed[row["tid"]][1]["value"] = row["x"]
-    res = {}
-    for key, spec in plan.items():
-        if spec is None:
-            res[key] = None
-            continue
-        (a, b, frac) = spec
-        lo_v, hi_v = targets[a]["value"], targets[b]["value"]
-        res[key] = lo_v if frac == 0.0 else lo_v + (hi_v - lo_v) * frac
-    return res
+    return {(t["col"], t["r"]): t["value"] for _, t in keyed}

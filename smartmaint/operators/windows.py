@@ -71,15 +71,16 @@ def latest_alert_per_type(alerts: DataFrame, order=("timestamp", "id")) -> DataF
 
 
 def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    """Sorted distinct values → 0..n−1 (NULL coded as its own value, first).
+    """Sorted distinct values (as text; NULL reads 'None') → 0..n−1.
 
-    The distinct values are few (locations, machine types); the dense rank over
-    them runs on that small distinct set, then joins back.
+    The distinct values are few (locations, machine types); the dense rank
+    runs over that small distinct set only, then joins back on the value.
     """
     out = out or f"{col}_encoded"
-    codes = (df.select(col).distinct()
-             .withColumn(out, (F.dense_rank().over(Window.orderBy(F.col(col).asc_nulls_first())) - 1)))
-    return df.join(codes, df[col].eqNullSafe(codes[col]), "left").drop(codes[col])
+    key = F.coalesce(F.col(col).cast("string"), F.lit("None"))
+    codes = (df.select(key.alias("_key")).distinct()
+             .withColumn(out, (F.dense_rank().over(Window.orderBy("_key")) - 1).cast("long")))
+    return df.withColumn("_key", key).join(codes, "_key", "left").drop("_key")
 
 
 def head_tail_change(df: DataFrame, col: str = "vl_temperatura", n: int = 100,
@@ -90,7 +91,7 @@ def head_tail_change(df: DataFrame, col: str = "vl_temperatura", n: int = 100,
     """
     oldest = df.orderBy(F.col(ts).asc(), F.col(id_col).asc()).limit(n).agg(F.avg(col).alias("_o"))
     newest = df.orderBy(F.col(ts).desc(), F.col(id_col).desc()).limit(n).agg(F.avg(col).alias("_n"))
-    return oldest.crossJoin(newest).select((F.col("_o") - F.col("_n")).alias("change"))
+    return oldest.select((F.col("_o") - newest.scalar()).alias("change"))
 
 
 def risk_ranking(scored: DataFrame, risk: str = "risk_score") -> DataFrame:
@@ -154,15 +155,12 @@ def assign_ids(new: DataFrame, existing: DataFrame | None, id_col: str = "id_med
     order = order or ["dataHora_medicao"]
     base = F.lit(0).cast("long")
     if existing is not None:
-        m = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("long").alias("_max"))
+        base = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("long")).scalar()
     sorted_ = new.drop(id_col) if id_col in new.columns else new
     cols = [c for c in sorted_.columns]
     sorted_ = sorted_.orderBy(*[F.col(c) for c in order], *[F.col(c) for c in cols if c not in order])
     seq = dense_sequence(sorted_.withColumn("_o", F.monotonically_increasing_id()), "_o", "_seq", start=1)
-    if existing is not None:
-        seq = seq.crossJoin(F.broadcast(m)).withColumn(id_col, F.col("_max") + F.col("_seq")).drop("_max")
-    else:
-        seq = seq.withColumn(id_col, base + F.col("_seq"))
+    seq = seq.withColumn(id_col, base + F.col("_seq"))
     return seq.drop("_seq")
 
 

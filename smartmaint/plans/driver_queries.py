@@ -849,3 +849,170 @@ SELECT bin, count(*) AS count, first(lo) AS lo, first(hi) AS hi FROM (
 def q_probability_histogram(spark, sf):
     r, _ = _t(spark, sf)
     return round_doubles(A.probability_histogram(L.etl_risk(r), "fault_probability", 20))
+
+
+# ---------------------------------------------------------------------------
+# Step 6/7: machine learning
+# ---------------------------------------------------------------------------
+
+from ..operators import ml as M  # noqa: E402
+
+_M10 = _MEAS
+_MED10 = "med10 AS (SELECT " + ", ".join(f"quantile_cont({c}, 0.5) AS m_{c}" for c in _M10) + " FROM base)"
+_BASE_S2 = f"""base AS (SELECT {READING_COLS_SQL}, m.tipo_maquina, m.localizacao
+  FROM readings r JOIN machines m ON r.id_maquina = m.id_maquina WHERE {WINDOW_30D})"""
+_FILL10 = ("filled AS (SELECT b.id_medicao, b.id_maquina, b.\"dataHora_medicao\", b.flag_falha, b.tipo_maquina, "
+           "b.localizacao, " + ", ".join(f"coalesce(b.{c}, m_{c}) AS {c}" for c in _M10) + " FROM base b, med10)")
+_ROLL = 'PARTITION BY id_maquina ORDER BY "dataHora_medicao", id_medicao ROWS BETWEEN 4 PRECEDING AND CURRENT ROW'
+FEATURES_CTES = ",\n".join([_BASE_S2, _MED10, _FILL10])
+FEATURES_SELECT = f"""SELECT id_medicao, {', '.join(R8(c) + ' AS ' + c for c in _M10)},
+  {R8(VMAG)} AS vibration_magnitude,
+  {R8('sqrt(vl_gyro_x*vl_gyro_x + vl_gyro_y*vl_gyro_y + vl_gyro_z*vl_gyro_z)')} AS gyro_magnitude,
+  hour("dataHora_medicao") AS hour, isodow("dataHora_medicao") - 1 AS day_of_week,
+  {', '.join(f"{R8(f'avg({c}) OVER ({_ROLL})')} AS {c}_rolling_mean, {R8(f'stddev_samp({c}) OVER ({_ROLL})')} AS {c}_rolling_std" for c in ('vl_temperatura', 'vl_pressao', 'vl_humidade'))},
+  dense_rank() OVER (ORDER BY coalesce(tipo_maquina, 'None')) - 1 AS tipo_maquina_encoded,
+  dense_rank() OVER (ORDER BY coalesce(localizacao, 'None')) - 1 AS localizacao_encoded,
+  CAST(vl_temperatura > 95 AS INTEGER) AS temp_alert,
+  CAST(vl_pressao < 960 OR vl_pressao > 1040 AS INTEGER) AS pressure_alert,
+  CAST(vl_humidade > 80 AS INTEGER) AS humidity_alert, CAST({VMAG} > 10 AS INTEGER) AS vibration_alert,
+  CASE WHEN flag_falha = 'S' THEN 1 ELSE 0 END AS target
+FROM filled"""
+FEATURE_OUT = ["id_medicao", *M.BASE_FEATURES, "vibration_magnitude", "gyro_magnitude", "hour", "day_of_week",
+               "vl_temperatura_rolling_mean", "vl_temperatura_rolling_std", "vl_pressao_rolling_mean",
+               "vl_pressao_rolling_std", "vl_humidade_rolling_mean", "vl_humidade_rolling_std",
+               "tipo_maquina_encoded", "localizacao_encoded", "temp_alert", "pressure_alert", "humidity_alert",
+               "vibration_alert", "target"]
+
+
+def _features(spark, sf, keep: bool = False):
+    from ..session import materialize
+    r, m = _t(spark, sf)
+    f = M.build_features(S.historical_readings(r, m, AS_OF, 30))
+    return materialize(f) if keep else f
+
+
+@register("build_features", with_mapping(FEATURES_SELECT, FEATURES_CTES))
+def q_build_features(spark, sf):
+    return round_doubles(_features(spark, sf).select(*FEATURE_OUT))
+
+
+SPLIT_CTES = """lab AS (SELECT id_medicao, CASE WHEN flag_falha = 'S' THEN 1 ELSE 0 END AS target,
+    CAST(('0x' || substr(md5('42_' || CAST(id_medicao AS VARCHAR)), 1, 13)) AS BIGINT) AS h FROM readings),
+split AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY h, id_medicao)
+    <= ceil(0.2 * count(*) OVER (PARTITION BY target)) AS is_test FROM lab)"""
+
+
+@register("stratified_split", with_mapping("SELECT id_medicao, target, is_test FROM split", SPLIT_CTES))
+def q_stratified_split(spark, sf):
+    r, _ = _t(spark, sf)
+    return M.stratified_split(r.withColumn("target", P.fault_target())).select("id_medicao", "target", "is_test")
+
+
+KNN_COLS = ["vl_temperatura", "vl_pressao", "vl_humidade", "vl_vibracao"]
+KNN_CTES = SPLIT_CTES + """,
+kmed AS (SELECT quantile_cont(vl_temperatura, 0.5) AS mt, quantile_cont(vl_humidade, 0.5) AS mh FROM readings),
+kf AS (SELECT r.id_medicao, coalesce(r.vl_temperatura, mt) AS vl_temperatura, r.vl_pressao,
+    coalesce(r.vl_humidade, mh) AS vl_humidade, r.vl_vibracao, s.target, s.is_test
+    FROM readings r JOIN split s ON r.id_medicao = s.id_medicao, kmed)"""
+KNN_DIST = "sqrt(" + " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in KNN_COLS) + ")"
+
+
+def _knn_inputs(spark, sf):
+    r, _ = _t(spark, sf)
+    base = Q.fill_median(r.select("id_medicao", *KNN_COLS, P.fault_target().alias("target")),
+                         ["vl_temperatura", "vl_humidade"])
+    sp = M.stratified_split(base)
+    return sp.where(~F.col("is_test")), sp.where(F.col("is_test"))
+
+
+@register("knn_neighbors", with_mapping(f"""
+SELECT a.id_medicao AS test_id_medicao, b.id_medicao AS train_id_medicao, b.target AS train_label,
+  {R8(KNN_DIST)} AS dist,
+  row_number() OVER (PARTITION BY a.id_medicao ORDER BY {KNN_DIST}, b.id_medicao) AS nn_rank
+FROM kf a JOIN kf b ON a.is_test AND NOT b.is_test
+QUALIFY nn_rank <= 5""", KNN_CTES))
+def q_knn_neighbors(spark, sf):
+    from ..operators.knn import knn_join
+    train, test = _knn_inputs(spark, sf)
+    return round_doubles(knn_join(train, test, KNN_COLS, k=5).withColumn("nn_rank", F.col("nn_rank").cast("long")))
+
+
+@register("knn_predict", with_mapping(f"""
+SELECT test_id_medicao AS id_medicao, {R8('avg(CAST(train_label = 1 AS DOUBLE))')} AS p1,
+  CASE WHEN avg(CAST(train_label = 1 AS DOUBLE)) > 0.5 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction
+FROM (SELECT a.id_medicao AS test_id_medicao, b.target AS train_label,
+        row_number() OVER (PARTITION BY a.id_medicao ORDER BY {KNN_DIST}, b.id_medicao) AS nn_rank
+      FROM kf a JOIN kf b ON a.is_test AND NOT b.is_test QUALIFY nn_rank <= 5)
+GROUP BY test_id_medicao""", KNN_CTES))
+def q_knn_predict(spark, sf):
+    train, test = _knn_inputs(spark, sf)
+    return round_doubles(M.knn_predict(train, test, KNN_COLS, k=5))
+
+
+@register("robust_scale", with_mapping(
+    "SELECT s.id_medicao, " + ", ".join(
+        f"{R8(f'(k.{c} - q.m_{c}) / CASE WHEN q.q3_{c} - q.q1_{c} = 0 THEN 1.0 ELSE q.q3_{c} - q.q1_{c} END')} AS {c}"
+        for c in KNN_COLS) + " FROM kf k JOIN split s ON k.id_medicao = s.id_medicao, q",
+    KNN_CTES + ",\nq AS (SELECT " + ", ".join(
+        f"quantile_cont({c}, 0.25) AS q1_{c}, quantile_cont({c}, 0.5) AS m_{c}, quantile_cont({c}, 0.75) AS q3_{c}"
+        for c in KNN_COLS) + " FROM kf WHERE NOT is_test)"))
+def q_robust_scale(spark, sf):
+    train, test = _knn_inputs(spark, sf)
+    params = M.fit_robust_scaler(train, KNN_COLS)
+    return round_doubles(M.robust_scale(train.unionByName(test), params).select("id_medicao", *KNN_COLS))
+
+
+def _ml_ready(spark, sf):
+    feats, cols = M.select_features(_features(spark, sf, keep=True))
+    sp = M.stratified_split(feats)
+    train, test = sp.where(~F.col("is_test")), sp.where(F.col("is_test"))
+    scaler = M.fit_robust_scaler(train, cols)
+    return M.assemble(M.robust_scale(train, scaler), cols), M.assemble(M.robust_scale(test, scaler), cols), cols
+
+
+@register("train_random_forest")
+def q_train_random_forest(spark, sf):
+    train, test, cols = _ml_ready(spark, sf)
+    model = M._rf(50, 10, 2).fit(train)
+    return round_doubles(M.binary_metrics(M.with_p1(model.transform(test))))
+
+
+@register("train_logistic_regression")
+def q_train_logistic_regression(spark, sf):
+    train, test, cols = _ml_ready(spark, sf)
+    model = M._lr(1.0, train.count()).fit(train)
+    return round_doubles(M.binary_metrics(M.with_p1(model.transform(test))))
+
+
+@register("confusion_matrix")
+def q_confusion_matrix(spark, sf):
+    train, test, cols = _ml_ready(spark, sf)
+    model = M._lr(1.0, train.count()).fit(train)
+    return M.confusion_matrix(model.transform(test))
+
+
+@register("classification_report")
+def q_classification_report(spark, sf):
+    train, test, cols = _ml_ready(spark, sf)
+    model = M._lr(1.0, train.count()).fit(train)
+    return round_doubles(M.classification_report(model.transform(test)))
+
+
+@register("feature_importances")
+def q_feature_importances(spark, sf):
+    train, test, cols = _ml_ready(spark, sf)
+    model = M._rf(50, 10, 2).fit(train)
+    top = M.feature_importances(model, cols, 10)
+    return spark.createDataFrame([(n, float(v), i + 1) for i, (n, v) in enumerate(top)],
+                                 "feature string, importance double, rank int")
+
+
+@register("score_readings")
+def q_score_readings(spark, sf):
+    feats, cols = M.select_features(_features(spark, sf, keep=True))
+    sp = M.stratified_split(feats)
+    train = sp.where(~F.col("is_test"))
+    scaler = M.fit_robust_scaler(train, cols)
+    model = M._lr(1.0, train.count()).fit(M.assemble(M.robust_scale(train, scaler), cols))
+    return M.score(feats.select("id_medicao", "id_maquina", "dataHora_medicao", *cols), model, cols, scaler) \
+        .select("id_medicao", "id_maquina", "probability", "predicted_class", "confidence", "alert_level")

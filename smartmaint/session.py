@@ -64,3 +64,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-path of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark)
     return os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+
+    Used where a frame feeds several actions (statistics, model fits, many
+    outputs): later jobs read the written copy instead of recomputing the
+    plan, and a lost executor costs a re-read, not a re-computation.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
