@@ -165,14 +165,17 @@ def clip_iqr(df: DataFrame, cols: list[str] = CLIP_COLS, k: float = DEFAULT.iqr_
     return df.select(*out)
 
 
-def clean(df: DataFrame) -> DataFrame:
-    """C4: C1 → C2 → C3 → timestamps → vibration magnitude → temperature status → sort."""
+def clean(df: DataFrame, ordered: bool = True) -> DataFrame:
+    """C4: C1 → C2 → C3 → timestamps → vibration magnitude → temperature status → sort.
+
+    ``ordered=False`` skips the final global sort when only aggregates follow.
+    """
     out = fill_median(df)
     out = fill_zero(out)
     out = clip_iqr(out)
     out = out.withColumn("vibracao_magnitude", P.vibration_magnitude())
     out = out.withColumn("temp_status", P.temp_status("vl_temperatura", null_status=None))
-    return out.orderBy("dataHora_medicao", "id_medicao")
+    return out.orderBy("dataHora_medicao", "id_medicao") if ordered else out
 
 
 def apply_retention(df: DataFrame, as_of, days: int = DEFAULT.retention_days,

@@ -142,7 +142,7 @@ def global_quantiles(df: DataFrame, cols: list[str], probs: list[float], **kw) -
     return res
 
 
-def order_statistics(df: DataFrame, ranks: dict, sizes: dict | None = None, limit: int = 50_000,
+def order_statistics(df: DataFrame, ranks: dict, sizes: dict | None = None, limit: int = 1_000_000,
                      buckets: int = 1000, accuracy: int = 10_000) -> dict:
     """Exact order statistics by iterative narrowing → ``{(col, rank): value}``.
 

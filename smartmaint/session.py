@@ -48,16 +48,19 @@ def get_spark(master: str | None = None, app: str = "smartmaint",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) do we make one of our own.
+    The cluster names it in ``spark.checkpoint.dir`` (picked up by the
+    context at start). Only when it is unset — local runs and tests — do we
+    make a folder of our own.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir()
+    if d:
+        return d
+    d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="smartmaint-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
-    return d
+    sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
