@@ -1016,3 +1016,125 @@ def q_score_readings(spark, sf):
     model = M._lr(1.0, train.count()).fit(M.assemble(M.robust_scale(train, scaler), cols))
     return M.score(feats.select("id_medicao", "id_maquina", "dataHora_medicao", *cols), model, cols, scaler) \
         .select("id_medicao", "id_maquina", "probability", "predicted_class", "confidence", "alert_level")
+
+
+# ---------------------------------------------------------------------------
+# Step 8: streaming (file drop derived from the tables, availableNow trigger)
+# ---------------------------------------------------------------------------
+
+from ..streaming import ingest as T  # noqa: E402
+
+STREAM_COLS = ["device_id", "id_maquina", "id_sensor", "dataHora_medicao", *_MEAS, "flag_falha", "fonte_dados",
+               "localizacao", "tipo_maquina", "vibration_magnitude"]
+
+
+def _scratch(spark, name):
+    import uuid
+    from ..session import scratch_path
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:8]}")
+
+
+def _run_stream(spark, sf, build, name, heartbeats=False, dup=False, files_per_trigger=1000):
+    """Write the message drop, run ``build(raw) → foreachBatch`` to completion, read the result."""
+    r, m = _t(spark, sf)
+    msgs = T.encode_messages(r, m)
+    if dup:
+        msgs = msgs.unionByName(msgs)
+    if heartbeats:
+        msgs = msgs.unionByName(T.heartbeat_messages(r))
+    drop = T.write_message_drop(msgs, _scratch(spark, f"{name}-drop"))
+    out, ck = _scratch(spark, f"{name}-out"), _scratch(spark, f"{name}-ck")
+    raw = T.read_message_stream(spark, drop, files_per_trigger)
+    q = build(raw, out, ck)
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+STREAM_SQL = f"""SELECT 'ESP32_' || r.id_maquina AS device_id, replace(r.id_maquina, '_', '') || '_EQ' AS id_maquina,
+  'SENS_' || r.id_maquina AS id_sensor,
+  CASE WHEN r.id_medicao % 2 = 0 THEN r."dataHora_medicao"
+       ELSE date_trunc('millisecond', r."dataHora_medicao") END AS "dataHora_medicao",
+  {', '.join(R8('r.' + c) + ' AS ' + c for c in _MEAS)},
+  r.flag_falha, 'MQTT' AS fonte_dados, substr(coalesce(m.localizacao, 'Unknown'), 1, 50) AS localizacao,
+  substr(coalesce(m.tipo_maquina, 'Unknown'), 1, 16) AS tipo_maquina,
+  {R8('sqrt(r.vl_vibr_x*r.vl_vibr_x + r.vl_vibr_y*r.vl_vibr_y + r.vl_vibr_z*r.vl_vibr_z)')} AS vibration_magnitude
+FROM readings r LEFT JOIN machines m ON r.id_maquina = m.id_maquina"""
+
+
+@register("stream_readings", with_mapping(STREAM_SQL))
+def q_stream_readings(spark, sf):
+    return round_doubles(_run_stream(spark, sf, lambda raw, out, ck: T.ingest(raw, out, ck), "ingest")
+                         .select(*STREAM_COLS))
+
+
+@register("stream_dedupe", with_mapping(f"""
+SELECT 'ESP32_' || id_maquina AS device_id, count(*) AS readings FROM (
+  SELECT DISTINCT id_maquina, CASE WHEN id_medicao % 2 = 0 THEN "dataHora_medicao"
+       ELSE date_trunc('millisecond', "dataHora_medicao") END AS t FROM readings) GROUP BY 1"""))
+def q_stream_dedupe(spark, sf):
+    got = _run_stream(spark, sf, lambda raw, out, ck: T.ingest(raw, out, ck), "dedupe", dup=True)
+    return got.groupBy("device_id").agg(F.count(F.lit(1)).alias("readings"))
+
+
+def _foreach_to(out):
+    def batch(df, batch_id):
+        df.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+    return batch
+
+
+@register("hourly_trends_stream", with_mapping(f"""
+SELECT date_trunc('hour', CASE WHEN id_medicao % 2 = 0 THEN "dataHora_medicao"
+       ELSE date_trunc('millisecond', "dataHora_medicao") END) AS hour,
+  {R8('avg(vl_temperatura)')} AS vl_temperatura, {R8('avg(vl_pressao)')} AS vl_pressao,
+  {R8('avg(vl_humidade)')} AS vl_humidade, {R8('avg(vl_vibracao)')} AS vl_vibracao,
+  {FAULTS_SQL} AS flag_falha, count(*) AS id_medicao FROM readings GROUP BY 1"""))
+def q_hourly_trends_stream(spark, sf):
+    def build(raw, out, ck):
+        agg = T.hourly_trends_stream(T.stream_readings(raw))
+        return (agg.writeStream.outputMode("update").foreachBatch(_foreach_to(out))
+                .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    got = _run_stream(spark, sf, build, "hourly")
+    # update mode: the latest emitted version of each window wins
+    from pyspark.sql import Window
+    w = Window.partitionBy("hour").orderBy(F.col("batch_id").desc())
+    return round_doubles(got.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "batch_id"))
+
+
+@register("device_running_stats_stream", with_mapping(f"""
+SELECT id_maquina || '_EQ' AS id_maquina, t AS "dataHora_medicao",
+  {R8('avg(vl_temperatura) OVER w')} AS avg_temp_last_n,
+  {R8(f'greatest(max({VMAG}) OVER w, 0.0::DOUBLE)')} AS max_vibration_last_n
+FROM (SELECT *, CASE WHEN id_medicao % 2 = 0 THEN "dataHora_medicao"
+       ELSE date_trunc('millisecond', "dataHora_medicao") END AS t FROM readings)
+WINDOW w AS (PARTITION BY id_maquina ORDER BY t, id_medicao ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)"""))
+def q_device_running_stats_stream(spark, sf):
+    def build(raw, out, ck):
+        rd = T.stream_readings(raw).withColumn("id_medicao", F.lit(0).cast("long"))
+        return (T.running_device_stats(rd).writeStream.outputMode("append").foreachBatch(_foreach_to(out))
+                .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    return round_doubles(_run_stream(spark, sf, build, "running").drop("batch_id"))
+
+
+@register("heartbeats", with_mapping("""
+SELECT 'ESP32_' || id_maquina AS device_id, max("dataHora_medicao") AS last_seen,
+  count(DISTINCT date_trunc('hour', "dataHora_medicao")) AS beats FROM readings GROUP BY 1"""))
+def q_heartbeats(spark, sf):
+    def build(raw, out, ck):
+        return (T.heartbeats(raw).writeStream.outputMode("update").foreachBatch(_foreach_to(out))
+                .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    got = _run_stream(spark, sf, build, "heartbeat", heartbeats=True)
+    from pyspark.sql import Window
+    w = Window.partitionBy("device_id").orderBy(F.col("batch_id").desc())
+    return got.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "batch_id")
+
+
+@register("throttled_alerts")
+def q_throttled_alerts(spark, sf):
+    r, _ = _t(spark, sf)
+    return T.throttle_alerts(r.where(P.device_fault()))
+
+
+@register("dead_letters")
+def q_dead_letters(spark, sf):
+    r, m = _t(spark, sf)
+    return T.dead_letters(T.encode_messages(r, m).unionByName(T.heartbeat_messages(r)))
