@@ -266,7 +266,7 @@ def classification_report(pred: DataFrame, label: str = "target", prediction: st
 
 def knn_predict(train: DataFrame, test: DataFrame, cols: list[str], k: int = 5, weights: str = "uniform",
                 metric: str = "euclidean", label: str = "target", id_col: str = "id_medicao",
-                cells_per_dim: int = 4, grid_dims: int = 3) -> DataFrame:
+                cells_per_dim: int | None = None, grid_dims: int = 3) -> DataFrame:
     """M4: exact k-NN classification as a distributed, pruned join.
 
     Train points are assigned to cells of a grid over ``grid_dims``
