@@ -363,3 +363,51 @@ def score(df: DataFrame, model, feature_cols: list[str], scaler: dict | None = N
         F.col("p1").alias("probability"), F.col("prediction").cast("int").alias("predicted_class"),
         F.greatest(F.col("p1"), F.lit(1.0) - F.col("p1")).alias("confidence"),
         alert_level("p1").alias("alert_level"))
+
+
+# --- M11, M14, M16, M17 --------------------------------------------------------------------
+
+def best_model(results: dict) -> str:
+    """The name with the highest test F1 (ties → name order)."""
+    return sorted(results, key=lambda n: (-results[n]["metrics"]["f1_score"], n))[0]
+
+
+ZEROED_AT_SERVING = ["hour", "day_of_week", "tipo_maquina_encoded", "localizacao_encoded",
+                     "vl_temperatura_rolling_mean", "vl_temperatura_rolling_std", "vl_pressao_rolling_mean",
+                     "vl_pressao_rolling_std", "vl_humidade_rolling_mean", "vl_humidade_rolling_std"]
+
+
+def serving_features(df: DataFrame, medians: dict, reference_compatible: bool = False) -> DataFrame:
+    """The training feature function on new rows (train medians).
+
+    ``reference_compatible=True`` reproduces the reference's serving path,
+    which sends 0 for the time, rolling and encoded features.
+    """
+    out = build_features(df, medians=medians, temporal=True)
+    if reference_compatible:
+        out = out.select(*[F.lit(0.0).alias(c) if c in ZEROED_AT_SERVING else F.col(f"`{c}`")
+                           for c in out.columns])
+    return out
+
+
+def baseline(df: DataFrame, cols: list[str], seed: int = SEED) -> dict:
+    """LR and KNN(5) unscaled, location dropped, 80/20 split without strata."""
+    cols = [c for c in cols if c != "localizacao_encoded"]
+    sp = stratified_split(df.withColumn("_all", F.lit(0)), label="_all", seed=seed).drop("_all")
+    train, test = sp.where(~F.col("is_test")), sp.where(F.col("is_test"))
+    tr, te = assemble(train, cols), assemble(test, cols)
+    lr = _lr(1.0, tr.count()).fit(tr)
+    out = {"LogisticRegression": binary_metrics(with_p1(lr.transform(te))).first().asDict()}
+    knn = knn_predict(train, test, cols, k=5)
+    out["KNN"] = binary_metrics(knn.join(test.select("id_medicao", "target"), "id_medicao")).first().asDict()
+    return out
+
+
+def training_report(spark, results: dict, best: str, n_rows: int, features: list[str]) -> DataFrame:
+    """One-row report (best model, per-model metrics and parameters, features)."""
+    import json
+    models = {n: {"metrics": r["metrics"], "best_params": r.get("best_params"), "cv_score": r.get("cv_score")}
+              for n, r in results.items()}
+    return spark.createDataFrame([(best, n_rows, len(features), json.dumps(features), json.dumps(models))],
+                                 "best_model string, training_rows long, n_features int, features string, "
+                                 "models string")

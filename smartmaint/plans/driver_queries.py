@@ -1015,7 +1015,8 @@ def q_score_readings(spark, sf):
     scaler = M.fit_robust_scaler(train, cols)
     model = M._lr(1.0, train.count()).fit(M.assemble(M.robust_scale(train, scaler), cols))
     return M.score(feats.select("id_medicao", "id_maquina", "dataHora_medicao", *cols), model, cols, scaler) \
-        .select("id_medicao", "id_maquina", "probability", "predicted_class", "confidence", "alert_level")
+        .select("id_medicao", "id_maquina", "dataHora_medicao", "probability", "predicted_class", "confidence",
+                "alert_level")
 
 
 # ---------------------------------------------------------------------------
@@ -1138,3 +1139,52 @@ def q_throttled_alerts(spark, sf):
 def q_dead_letters(spark, sf):
     r, m = _t(spark, sf)
     return T.dead_letters(T.encode_messages(r, m).unionByName(T.heartbeat_messages(r)))
+
+
+# ---------------------------------------------------------------------------
+# Dashboard selections, notifications, predictive alerts, retraining
+# ---------------------------------------------------------------------------
+
+@register("select_readings", with_mapping(f"""
+SELECT {READING_COLS_SQL}, m.tipo_maquina, m.localizacao
+FROM readings r JOIN machines m ON r.id_maquina = m.id_maquina
+WHERE r."dataHora_medicao" >= {ASOF_SQL} - INTERVAL 168 HOUR
+  AND m.localizacao IN ('NATION_1', 'NATION_2', 'NATION_3') AND m.tipo_maquina IN ('MACHINERY', 'BUILDING')"""))
+def q_select_readings(spark, sf):
+    r, m = _t(spark, sf)
+    return S.select_readings(S.historical_readings(r, m, AS_OF, 30), AS_OF, "7d",
+                             ["NATION_1", "NATION_2", "NATION_3"], ["MACHINERY", "BUILDING"])
+
+
+@register("chart_window", with_mapping(f"""
+SELECT * FROM readings r WHERE r."dataHora_medicao" > {ASOF_SQL} - INTERVAL 6 HOUR"""))
+def q_chart_window(spark, sf):
+    r, _ = _t(spark, sf)
+    return S.chart_window(r, AS_OF, 6)
+
+
+@register("recent_table", with_mapping("""
+SELECT "dataHora_medicao" AS "Timestamp", vl_temperatura AS "Temp (°C)", vl_pressao AS "Press (hPa)",
+  vl_humidade AS "Umid (%)", vl_vibracao AS "Vibr (m/s²)", flag_falha AS "Falha"
+FROM readings ORDER BY "dataHora_medicao" DESC, id_medicao DESC LIMIT 20"""))
+def q_recent_table(spark, sf):
+    r, _ = _t(spark, sf)
+    return S.recent_table(r, 20)
+
+
+@register("notification_outbox")
+def q_notification_outbox(spark, sf):
+    r, _ = _t(spark, sf)
+    return L.notification_outbox(L.threshold_alerts(r))
+
+
+@register("predictive_alerts")
+def q_predictive_alerts(spark, sf):
+    return L.predictive_alerts(q_score_readings(spark, sf))
+
+
+@register("retrain")
+def q_retrain(spark, sf):
+    from .training import retrain
+    r, m = _t(spark, sf)
+    return retrain(spark, r, m, AS_OF, quick=True, knn=False)

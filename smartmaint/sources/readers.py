@@ -128,3 +128,42 @@ def read_series_csv(spark: SparkSession, path: str) -> DataFrame:
     raw = (spark.read.schema(schemas.SERIES_CSV).csv(path)
            .withColumn("_ord", F.monotonically_increasing_id()))
     return dense_sequence(raw, "_ord", "tempo", start=1).select("tempo", "temperatura")
+
+
+def select_readings(df: DataFrame, as_of, period: str = "24h", locations: list[str] | None = None,
+                    types: list[str] | None = None) -> DataFrame:
+    """The dashboard's period (1h / 6h / 24h / 7d) and location / type filters."""
+    from ..functions.scalars import PERIOD_HOURS
+    out = since(df, hours_before(as_of, PERIOD_HOURS[period]))
+    if locations:
+        out = out.where(F.col("localizacao").isin(locations))
+    if types:
+        out = out.where(F.col("tipo_maquina").isin(types))
+    return out
+
+
+def chart_window(df: DataFrame, as_of, hours: float = 6, fallback: int = 100) -> DataFrame:
+    """Rows strictly newer than ``as_of − hours``; if none, the oldest ``fallback`` rows.
+
+    (The reference frame is newest-first, so its ``tail`` is the oldest rows.)
+    One ``isEmpty`` action decides.
+    """
+    recent = since(df, hours_before(as_of, hours), strict=True)
+    if recent.isEmpty():
+        return df.orderBy(F.col("dataHora_medicao").asc(), F.col("id_medicao").asc()).limit(fallback)
+    return recent
+
+
+DISPLAY_NAMES = [("dataHora_medicao", "Timestamp"), ("vl_temperatura", "Temp (°C)"), ("vl_pressao", "Press (hPa)"),
+                 ("vl_humidade", "Umid (%)"), ("vl_vibracao", "Vibr (m/s²)"), ("flag_falha", "Falha")]
+
+
+def recent_table(df: DataFrame, n: int = 20) -> DataFrame:
+    """P25: the newest ``n`` rows with display names (top-k)."""
+    return (df.orderBy(F.col("dataHora_medicao").desc(), F.col("id_medicao").desc()).limit(n)
+            .select(*[F.col(c).alias(a) for c, a in DISPLAY_NAMES]))
+
+
+def machine_display(df: DataFrame, machine: str, n: int = 20) -> DataFrame:
+    """P25: one machine's newest ``n`` rows with display names."""
+    return recent_table(df.where(F.col("id_maquina") == machine), n)
