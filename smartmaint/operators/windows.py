@@ -22,30 +22,66 @@ def machine_window(rows_back: int | None = None, key: str = "id_maquina",
     return w
 
 
+def chunked_rolling(df: DataFrame, k_back: int, aggs, key: str = "id_maquina", ts: str = "dataHora_medicao",
+                    id_col: str = "id_medicao", target_rows: int = 1_000_000) -> DataFrame:
+    """Rows-based trailing window (``k_back`` preceding rows + current) that splits hot keys.
+
+    A key with more than ``target_rows`` rows is cut into equal time chunks
+    of about that many rows (a small key stays one chunk). Each chunk is
+    windowed in its own task, with a halo: the last ``k_back`` rows before
+    it. The halo comes from per-chunk tails (top ``k_back`` rows of each
+    chunk, a window-group limit), so it is bounded by ``k_back`` × chunks, not
+    by the data. ``aggs`` maps output names to functions ``w → Column``.
+    Exact: every row sees the same frame as one window over the whole key.
+    """
+    t_us = F.unix_micros(F.col(ts))
+    st = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(t_us).alias("_t0"), F.max(t_us).alias("_t1"))
+    n_chunks = F.greatest(F.ceil(F.col("_n") / F.lit(float(target_rows))), F.lit(1))
+    st = st.select(key, "_t0", (F.floor((F.col("_t1") - F.col("_t0")) / n_chunks) + 1).alias("_len"))
+    data = (df.join(st, key).withColumn("_chunk", F.floor((t_us - F.col("_t0")) / F.col("_len")))
+            .drop("_t0", "_len").withColumn("_halo", F.lit(False)))
+
+    wt = Window.partitionBy(key, "_chunk").orderBy(F.col(ts).desc(), F.col(id_col).desc())
+    tails = data.withColumn("_r", F.row_number().over(wt)).where(F.col("_r") <= k_back).drop("_r")
+    wk = Window.partitionBy(key).orderBy(F.col(ts), F.col(id_col)).rowsBetween(1, k_back)
+    served = F.filter(F.array_distinct(F.collect_list("_chunk").over(wk)), lambda c: c > F.col("_chunk"))
+    halo = (tails.withColumn("_served", served)
+            .withColumn("_chunk", F.explode("_served")).drop("_served").withColumn("_halo", F.lit(True)))
+
+    w = Window.partitionBy(key, "_chunk").orderBy(F.col(ts), F.col(id_col)).rowsBetween(-k_back, 0)
+    out = data.unionByName(halo)
+    for name, fn in aggs.items():
+        out = out.withColumn(name, fn(w))
+    return out.where(~F.col("_halo")).drop("_halo", "_chunk")
+
+
 def rolling_features(df: DataFrame, cols=("vl_temperatura", "vl_pressao", "vl_humidade"),
-                     size: int = 5) -> DataFrame:
+                     size: int = 5, target_rows: int = 1_000_000) -> DataFrame:
     """Rolling mean and sample std over the last ``size`` rows, and c − mean.
 
-    min_periods=1 for the mean; the std of a one-row frame is NULL.
+    min_periods=1 for the mean; the std of a one-row frame is NULL. Hot
+    machines are split in time chunks (``chunked_rolling``).
     """
-    w = machine_window(size - 1)
-    out = df
+    aggs = {}
+    for c in cols:
+        aggs[f"{c}_rolling_mean"] = (lambda c_: lambda w: F.avg(c_).over(w))(c)
+        aggs[f"{c}_rolling_std"] = (lambda c_: lambda w: F.stddev_samp(c_).over(w))(c)
+    out = chunked_rolling(df, size - 1, aggs, target_rows=target_rows)
     for c in cols:
-        out = (out.withColumn(f"{c}_rolling_mean", F.avg(c).over(w))
-               .withColumn(f"{c}_rolling_std", F.stddev_samp(c).over(w)))
         out = out.withColumn(f"{c}_diff_mean", F.col(c) - F.col(f"{c}_rolling_mean"))
     return out
 
 
-def device_running_stats(df: DataFrame, n: int = 100, key: str = "id_maquina") -> DataFrame:
+def device_running_stats(df: DataFrame, n: int = 100, key: str = "id_maquina",
+                         target_rows: int = 1_000_000) -> DataFrame:
     """Mean temperature and max vibration magnitude of the last ``n`` readings.
 
     The max has a floor of 0 (the firmware starts from 0).
     """
-    w = machine_window(n - 1, key=key)
     mag = P.vibration_magnitude()
-    return (df.withColumn("avg_temp_last_n", F.avg("vl_temperatura").over(w))
-            .withColumn("max_vibration_last_n", F.greatest(F.max(mag).over(w), F.lit(0.0))))
+    aggs = {"avg_temp_last_n": lambda w: F.avg("vl_temperatura").over(w),
+            "max_vibration_last_n": lambda w: F.greatest(F.max(mag).over(w), F.lit(0.0))}
+    return chunked_rolling(df, n - 1, aggs, key=key, target_rows=target_rows)
 
 
 def latest_per_machine(df: DataFrame, key: str = "id_maquina",

@@ -124,6 +124,30 @@ def test_rolling_features_match_pandas(spark):
             assert g.vl_temperatura_rolling_std == pytest.approx(r["std"])
 
 
+@pytest.mark.parametrize("target_rows", [7, 1_000_000])
+def test_chunked_rolling_splits_hot_key_exactly(spark, target_rows):
+    rng = np.random.default_rng(9)
+    rows = []
+    for i in range(300):
+        m = "HOT" if i % 10 else "COLD"
+        t = float(rng.normal(70, 5))
+        # irregular gaps, including bursts and empty stretches
+        ts = T0 + dt.timedelta(seconds=int(i * 37 + (i % 7) ** 3))
+        rows.append((i, "S", m, t, 1000.0, 1.0, 50.0, float(i % 5), 0.0, 9.8, "N", "E", ts))
+    from conftest import reading
+    from smartmaint import schemas
+    df = spark.createDataFrame([reading(*r) for r in rows], schemas.READINGS)
+    got = {r.id_medicao: r for r in W.device_running_stats(df, n=6, target_rows=target_rows).collect()}
+    pdf = pd.DataFrame([(r[0], r[2], r[3], r[7], r[12]) for r in rows], columns=["id", "m", "t", "x", "ts"])
+    pdf = pdf.sort_values(["ts", "id"])
+    pdf["avg"] = pdf.groupby("m")["t"].transform(lambda s: s.rolling(6, min_periods=1).mean())
+    pdf["mx"] = pdf.groupby("m")["x"].transform(lambda s: s.rolling(6, min_periods=1).max())
+    assert len(got) == 300
+    for _, r in pdf.iterrows():
+        assert got[r.id].avg_temp_last_n == pytest.approx(r.avg)
+        assert got[r.id].max_vibration_last_n == pytest.approx(math.sqrt(r.mx ** 2 + 9.8 ** 2))
+
+
 def test_latest_per_machine_ties_on_id(spark):
     rows = [(1, "S", "M", 1.0, 1.0, 1.0, 1.0, 0.0, 0.0, 9.8, "N", "E", T0),
             (2, "S", "M", 2.0, 1.0, 1.0, 1.0, 0.0, 0.0, 9.8, "N", "E", T0)]
