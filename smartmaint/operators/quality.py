@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, T, Thresholds
 from ..functions import scalars as P
-from .quantiles import global_quantiles
+from .quantiles import filled_quantiles, global_quantiles
 
 
 def _d(x: float) -> Column:
@@ -165,17 +165,38 @@ def clip_iqr(df: DataFrame, cols: list[str] = CLIP_COLS, k: float = DEFAULT.iqr_
     return df.select(*out)
 
 
-def clean(df: DataFrame, ordered: bool = True) -> DataFrame:
+def clean(df: DataFrame, ordered: bool = True, k: float = DEFAULT.iqr_k) -> DataFrame:
     """C4: C1 → C2 → C3 → timestamps → vibration magnitude → temperature status → sort.
 
-    ``ordered=False`` skips the final global sort when only aggregates follow.
+    The medians (C1) and the quartiles of the filled columns (C3) come from a
+    single exact selection (``filled_quantiles``), then the whole cleaning is
+    one projection with literals. ``ordered=False`` skips the final global
+    sort when only aggregates follow.
     """
-    out = fill_median(df)
-    out = fill_zero(out)
-    out = clip_iqr(out)
-    out = out.withColumn("vibracao_magnitude", P.vibration_magnitude())
-    out = out.withColumn("temp_status", P.temp_status("vl_temperatura", null_status=None))
-    return out.orderBy("dataHora_medicao", "id_medicao") if ordered else out
+    med_cols = [c for c in FILL_MEDIAN_COLS if c in df.columns]
+    zero_cols = [c for c, t in df.dtypes if c not in FILL_MEDIAN_COLS
+                 and (t in ("double", "float", "int", "bigint", "smallint", "tinyint") or t.startswith("decimal"))]
+    clip_cols = [c for c in CLIP_COLS if c in df.columns]
+    fills = {c: "median" for c in med_cols}
+    fills.update({c: 0.0 for c in clip_cols if c in zero_cols})
+    stat_cols = {c: fills[c] for c in set(clip_cols) | set(med_cols)}
+    fv, q = filled_quantiles(df, stat_cols, [0.25, 0.75]) if stat_cols else ({}, {})
+    out = []
+    for c in df.columns:
+        x = F.col(f"`{c}`")
+        if c in med_cols:
+            x = F.coalesce(P.nan_to_null(c), F.lit(fv[c]).cast("double"))
+        elif c in zero_cols:
+            x = F.coalesce(x, F.lit(0).cast(dict(df.dtypes)[c]))
+        if c in clip_cols and q.get((c, 0.25)) is not None:
+            q1, q3 = q[(c, 0.25)], q[(c, 0.75)]
+            lo, hi = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
+            x = F.when(x < _d(lo), _d(lo)).when(x > _d(hi), _d(hi)).otherwise(x)
+        out.append(x.alias(c))
+    cleaned = df.select(*out)
+    cleaned = cleaned.withColumn("vibracao_magnitude", P.vibration_magnitude())
+    cleaned = cleaned.withColumn("temp_status", P.temp_status("vl_temperatura", null_status=None))
+    return cleaned.orderBy("dataHora_medicao", "id_medicao") if ordered else cleaned
 
 
 def apply_retention(df: DataFrame, as_of, days: int = DEFAULT.retention_days,

@@ -31,16 +31,47 @@ def _join(a: DataFrame, b: DataFrame, by: list[str], how: str = "inner") -> Data
 
 def exact_quantiles(df: DataFrame, col: str, probs: list[float], by: list[str] | tuple = (),
                     names: list[str] | None = None, buckets: int = 512,
-                    accuracy: int = 20000) -> DataFrame:
+                    accuracy: int = 20000, limit: int = 1_000_000) -> DataFrame:
     """Quantiles of ``col`` for each ``by`` group; NULL and NaN are ignored.
 
-    Returns one row per group that has at least one value, with one column per
+    Groups with at most ``limit`` values are ranked directly by one window
+    (≤ ``limit`` rows per task); larger groups take the bucketed path. Returns
+    one row per group that has at least one value, with one column per
     probability (``names`` or ``q<i>``) and ``n`` (the non-null count).
     """
     by = list(by)
     names = names or [f"q{i}" for i in range(len(probs))]
     v = (df.select(*by, F.col(col).cast("double").alias("_v"))
          .where(F.col("_v").isNotNull() & ~F.isnan("_v")))
+    if not by:
+        return _join(_bucketed_quantiles(v, probs, by, names, buckets, accuracy),
+                     v.agg(F.count(F.lit(1)).alias("n")), by)
+    st = v.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    small = v.join(st.where(F.col("n") <= limit), by)
+    w = Window.partitionBy(*by).orderBy("_v")
+    ranked = small.withColumn("_rk", F.row_number().over(w) - 1)
+    n1 = (F.col("n") - 1).cast("double")
+    aggs = []
+    for i, p in enumerate(probs):
+        pos = F.lit(float(p)) * n1
+        lo = F.floor(pos).cast("long")
+        hi = F.least(lo + 1, F.col("n") - 1)
+        frac = pos - lo.cast("double")
+        aggs += [F.max(F.when(F.col("_rk") == lo, F.col("_v"))).alias(f"_lo{i}"),
+                 F.max(F.when(F.col("_rk") == hi, F.col("_v"))).alias(f"_hi{i}"),
+                 F.max(frac).alias(f"_f{i}")]
+    s_out = ranked.groupBy(*by).agg(*aggs).select(
+        *by, *[F.when(F.col(f"_f{i}") == 0.0, F.col(f"_lo{i}"))
+               .otherwise(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(nm)
+               for i, nm in enumerate(names)])
+    big_v = v.join(st.where(F.col("n") > limit).select(*by), by, "left_semi")
+    b_out = _bucketed_quantiles(big_v, probs, by, names, buckets, accuracy)
+    return s_out.unionByName(b_out).join(st, by)
+
+
+def _bucketed_quantiles(v: DataFrame, probs: list[float], by: list[str], names: list[str],
+                        buckets: int, accuracy: int) -> DataFrame:
+    """The bucketed selection on (by…, _v) rows; see the module docstring."""
 
     cut_p = [i / buckets for i in range(1, buckets)]
     st = v.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"),
@@ -84,9 +115,8 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], by: list[str] |
                   F.max("_f").alias("_f"))
              .withColumn("_q", F.when(F.col("_f") == 0.0, F.col("_lo"))
                          .otherwise(F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f"))))
-    out = per_p.groupBy(*by).agg(*[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(nm)
-                                   for i, nm in enumerate(names)])
-    return _join(out, st.select(*by, F.col("_n").alias("n")), by)
+    return per_p.groupBy(*by).agg(*[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(nm)
+                                    for i, nm in enumerate(names)])
 
 
 def exact_quantiles_wide(df: DataFrame, cols: list[str], probs: list[float],
@@ -224,3 +254,79 @@ def order_statistics(df: DataFrame, ranks: dict, sizes: dict | None = None, limi
         for row in got:
             keyed[row["tid"]][1]["value"] = row["x"]
     return {(t["col"], t["r"]): t["value"] for _, t in keyed}
+
+
+def filled_quantiles(df: DataFrame, fills: dict, probs: list[float], **kw) -> tuple[dict, dict]:
+    """Quantiles of columns *after* filling their NULL/NaN with a value, in one selection.
+
+    ``fills`` maps a column to ``"median"`` (fill with the column's exact
+    median) or to a number. With z missing values and sorted values v, the
+    filled column is v with z copies of the fill value F inserted where F
+    sorts, so its r-th element is v[r] if v[r] < F, else F if r − z < 0 or
+    v[r − z] < F, else v[r − z]. Fetching the order statistics at ranks r and
+    r − z for every needed r (and the median ranks) therefore answers both
+    the fill value and the filled quantiles in a single ``order_statistics``
+    call. Returns (fill values, {(col, p): quantile of the filled column}).
+    """
+    import math
+    cols = list(fills)
+    row = df.agg(F.count(F.lit(1)).alias("_rows"),
+                 *[F.count(F.when(~F.isnan(F.col(c).cast("double")), F.col(c))).alias(f"n{i}")
+                   for i, c in enumerate(cols)]).first()
+    rows = row["_rows"]
+    need, plan = {}, {}
+    for i, c in enumerate(cols):
+        n = row[f"n{i}"]
+        z = rows - n
+        rk = set()
+        if fills[c] == "median" and n > 0:
+            lo = math.floor(0.5 * (n - 1))
+            rk.update((lo, min(lo + 1, n - 1)))
+        for p in probs:
+            if rows == 0:
+                continue
+            pos = p * (rows - 1)
+            a = math.floor(pos)
+            b = min(a + 1, rows - 1)
+            for r in (a, b):
+                for cand in (r, r - z):
+                    if 0 <= cand < n:
+                        rk.add(cand)
+            plan[(c, p)] = (a, b, pos - a)
+        need[c] = sorted(rk)
+    stats = order_statistics(df, {c: r for c, r in need.items() if r},
+                             sizes={c: row[f"n{i}"] for i, c in enumerate(cols)}, **kw) if any(need.values()) else {}
+    fill_vals = {}
+    for i, c in enumerate(cols):
+        n = row[f"n{i}"]
+        if fills[c] == "median":
+            if n == 0:
+                fill_vals[c] = None
+            else:
+                pos = 0.5 * (n - 1)
+                lo = math.floor(pos)
+                a, b = stats[(c, lo)], stats[(c, min(lo + 1, n - 1))]
+                fill_vals[c] = a if pos == lo else a + (b - a) * (pos - lo)
+        else:
+            fill_vals[c] = float(fills[c])
+    out = {}
+    for i, c in enumerate(cols):
+        n, fv = row[f"n{i}"], fill_vals[c]
+        z = rows - n
+
+        def at(r):
+            if fv is None:          # nothing to fill with: the column stays as is
+                return stats.get((c, r)) if r < n else None
+            if r < n and stats[(c, r)] < fv:
+                return stats[(c, r)]
+            if r - z < 0 or stats[(c, r - z)] < fv:
+                return fv
+            return stats[(c, r - z)]
+        for p in probs:
+            if (c, p) not in plan:
+                out[(c, p)] = None
+                continue
+            a, b, frac = plan[(c, p)]
+            va, vb = at(a), at(b)
+            out[(c, p)] = None if va is None else (va if frac == 0.0 else va + (vb - va) * frac)
+    return fill_vals, out

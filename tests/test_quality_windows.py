@@ -40,10 +40,11 @@ def test_order_statistics_heavy_value(spark):
     assert got[("x", 0)] == 0.5 and got[("x", 1)] == 1.0 and got[("x", 510)] == 2.0
 
 
-def test_grouped_exact_quantiles_with_hot_group(spark):
+@pytest.mark.parametrize("limit", [1_000_000, 100])
+def test_grouped_exact_quantiles_with_hot_group(spark, limit):
     df, pdf = _values(spark)
     got = {r.g: r for r in exact_quantiles(df, "x", [0.25, 0.5, 0.75], ["g"], ["q1", "med", "q3"],
-                                           buckets=8, accuracy=100).collect()}
+                                           buckets=8, accuracy=100, limit=limit).collect()}
     for g, sub in pdf.groupby("g"):
         assert math.isclose(got[g].med, float(sub.x.median()), abs_tol=1e-9)
         assert math.isclose(got[g].q1, float(sub.x.quantile(0.25)), abs_tol=1e-9)
@@ -186,3 +187,23 @@ def test_smoothed_duration_fold(spark):
     for x in xs:
         m = x if m is None else (m + x) / 2
     assert W.smoothed_duration(runs).first().avg_processing_time == pytest.approx(m)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_one_pass_clean_equals_sequential_fill_then_clip(spark, seed):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(400):
+        t = None if rng.random() < 0.3 else float(np.round(rng.normal(70, 20), 1))
+        v = None if rng.random() < 0.2 else float(np.round(rng.exponential(2), 1))
+        p = float(np.round(rng.normal(1000, 30), 0))
+        rows.append((i, "S", "M", t, p, v, 50.0, 0.0, 0.0, 9.8, "N", "E"))
+    rows.append((999, "S", "M", 900.0, 5000.0, 80.0, 50.0, 0.0, 0.0, 9.8, "N", "E"))
+    df = make_readings(spark, rows)
+    seq = Q.clip_iqr(Q.fill_zero(Q.fill_median(df)))
+    one = Q.clean(df, ordered=False)
+    a = {r.id_medicao: (r.vl_temperatura, r.vl_pressao, r.vl_vibracao) for r in seq.collect()}
+    b = {r.id_medicao: (r.vl_temperatura, r.vl_pressao, r.vl_vibracao) for r in one.collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert a[k] == pytest.approx(b[k])
