@@ -119,28 +119,34 @@ def stratified_split(df: DataFrame, label: str = "target", test_size: float = TE
     h = split_hash(seed, id_col)
     keyed = df.withColumn("_h", h)
     counts = {r[label]: r["n"] for r in keyed.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    cols, ranks, k = {}, {}, {}
+    cols, ranks, k, sizes = {}, {}, {}, {}
     for i, (lab, n) in enumerate(sorted(counts.items(), key=lambda kv: str(kv[0]))):
         k[lab] = math.ceil(test_size * n)
         if k[lab] > 0:
             cols[lab] = f"_h{i}"
             ranks[f"_h{i}"] = [k[lab] - 1]
+            sizes[f"_h{i}"] = n
     lab_col = F.col(label)
     wide = keyed.select("_h", label, F.col(id_col).alias("_id"),
                         *[F.when(lab_col == F.lit(lab), F.col("_h")).alias(c) for lab, c in cols.items()])
-    cut_h = order_statistics(wide, ranks) if ranks else {}
+    cut_h = order_statistics(wide, ranks, sizes=sizes) if ranks else {}
+    cuts = {lab: int(cut_h[(c, k[lab] - 1)]) for lab, c in cols.items()}
+    # rows strictly below each cut and rows tied on it, for all labels in one pass
+    if cuts:
+        agg = wide.agg(*[F.count_if((lab_col == F.lit(lab)) & (F.col("_h") < F.lit(t))).alias(f"b{i}")
+                         for i, (lab, t) in enumerate(cuts.items())],
+                       *[F.count_if((lab_col == F.lit(lab)) & (F.col("_h") == F.lit(t))).alias(f"e{i}")
+                         for i, (lab, t) in enumerate(cuts.items())]).first()
     cond = F.lit(False)
-    for lab, c in cols.items():
-        t = int(cut_h[(c, k[lab] - 1)])
-        # ties on the hash: order by id inside the tie
-        below = wide.where((lab_col == F.lit(lab)) & (F.col("_h") < F.lit(t))).count()
-        need = k[lab] - below
-        tie_ids = order_statistics(
-            wide.where((lab_col == F.lit(lab)) & (F.col("_h") == F.lit(t))).select(F.col("_id").alias("i")),
-            {"i": [need - 1]})
-        t_id = tie_ids[("i", need - 1)]
-        cond = cond | ((lab_col == F.lit(lab))
-                       & ((F.col("_h") < F.lit(t)) | ((F.col("_h") == F.lit(t)) & (F.col(id_col) <= F.lit(t_id)))))
+    for i, (lab, t) in enumerate(cuts.items()):
+        need = k[lab] - agg[f"b{i}"]
+        same = (lab_col == F.lit(lab)) & (F.col("_h") == F.lit(t))
+        if agg[f"e{i}"] == need:          # no tie to split (the usual case)
+            tie = same
+        else:                             # hash tie: order by id inside it
+            t_id = order_statistics(wide.where(same).select(F.col("_id").alias("i")), {"i": [need - 1]})[("i", need - 1)]
+            tie = same & (F.col(id_col) <= F.lit(t_id))
+        cond = cond | ((lab_col == F.lit(lab)) & (F.col("_h") < F.lit(t))) | tie
     return keyed.withColumn("is_test", cond).drop("_h")
 
 
