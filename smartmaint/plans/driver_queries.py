@@ -1129,10 +1129,24 @@ def q_heartbeats(spark, sf):
     return got.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "batch_id")
 
 
-@register("throttled_alerts")
+DEVICE_FAULT_SQL = """(coalesce(vl_temperatura > 95, false) OR coalesce(vl_humidade > 80, false)
+   OR coalesce(vl_pressao < 960, false) OR coalesce(vl_pressao > 1040, false)
+   OR coalesce(abs(vl_vibr_x) > 15, false) OR coalesce(abs(vl_vibr_y) > 15, false))"""
+THROTTLE_CTES = f"""f AS (SELECT id_maquina AS device, "dataHora_medicao" AS ts FROM readings WHERE {DEVICE_FAULT_SQL}),
+t0 AS (SELECT id_maquina AS device, min("dataHora_medicao") AS t0 FROM readings GROUP BY 1),
+chain AS (
+  SELECT f.device, min(f.ts) AS ts FROM f JOIN t0 ON f.device = t0.device
+  WHERE f.ts > t0.t0 + INTERVAL 30 SECOND GROUP BY f.device
+  UNION ALL
+  SELECT c.device, (SELECT min(g.ts) FROM f g WHERE g.device = c.device AND g.ts > c.ts + INTERVAL 30 SECOND)
+  FROM chain c WHERE c.ts IS NOT NULL)"""
+
+
+@register("throttled_alerts", with_mapping("SELECT device, ts FROM chain WHERE ts IS NOT NULL",
+                                           THROTTLE_CTES).replace("WITH ", "WITH RECURSIVE ", 1))
 def q_throttled_alerts(spark, sf):
     r, _ = _t(spark, sf)
-    return T.throttle_alerts(r.where(P.device_fault()))
+    return T.throttle_alerts(r)
 
 
 @register("dead_letters")

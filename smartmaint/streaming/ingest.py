@@ -264,20 +264,22 @@ def running_device_stats(readings: DataFrame, n: int = 100) -> DataFrame:
 THROTTLE_OUT = T.StructType([T.StructField("device", T.StringType()), T.StructField("ts", T.TimestampType())])
 
 
-def throttle_alerts(faults: DataFrame, seconds: float = 30.0, key: str = "id_maquina",
-                    ts: str = "dataHora_medicao", start: str | None = None) -> DataFrame:
+def throttle_alerts(readings: DataFrame, fault: Column | None = None, seconds: float = 30.0,
+                    key: str = "id_maquina", ts: str = "dataHora_medicao") -> DataFrame:
     """W14 (batch): while in fault, at most one alert per device per > ``seconds``.
 
     Greedy: an alert is emitted when the time since the last *emitted* one
     exceeds ``seconds``; the first must also be more than ``seconds`` after the
-    device start (its first reading unless ``start`` names a column). This
-    order-dependent fold runs per device over the fault times only (two
-    columns), grouped with ``applyInPandas``.
+    device start (its first reading, as the firmware's uptime clock). The
+    start comes from a partial aggregate; the order-dependent fold runs per
+    device over the fault times only (two columns) with ``applyInPandas``.
     """
     import pandas as pd
     lim = pd.Timedelta(seconds=seconds)
-    base = faults.select(F.col(key).alias("device"), F.col(ts).alias("ts"),
-                         (F.col(start) if start else F.min(ts).over(Window.partitionBy(key))).alias("t0"))
+    fault = P.device_fault() if fault is None else fault
+    t0 = readings.groupBy(key).agg(F.min(ts).alias("t0"))
+    base = (readings.where(fault).select(key, ts).join(t0, key)
+            .select(F.col(key).alias("device"), F.col(ts).alias("ts"), "t0"))
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("ts")

@@ -187,6 +187,7 @@ def test_throttle_batch_and_stream_agree(spark):
     secs = [0, 10, 31, 45, 62, 70, 100]
     faults = spark.createDataFrame([("A", T0 + dt.timedelta(seconds=s)) for s in secs],
                                    "id_maquina string, dataHora_medicao timestamp")
-    got = sorted(int((r.ts - T0).total_seconds()) for r in T.throttle_alerts(faults).collect())
+    got = sorted(int((r.ts - T0).total_seconds())
+                 for r in T.throttle_alerts(faults, F.lit(True)).collect())
     # start = first reading (0): emit > 30 s after the last emission: 31, 62, 100
     assert got == [31, 62, 100]
