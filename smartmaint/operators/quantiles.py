@@ -203,9 +203,16 @@ def order_statistics(df: DataFrame, ranks: dict, sizes: dict | None = None, limi
             keyed.append((len(keyed), {"col": c, "k": i, "r": int(r), "lo": None, "hi": None,
                                        "hi_open": False, "base": 0, "size": sizes[c], "value": None}))
 
-    def tdf(ts):
-        rows = [(tid, t["k"], t["lo"], t["hi"], bool(t["hi_open"]), t["r"] - t["base"]) for tid, t in ts]
-        return spark.createDataFrame(rows, "tid int, tk int, lo double, hi double, open_hi boolean, rr long")
+    def ivkey(t):
+        return (t["k"], t["lo"], t["hi"], bool(t["hi_open"]))
+
+    def intervals(ts):
+        """Distinct search intervals of the given targets → (id map, DataFrame)."""
+        ids = {}
+        for _, t in ts:
+            ids.setdefault(ivkey(t), len(ids))
+        rows = [(iid, k, lo, hi, op) for (k, lo, hi, op), iid in ids.items()]
+        return ids, spark.createDataFrame(rows, "iid int, tk int, lo double, hi double, open_hi boolean")
 
     def in_interval():
         upper = F.when(F.col("open_hi"), F.col("x") < F.col("hi")).otherwise(F.col("x") <= F.col("hi"))
@@ -218,19 +225,21 @@ def order_statistics(df: DataFrame, ranks: dict, sizes: dict | None = None, limi
         open_ = [(tid, t) for tid, t in keyed if t["value"] is None and t["size"] > limit]
         if not open_:
             break
-        sub = long.join(F.broadcast(tdf(open_)), in_interval()).select("tid", "x")
-        sk = {r["tid"]: sorted(set(r["c"])) for r in
-              sub.groupBy("tid").agg(F.percentile_approx("x", cut_p, accuracy).alias("c")).collect()}
-        cuts_df = spark.createDataFrame([(tid, sk[tid]) for tid, _ in open_], "tid int, cuts array<double>")
+        ids, iv = intervals(open_)
+        sub = long.join(F.broadcast(iv), in_interval()).select("iid", "x")
+        sk = {r["iid"]: sorted(set(r["c"])) for r in
+              sub.groupBy("iid").agg(F.percentile_approx("x", cut_p, accuracy).alias("c")).collect()}
+        cuts_df = spark.createDataFrame(list(sk.items()), "iid int, cuts array<double>")
         m = F.size(F.filter("cuts", lambda c: c < F.col("x")))
         eq = F.array_contains("cuts", F.col("x")).cast("int")
         per = {}
-        for row in (sub.join(F.broadcast(cuts_df), "tid")
-                    .groupBy("tid", (m * 2 + eq).alias("b")).agg(F.count(F.lit(1)).alias("cnt")).collect()):
-            per.setdefault(row["tid"], []).append((row["b"], row["cnt"]))
+        for row in (sub.join(F.broadcast(cuts_df), "iid")
+                    .groupBy("iid", (m * 2 + eq).alias("b")).agg(F.count(F.lit(1)).alias("cnt")).collect()):
+            per.setdefault(row["iid"], []).append((row["b"], row["cnt"]))
         for tid, t in open_:
-            cuts, rel, before = sk[tid], t["r"] - t["base"], 0
-            for b, cnt in sorted(per[tid]):
+            iid = ids[ivkey(t)]
+            cuts, rel, before = sk[iid], t["r"] - t["base"], 0
+            for b, cnt in sorted(per[iid]):
                 if before + cnt > rel:
                     break
                 before += cnt
@@ -245,14 +254,20 @@ def order_statistics(df: DataFrame, ranks: dict, sizes: dict | None = None, limi
             t["base"] += before
             t["size"] = cnt
 
+    # final exact ranking inside the small intervals (≤ limit rows per task),
+    # one ranking per distinct interval however many ranks it answers
     rest = [(tid, t) for tid, t in keyed if t["value"] is None]
     if rest:
-        w = Window.partitionBy("tid").orderBy("x")
-        got = (long.join(F.broadcast(tdf(rest)), in_interval())
-               .withColumn("_rn", F.row_number().over(w) - 1)
-               .where(F.col("_rn") == F.col("rr")).select("tid", "x").collect())
-        for row in got:
-            keyed[row["tid"]][1]["value"] = row["x"]
+        ids, iv = intervals(rest)
+        want = spark.createDataFrame(sorted({(ids[ivkey(t)], t["r"] - t["base"]) for _, t in rest}),
+                                     "iid int, rr long")
+        w = Window.partitionBy("iid").orderBy("x")
+        got = (long.join(F.broadcast(iv), in_interval()).select("iid", "x")
+               .withColumn("rr", (F.row_number().over(w) - 1).cast("long"))
+               .join(F.broadcast(want), ["iid", "rr"]).collect())
+        vals = {(row["iid"], row["rr"]): row["x"] for row in got}
+        for _, t in rest:
+            t["value"] = vals.get((ids[ivkey(t)], t["r"] - t["base"]))
     return {(t["col"], t["r"]): t["value"] for _, t in keyed}
 
 
