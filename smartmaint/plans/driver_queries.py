@@ -78,11 +78,13 @@ def with_mapping(sql: str, extra_ctes: str = "") -> str:
 
 
 def R8(expr: str) -> str:
-    return f"round_even({expr}, {SCALE})"
+    """Half-even to 8 decimals through an exact decimal (12 places absorb summation-order noise)."""
+    return f"TRY_CAST(round_even(TRY_CAST(({expr}) AS DECIMAL(38,12)), {SCALE}) AS DECIMAL(38,{SCALE}))"
 
 
 def b8(c):
-    return F.bround(c if not isinstance(c, str) else F.col(c), SCALE)
+    c = c if not isinstance(c, str) else F.col(c)
+    return F.bround(c.try_cast("decimal(38,12)"), SCALE).try_cast(f"decimal(38,{SCALE})")
 
 
 def register(name: str, sql: str | None = None):
@@ -126,7 +128,7 @@ WHERE {WINDOW_30D}
 GROUP BY r.id_maquina"""))
 def q_equipment_summary(spark, sf):
     r, m = _t(spark, sf)
-    return A.equipment_summary(S.historical_readings(r, m, AS_OF, 30), scale=SCALE)
+    return round_doubles(A.equipment_summary(S.historical_readings(r, m, AS_OF, 30), scale=None))
 
 
 @register("hourly_trends", with_mapping(f"""
@@ -139,7 +141,7 @@ WHERE {WINDOW_30D}
 GROUP BY 1"""))
 def q_hourly_trends(spark, sf):
     r, m = _t(spark, sf)
-    return A.hourly_trends(S.historical_readings(r, m, AS_OF, 30), scale=SCALE)
+    return round_doubles(A.hourly_trends(S.historical_readings(r, m, AS_OF, 30), scale=None))
 
 
 @register("location_type_summary", with_mapping(f"""
@@ -150,7 +152,7 @@ WHERE {WINDOW_30D} AND m.localizacao IS NOT NULL AND m.tipo_maquina IS NOT NULL
 GROUP BY 1, 2"""))
 def q_location_type_summary(spark, sf):
     r, m = _t(spark, sf)
-    return A.location_type_summary(S.historical_readings(r, m, AS_OF, 30), scale=SCALE)
+    return round_doubles(A.location_type_summary(S.historical_readings(r, m, AS_OF, 30), scale=None))
 
 
 @register("machine_stats", with_mapping(f"""
@@ -299,12 +301,12 @@ SELECT id_maquina, {R8('avg(vl_temperatura)')} AS temp_mean, {R8('max(vl_tempera
   {R8('avg(vl_pressao)')} AS pressure_mean, {R8('avg(vl_humidade)')} AS humidity_mean,
   {R8('avg(vl_vibracao)')} AS vibration_mean, {FAULTS_SQL} AS faults,
   max("dataHora_medicao") AS last_reading,
-  CASE WHEN round_even(max(vl_temperatura), 8) > 95 OR {FAULTS_SQL} > 2 THEN 'CRÍTICO'
-       WHEN round_even(max(vl_temperatura), 8) > 85 OR {FAULTS_SQL} > 0 THEN 'ATENÇÃO' ELSE 'OK' END AS status
+  CASE WHEN max(vl_temperatura) > 95 OR {FAULTS_SQL} > 2 THEN 'CRÍTICO'
+       WHEN max(vl_temperatura) > 85 OR {FAULTS_SQL} > 0 THEN 'ATENÇÃO' ELSE 'OK' END AS status
 FROM readings r WHERE {WINDOW_24H} GROUP BY id_maquina"""))
 def q_machine_summary_24h(spark, sf):
     r, _ = _t(spark, sf)
-    return A.machine_summary_24h(r, AS_OF, scale=SCALE)
+    return round_doubles(A.machine_summary_24h(r, AS_OF, scale=None))
 
 
 @register("ingestion_stats", with_mapping(f"""
@@ -426,8 +428,8 @@ def q_correlation_matrix(spark, sf):
     return round_doubles(A.correlation_matrix(r, CORR_COLS))
 
 
-@register("fault_scatter", with_mapping("""
-SELECT id_medicao, "dataHora_medicao", id_maquina, flag_falha, measure, round_even(value, 8) AS value
+@register("fault_scatter", with_mapping(f"""
+SELECT id_medicao, "dataHora_medicao", id_maquina, flag_falha, measure, {R8('value')} AS value
 FROM (SELECT id_medicao, "dataHora_medicao", id_maquina, flag_falha,
              vl_temperatura, vl_pressao, vl_vibracao, vl_humidade FROM readings)
 UNPIVOT INCLUDE NULLS (value FOR measure IN (vl_temperatura, vl_pressao, vl_vibracao, vl_humidade))"""))
@@ -581,7 +583,7 @@ QCOLS = ["vl_temperatura", "vl_pressao", "vl_humidade", "vl_vibracao"]
 
 
 @register("quantiles", with_mapping(" UNION ALL ".join(
-    f"SELECT '{c}' AS column, {p}::DOUBLE AS p, {R8(f'quantile_cont({c}, {p})')} AS value FROM readings"
+    f"SELECT '{c}' AS column, {R8(f'{p}::DOUBLE')} AS p, {R8(f'quantile_cont({c}, {p})')} AS value FROM readings"
     for c in QCOLS for p in (0.25, 0.5, 0.75))))
 def q_quantiles(spark, sf):
     r, _ = _t(spark, sf)
@@ -760,7 +762,7 @@ SELECT 'VIB_' || id_maquina || '_' || CAST(epoch_us("dataHora_medicao") // 10000
   id_maquina AS equipment_id, 'VIBRATION_HIGH' AS alert_type,
   CASE WHEN {VMAG} > 10 THEN 'CRITICAL' ELSE 'WARNING' END AS severity,
   "dataHora_medicao" AS timestamp, {R8(VMAG)} AS value,
-  CASE WHEN {VMAG} > 10 THEN 10.0::DOUBLE ELSE 7.5::DOUBLE END AS threshold,
+  {R8(f'CASE WHEN {VMAG} > 10 THEN 10.0::DOUBLE ELSE 7.5::DOUBLE END')} AS threshold,
   'ACTIVE' AS status, 'THRESHOLD' AS source, id_medicao AS reading_id
 FROM readings WHERE {VMAG} > 7.5"""))
 def q_vibration_alerts(spark, sf):
@@ -839,11 +841,11 @@ def q_machine_overview(spark, sf):
     return L.machine_overview(S.realtime_readings(r, m, AS_OF))
 
 
-@register("probability_histogram", with_mapping("""
+@register("probability_histogram", with_mapping(f"""
 SELECT bin, count(*) AS count, first(lo) AS lo, first(hi) AS hi FROM (
   SELECT CASE WHEN hi = lo THEN 1
               ELSE least(CAST(floor((fault_probability - lo) / (hi - lo) * 20) AS INTEGER) + 1, 20) END AS bin,
-         round_even(lo, 8) AS lo, round_even(hi, 8) AS hi
+         {R8('lo')} AS lo, {R8('hi')} AS hi
   FROM er, (SELECT min(fault_probability) AS lo, max(fault_probability) AS hi FROM er) mm
   WHERE fault_probability IS NOT NULL) GROUP BY bin""", ETL_RISK_SQL))
 def q_probability_histogram(spark, sf):
@@ -939,7 +941,7 @@ def q_knn_neighbors(spark, sf):
 
 @register("knn_predict", with_mapping(f"""
 SELECT test_id_medicao AS id_medicao, {R8('avg(CAST(train_label = 1 AS DOUBLE))')} AS p1,
-  CASE WHEN avg(CAST(train_label = 1 AS DOUBLE)) > 0.5 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction
+  {R8('CASE WHEN avg(CAST(train_label = 1 AS DOUBLE)) > 0.5 THEN 1.0 ELSE 0.0 END::DOUBLE')} AS prediction
 FROM (SELECT a.id_medicao AS test_id_medicao, b.target AS train_label,
         row_number() OVER (PARTITION BY a.id_medicao ORDER BY {KNN_DIST}, b.id_medicao) AS nn_rank
       FROM kf a JOIN kf b ON a.is_test AND NOT b.is_test QUALIFY nn_rank <= 5)
