@@ -52,14 +52,18 @@ def location_type_summary(df: DataFrame, scale: int | None = 2) -> DataFrame:
     """A3: per (location, type) mean temperature, faults, distinct machines.
 
     Rows with a NULL key are dropped (pandas groupby does so). The distinct
-    count is exact; Spark plans it as a two-level aggregate, so the machines
-    of one group are de-duplicated map-side first.
+    count is exact and planned without an Expand: rows are first combined per
+    (location, type, machine) — partial sums that shrink a hot machine to one
+    row — and the machines are then counted as rows.
     """
-    return (df.where(F.col("localizacao").isNotNull() & F.col("tipo_maquina").isNotNull())
-            .groupBy("localizacao", "tipo_maquina")
-            .agg(_r(F.avg("vl_temperatura"), scale).alias("vl_temperatura"),
-                 fault_count().alias("flag_falha"),
-                 F.countDistinct("id_maquina").alias("id_maquina")))
+    per = (df.where(F.col("localizacao").isNotNull() & F.col("tipo_maquina").isNotNull())
+           .groupBy("localizacao", "tipo_maquina", "id_maquina")
+           .agg(F.sum("vl_temperatura").alias("_s"), F.count("vl_temperatura").alias("_c"),
+                fault_count().alias("_f")))
+    return (per.groupBy("localizacao", "tipo_maquina")
+            .agg(_r(F.sum("_s") / F.sum("_c"), scale).alias("vl_temperatura"),
+                 F.sum("_f").cast("long").alias("flag_falha"),
+                 F.count("id_maquina").alias("id_maquina")))
 
 
 def machine_stats(machines: DataFrame, readings: DataFrame) -> DataFrame:
@@ -111,14 +115,18 @@ def machine_summary_24h(df: DataFrame, as_of, hours: float = 24, scale: int | No
 
 
 def ingestion_stats(df: DataFrame, as_of) -> DataFrame:
-    """Total rows, rows since midnight of as_of, machines seen in the last 24 h."""
+    """Total rows, rows since midnight of as_of, machines seen in the last 24 h.
+
+    Per-machine partial counts first, then one row per machine is counted.
+    """
     from ..sources.readers import hours_before, ts_lit
     ts = F.col("dataHora_medicao")
     midnight = F.date_trunc("DAY", ts_lit(as_of))
-    return df.agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.count_if(ts >= midnight).alias("records_today"),
-        F.countDistinct(F.when(ts >= hours_before(as_of, 24), F.col("id_maquina"))).alias("active_devices"))
+    per = df.groupBy("id_maquina").agg(F.count(F.lit(1)).alias("_n"), F.count_if(ts >= midnight).alias("_t"),
+                                       F.count_if(ts >= hours_before(as_of, 24)).alias("_a"))
+    return per.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("total_records"),
+                   F.coalesce(F.sum("_t"), F.lit(0)).cast("long").alias("records_today"),
+                   F.count_if(F.col("id_maquina").isNotNull() & (F.col("_a") > 0)).alias("active_devices"))
 
 
 def kpis(df: DataFrame, total_machines: int = 10, window: int = 100) -> DataFrame:
@@ -129,10 +137,12 @@ def kpis(df: DataFrame, total_machines: int = 10, window: int = 100) -> DataFram
     ``trend_24h`` is the opposite, newest − oldest. Empty input → no rows.
     """
     from .windows import head_tail_change
-    base = df.agg(F.avg("vl_temperatura").alias("temp_avg"),
-                  F.countDistinct("id_maquina").alias("active"),
-                  F.count(F.lit(1)).alias("n"),
-                  fault_count().alias("faults"))
+    per = df.groupBy("id_maquina").agg(F.sum("vl_temperatura").alias("_s"), F.count("vl_temperatura").alias("_c"),
+                                       F.count(F.lit(1)).alias("_n"), fault_count().alias("_f"))
+    base = per.agg((F.sum("_s") / F.sum("_c")).alias("temp_avg"),
+                   F.count("id_maquina").alias("active"),
+                   F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("n"),
+                   F.coalesce(F.sum("_f"), F.lit(0)).cast("long").alias("faults"))
     ch = head_tail_change(df, "vl_temperatura", window)
     b = base.withColumn("change", ch.scalar()).where(F.col("n") > 0)
     rate = F.col("faults") * F.lit(100.0) / F.col("n")
@@ -162,18 +172,23 @@ def kpis_24h(df: DataFrame, as_of, hours: float = 24) -> DataFrame:
     """Avg temperature, active and total machines, alert rate, availability.
 
     ``total`` counts machines over the whole input, the rest the last 24 h;
-    an empty window gives NULL rate/availability.
+    an empty window gives NULL rate/availability. Per-machine partial
+    aggregates first, so both distinct counts are row counts.
     """
     from ..sources.readers import hours_before
     in_w = F.col("dataHora_medicao") >= hours_before(as_of, hours)
-    n = F.count_if(in_w)
-    f = F.sum(F.when(in_w & (F.col("flag_falha") == "S"), 1).otherwise(0))
+    per = df.groupBy("id_maquina").agg(
+        F.sum(F.when(in_w, F.col("vl_temperatura"))).alias("_s"),
+        F.count(F.when(in_w, F.col("vl_temperatura"))).alias("_c"),
+        F.count_if(in_w).alias("_n"),
+        F.count_if(in_w & (F.col("flag_falha") == "S")).alias("_f"))
+    n, f = F.sum("_n"), F.sum("_f")
     rate = F.try_divide(f * F.lit(100.0), n)
-    return df.agg(F.avg(F.when(in_w, F.col("vl_temperatura"))).alias("avg_temperature"),
-                  F.countDistinct(F.when(in_w, F.col("id_maquina"))).alias("active_equipment"),
-                  F.countDistinct("id_maquina").alias("total_equipment"),
-                  rate.alias("alert_rate"),
-                  (F.lit(100.0) - rate).alias("availability"))
+    return per.agg(F.try_divide(F.sum("_s"), F.sum("_c")).alias("avg_temperature"),
+                   F.count_if(F.col("id_maquina").isNotNull() & (F.col("_n") > 0)).alias("active_equipment"),
+                   F.count("id_maquina").alias("total_equipment"),
+                   rate.alias("alert_rate"),
+                   (F.lit(100.0) - rate).alias("availability"))
 
 
 def status_distribution(df: DataFrame) -> DataFrame:

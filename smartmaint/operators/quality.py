@@ -33,14 +33,18 @@ def quality_report(df: DataFrame, as_of, null_share: float = DEFAULT.null_share_
         term = F.sum(F.col(f"`{c}`").isNull().cast("long"))
         nulls = term if nulls is None else nulls + term
     t = F.col("vl_temperatura")
-    one = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(nulls, F.lit(0)).cast("long").alias("nulls"),
-        F.count_if((t < _d(T.temp_min_valid)) | (t > _d(T.temp_max_valid))).alias("temp_out"),
-        (F.count(F.lit(1)) - F.countDistinct("id_medicao")
-         - F.max(F.col("id_medicao").isNull().cast("int")).cast("long")).alias("dups_raw"),
-        F.count_if(F.col("dataHora_medicao") > ts_lit(as_of)).alias("future"))
-    one = one.withColumn("dups", F.coalesce(F.col("dups_raw"), F.lit(0)).cast("long"))
+    # one pass grouped by id: copies of an id (NULL ids form one group, as in
+    # pandas) collapse map-side; the other checks ride along as partial sums
+    per = df.groupBy("id_medicao").agg(
+        F.count(F.lit(1)).alias("_k"),
+        F.coalesce(nulls, F.lit(0)).cast("long").alias("_nulls"),
+        F.count_if((t < _d(T.temp_min_valid)) | (t > _d(T.temp_max_valid))).alias("_to"),
+        F.count_if(F.col("dataHora_medicao") > ts_lit(as_of)).alias("_fu"))
+    one = per.agg(F.coalesce(F.sum("_k"), F.lit(0)).cast("long").alias("n"),
+                  F.coalesce(F.sum("_nulls"), F.lit(0)).cast("long").alias("nulls"),
+                  F.coalesce(F.sum("_to"), F.lit(0)).cast("long").alias("temp_out"),
+                  F.coalesce(F.sum(F.col("_k") - 1), F.lit(0)).cast("long").alias("dups"),
+                  F.coalesce(F.sum("_fu"), F.lit(0)).cast("long").alias("future"))
     ts = ts_lit(as_of)
     rows = [
         F.struct(F.lit("NULL_VALUES").alias("check_name"),
