@@ -161,8 +161,11 @@ def test_ingest_multi_batch_dedupe_and_replay(spark):
     T.ingest(T.read_message_stream(spark, drop), out, ck).awaitTermination()
     assert spark.read.parquet(out).count() == 15
     # replay of the same checkpoint: nothing new
-    T.ingest(T.read_message_stream(spark, drop), out, ck).awaitTermination()
+    q = T.ingest(T.read_message_stream(spark, drop), out, ck)
+    q.awaitTermination()
     assert spark.read.parquet(out).count() == 15
+    prog = T.progress_table(spark, q)
+    assert prog.columns == ["batch_id", "input_rows", "timestamp", "trigger_ms"]
 
 
 def test_running_stats_state_across_batches(spark):
