@@ -70,11 +70,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df):
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+    """Cut lineage with a table written to the shared checkpoint folder.
 
     Used where a frame feeds several actions (statistics, model fits, many
     outputs): later jobs read the written copy instead of recomputing the
-    plan, and a lost executor costs a re-read, not a re-computation.
+    plan, and a lost executor costs a re-read, not a re-computation. A
+    Parquet table (rather than ``Dataset.checkpoint``) carries no assumed
+    partitioning, so adaptive re-planning of later joins stays valid.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    import uuid
+    path = scratch_path(df.sparkSession, f"mat-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -264,34 +264,82 @@ def running_device_stats(readings: DataFrame, n: int = 100) -> DataFrame:
 THROTTLE_OUT = T.StructType([T.StructField("device", T.StringType()), T.StructField("ts", T.TimestampType())])
 
 
+def _next_event(events: DataFrame, queries: DataFrame, chunk_rows: int) -> DataFrame:
+    """For each query (device, qid, q): the first event time t > q of its device (or NULL).
+
+    Events and queries are cut into per-device time chunks of about
+    ``chunk_rows`` events and matched by a window per (device, chunk); a query
+    with no later event in its chunk takes the first event of the next
+    non-empty chunk from the (small) table of chunk heads.
+    """
+    st = events.groupBy("device").agg(F.count(F.lit(1)).alias("_n"), F.min("t").alias("_t0"),
+                                      F.max("t").alias("_t1"))
+    n_chunks = F.greatest(F.ceil(F.col("_n") / F.lit(float(chunk_rows))), F.lit(1))
+    st = st.select("device", "_t0", (F.floor((F.col("_t1") - F.col("_t0")) / n_chunks) + 1).alias("_len"))
+
+    def chunk(col):
+        return F.floor((col - F.col("_t0")) / F.col("_len"))
+
+    ev = events.join(st, "device").select("device", chunk(F.col("t")).alias("c"), "t")
+    qs = queries.join(st, "device", "left").select("device", "qid", "q", chunk(F.col("q")).alias("c"))
+    rows = (ev.select("device", "c", F.col("t").alias("time"), F.lit(0).alias("is_q"),
+                      F.lit(None).cast("long").alias("qid"))
+            .unionByName(qs.select("device", "c", F.col("q").alias("time"), F.lit(1).alias("is_q"), "qid")))
+    w = (Window.partitionBy("device", "c").orderBy("time", "is_q")
+         .rowsBetween(1, Window.unboundedFollowing))
+    found = (rows.withColumn("nxt", F.first(F.when(F.col("is_q") == 0, F.col("time")), ignorenulls=True).over(w))
+             .where(F.col("is_q") == 1).select("device", "qid", "c", "nxt"))
+    heads = ev.groupBy("device", "c").agg(F.min("t").alias("head")).withColumnRenamed("c", "hc")
+    late = (found.where(F.col("nxt").isNull()).join(heads, "device")
+            .where(F.col("hc") > F.col("c")).groupBy("device", "qid").agg(F.min("head").alias("nxt2")))
+    return (found.join(late, ["device", "qid"], "left")
+            .select("device", "qid", F.coalesce("nxt", "nxt2").alias("nxt")))
+
+
 def throttle_alerts(readings: DataFrame, fault: Column | None = None, seconds: float = 30.0,
-                    key: str = "id_maquina", ts: str = "dataHora_medicao") -> DataFrame:
+                    key: str = "id_maquina", ts: str = "dataHora_medicao",
+                    chunk_rows: int = 1_000_000) -> DataFrame:
     """W14 (batch): while in fault, at most one alert per device per > ``seconds``.
 
     Greedy: an alert is emitted when the time since the last *emitted* one
     exceeds ``seconds``; the first must also be more than ``seconds`` after the
     device start (its first reading, as the firmware's uptime clock). The
-    start comes from a partial aggregate; the order-dependent fold runs per
-    device over the fault times only (two columns) with ``applyInPandas``.
+    emissions are the chain e1 → next(e1) → …, with next(e) the first fault
+    more than ``seconds`` after e. ``next`` comes from chunked windows
+    (``_next_event``); the chain is marked by pointer doubling — jump tables
+    next^(2^k) built by self-joins, then the start set grows through them from
+    the highest level down — so no device is ever gathered in one task.
+    Output: one row per emitted alert (device, ts).
     """
-    import pandas as pd
-    lim = pd.Timedelta(seconds=seconds)
+    from ..session import materialize
+    lim = int(seconds * 1_000_000)
     fault = P.device_fault() if fault is None else fault
-    t0 = readings.groupBy(key).agg(F.min(ts).alias("t0"))
-    base = (readings.where(fault).select(key, ts).join(t0, key)
-            .select(F.col(key).alias("device"), F.col(ts).alias("ts"), "t0"))
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ts")
-        last = pdf["t0"].iloc[0]
-        keep = []
-        for t in pdf["ts"]:
-            if t - last > lim:
-                keep.append(t)
-                last = t
-        return pd.DataFrame({"device": pdf["device"].iloc[0], "ts": keep})
-
-    return base.groupBy("device").applyInPandas(fold, THROTTLE_OUT)
+    dev = F.col(key).alias("device")
+    t0 = readings.groupBy(dev).agg(F.min(F.unix_micros(F.col(ts))).alias("t0"))
+    events = materialize(readings.where(fault).select(dev, F.unix_micros(F.col(ts)).alias("t")).distinct())
+
+    # next pointer of every fault time, and the first alert of every device
+    succ = _next_event(events, events.select("device", F.col("t").alias("qid"), (F.col("t") + lim).alias("q")),
+                       chunk_rows)
+    jump = materialize(succ.select("device", F.col("qid").alias("t"), "nxt"))
+    start = _next_event(events, t0.select("device", F.lit(0).cast("long").alias("qid"),
+                                          (F.col("t0") + lim).alias("q")), chunk_rows)
+    marked = materialize(start.where(F.col("nxt").isNotNull()).select("device", F.col("nxt").alias("t")))
+
+    levels = [jump]
+    while levels[-1].where(F.col("nxt").isNotNull()).limit(1).count() > 0:
+        j = levels[-1]
+        a, b = j.alias("a"), j.alias("b")
+        nxt = (a.join(b, (F.col("a.device") == F.col("b.device")) & (F.col("a.nxt") == F.col("b.t")), "left")
+               .select(F.col("a.device").alias("device"), F.col("a.t").alias("t"), F.col("b.nxt").alias("nxt")))
+        levels.append(materialize(nxt))
+    # grow the start set from the highest jump down: afterwards it holds
+    # every element of each chain
+    for j in reversed(levels[:-1]):
+        step = (marked.join(j, ["device", "t"]).where(F.col("nxt").isNotNull())
+                .select("device", F.col("nxt").alias("t")))
+        marked = materialize(marked.unionByName(step).distinct())
+    return marked.select("device", F.timestamp_micros("t").alias("ts"))
 
 
 def throttled_alert_stream(readings: DataFrame, seconds: float = 30.0) -> DataFrame:

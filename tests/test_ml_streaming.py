@@ -194,3 +194,27 @@ def test_throttle_batch_and_stream_agree(spark):
                  for r in T.throttle_alerts(faults, F.lit(True)).collect())
     # start = first reading (0): emit > 30 s after the last emission: 31, 62, 100
     assert got == [31, 62, 100]
+
+
+@pytest.mark.parametrize("chunk_rows", [5, 1_000_000])
+def test_distributed_throttle_matches_greedy_fold(spark, chunk_rows):
+    rng = np.random.default_rng(11)
+    rows = []
+    for dev, n in (("HOT", 300), ("B", 20), ("C", 1)):
+        secs = np.sort(rng.integers(0, 3000, size=n))
+        for s_ in secs:
+            rows.append((dev, T0 + dt.timedelta(seconds=int(s_), milliseconds=int(rng.integers(0, 3)) * 500),
+                         bool(rng.random() < 0.7)))
+    df = spark.createDataFrame(rows, "id_maquina string, dataHora_medicao timestamp, f boolean")
+    got = {}
+    for r in T.throttle_alerts(df, F.col("f"), chunk_rows=chunk_rows).collect():
+        got.setdefault(r.device, []).append(r.ts)
+    for dev in ("HOT", "B", "C"):
+        mine = [r for r in rows if r[0] == dev]
+        last = min(r[1] for r in mine)
+        exp = []
+        for t in sorted({r[1] for r in mine if r[2]}):
+            if (t - last).total_seconds() > 30:
+                exp.append(t)
+                last = t
+        assert sorted(got.get(dev, [])) == exp
