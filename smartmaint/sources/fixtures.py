@@ -61,7 +61,14 @@ def machines_from_customers(customer: DataFrame, nation: DataFrame) -> DataFrame
 
 
 def load_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(readings, machines) for a driver data folder."""
+    """(readings, machines) for a driver data folder.
+
+    Event times are wall-clock values; pinning the session time zone to UTC
+    keeps hour buckets, calendar features and collected values identical on
+    any driver host.
+    """
+    if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
