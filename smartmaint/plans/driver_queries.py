@@ -1204,3 +1204,35 @@ def q_retrain(spark, sf):
     from .training import retrain
     r, m = _t(spark, sf)
     return retrain(spark, r, m, AS_OF, quick=True, knn=False)
+
+
+THRESHOLD_DEDUP_SQL = ALERT_ROWS_SQL + """,
+dedup AS (SELECT * FROM alert_rows
+  QUALIFY row_number() OVER (PARTITION BY equipment_id, alert_type ORDER BY timestamp DESC, reading_id DESC) = 1)"""
+
+
+@register("top_alerts", with_mapping("""
+SELECT * FROM dedup ORDER BY timestamp DESC, id DESC LIMIT 10""", THRESHOLD_DEDUP_SQL))
+def q_top_alerts(spark, sf):
+    r, _ = _t(spark, sf)
+    return _no_message(L.top_alerts(L.threshold_alerts(r), 10))
+
+
+@register("filter_severity", with_mapping("SELECT * FROM dedup WHERE severity = 'CRITICAL'", THRESHOLD_DEDUP_SQL))
+def q_filter_severity(spark, sf):
+    r, _ = _t(spark, sf)
+    return _no_message(L.filter_severity(L.threshold_alerts(r), "CRITICAL"))
+
+
+@register("health_report")
+def q_health_report(spark, sf):
+    """R1 over the run log of three ETL cycles (daily windows ending at as_of)."""
+    import datetime as _dt
+    from ..operators.reports import health_report
+    from .etl import etl_cycle
+    r, m = _t(spark, sf)
+    out = _scratch(spark, "health")
+    end = _dt.datetime.fromisoformat(AS_OF)
+    for i, back in enumerate((2, 1, 0)):
+        etl_cycle(spark, r, m, end - _dt.timedelta(days=back), hours=24, out_path=out, stamp=f"c{i}", run_id=i)
+    return health_report(spark.read.parquet(f"{out}/run_log"), None, AS_OF).drop("avg_processing_time", "uptime_hours")
