@@ -30,12 +30,14 @@ def _join(a: DataFrame, b: DataFrame, by: list[str], how: str = "inner") -> Data
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: list[float], by: list[str] | tuple = (),
-                    names: list[str] | None = None, buckets: int = 512,
-                    accuracy: int = 20000, limit: int = 1_000_000) -> DataFrame:
+                    names: list[str] | None = None, buckets: int = 2048,
+                    accuracy: int = 50000, limit: int = 1_000_000) -> DataFrame:
     """Quantiles of ``col`` for each ``by`` group; NULL and NaN are ignored.
 
     Groups with at most ``limit`` values are ranked directly by one window
-    (≤ ``limit`` rows per task); larger groups take the bucketed path. Returns
+    (≤ ``limit`` rows per task); larger groups take the bucketed path, where
+    only the buckets holding target ranks are ranked (about n/``buckets``
+    rows each; the sketch's rank error n/``accuracy`` stays below a bucket). Returns
     one row per group that has at least one value, with one column per
     probability (``names`` or ``q<i>``) and ``n`` (the non-null count).
     """
