@@ -36,12 +36,13 @@ def equipment_summary(df: DataFrame, scale: int | None = 2) -> DataFrame:
     aggs += [fault_count().alias("flag_falha_faults"),
              F.count("dataHora_medicao").alias("dataHora_medicao_count"),
              F.max("dataHora_medicao").alias("dataHora_medicao_max")]
-    return df.groupBy("id_maquina").agg(*aggs)
+    # pandas groupby drops a NULL key
+    return df.where(F.col("id_maquina").isNotNull()).groupBy("id_maquina").agg(*aggs)
 
 
 def hourly_trends(df: DataFrame, scale: int | None = 2) -> DataFrame:
-    """A2: per hour the four means, faults and readings (non-null ids)."""
-    return (df.groupBy(P.hour_bucket().alias("hour"))
+    """A2: per hour the four means, faults and readings (non-null ids); NULL hours dropped."""
+    return (df.where(F.col("dataHora_medicao").isNotNull()).groupBy(P.hour_bucket().alias("hour"))
             .agg(*[_r(F.avg(c), scale).alias(c) for c in
                    ("vl_temperatura", "vl_pressao", "vl_humidade", "vl_vibracao")],
                  fault_count().alias("flag_falha"),
@@ -194,12 +195,14 @@ def kpis_24h(df: DataFrame, as_of, hours: float = 24) -> DataFrame:
 def status_distribution(df: DataFrame) -> DataFrame:
     """Readings per temperature status."""
     col = df["temp_status"] if "temp_status" in df.columns else P.temp_status()
-    return df.groupBy(col.alias("temp_status")).agg(F.count(F.lit(1)).alias("count"))
+    return (df.select(col.alias("temp_status")).where(F.col("temp_status").isNotNull())
+            .groupBy("temp_status").agg(F.count(F.lit(1)).alias("count")))
 
 
 def location_type_counts(df: DataFrame) -> DataFrame:
-    """Readings per (location, type)."""
-    return df.groupBy("localizacao", "tipo_maquina").agg(F.count(F.lit(1)).alias("count"))
+    """Readings per (location, type); NULL keys dropped (pandas)."""
+    return (df.where(F.col("localizacao").isNotNull() & F.col("tipo_maquina").isNotNull())
+            .groupBy("localizacao", "tipo_maquina").agg(F.count(F.lit(1)).alias("count")))
 
 
 def severity_counts(alerts: DataFrame) -> DataFrame:
@@ -238,8 +241,8 @@ def series_mean(series: DataFrame, col: str = "temperatura") -> DataFrame:
 
 
 def label_counts(df: DataFrame, label: str = "flag_falha") -> DataFrame:
-    """A18."""
-    return df.groupBy(label).agg(F.count(F.lit(1)).alias("count"))
+    """Counts per label value (NULL dropped, as ``value_counts``)."""
+    return df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("count"))
 
 
 def trailing_mean_temperature(machines: DataFrame, readings: DataFrame, as_of,

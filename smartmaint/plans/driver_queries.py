@@ -124,7 +124,7 @@ SELECT r.id_maquina,
   count(r."dataHora_medicao") AS "dataHora_medicao_count",
   max(r."dataHora_medicao") AS "dataHora_medicao_max"
 FROM readings r JOIN machines m ON r.id_maquina = m.id_maquina
-WHERE {WINDOW_30D}
+WHERE {WINDOW_30D} AND r.id_maquina IS NOT NULL
 GROUP BY r.id_maquina"""))
 def q_equipment_summary(spark, sf):
     r, m = _t(spark, sf)
@@ -137,7 +137,7 @@ SELECT date_trunc('hour', r."dataHora_medicao") AS hour,
   {R8('avg(vl_humidade)')} AS vl_humidade, {R8('avg(vl_vibracao)')} AS vl_vibracao,
   {FAULTS_SQL} AS flag_falha, count(r.id_medicao) AS id_medicao
 FROM readings r JOIN machines m ON r.id_maquina = m.id_maquina
-WHERE {WINDOW_30D}
+WHERE {WINDOW_30D} AND r."dataHora_medicao" IS NOT NULL
 GROUP BY 1"""))
 def q_hourly_trends(spark, sf):
     r, m = _t(spark, sf)
@@ -375,13 +375,15 @@ def q_status_distribution(spark, sf):
 
 @register("location_type_counts", with_mapping(f"""
 SELECT m.localizacao, m.tipo_maquina, count(*) AS count
-FROM readings r JOIN machines m ON r.id_maquina = m.id_maquina WHERE {WINDOW_24H} GROUP BY 1, 2"""))
+FROM readings r JOIN machines m ON r.id_maquina = m.id_maquina
+WHERE {WINDOW_24H} AND m.localizacao IS NOT NULL AND m.tipo_maquina IS NOT NULL GROUP BY 1, 2"""))
 def q_location_type_counts(spark, sf):
     r, m = _t(spark, sf)
     return A.location_type_counts(S.realtime_readings(r, m, AS_OF))
 
 
-@register("label_counts", with_mapping("SELECT flag_falha, count(*) AS count FROM readings GROUP BY 1"))
+@register("label_counts", with_mapping(
+    "SELECT flag_falha, count(*) AS count FROM readings WHERE flag_falha IS NOT NULL GROUP BY 1"))
 def q_label_counts(spark, sf):
     r, _ = _t(spark, sf)
     return A.label_counts(r)
