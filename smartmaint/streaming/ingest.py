@@ -44,7 +44,7 @@ def encode_messages(readings: DataFrame, machines: DataFrame | None = None) -> D
                     *([F.col("localizacao").alias("location"), F.col("tipo_maquina").alias("equipment_type")]
                       if machines is not None else []),
                     sensors.alias("sensors"), (F.col("flag_falha") == "S").alias("fault_detected"))
-    return r.select(F.concat(F.lit("hermes/"), device, F.lit("/sensors/data")).alias("topic"),
+    return r.select(F.concat(F.lit("plant/"), device, F.lit("/sensors/data")).alias("topic"),
                     F.to_json(body).alias("value"), ts.alias("event_time"))
 
 
@@ -53,7 +53,7 @@ def heartbeat_messages(readings: DataFrame) -> DataFrame:
     hb = readings.groupBy("id_maquina", F.date_trunc("HOUR", "dataHora_medicao").alias("h")).agg(
         F.max("dataHora_medicao").alias("event_time"))
     device = F.concat(F.lit("ESP32_"), F.col("id_maquina"))
-    return hb.select(F.concat(F.lit("hermes/"), device, F.lit("/heartbeat")).alias("topic"),
+    return hb.select(F.concat(F.lit("plant/"), device, F.lit("/heartbeat")).alias("topic"),
                      F.to_json(F.struct(device.alias("device_id"),
                                         F.date_format("event_time", ISO_FMT).alias("timestamp"))).alias("value"),
                      "event_time")

@@ -105,16 +105,16 @@ def test_training_end_to_end(spark):
 # --- streaming ---------------------------------------------------------------------------
 
 MSGS = [
-    ("hermes/A/sensors/data", {"device_id": "ESP32_HERMES_001", "timestamp": "2024-01-01T00:00:01Z",
+    ("plant/A/sensors/data", {"device_id": "ESP32_UNIT_001", "timestamp": "2024-01-01T00:00:01Z",
                                "location": "Plant", "equipment_type": "Pump",
                                "sensors": {"temperature": 96.0, "vibr_x": 3.0, "vibration_y": 4.0,
                                            "vibration_z": 0.0}, "fault_detected": True}),
-    ("hermes/A/sensors/data", {"device_id": "ESP32_HERMES_001", "timestamp": 1704067205000,
+    ("plant/A/sensors/data", {"device_id": "ESP32_UNIT_001", "timestamp": 1704067205000,
                                "sensors": {"temperature": 20.0}}),
-    ("hermes/A/sensors/data", {"device_id": "ESP32_X", "timestamp": "2024-01-01T00:00:09Z"}),
-    ("hermes/A/sensors/data", "{broken json"),
-    ("hermes/A/heartbeat", {"device_id": "ESP32_HERMES_001", "timestamp": "2024-01-01T00:00:03Z"}),
-    ("hermes/A/status", {"device_id": "ESP32_HERMES_001", "status": "online", "timestamp": "2024-01-01T00:00:04Z"}),
+    ("plant/A/sensors/data", {"device_id": "ESP32_X", "timestamp": "2024-01-01T00:00:09Z"}),
+    ("plant/A/sensors/data", "{broken json"),
+    ("plant/A/heartbeat", {"device_id": "ESP32_UNIT_001", "timestamp": "2024-01-01T00:00:03Z"}),
+    ("plant/A/status", {"device_id": "ESP32_UNIT_001", "status": "online", "timestamp": "2024-01-01T00:00:04Z"}),
 ]
 
 
@@ -127,7 +127,7 @@ def test_parse_route_and_dead_letters(spark):
     raw = _raw(spark)
     rd = T.stream_readings(raw).orderBy("dataHora_medicao").collect()
     assert len(rd) == 2
-    assert rd[0].id_maquina == "HERMES001_EQ" and rd[0].id_sensor == "SENS_HERMES_001"
+    assert rd[0].id_maquina == "UNIT001_EQ" and rd[0].id_sensor == "SENS_UNIT_001"
     assert rd[0].vl_vibr_x == 3.0 and rd[0].vibration_magnitude == 5.0 and rd[0].flag_falha == "S"
     assert rd[1].localizacao == "Unknown" and rd[1].flag_falha == "N"
     assert rd[1].dataHora_medicao == dt.datetime(2024, 1, 1, 0, 0, 5)
@@ -145,7 +145,7 @@ def _write_lines(path, name, msgs):
 
 
 def _data_msg(dev, sec, temp):
-    return ("hermes/x/sensors/data", {"device_id": dev, "timestamp": f"2024-01-01T00:{sec // 60:02d}:{sec % 60:02d}Z",
+    return ("plant/x/sensors/data", {"device_id": dev, "timestamp": f"2024-01-01T00:{sec // 60:02d}:{sec % 60:02d}Z",
                                       "sensors": {"temperature": temp, "vibration_x": 1.0, "vibration_y": 0.0,
                                                   "vibration_z": 0.0}})
 

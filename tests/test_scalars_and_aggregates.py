@@ -54,11 +54,11 @@ def test_timestamp_normalisation(spark):
 
 
 def test_derived_ids_and_sensor_aliases(spark):
-    df = spark.createDataFrame([("ESP32_HERMES_001", {"vibr_x": 1.0, "temperature": 20.0})],
+    df = spark.createDataFrame([("ESP32_UNIT_001", {"vibr_x": 1.0, "temperature": 20.0})],
                                "d string, m map<string,double>")
     r = df.select(P.derive_machine_id("d").alias("mid"), P.derive_sensor_id("d").alias("sid"),
                   *P.unpack_sensors("m")).first()
-    assert r.mid == "HERMES001_EQ" and r.sid == "SENS_HERMES_001"
+    assert r.mid == "UNIT001_EQ" and r.sid == "SENS_UNIT_001"
     assert r.vl_vibr_x == 1.0 and r.vl_temperatura == 20.0 and r.vl_pressao is None
 
 
