@@ -79,6 +79,30 @@ class Config:
     retention_days: int = 90
 
 
+# ---------------------------------------------------------------------------
+# FIXED VALUES: texts that must read exactly as in the system being rebuilt.
+# ---------------------------------------------------------------------------
+# Quality check names and messages (%d = affected count).
+CHECK_MESSAGES = {
+    "NULL_VALUES": "Encontrados %d valores nulos",
+    "TEMPERATURE_RANGE": "Temperatura fora do range: %d registros",
+    "DUPLICATES": "Registros duplicados: %d",
+    "FUTURE_TIMESTAMPS": "Timestamps futuros: %d registros",
+}
+# Threshold alert messages (prefix, value with one decimal, suffix).
+ALERT_MESSAGES = {
+    ("TEMPERATURE_HIGH", "CRITICAL"): ("Temperatura crítica: ", "°C"),
+    ("TEMPERATURE_HIGH", "WARNING"): ("Temperatura elevada: ", "°C"),
+    ("PRESSURE_ABNORMAL", "CRITICAL"): ("Pressão anormal: ", " hPa"),
+    ("HUMIDITY_HIGH", "WARNING"): ("Umidade alta: ", "%"),
+}
+# KPI rows: name, unit, target (None = the machine total).
+KPIS = [("Temperatura Média", "°C", 80.0), ("Equipamentos Ativos", "unidades", None),
+        ("Taxa de Alertas", "%", 5.0), ("Disponibilidade", "%", 99.0)]
+# Dashboard risk actions by level (HIGH, MEDIUM, LOW) and health labels.
+RISK_ACTIONS = {"HIGH": "MANUTENÇÃO NECESSÁRIA", "MEDIUM": "MONITORAR", "LOW": "NORMAL"}
+HEALTH_LABELS = ("CRÍTICO", "ATENÇÃO", "OK")
+
 DEFAULT = Config()
 T = DEFAULT.thresholds
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import MEASURES, T, Thresholds
+from ..config import HEALTH_LABELS, MEASURES, T, Thresholds
 
 
 def _c(c) -> Column:
@@ -230,9 +230,10 @@ PERIOD_HOURS = {"1h": 1, "6h": 6, "24h": 24, "7d": 24 * 7}
 
 def machine_health(max_temp="vl_temperatura_max", faults="faults") -> Column:
     t, f = _c(max_temp), _c(faults)
-    return (F.when((t > _d(T.temp_critical)) | (f > 2), "CRÍTICO")
-            .when((t > _d(T.temp_warning)) | (f > 0), "ATENÇÃO")
-            .otherwise("OK"))
+    critical, attention, ok = HEALTH_LABELS
+    return (F.when((t > _d(T.temp_critical)) | (f > 2), critical)
+            .when((t > _d(T.temp_warning)) | (f > 0), attention)
+            .otherwise(ok))
 
 
 def with_measures_as_null_nan(df: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import MEASURES, T
+from ..config import KPIS, MEASURES, T
 from ..functions import scalars as P
 from .quantiles import exact_quantiles
 
@@ -150,21 +150,22 @@ def kpis(df: DataFrame, total_machines: int = 10, window: int = 100) -> DataFram
     avail = F.lit(100.0) - rate
     active_pct = F.col("active") * F.lit(100.0) / F.lit(float(total_machines))
     t = F.col("temp_avg")
+    (n_t, u_t, tg_t), (n_a, u_a, _), (n_r, u_r, tg_r), (n_v, u_v, tg_v) = KPIS
+    zero = F.lit(0.0)
     rows = [
-        F.struct(F.lit("Temperatura Média").alias("name"), t.alias("value"), F.lit("°C").alias("unit"),
+        F.struct(F.lit(n_t).alias("name"), t.alias("value"), F.lit(u_t).alias("unit"),
                  P.temp_status(t).alias("status"), F.col("change").alias("change_24h"),
-                 F.lit(80.0).alias("target"), (-F.col("change")).alias("trend_24h")),
-        F.struct(F.lit("Equipamentos Ativos").alias("name"), F.col("active").cast("double").alias("value"),
-                 F.lit("unidades").alias("unit"),
+                 F.lit(tg_t).alias("target"), (-F.col("change")).alias("trend_24h")),
+        F.struct(F.lit(n_a).alias("name"), F.col("active").cast("double").alias("value"),
+                 F.lit(u_a).alias("unit"),
                  F.when(active_pct > 80, "NORMAL").otherwise("WARNING").alias("status"),
-                 F.lit(0.0).alias("change_24h"), F.lit(float(total_machines)).alias("target"),
-                 F.lit(0.0).alias("trend_24h")),
-        F.struct(F.lit("Taxa de Alertas").alias("name"), rate.alias("value"), F.lit("%").alias("unit"),
+                 zero.alias("change_24h"), F.lit(float(total_machines)).alias("target"), zero.alias("trend_24h")),
+        F.struct(F.lit(n_r).alias("name"), rate.alias("value"), F.lit(u_r).alias("unit"),
                  F.when(rate > 15, "CRITICAL").when(rate > 5, "WARNING").otherwise("NORMAL").alias("status"),
-                 F.lit(0.0).alias("change_24h"), F.lit(5.0).alias("target"), F.lit(0.0).alias("trend_24h")),
-        F.struct(F.lit("Disponibilidade").alias("name"), avail.alias("value"), F.lit("%").alias("unit"),
+                 zero.alias("change_24h"), F.lit(tg_r).alias("target"), zero.alias("trend_24h")),
+        F.struct(F.lit(n_v).alias("name"), avail.alias("value"), F.lit(u_v).alias("unit"),
                  F.when(avail > 95, "NORMAL").when(avail > 90, "WARNING").otherwise("CRITICAL").alias("status"),
-                 F.lit(0.0).alias("change_24h"), F.lit(99.0).alias("target"), F.lit(0.0).alias("trend_24h")),
+                 zero.alias("change_24h"), F.lit(tg_v).alias("target"), zero.alias("trend_24h")),
     ]
     return b.select(F.inline(F.array(*rows)))
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT, T, RiskWeights, Thresholds
+from ..config import ALERT_MESSAGES, DEFAULT, RISK_ACTIONS, T, RiskWeights, Thresholds
 from ..functions import scalars as P
 from .windows import latest_alert_per_type, latest_per_machine
 
@@ -56,18 +56,18 @@ def threshold_alert_rows(df: DataFrame, th: Thresholds = T) -> DataFrame:
     humidity WARNING (> 80).
     """
     t, p, h = F.col("vl_temperatura"), F.col("vl_pressao"), F.col("vl_humidade")
+
+    def msg(kind, sev, v):
+        pre, suf = ALERT_MESSAGES[(kind, sev)]
+        return F.concat(F.lit(pre), P.fmt1(v), F.lit(suf))
     arr = F.array(
-        _alert("TEMP", "TEMPERATURE_HIGH", "CRITICAL",
-               F.concat(F.lit("Temperatura crítica: "), P.fmt1(t), F.lit("°C")),
+        _alert("TEMP", "TEMPERATURE_HIGH", "CRITICAL", msg("TEMPERATURE_HIGH", "CRITICAL", t),
                t, _d(th.temp_critical), t > _d(th.temp_critical)),
-        _alert("TEMP", "TEMPERATURE_HIGH", "WARNING",
-               F.concat(F.lit("Temperatura elevada: "), P.fmt1(t), F.lit("°C")),
+        _alert("TEMP", "TEMPERATURE_HIGH", "WARNING", msg("TEMPERATURE_HIGH", "WARNING", t),
                t, _d(th.temp_warning), (t > _d(th.temp_warning)) & ~(t > _d(th.temp_critical))),
-        _alert("PRESS", "PRESSURE_ABNORMAL", "CRITICAL",
-               F.concat(F.lit("Pressão anormal: "), P.fmt1(p), F.lit(" hPa")),
+        _alert("PRESS", "PRESSURE_ABNORMAL", "CRITICAL", msg("PRESSURE_ABNORMAL", "CRITICAL", p),
                p, _d(th.pressure_min), (p < _d(th.pressure_min)) | (p > _d(th.pressure_max))),
-        _alert("HUM", "HUMIDITY_HIGH", "WARNING",
-               F.concat(F.lit("Umidade alta: "), P.fmt1(h), F.lit("%")),
+        _alert("HUM", "HUMIDITY_HIGH", "WARNING", msg("HUMIDITY_HIGH", "WARNING", h),
                h, _d(th.humidity_high), h > _d(th.humidity_high)),
     )
     out = df.select(F.explode(F.array_compact(arr)).alias("a")).select("a.*")
@@ -181,8 +181,8 @@ def dashboard_risk(df: DataFrame, w: RiskWeights = DEFAULT.risk, noise: float =
     r = F.col("risk_score")
     return out.select(
         "*", F.when(r > _d(w.high), "HIGH").when(r > _d(w.medium), "MEDIUM").otherwise("LOW").alias("risk_level"),
-        F.when(r > _d(w.high), "MANUTENÇÃO NECESSÁRIA").when(r > _d(w.medium), "MONITORAR")
-         .otherwise("NORMAL").alias("prediction"))
+        F.when(r > _d(w.high), RISK_ACTIONS["HIGH"]).when(r > _d(w.medium), RISK_ACTIONS["MEDIUM"])
+         .otherwise(RISK_ACTIONS["LOW"]).alias("prediction"))
 
 
 def machine_overview(df: DataFrame) -> DataFrame:

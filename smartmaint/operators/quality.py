@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import DEFAULT, T, Thresholds
+from ..config import CHECK_MESSAGES, DEFAULT, T, Thresholds
 from ..functions import scalars as P
 from .quantiles import filled_quantiles, global_quantiles
 
@@ -49,16 +49,16 @@ def quality_report(df: DataFrame, as_of, null_share: float = DEFAULT.null_share_
     rows = [
         F.struct(F.lit("NULL_VALUES").alias("check_name"),
                  (F.col("nulls") < F.col("n") * _d(null_share)).alias("passed"),
-                 F.format_string("Encontrados %d valores nulos", F.col("nulls")).alias("message"),
+                 F.format_string(CHECK_MESSAGES["NULL_VALUES"], F.col("nulls")).alias("message"),
                  ts.alias("timestamp"), F.col("nulls").alias("affected_records")),
         F.struct(F.lit("TEMPERATURE_RANGE").alias("check_name"), (F.col("temp_out") == 0).alias("passed"),
-                 F.format_string("Temperatura fora do range: %d registros", F.col("temp_out")).alias("message"),
+                 F.format_string(CHECK_MESSAGES["TEMPERATURE_RANGE"], F.col("temp_out")).alias("message"),
                  ts.alias("timestamp"), F.col("temp_out").alias("affected_records")),
         F.struct(F.lit("DUPLICATES").alias("check_name"), (F.col("dups") == 0).alias("passed"),
-                 F.format_string("Registros duplicados: %d", F.col("dups")).alias("message"),
+                 F.format_string(CHECK_MESSAGES["DUPLICATES"], F.col("dups")).alias("message"),
                  ts.alias("timestamp"), F.col("dups").alias("affected_records")),
         F.struct(F.lit("FUTURE_TIMESTAMPS").alias("check_name"), (F.col("future") == 0).alias("passed"),
-                 F.format_string("Timestamps futuros: %d registros", F.col("future")).alias("message"),
+                 F.format_string(CHECK_MESSAGES["FUTURE_TIMESTAMPS"], F.col("future")).alias("message"),
                  ts.alias("timestamp"), F.col("future").alias("affected_records")),
     ]
     return one.select(F.inline(F.array(*rows)), F.col("n").alias("total_records"))
