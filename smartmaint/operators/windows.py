@@ -8,7 +8,7 @@ range-partitioned sort.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as P
@@ -138,7 +138,7 @@ def risk_ranking(scored: DataFrame, risk: str = "risk_score") -> DataFrame:
     as 1 + the number of strictly higher scores with a sort-based approach:
     a range-partitioned sort followed by per-partition counts.
     """
-    return dense_rank_global(scored, risk, "risk_rank", ascending=False, ties="rank")
+    return dense_rank_global(scored, risk, "risk_rank", ascending=False)
 
 
 def dense_sequence(df: DataFrame, order_col: str, out: str, start: int = 0) -> DataFrame:
@@ -158,8 +158,7 @@ def dense_sequence(df: DataFrame, order_col: str, out: str, start: int = 0) -> D
             .drop("_pid", "_off", order_col))
 
 
-def dense_rank_global(df: DataFrame, col: str, out: str, ascending: bool = True,
-                      ties: str = "rank") -> DataFrame:
+def dense_rank_global(df: DataFrame, col: str, out: str, ascending: bool = True) -> DataFrame:
     """Global rank (``rank`` semantics: 1 + rows strictly before) without a single-task window.
 
     Values are collapsed to (value, count) with a partial aggregate, sorted by
