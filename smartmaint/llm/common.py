@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from smartmaint.session import materialize  # noqa: F401  (re-exported: a written table in spark.checkpoint.dir)

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from smartmaint.llm import decontamination
+from smartmaint.llm.decontamination import op6_benchmark_decontamination
 from smartmaint.llm.packing import op1_packing
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_benchmark_decontamination": decontamination.ORACLE,
+}
