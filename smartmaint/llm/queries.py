@@ -6,11 +6,13 @@ from smartmaint.llm import decontamination
 from smartmaint.llm.decontamination import op6_benchmark_decontamination
 from smartmaint.llm.packing import op1_packing
 from smartmaint.llm.simhash import op8_simhash_near_dedup
+from smartmaint.llm.toxicity import op9_toxicity
 
 QUERIES = {
     "op1_packing": op1_packing,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {
