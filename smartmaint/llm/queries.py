@@ -7,12 +7,14 @@ from smartmaint.llm import decontamination, line_dedup
 from smartmaint.llm.decontamination import op6_benchmark_decontamination
 from smartmaint.llm.line_dedup import op2_line_dedup
 from smartmaint.llm.packing import op1_packing
+from smartmaint.llm.pii import op3_pii
 from smartmaint.llm.simhash import op8_simhash_near_dedup
 from smartmaint.llm.toxicity import op9_toxicity
 
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_line_dedup": op2_line_dedup,
+    "op3_pii": op3_pii,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_toxicity": op9_toxicity,
