@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from smartmaint.llm import decontamination, line_dedup
+from smartmaint.llm import decontamination, licenses, line_dedup
 from smartmaint.llm.decontamination import op6_benchmark_decontamination
+from smartmaint.llm.licenses import op7_license_scan
 from smartmaint.llm.line_dedup import op2_line_dedup
 from smartmaint.llm.packing import op1_packing
 from smartmaint.llm.pii import op3_pii
@@ -16,6 +17,7 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_pii": op3_pii,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_license_scan": op7_license_scan,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_toxicity": op9_toxicity,
     "pipeline": corpus_pipeline.run,
@@ -24,4 +26,5 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": line_dedup.ORACLE,
     "op6_benchmark_decontamination": decontamination.ORACLE,
+    "op7_license_scan": licenses.ORACLE,
 }
