@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from smartmaint.llm import decontamination, licenses, line_dedup
+from smartmaint.llm import decontamination, licenses, line_dedup, topk
 from smartmaint.llm.decontamination import op6_benchmark_decontamination
 from smartmaint.llm.licenses import op7_license_scan
 from smartmaint.llm.line_dedup import op2_line_dedup
 from smartmaint.llm.packing import op1_packing
 from smartmaint.llm.pii import op3_pii
 from smartmaint.llm.simhash import op8_simhash_near_dedup
+from smartmaint.llm.topk import op4_exact_topk
 from smartmaint.llm.toxicity import op9_toxicity
 
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_line_dedup": op2_line_dedup,
     "op3_pii": op3_pii,
+    "op4_exact_topk": op4_exact_topk,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_license_scan": op7_license_scan,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
@@ -25,6 +27,7 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": line_dedup.ORACLE,
+    "op4_exact_topk": topk.ORACLE,
     "op6_benchmark_decontamination": decontamination.ORACLE,
     "op7_license_scan": licenses.ORACLE,
 }
