@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import corpus_pipeline
 from smartmaint.llm import decontamination, licenses, line_dedup, topk
+from smartmaint.llm.chat_format import op5_chat_formatting
 from smartmaint.llm.decontamination import op6_benchmark_decontamination
 from smartmaint.llm.licenses import op7_license_scan
 from smartmaint.llm.line_dedup import op2_line_dedup
 from smartmaint.llm.packing import op1_packing
 from smartmaint.llm.pii import op3_pii
+from smartmaint.llm.shards import op10_token_shards
 from smartmaint.llm.simhash import op8_simhash_near_dedup
 from smartmaint.llm.topk import op4_exact_topk
 from smartmaint.llm.toxicity import op9_toxicity
@@ -18,10 +20,12 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_pii": op3_pii,
     "op4_exact_topk": op4_exact_topk,
+    "op5_chat_formatting": op5_chat_formatting,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_license_scan": op7_license_scan,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_toxicity": op9_toxicity,
+    "op10_token_shards": op10_token_shards,
     "pipeline": corpus_pipeline.run,
 }
 
