@@ -30,8 +30,8 @@ BUCKETS = 1 << 18
 DIM = 8
 GRAMS = (3, 6)
 WINDOW = 16
-SAMPLE_ROWS = 6000
-SAMPLE_BYTES = 32 << 20
+SAMPLE_ROWS = 4000
+SAMPLE_BYTES = 24 << 20
 STEPS = 100
 THRESHOLD = 0.3
 SLICE_BYTES = 2 << 20
@@ -51,7 +51,7 @@ def subwords(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     text = b"".join([b"<" + low[a:b].tobytes() + b">" for a, b in zip(starts.tolist(), ends.tolist())])
     cp = np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le"), np.uint32).astype(np.uint64)
     first, after = np.flatnonzero(cp == 60), np.flatnonzero(cp == 62) + 1
-    word = np.repeat(np.arange(len(first)), after - first)
+    word = np.repeat(np.arange(len(first), dtype=np.int32), after - first)
     room = np.repeat(after, after - first) - np.arange(len(cp))
     h, rows, owner = np.zeros(len(cp), np.uint64), [], []
     for n in range(1, GRAMS[1] + 1):
@@ -60,7 +60,7 @@ def subwords(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
         h ^= h >> np.uint64(29)
         if n >= GRAMS[0]:
             fits = room >= n
-            rows.append((h[fits] >> np.uint64(40)).astype(np.int64) % BUCKETS)
+            rows.append(((h[fits] >> np.uint64(40)) % np.uint64(BUCKETS)).astype(np.int32))
             owner.append(word[fits])
     rows, owner = np.concatenate(rows), np.concatenate(owner)
     order = np.argsort(owner, kind="stable")
@@ -110,11 +110,12 @@ def _softplus(z: np.ndarray) -> np.ndarray:
 def fit(texts: pa.Array, labels: np.ndarray, steps: int = STEPS, seed: int = 0) -> Model:
     """Joint gradient descent on the embedding table and the softmax.
 
-    Without both labels the score is the smoothed share of label 1.
+    Without both labels the score is the share of label 1, smoothed so that
+    no labels at all give 0.1 and nothing is rejected.
     """
     y = np.asarray(labels, float)
     if not len(y) or y.min() == y.max():
-        share = (y.sum() + 1) / (len(y) + 2)
+        share = (y.sum() + 0.1) / (len(y) + 1)
         return Model(np.zeros(BUCKETS, np.float32), float(np.log(share / (1 - share))))
     b = bags(texts)
     # rows seen in a few documents only would learn those documents by heart
@@ -159,6 +160,8 @@ def fit(texts: pa.Array, labels: np.ndarray, steps: int = STEPS, seed: int = 0)
 
 
 def scores(model: Model, texts: pa.Array) -> np.ndarray:
+    if not model.weight.any():  # nothing was learnt: the share of label 1, whatever the length
+        return np.full(len(texts), 1 / (1 + np.exp(-model.bias)))
     b = bags(texts)
     # rows that the fit left out carry no weight and do not count in a word's bag
     per_word = np.sqrt(np.maximum(_sums(model.weight[b.rows] != 0, b.bounds), 1))
