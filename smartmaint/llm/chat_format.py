@@ -13,7 +13,7 @@ of its own and is not cut.
 
 Long conversations: turns are numbered by a range sort (a partition's running
 numbers plus the counts of the partitions before it, which matter only for
-the conversations that span partitions), and every ``SEGMENT`` turns a new
+the conversations that span partitions), and every ``segment`` turns a new
 window starts. So a task holds one segment at a time, and a conversation with
 a third of all turns is formatted by many.
 """
@@ -92,8 +92,8 @@ def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class _Segment:
     """The turns of one segment: its own, the system turn and the turns before it."""
 
-    def __init__(self, key: tuple):
-        self.key, self.system, self.turns, self.own = key, None, [], []
+    def __init__(self, key: tuple, size: int):
+        self.key, self.size, self.system, self.turns, self.own = key, size, None, [], []
 
     def add(self, no: int, role: str, text: str, tokenizer) -> None:
         head = START + _role_out(role) + "\n"
@@ -101,7 +101,7 @@ class _Segment:
         turn = (head, body, END + "\n", len(tokenizer.ids(head + body + END)) // 4, role == "assistant")
         if no == 0 and role == "system":
             self.system = turn
-        self.own.append(no // SEGMENT == self.key[1])
+        self.own.append(no // self.size == self.key[1])
         self.turns.append((no, turn))
 
     def windows(self, budget: int, history: int) -> Iterator[tuple]:
@@ -127,7 +127,7 @@ class _Segment:
             i, window = j, window + 1
 
 
-def _format(batches: Iterator[pa.RecordBatch], path: str, budget: int, history: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def _format(batches: Iterator[pa.RecordBatch], path: str, budget: int, history: int, size: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     from smartmaint.llm.tokens import word_tokenizer
     tok = word_tokenizer(path)
     segment, out = None, []
@@ -142,7 +142,7 @@ def _format(batches: Iterator[pa.RecordBatch], path: str, budget: int, history:
             if segment is None or segment.key != (conv, seg):
                 if segment is not None:
                     out.extend(segment.windows(budget, history))
-                segment = _Segment((conv, seg))
+                segment = _Segment((conv, seg), size)
                 if len(out) >= 1000:
                     yield flush()
             segment.add(no, role, text, tok)
@@ -151,7 +151,8 @@ def _format(batches: Iterator[pa.RecordBatch], path: str, budget: int, history:
     yield flush()
 
 
-def format_conversations(turns: DataFrame, tokenizer_path: str, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
+def format_conversations(turns: DataFrame, tokenizer_path: str, budget: int = BUDGET, history: int = HISTORY,
+                         segment: int = SEGMENT) -> DataFrame:
     """Windows of all conversations (columns conv_id, turn, role, text).
 
     ``conv_id, segment, window`` order a conversation's windows; ``formatted``
@@ -174,23 +175,23 @@ def format_conversations(turns: DataFrame, tokenizer_path: str, budget: int = BU
     by_conv = Window.partitionBy("conv_id")
     spans = runs.select(F.col("conv_id").alias("__conv"), F.col("pid").alias("__pid"), F.sum("n").over(by_conv).alias("total"),
                         F.coalesce(F.sum("n").over(by_conv.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset")) \
-        .filter(f"offset > 0 OR total > {SEGMENT}")
+        .filter(f"offset > 0 OR total > {segment}")
     spans = small(materialize(spans))
     rows = numbered.join(spans, numbered["conv_id"].eqNullSafe(spans["__conv"]) & (F.col("pid") == F.col("__pid")), "left")
     no = F.col("local") + F.coalesce("offset", F.lit(0))
     rows = rows.select("conv_id", "role", "text", no.alias("no"), F.coalesce("total", F.lit(0)).alias("total"))
-    own = F.floor(F.col("no") / SEGMENT)
+    own = F.floor(F.col("no") / segment)
     # the last turns of a segment are the next one's history, and its system turn goes to every segment
-    copies = F.when((F.col("no") == 0) & (F.col("role") == "system") & (F.col("total") > SEGMENT),
-                    F.sequence(F.lit(0).cast("long"), F.floor((F.col("total") - 1) / SEGMENT))) \
-        .when((F.col("no") % SEGMENT >= SEGMENT - HISTORY_TURNS) & ((own + 1) * SEGMENT < F.col("total")), F.array(own, own + 1)) \
+    copies = F.when((F.col("no") == 0) & (F.col("role") == "system") & (F.col("total") > segment),
+                    F.sequence(F.lit(0).cast("long"), F.floor((F.col("total") - 1) / segment))) \
+        .when((F.col("no") % segment >= segment - HISTORY_TURNS) & ((own + 1) * segment < F.col("total")), F.array(own, own + 1)) \
         .otherwise(F.array(own))
     dealt = rows.select("conv_id", F.explode(copies).alias("segment"), "no", "role", "text") \
         .repartition("conv_id", "segment").sortWithinPartitions("conv_id", "segment", "no")
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
     schema = to_arrow_schema(_parse_datatype_string(WINDOW_SCHEMA))
-    return dealt.mapInArrow(lambda b: _format(b, tokenizer_path, budget, history, schema), WINDOW_SCHEMA)
+    return dealt.mapInArrow(lambda b: _format(b, tokenizer_path, budget, history, segment, schema), WINDOW_SCHEMA)
 
 
 class _Digest:
