@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from smartmaint.llm.common import materialize, table
+from smartmaint.llm.common import materialize, row_slices, table
 
 MIN_WORDS = 8
 BROADCAST_ROWS = 500_000  # a counted side of up to so many short rows is broadcast, a larger one is shuffled
@@ -70,24 +70,23 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     u64 = np.uint64
     mix, salt = u64(0xD6E8FEB86659FD93), u64(0xC2B2AE3D27D4EB4F)
     with np.errstate(over="ignore"):
-        for b in batches:
-            keys, kinds, owner = [], [], []
-            for i, words in enumerate(b.column(b.schema.get_field_index("words")).to_pylist()):
+        for b in row_slices(batches, "words", 1 << 18):
+            keys, kinds, counts = [np.empty(0, u64)], [np.empty(0, np.int8)], []
+            for words in b.column(b.schema.get_field_index("words")).to_pylist():
                 w = words.split(" ")
                 n = len(w)
                 h = np.fromiter(map(xxhash.xxh64_intdigest, w), u64, n)
-                power = np.cumprod(np.full(n, _ODD, u64))
-                terms = h * power
+                terms = h * np.cumprod(np.full(n, _ODD, u64))
                 upto = np.cumsum(terms)
                 left_out = (upto - terms) + (upto[-1] - upto) * u64(_INVERSE)
                 at = np.arange(1, n + 1, dtype=u64) * salt + u64(n)
-                keys += [np.array([(upto[-1] ^ u64(n)) * mix]), (np.unique(left_out) ^ u64(n - 1)) * mix, (left_out ^ at) * mix + u64(1)]
-                kinds += [0] + [1] * len(keys[-2]) + [2] * n
-                owner += [i] * (1 + len(keys[-2]) + n)
-            rows = b.take(pa.array(owner, pa.int64()))
-            key = np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)
+                alone = np.unique(left_out)
+                keys += [(upto[-1:] ^ u64(n)) * mix, (alone ^ u64(n - 1)) * mix, (left_out ^ at) * mix + u64(1)]
+                kinds.append(np.repeat(np.array([0, 1, 2], np.int8), [1, len(alone), n]))
+                counts.append(1 + len(alone) + n)
+            line = b.select(["h1", "h2", "place"]).take(pa.array(np.repeat(np.arange(len(counts)), counts)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key), pa.array(kinds, pa.int8()), *(rows.column(rows.schema.get_field_index(c)) for c in ("h1", "h2", "place"))],
+                [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(kinds)), *line.columns],
                 names=["key", "kind", "h1", "h2", "place"])
 
 
@@ -118,14 +117,13 @@ def near_lines(lines: DataFrame, distinct: DataFrame) -> DataFrame:
     texts = materialize(lines.join(small(able), ["h1", "h2", "place"], "left_semi").select("h1", "h2", "place", "words")
                         .dropDuplicates(["h1", "h2"]))
     variants = texts.mapInArrow(_variants, "key long, kind byte, h1 long, h2 long, place decimal(38,0)")
-    line = F.struct("place", "h1", "h2")
-    met = variants.groupBy("key").agg(F.count("*").alias("n"), F.min(F.when(F.col("kind") != 1, line)).alias("whole"),
-                                      F.min(F.when(F.col("kind") == 1, line)).alias("longer")).filter("n > 1")
+    met = variants.groupBy("key").agg(F.count("*").alias("n"), F.min(F.when(F.col("kind") != 1, F.col("place"))).alias("whole"),
+                                      F.min(F.when(F.col("kind") == 1, F.col("place"))).alias("longer")).filter("n > 1")
     pairs = variants.join(small(materialize(met)), "key").select(
-        "h1", "h2", "place", F.when(F.col("kind") == 0, F.col("longer")).otherwise(F.col("whole")).alias("c")) \
-        .filter("c.place < place").select("h1", "h2", F.col("c.h1").alias("e1"), F.col("c.h2").alias("e2")).distinct()
-    early = texts.select(F.col("h1").alias("e1"), F.col("h2").alias("e2"), F.col("words").alias("early"))
-    pairs = pairs.join(texts.select("h1", "h2", "words"), ["h1", "h2"]).join(early, ["e1", "e2"]).select("h1", "h2", "words", "early")
+        "h1", "h2", "place", F.when(F.col("kind") == 0, F.col("longer")).otherwise(F.col("whole")).alias("earlier")) \
+        .filter("earlier < place").select("h1", "h2", "earlier").distinct()
+    early = texts.select(F.col("place").alias("earlier"), F.col("words").alias("early"))
+    pairs = pairs.join(texts.select("h1", "h2", "words"), ["h1", "h2"]).join(early, "earlier").select("h1", "h2", "words", "early")
     return pairs.mapInArrow(_verified, "h1 long, h2 long").distinct()
 
 
