@@ -12,7 +12,8 @@ Equal fingerprints are first put together. A bucket with more than
 ``MAX_BUCKET`` distinct fingerprints is refined by the same covering masks
 over the bits its own mask leaves free, so that its pairs still meet in some
 refined bucket; since its fingerprints are distinct and agree on all masked
-bits, three levels bound every bucket. Within a bucket only a spanning
+bits, a mask that leaves ``FREE_BITS`` bits bounds its buckets by itself, which
+it takes three levels at most to reach. Within a bucket only a spanning
 forest of the true links is kept, never all pairs.
 """
 
@@ -31,6 +32,7 @@ SHINGLE = 3
 RADIUS = 3
 SEED = 42
 MAX_BUCKET = 2048
+FREE_BITS = 11
 
 # set bits of every byte value, highest first, as np.unpackbits gives them
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
@@ -112,15 +114,15 @@ def link_forest(distinct: DataFrame, radius: int = RADIUS, max_bucket: int = MAX
         keyed = keyed.withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
         sizes = materialize(keyed.groupBy("mask", "key").agg(F.count("*").alias("n")).filter("n > 1"))
         shared = keyed.join(sizes, ["mask", "key"])
-        small = shared.filter(F.col("n") <= max_bucket).groupBy("mask", "key").agg(F.collect_list("fp").alias("fps"))
+        bounded = (F.col("n") <= max_bucket) | (F.bit_count("mask") >= 64 - FREE_BITS)
+        small = shared.filter(bounded).groupBy("mask", "key").agg(F.collect_list("fp").alias("fps"))
         parts.append(small.select("fps").mapInArrow(lambda it: _bucket_links(it, radius), "a long, b long"))
-        big = sizes.filter(F.col("n") > max_bucket)
-        masks = [r[0] for r in big.select("mask").distinct().collect()]  # at most 15, 225 or 3375 masks
+        masks = [r[0] & full for r in sizes.filter(~bounded).select("mask").distinct().collect()]  # at most 15, then 225
         if not masks:
             break
-        finer = {m: [_signed((m & full) | s) for s in covering_masks(full & ~(m & full), radius)] for m in masks}
-        choice = F.create_map(*[x for m, s in finer.items() for x in (F.lit(m), F.array(*map(F.lit, s)))])
-        keyed = materialize(shared.filter(F.col("n") > max_bucket).select("fp", F.explode(choice[F.col("mask")]).alias("mask")))
+        finer = distinct.sparkSession.createDataFrame(
+            [(_signed(m), _signed(m | s)) for m in masks for s in covering_masks(full & ~m, radius)], "mask long, finer long")
+        keyed = materialize(shared.filter(~bounded).join(F.broadcast(finer), "mask").select("fp", F.col("finer").alias("mask")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
