@@ -20,6 +20,12 @@ def _d(x: float) -> Column:
     return F.lit(float(x))
 
 
+def _m(c) -> Column:
+    """A measure for comparisons: NaN counts as missing (Spark orders it above every number)."""
+    c = _c(c).cast("double")
+    return F.when(~F.isnan(c), c)
+
+
 # --- P1, P2, P3: status and alert classes -----------------------------------
 
 def temp_status(t="vl_temperatura", null_status: str | None = "NORMAL",
@@ -29,7 +35,7 @@ def temp_status(t="vl_temperatura", null_status: str | None = "NORMAL",
     A NULL temperature gives ``null_status``: 'NORMAL' as the SQL view does,
     or None as the cleaning step's binning does.
     """
-    t = _c(t)
+    t = _m(t)
     out = (F.when(t > _d(th.temp_critical), "CRITICAL")
            .when(t > _d(th.temp_warning), "WARNING"))
     if null_status is None:
@@ -38,7 +44,7 @@ def temp_status(t="vl_temperatura", null_status: str | None = "NORMAL",
 
 
 def pressure_status(p="vl_pressao", th: Thresholds = T) -> Column:
-    p = _c(p)
+    p = _m(p)
     return (F.when((p < _d(th.pressure_min)) | (p > _d(th.pressure_max)), "CRITICAL")
             .when((p < _d(th.pressure_warn_min)) | (p > _d(th.pressure_warn_max)), "WARNING")
             .otherwise("NORMAL"))
@@ -46,7 +52,7 @@ def pressure_status(p="vl_pressao", th: Thresholds = T) -> Column:
 
 def classify_alert(th: Thresholds = T) -> Column:
     """First match wins: temperature, pressure, humidity, fault flag."""
-    t, p, h = F.col("vl_temperatura"), F.col("vl_pressao"), F.col("vl_humidade")
+    t, p, h = _m("vl_temperatura"), _m("vl_pressao"), _m("vl_humidade")
     return (F.when(t > _d(th.temp_critical), "TEMPERATURA_CRITICA")
             .when((p < _d(th.pressure_min)) | (p > _d(th.pressure_max)), "PRESSAO_ANORMAL")
             .when(h > _d(th.humidity_high), "HUMIDADE_ALTA")
@@ -56,7 +62,7 @@ def classify_alert(th: Thresholds = T) -> Column:
 
 def active_alert_predicate(th: Thresholds = T) -> Column:
     """The OR predicate of the active-alerts view (NULL terms are false)."""
-    t, p, h = F.col("vl_temperatura"), F.col("vl_pressao"), F.col("vl_humidade")
+    t, p, h = _m("vl_temperatura"), _m("vl_pressao"), _m("vl_humidade")
     return F.coalesce(
         (t > _d(th.temp_critical)) | (p < _d(th.pressure_min)) | (p > _d(th.pressure_max))
         | (h > _d(th.humidity_high)) | (F.col("flag_falha") == "S"),
@@ -85,19 +91,19 @@ def _flag(cond: Column) -> Column:
 
 
 def alert_flags(th: Thresholds = T, magnitude_col="vibration_magnitude") -> list[Column]:
-    t, p, h = F.col("vl_temperatura"), F.col("vl_pressao"), F.col("vl_humidade")
+    t, p, h = _m("vl_temperatura"), _m("vl_pressao"), _m("vl_humidade")
     return [
         _flag(t > _d(th.temp_critical)).alias("temp_alert"),
         _flag((p < _d(th.pressure_min)) | (p > _d(th.pressure_max))).alias("pressure_alert"),
         _flag(h > _d(th.humidity_high)).alias("humidity_alert"),
-        _flag(_c(magnitude_col) > _d(th.vibration_critical)).alias("vibration_alert"),
+        _flag(_m(magnitude_col) > _d(th.vibration_critical)).alias("vibration_alert"),
     ]
 
 
 def device_fault(th: Thresholds = T) -> Column:
     """Firmware fault rule; the z axis is not tested. NULL terms are false."""
-    t, p, h = F.col("vl_temperatura"), F.col("vl_pressao"), F.col("vl_humidade")
-    x, y = F.col("vl_vibr_x"), F.col("vl_vibr_y")
+    t, p, h = _m("vl_temperatura"), _m("vl_pressao"), _m("vl_humidade")
+    x, y = _m("vl_vibr_x"), _m("vl_vibr_y")
     terms = [t > _d(th.temp_critical), h > _d(th.humidity_high),
              p < _d(th.pressure_min), p > _d(th.pressure_max),
              F.abs(x) > _d(th.axis_limit), F.abs(y) > _d(th.axis_limit)]

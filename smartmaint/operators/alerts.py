@@ -55,6 +55,7 @@ def threshold_alert_rows(df: DataFrame, th: Thresholds = T) -> DataFrame:
     reference; ``limit_breached`` carries the limit actually crossed);
     humidity WARNING (> 80).
     """
+    df = P.with_measures_as_null_nan(df)
     t, p, h = F.col("vl_temperatura"), F.col("vl_pressao"), F.col("vl_humidade")
 
     def msg(kind, sev, v):
@@ -95,7 +96,7 @@ def row_alerts(df: DataFrame, as_of, hours: float = 1, th: Thresholds = T) -> Da
     """
     from ..sources.readers import hours_before, since
     t, p, h = F.col("vl_temperatura"), F.col("vl_pressao"), F.col("vl_humidade")
-    r = since(df, hours_before(as_of, hours))
+    r = P.with_measures_as_null_nan(since(df, hours_before(as_of, hours)))
     hum = F.coalesce(h > _d(th.humidity_high), F.lit(False))
     pr = F.coalesce((p < _d(th.pressure_min)) | (p > _d(th.pressure_max)), F.lit(False))
     tc = F.coalesce(t > _d(th.temp_critical), F.lit(False))
@@ -127,6 +128,7 @@ def predictive_alerts(scored: DataFrame, th: Thresholds = T, prob: str = "probab
 
 def vibration_alerts(df: DataFrame, th: Thresholds = T) -> DataFrame:
     """L4: vibration magnitude > 10 CRITICAL, > 7.5 WARNING."""
+    df = P.with_measures_as_null_nan(df)
     m = P.vibration_magnitude()
     sev = F.when(m > _d(th.vibration_critical), "CRITICAL").when(m > _d(th.vibration_warning), "WARNING")
     return (df.where(sev.isNotNull())

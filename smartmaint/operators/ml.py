@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..config import MEASURES, T
 from ..functions import scalars as P
+from ..session import materialize
 from .quantiles import global_quantiles, order_statistics
 from .windows import label_encode, rolling_features
 
@@ -150,9 +151,17 @@ def stratified_split(df: DataFrame, label: str = "target", test_size: float = TE
     return keyed.withColumn("is_test", cond).drop("_h")
 
 
-def fold_column(seed: int = SEED, folds: int = FOLDS, id_col: str = "id_medicao"):
-    """Cross-validation fold: a hash of (seed, id) mod folds — uniform inside each label."""
-    return F.pmod(F.xxhash64(F.lit(seed + 1), F.col(id_col)), F.lit(folds)).cast("int")
+def with_folds(df: DataFrame, seed: int = SEED, folds: int = FOLDS, id_col: str = "id_medicao",
+               label: str = "target") -> DataFrame:
+    """Stratified cross-validation folds: the rows of a label, in the order of a hash of (seed, id), are dealt in turn.
+
+    Folds of a label differ by at most one row. The ranks come from one
+    range sort and per-partition offsets (``dense_sequence``).
+    """
+    from .windows import dense_sequence
+    h = F.xxhash64(F.lit(seed + 1), F.col(id_col))
+    s = df.withColumn("_h", h).orderBy(label, "_h", id_col).withColumn("_o", F.monotonically_increasing_id())
+    return dense_sequence(s, "_o", "_seq").withColumn("fold", F.pmod("_seq", F.lit(folds)).cast("int")).drop("_h", "_seq")
 
 
 # --- M3: robust scaling -----------------------------------------------------------------
@@ -217,10 +226,11 @@ def running_sum_by(df: DataFrame, order_col: str, val: str, out: str) -> DataFra
     """Exclusive running sum of ``val`` in ``order_col`` order without a single-task window.
 
     Range-partitioned sort, per-partition running sums, partition offsets
-    (one row per partition → broadcast).
+    (one row per partition → broadcast). The sorted frame is written once, so
+    that sums and offsets come from the same partitions.
     """
     from pyspark.sql import Window
-    s = df.orderBy(order_col).withColumn("_o", F.monotonically_increasing_id())
+    s = materialize(df.orderBy(order_col).withColumn("_o", F.monotonically_increasing_id()))
     s = s.withColumn("_pid", F.shiftright("_o", 33))
     wp = Window.partitionBy("_pid").orderBy("_o").rowsBetween(Window.unboundedPreceding, -1)
     s = s.withColumn("_in", F.coalesce(F.sum(val).over(wp), F.lit(0)))

@@ -28,6 +28,7 @@ def quality_report(df: DataFrame, as_of, null_share: float = DEFAULT.null_share_
     ``timestamp`` is ``as_of``.
     """
     from ..sources.readers import ts_lit
+    df = P.with_measures_as_null_nan(df)
     nulls = None
     for c in df.columns:
         term = F.sum(F.col(f"`{c}`").isNull().cast("long"))
@@ -177,6 +178,7 @@ def clean(df: DataFrame, ordered: bool = True, k: float = DEFAULT.iqr_k) -> Data
     one projection with literals. ``ordered=False`` skips the final global
     sort when only aggregates follow.
     """
+    df = P.with_measures_as_null_nan(df)
     med_cols = [c for c in FILL_MEDIAN_COLS if c in df.columns]
     zero_cols = [c for c, t in df.dtypes if c not in FILL_MEDIAN_COLS
                  and (t in ("double", "float", "int", "bigint", "smallint", "tinyint") or t.startswith("decimal"))]

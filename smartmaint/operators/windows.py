@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as P
+from ..session import materialize
 
 
 def machine_window(rows_back: int | None = None, key: str = "id_maquina",
@@ -26,30 +27,43 @@ def chunked_rolling(df: DataFrame, k_back: int, aggs, key: str = "id_maquina", t
                     id_col: str = "id_medicao", target_rows: int = 1_000_000) -> DataFrame:
     """Rows-based trailing window (``k_back`` preceding rows + current) that splits hot keys.
 
-    A key with more than ``target_rows`` rows is cut into equal time chunks
-    of about that many rows (a small key stays one chunk). Each chunk is
-    windowed in its own task, with a halo: the last ``k_back`` rows before
-    it. The halo comes from per-chunk tails (top ``k_back`` rows of each
-    chunk, a window-group limit), so it is bounded by ``k_back`` × chunks, not
-    by the data. ``aggs`` maps output names to functions ``w → Column``.
+    Keys with more than ``target_rows`` rows are cut by rows, not by time: a
+    range sort by (key, time, id) deals them to chunks of about that size,
+    however the times are spread. Each chunk is windowed in its own task,
+    with a halo: the last ``k_back`` rows before it, taken from the tails of
+    the chunks (a window-group limit), so bounded by ``k_back`` × chunks.
+    All other keys are one chunk. NULL keys form a group of their own, NULL
+    times come first. ``aggs`` maps output names to functions ``w → Column``.
     Exact: every row sees the same frame as one window over the whole key.
     """
-    t_us = F.unix_micros(F.col(ts))
-    st = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(t_us).alias("_t0"), F.max(t_us).alias("_t1"))
-    n_chunks = F.greatest(F.ceil(F.col("_n") / F.lit(float(target_rows))), F.lit(1))
-    st = st.select(key, "_t0", (F.floor((F.col("_t1") - F.col("_t0")) / n_chunks) + 1).alias("_len"))
-    data = (df.join(st, key).withColumn("_chunk", F.floor((t_us - F.col("_t0")) / F.col("_len")))
-            .drop("_t0", "_len").withColumn("_halo", F.lit(False)))
-
+    counts = df.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > target_rows)
+    hot_rows = counts.agg(F.sum("_n")).first()[0]
+    if hot_rows is None:
+        w = Window.partitionBy(key).orderBy(F.col(ts), F.col(id_col)).rowsBetween(-k_back, 0)
+        out = df
+        for name, fn in aggs.items():
+            out = out.withColumn(name, fn(w))
+        return out
+    is_hot = F.col(key).eqNullSafe(F.col("_k"))
+    cold = df.join(counts, is_hot, "left_anti").withColumn("_chunk", F.lit(-1))
+    hot = materialize(df.join(counts, is_hot, "left_semi")
+                      .repartitionByRange(-(-hot_rows // target_rows), F.col(key), F.col(ts), F.col(id_col))
+                      .withColumn("_chunk", F.spark_partition_id()))
     wt = Window.partitionBy(key, "_chunk").orderBy(F.col(ts).desc(), F.col(id_col).desc())
-    tails = data.withColumn("_r", F.row_number().over(wt)).where(F.col("_r") <= k_back).drop("_r")
-    wk = Window.partitionBy(key).orderBy(F.col(ts), F.col(id_col)).rowsBetween(1, k_back)
-    served = F.filter(F.array_distinct(F.collect_list("_chunk").over(wk)), lambda c: c > F.col("_chunk"))
-    halo = (tails.withColumn("_served", served)
-            .withColumn("_chunk", F.explode("_served")).drop("_served").withColumn("_halo", F.lit(True)))
-
+    tails = hot.withColumn("_r", F.row_number().over(wt)).where(F.col("_r") <= k_back).drop("_r")
+    # a tail row serves every later chunk that starts within its next k_back rows
+    starts = hot.groupBy(F.col(key).alias("_k"), F.col("_chunk").alias("_c")).agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.partitionBy("_k").orderBy("_c")
+    starts = starts.withColumn("_upto", F.sum("_size").over(before) - F.col("_size"))
+    # chunks hold at least one row, so at most k_back of them can start within k_back rows
+    starts = starts.withColumn("_next", F.collect_list(F.struct("_c", "_upto")).over(before.rowsBetween(1, k_back)))
+    at = (F.col("_upto") + F.col("_size") - F.least(F.col("_size"), F.lit(k_back)) - 1
+          + F.row_number().over(Window.partitionBy(key, "_chunk").orderBy(F.col(ts), F.col(id_col))))
+    halo = (tails.join(starts, is_hot & (F.col("_chunk") == F.col("_c"))).withColumn("_at", at)
+            .withColumn("_s", F.explode("_next")).where(F.col("_s._upto") - F.col("_at") <= k_back)
+            .withColumn("_chunk", F.col("_s._c")).select(*hot.columns))
     w = Window.partitionBy(key, "_chunk").orderBy(F.col(ts), F.col(id_col)).rowsBetween(-k_back, 0)
-    out = data.unionByName(halo)
+    out = cold.unionByName(hot).withColumn("_halo", F.lit(False)).unionByName(halo.withColumn("_halo", F.lit(True)))
     for name, fn in aggs.items():
         out = out.withColumn(name, fn(w))
     return out.where(~F.col("_halo")).drop("_halo", "_chunk")
@@ -73,7 +87,7 @@ def rolling_features(df: DataFrame, cols=("vl_temperatura", "vl_pressao", "vl_hu
 
 
 def device_running_stats(df: DataFrame, n: int = 100, key: str = "id_maquina",
-                         target_rows: int = 1_000_000) -> DataFrame:
+                         target_rows: int = 1_000_000, ts: str = "dataHora_medicao") -> DataFrame:
     """Mean temperature and max vibration magnitude of the last ``n`` readings.
 
     The max has a floor of 0 (the firmware starts from 0).
@@ -81,29 +95,37 @@ def device_running_stats(df: DataFrame, n: int = 100, key: str = "id_maquina",
     mag = P.vibration_magnitude()
     aggs = {"avg_temp_last_n": lambda w: F.avg("vl_temperatura").over(w),
             "max_vibration_last_n": lambda w: F.greatest(F.max(mag).over(w), F.lit(0.0))}
-    return chunked_rolling(df, n - 1, aggs, key=key, target_rows=target_rows)
+    return chunked_rolling(df, n - 1, aggs, key=key, ts=ts, target_rows=target_rows)
 
 
-def latest_per_machine(df: DataFrame, key: str = "id_maquina",
-                       ts: str = "dataHora_medicao", id_col: str = "id_medicao") -> DataFrame:
-    """The newest row per machine (time, then id, descending).
+def newest_rows(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The row of each group that is last by ``order``; the first of ``order`` must not be a wide value.
 
-    ``max_by`` over a struct is a partial aggregate: each task keeps only its
-    local newest row per machine, so a hot machine never gathers in one task.
+    The newest time per group is a hash aggregate over short rows; only the
+    rows that bear it (few) are then compared whole. NULL keys form a group,
+    NULL times count as oldest.
     """
-    cols = [c for c in df.columns if c != key]
-    order = F.struct(F.col(ts), F.col(id_col))
-    return (df.groupBy(key).agg(F.max_by(F.struct(*cols), order).alias("_r"))
-            .select(key, *[F.col(f"_r.`{c}`").alias(c) for c in cols]))
+    first = order[0]
+    top = df.groupBy(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)]).agg(F.max(first).alias("_top"))
+    same = F.col("_top").eqNullSafe(F.col(first))
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_g{i}"))
+    last = df.join(top, same, "left_semi")
+    rest = [c for c in df.columns if c not in keys]
+    key = F.struct(*[F.col(c) for c in order])
+    return (last.groupBy(*keys).agg(F.max_by(F.struct(*rest), key).alias("_r"))
+            .select(*keys, *[F.col(f"_r.`{c}`").alias(c) for c in rest]))
+
+
+def latest_per_machine(df: DataFrame, key: str = "id_maquina",
+                       ts: str = "dataHora_medicao", id_col: str = "id_medicao") -> DataFrame:
+    """The newest row per machine (time, then id, descending)."""
+    return newest_rows(df, [key], [ts, id_col])
 
 
 def latest_alert_per_type(alerts: DataFrame, order=("timestamp", "id")) -> DataFrame:
     """Newest alert per (equipment, alert type); ties → the larger ``order`` tail."""
-    cols = [c for c in alerts.columns if c not in ("equipment_id", "alert_type")]
-    order = F.struct(*[F.col(c) for c in order])
-    return (alerts.groupBy("equipment_id", "alert_type")
-            .agg(F.max_by(F.struct(*cols), order).alias("_r"))
-            .select("equipment_id", "alert_type", *[F.col(f"_r.`{c}`").alias(c) for c in cols]))
+    return newest_rows(alerts, ["equipment_id", "alert_type"], list(order))
 
 
 def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
@@ -144,10 +166,13 @@ def risk_ranking(scored: DataFrame, risk: str = "risk_score") -> DataFrame:
 def dense_sequence(df: DataFrame, order_col: str, out: str, start: int = 0) -> DataFrame:
     """Dense ids in the order of a ``monotonically_increasing_id`` column.
 
-    The id encodes (partition, position), so the dense id is the position
+    The numbered frame is written first: offsets and rows must come from one
+    evaluation, since a range sort may cut its partitions anew each time it
+    runs. The id encodes (partition, position), so the dense id is the position
     plus the number of rows in earlier partitions. The offsets table has one
     row per input partition (bounded by the partition count → broadcast).
     """
+    df = materialize(df)
     pid = F.shiftright(F.col(order_col), 33)
     counts = df.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -168,7 +193,7 @@ def dense_rank_global(df: DataFrame, col: str, out: str, ascending: bool = True)
     c = F.col(col)
     vc = df.groupBy(c.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
     vs = vc.orderBy(F.col("_v").asc_nulls_last() if ascending else F.col("_v").desc_nulls_last())
-    vs = vs.withColumn("_o", F.monotonically_increasing_id())
+    vs = materialize(vs.withColumn("_o", F.monotonically_increasing_id()))  # one evaluation of the range sort
     pid = F.shiftright(F.col("_o"), 33)
     # within each sorted partition, a running count; then partition offsets
     wp = Window.partitionBy("_pid").orderBy("_o").rowsBetween(Window.unboundedPreceding, -1)

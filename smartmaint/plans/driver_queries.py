@@ -988,18 +988,52 @@ def q_train_logistic_regression(spark, sf):
     return round_doubles(M.binary_metrics(M.with_p1(model.transform(test))))
 
 
-@register("confusion_matrix")
+KNN_PRED_CTES = KNN_CTES + f""",
+nn AS (SELECT a.id_medicao, a.target, b.target AS train_label,
+        row_number() OVER (PARTITION BY a.id_medicao ORDER BY {KNN_DIST}, b.id_medicao) AS nn_rank
+      FROM kf a JOIN kf b ON a.is_test AND NOT b.is_test QUALIFY nn_rank <= 5),
+pr AS (SELECT id_medicao, any_value(target) AS y, avg(CAST(train_label = 1 AS DOUBLE)) AS p1,
+         CASE WHEN avg(CAST(train_label = 1 AS DOUBLE)) > 0.5 THEN 1 ELSE 0 END AS yhat FROM nn GROUP BY 1),
+c AS (SELECT count(*) AS n, count(*) FILTER (y = 1 AND yhat = 1) AS tp, count(*) FILTER (y = 0 AND yhat = 1) AS fp,
+        count(*) FILTER (y = 1 AND yhat = 0) AS fn, count(*) FILTER (y = 0 AND yhat = 0) AS tn FROM pr),
+s AS (SELECT p1, count(*) FILTER (y = 1) AS pos, count(*) FILTER (y = 0) AS neg FROM pr GROUP BY 1),
+u AS (SELECT sum(pos * (below + 0.5::DOUBLE * neg)) AS u, sum(pos) AS p, sum(neg) AS n FROM
+       (SELECT *, coalesce(sum(neg) OVER (ORDER BY p1 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM s)),
+k AS (SELECT 0 AS cls, tn AS hit, tn + fn AS said, tn + fp AS support FROM c
+      UNION ALL SELECT 1, tp, tp + fp, tp + fn FROM c),
+pc AS (SELECT cls, support, CASE WHEN said = 0 THEN 0.0::DOUBLE ELSE hit::DOUBLE / said END AS p,
+         CASE WHEN support = 0 THEN 0.0::DOUBLE ELSE hit::DOUBLE / support END AS r FROM k),
+pf AS (SELECT *, CASE WHEN p + r = 0 THEN 0.0::DOUBLE ELSE 2.0::DOUBLE * p * r / (p + r) END AS f FROM pc)"""
+
+
+def _knn_scored(spark, sf):
+    from ..session import materialize
+    train, test = _knn_inputs(spark, sf)
+    return materialize(M.knn_predict(train, test, KNN_COLS, k=5).join(test.select("id_medicao", "target"), "id_medicao"))
+
+
+@register("binary_metrics", with_mapping(f"""
+SELECT {R8('(tp + tn)::DOUBLE / c.n')} AS accuracy, {R8('pf.p')} AS precision, {R8('pf.r')} AS recall,
+  {R8('pf.f')} AS f1_score, {R8('CASE WHEN u.p > 0 AND u.n > 0 THEN u.u / (u.p * u.n) ELSE 0.0::DOUBLE END')} AS auc_roc
+FROM c, u, pf WHERE pf.cls = 1""", KNN_PRED_CTES))
+def q_binary_metrics(spark, sf):
+    return round_doubles(M.binary_metrics(_knn_scored(spark, sf)))
+
+
+@register("confusion_matrix", with_mapping("""
+SELECT 0 AS label, 0 AS prediction, tn AS count FROM c UNION ALL SELECT 0, 1, fp FROM c
+UNION ALL SELECT 1, 0, fn FROM c UNION ALL SELECT 1, 1, tp FROM c""", KNN_PRED_CTES))
 def q_confusion_matrix(spark, sf):
-    train, test, cols = _ml_ready(spark, sf)
-    model = M._lr(1.0, train.count()).fit(train)
-    return M.confusion_matrix(model.transform(test))
+    return M.confusion_matrix(_knn_scored(spark, sf))
 
 
-@register("classification_report")
+@register("classification_report", with_mapping(f"""
+SELECT CAST(cls AS VARCHAR) AS class, {R8('p')} AS precision, {R8('r')} AS recall, {R8('f')} AS f1_score, support FROM pf
+UNION ALL SELECT 'macro avg', {R8('avg(p)')}, {R8('avg(r)')}, {R8('avg(f)')}, CAST(sum(support) AS BIGINT) FROM pf
+UNION ALL SELECT 'weighted avg', {R8('sum(p * support) / sum(support)')}, {R8('sum(r * support) / sum(support)')},
+  {R8('sum(f * support) / sum(support)')}, CAST(sum(support) AS BIGINT) FROM pf""", KNN_PRED_CTES))
 def q_classification_report(spark, sf):
-    train, test, cols = _ml_ready(spark, sf)
-    model = M._lr(1.0, train.count()).fit(train)
-    return round_doubles(M.classification_report(model.transform(test)))
+    return round_doubles(M.classification_report(_knn_scored(spark, sf)))
 
 
 @register("feature_importances")
@@ -1039,19 +1073,26 @@ def _scratch(spark, name):
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:8]}")
 
 
-def _run_stream(spark, sf, build, name, heartbeats=False, dup=False, files_per_trigger=1000):
-    """Write the message drop, run ``build(raw) → foreachBatch`` to completion, read the result."""
+def _run_stream(spark, sf, build, name, heartbeats=False, dup=False, slices=3):
+    """Write the message drop in time slices and run ``build(raw, out, ck)`` to completion after each.
+
+    Every slice is at least one micro-batch on the same checkpoint, so state
+    passes from batch to batch.
+    """
     r, m = _t(spark, sf)
     msgs = T.encode_messages(r, m)
     if dup:
         msgs = msgs.unionByName(msgs)
     if heartbeats:
         msgs = msgs.unionByName(T.heartbeat_messages(r))
-    drop = T.write_message_drop(msgs, _scratch(spark, f"{name}-drop"))
-    out, ck = _scratch(spark, f"{name}-out"), _scratch(spark, f"{name}-ck")
-    raw = T.read_message_stream(spark, drop, files_per_trigger)
-    q = build(raw, out, ck)
-    q.awaitTermination()
+    drop, out, ck = (_scratch(spark, f"{name}-{x}") for x in ("drop", "out", "ck"))
+    lo, hi = r.agg(F.min("dataHora_medicao"), F.max("dataHora_medicao")).first()
+    cuts = [lo + (hi - lo) * i / slices for i in range(1, slices)]
+    for a, b in zip([None, *cuts], [*cuts, None]):
+        part = msgs if a is None else msgs.where(F.col("event_time") > F.lit(a))
+        part = part if b is None else part.where(F.col("event_time") <= F.lit(b))
+        T.write_message_drop(part, drop, mode="append")
+        build(T.read_message_stream(spark, drop, 1000), out, ck).awaitTermination()
     return spark.read.parquet(out)
 
 
@@ -1114,9 +1155,7 @@ FROM (SELECT *, CASE WHEN id_medicao % 2 = 0 THEN "dataHora_medicao"
 WINDOW w AS (PARTITION BY id_maquina ORDER BY t, id_medicao ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)"""))
 def q_device_running_stats_stream(spark, sf):
     def build(raw, out, ck):
-        rd = T.stream_readings(raw).withColumn("id_medicao", F.lit(0).cast("long"))
-        return (T.running_device_stats(rd).writeStream.outputMode("append").foreachBatch(_foreach_to(out))
-                .option("checkpointLocation", ck).trigger(availableNow=True).start())
+        return T.run_device_stats(T.stream_readings(raw).withColumn("id_medicao", F.lit(0).cast("long")), out, ck)
     return round_doubles(_run_stream(spark, sf, build, "running").drop("batch_id"))
 
 
@@ -1153,10 +1192,45 @@ def q_throttled_alerts(spark, sf):
     return T.throttle_alerts(r)
 
 
-@register("dead_letters")
+ALERT_STREAM_CTES = f"""sr AS (SELECT * REPLACE (id_maquina || '_EQ' AS id_maquina), CASE WHEN id_medicao % 2 = 0 THEN "dataHora_medicao"
+       ELSE date_trunc('millisecond', "dataHora_medicao") END AS t FROM readings),
+f AS (SELECT id_maquina AS device, t AS ts FROM sr WHERE {DEVICE_FAULT_SQL}),
+t0 AS (SELECT id_maquina AS device, min(t) AS t0 FROM sr GROUP BY 1),
+chain AS (
+  SELECT f.device, min(f.ts) AS ts FROM f JOIN t0 ON f.device = t0.device
+  WHERE f.ts > t0.t0 + INTERVAL 30 SECOND GROUP BY f.device
+  UNION ALL
+  SELECT c.device, (SELECT min(g.ts) FROM f g WHERE g.device = c.device AND g.ts > c.ts + INTERVAL 30 SECOND)
+  FROM chain c WHERE c.ts IS NOT NULL),
+sent AS (SELECT sr.* FROM sr JOIN chain ON sr.id_maquina = chain.device AND sr.t = chain.ts WHERE {DEVICE_FAULT_SQL})"""
+
+
+@register("alert_stream", with_mapping("""
+SELECT id_maquina AS equipment_id, t AS timestamp, 'TEMPERATURE_HIGH' AS alert_type,
+  CASE WHEN vl_temperatura > 95 THEN 'CRITICAL' ELSE 'WARNING' END AS severity FROM sent WHERE vl_temperatura > 85
+UNION ALL SELECT id_maquina, t, 'PRESSURE_ABNORMAL', 'CRITICAL' FROM sent WHERE vl_pressao < 960 OR vl_pressao > 1040
+UNION ALL SELECT id_maquina, t, 'HUMIDITY_HIGH', 'WARNING' FROM sent WHERE vl_humidade > 80""",
+                                       ALERT_STREAM_CTES).replace("WITH ", "WITH RECURSIVE ", 1))
+def q_alert_stream(spark, sf):
+    def build(raw, out, ck):
+        return T.run_alert_stream(T.stream_readings(raw).withColumn("id_medicao", F.lit(0).cast("long")), out, ck)
+    return _run_stream(spark, sf, build, "alerts").select("equipment_id", "timestamp", "alert_type", "severity")
+
+
+# every 53rd message body is cut short on its way
+@register("dead_letters", with_mapping("""
+SELECT 'plant/ESP32_' || id_maquina || '/sensors/data' AS topic, id_medicao, 'invalid_json' AS reason
+FROM readings WHERE id_medicao % 53 = 0"""))
 def q_dead_letters(spark, sf):
     r, m = _t(spark, sf)
-    return T.dead_letters(T.encode_messages(r, m).unionByName(T.heartbeat_messages(r)))
+    broken = T.encode_messages(r.where("id_medicao % 53 = 0"), m).select(
+        "topic", F.concat(F.lit("{"), F.col("value")).alias("value"), "event_time")
+    ids = r.where("id_medicao % 53 = 0").select("id_medicao", F.concat(F.lit("plant/ESP32_"), "id_maquina", F.lit("/sensors/data")).alias("topic"),
+                                                F.col("dataHora_medicao").alias("event_time"))
+    msgs = T.encode_messages(r.where("id_medicao % 53 != 0"), m).unionByName(T.heartbeat_messages(r))
+    bad = T.dead_letters(msgs.unionByName(broken).select("topic", F.concat("value", F.lit(" "), F.unix_micros("event_time")).alias("value")))
+    at = F.timestamp_micros(F.substring_index("value", " ", -1).cast("long"))
+    return bad.select("topic", "reason", at.alias("event_time")).join(ids, ["topic", "event_time"]).select("topic", "id_medicao", "reason")
 
 
 # ---------------------------------------------------------------------------

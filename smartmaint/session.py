@@ -49,8 +49,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
     The cluster names it in ``spark.checkpoint.dir`` (picked up by the
-    context at start). Only when it is unset — local runs and tests — do we
-    make a folder of our own.
+    context at start). Only a ``local`` master may leave it unset and get a
+    folder of our own; ``local-cluster`` and real clusters must name one.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -58,6 +58,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="smartmaint-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d

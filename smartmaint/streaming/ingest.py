@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import scalars as P
@@ -59,10 +58,10 @@ def heartbeat_messages(readings: DataFrame) -> DataFrame:
                      "event_time")
 
 
-def write_message_drop(messages: DataFrame, path: str, files: int = 8) -> str:
-    """Write messages as JSON-lines files in event-time order (one range per file)."""
-    (messages.repartitionByRange(files, "event_time").sortWithinPartitions("event_time")
-     .select("topic", "value").write.mode("overwrite").json(path))
+def write_message_drop(messages: DataFrame, path: str, mode: str = "overwrite") -> str:
+    """Write messages as JSON-lines files in event-time order; the session's shuffle partitions set their number."""
+    (messages.repartitionByRange("event_time").sortWithinPartitions("event_time")
+     .select("topic", "value").write.mode(mode).json(path))
     return path
 
 
@@ -221,89 +220,85 @@ def hourly_trends_stream(readings: DataFrame, delay: str = "10 minutes") -> Data
                     "vl_vibracao", "flag_falha", "id_medicao"))
 
 
-RUNNING_OUT = T.StructType([
-    T.StructField("id_maquina", T.StringType()), T.StructField("dataHora_medicao", T.TimestampType()),
-    T.StructField("avg_temp_last_n", T.DoubleType()), T.StructField("max_vibration_last_n", T.DoubleType())])
-RUNNING_STATE = T.StructType([T.StructField("temps", T.ArrayType(T.DoubleType())),
-                              T.StructField("mags", T.ArrayType(T.DoubleType()))])
+def _state_path(checkpoint: str, batch_id: int) -> str:
+    return f"{checkpoint.rstrip('/')}-state/batch_id={batch_id}"
 
 
-def running_device_stats(readings: DataFrame, n: int = 100) -> DataFrame:
+def _previous(spark: SparkSession, checkpoint: str, batch_id: int) -> DataFrame | None:
+    """The state that the batch before left (batch ids are consecutive; a replay reads the same state again)."""
+    return spark.read.parquet(_state_path(checkpoint, batch_id - 1)) if batch_id else None
+
+
+def _started(readings: DataFrame, batch, checkpoint: str, available_now: bool, interval: str):
+    w = readings.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
+    return w.start()
+
+
+def run_device_stats(readings: DataFrame, out_path: str, checkpoint: str, n: int = 100,
+                     available_now: bool = True, interval: str = "5 seconds"):
     """Per device, mean temperature and max vibration magnitude of its last ``n`` readings.
 
-    State per device is bounded (the last ``n`` values); each micro-batch's
-    rows of a device are folded in time order.
+    Each micro-batch is one batch window (``device_running_stats``, so a hot
+    device is split over tasks) over its rows and the last ``n − 1`` rows of
+    every device, which the batch before left as a table beside the
+    checkpoint. Rows of a batch go by (time, id) per device, after all rows
+    of earlier batches. A replayed batch overwrites its own output and state.
     """
-    import numpy as np
-    import pandas as pd
-
-    def fold(key, pdfs, state):
-        temps, mags = ([], []) if not state.exists else (list(state.get[0]), list(state.get[1]))
-        outs = []
-        for pdf in pdfs:
-            pdf = pdf.sort_values(["dataHora_medicao", "id_medicao"])
-            for t, m, ts in zip(pdf["vl_temperatura"], pdf["mag"], pdf["dataHora_medicao"]):
-                temps.append(float(t) if t == t and t is not None else float("nan"))
-                mags.append(float(m) if m == m and m is not None else float("nan"))
-                temps, mags = temps[-n:], mags[-n:]
-                tv = np.array(temps)
-                avg = float(np.nanmean(tv)) if np.any(~np.isnan(tv)) else None
-                mv = np.array(mags)
-                mx = max(float(np.nanmax(mv)), 0.0) if np.any(~np.isnan(mv)) else 0.0
-                outs.append((key[0], ts, avg, mx))
-        state.update((temps, mags))
-        yield pd.DataFrame(outs, columns=["id_maquina", "dataHora_medicao", "avg_temp_last_n",
-                                          "max_vibration_last_n"])
-
-    src = readings.select("id_maquina", "id_medicao", "dataHora_medicao", "vl_temperatura",
-                          P.vibration_magnitude().alias("mag"))
-    return src.groupBy("id_maquina").applyInPandasWithState(
-        fold, RUNNING_OUT, RUNNING_STATE, "append", "NoTimeout")
-
-
-THROTTLE_OUT = T.StructType([T.StructField("device", T.StringType()), T.StructField("ts", T.TimestampType())])
+    from ..operators.windows import device_running_stats
+    from ..session import materialize
+    cols = ["id_maquina", "id_medicao", "dataHora_medicao", "vl_temperatura", "vl_vibr_x", "vl_vibr_y", "vl_vibr_z"]
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        cur = P.with_measures_as_null_nan(df.select(*cols)).withColumn("_pos", F.lit(0)).withColumn("_new", F.lit(True))
+        held = _previous(df.sparkSession, checkpoint, batch_id)
+        if held is not None:
+            cur = cur.unionByName(held.withColumn("_new", F.lit(False)))
+        cur = materialize(cur).withColumn("_ord", F.struct("_new", "_pos", "dataHora_medicao"))
+        stats = device_running_stats(cur, n, ts="_ord")
+        stats.where("_new").select("id_maquina", "dataHora_medicao", "avg_temp_last_n", "max_vibration_last_n") \
+            .write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        w = Window.partitionBy("id_maquina").orderBy(F.col("_ord").desc(), F.col("id_medicao").desc())
+        last = cur.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") < n).withColumn("_pos", -F.col("_rn"))
+        last.select(*cols, "_pos").write.mode("overwrite").parquet(_state_path(checkpoint, batch_id))
+
+    return _started(readings, batch, checkpoint, available_now, interval)
 
 
 def _next_event(events: DataFrame, queries: DataFrame, chunk_rows: int) -> DataFrame:
     """For each query (device, qid, q): the first event time t > q of its device (or NULL).
 
-    Events and queries are cut into per-device time chunks of about
-    ``chunk_rows`` events and matched by a window per (device, chunk); a query
-    with no later event in its chunk takes the first event of the next
-    non-empty chunk from the (small) table of chunk heads.
+    Events and queries are range-sorted together by (device, time) into chunks
+    of about ``chunk_rows`` rows, however the times are spread, and matched by
+    a window per (device, chunk); a query with no later event in its chunk
+    takes the first event of the device's chunks behind it (one short row per
+    device and chunk).
     """
-    st = events.groupBy("device").agg(F.count(F.lit(1)).alias("_n"), F.min("t").alias("_t0"),
-                                      F.max("t").alias("_t1"))
-    n_chunks = F.greatest(F.ceil(F.col("_n") / F.lit(float(chunk_rows))), F.lit(1))
-    st = st.select("device", "_t0", (F.floor((F.col("_t1") - F.col("_t0")) / n_chunks) + 1).alias("_len"))
-
-    def chunk(col):
-        return F.floor((col - F.col("_t0")) / F.col("_len"))
-
-    ev = events.join(st, "device").select("device", chunk(F.col("t")).alias("c"), "t")
-    qs = queries.join(st, "device", "left").select("device", "qid", "q", chunk(F.col("q")).alias("c"))
-    rows = (ev.select("device", "c", F.col("t").alias("time"), F.lit(0).alias("is_q"),
-                      F.lit(None).cast("long").alias("qid"))
-            .unionByName(qs.select("device", "c", F.col("q").alias("time"), F.lit(1).alias("is_q"), "qid")))
+    from ..session import materialize
+    rows = (events.select("device", F.col("t").alias("time"), F.lit(0).alias("is_q"), F.lit(None).cast("long").alias("qid"))
+            .unionByName(queries.select("device", F.col("q").alias("time"), F.lit(1).alias("is_q"), "qid")))
+    parts = max(int(events.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // chunk_rows))
+    rows = materialize(rows.repartitionByRange(parts, "device", "time", "is_q").withColumn("c", F.spark_partition_id()))
+    event = F.when(F.col("is_q") == 0, F.col("time"))
     w = (Window.partitionBy("device", "c").orderBy("time", "is_q")
          .rowsBetween(1, Window.unboundedFollowing))
-    found = (rows.withColumn("nxt", F.first(F.when(F.col("is_q") == 0, F.col("time")), ignorenulls=True).over(w))
-             .where(F.col("is_q") == 1).select("device", "qid", "c", "nxt"))
-    heads = ev.groupBy("device", "c").agg(F.min("t").alias("head")).withColumnRenamed("c", "hc")
-    late = (found.where(F.col("nxt").isNull()).join(heads, "device")
-            .where(F.col("hc") > F.col("c")).groupBy("device", "qid").agg(F.min("head").alias("nxt2")))
-    return (found.join(late, ["device", "qid"], "left")
+    found = rows.withColumn("nxt", F.first(event, ignorenulls=True).over(w)).where(F.col("is_q") == 1)
+    behind = Window.partitionBy("device").orderBy("c").rowsBetween(1, Window.unboundedFollowing)
+    heads = (rows.groupBy("device", "c").agg(F.min(event).alias("head"))
+             .select("device", "c", F.first("head", ignorenulls=True).over(behind).alias("nxt2")))
+    return (found.join(heads, ["device", "c"], "left")
             .select("device", "qid", F.coalesce("nxt", "nxt2").alias("nxt")))
 
 
 def throttle_alerts(readings: DataFrame, fault: Column | None = None, seconds: float = 30.0,
                     key: str = "id_maquina", ts: str = "dataHora_medicao",
-                    chunk_rows: int = 1_000_000) -> DataFrame:
+                    chunk_rows: int = 1_000_000, origin: DataFrame | None = None) -> DataFrame:
     """W14 (batch): while in fault, at most one alert per device per > ``seconds``.
 
     Greedy: an alert is emitted when the time since the last *emitted* one
     exceeds ``seconds``; the first must also be more than ``seconds`` after the
-    device start (its first reading, as the firmware's uptime clock). The
+    device start (its first reading, as the firmware's uptime clock), or after
+    the time that ``origin`` (device, t0 in microseconds) names. The
     emissions are the chain e1 → next(e1) → …, with next(e) the first fault
     more than ``seconds`` after e. ``next`` comes from chunked windows
     (``_next_event``); the chain is marked by pointer doubling — jump tables
@@ -315,7 +310,7 @@ def throttle_alerts(readings: DataFrame, fault: Column | None = None, seconds: f
     lim = int(seconds * 1_000_000)
     fault = P.device_fault() if fault is None else fault
     dev = F.col(key).alias("device")
-    t0 = readings.groupBy(dev).agg(F.min(F.unix_micros(F.col(ts))).alias("t0"))
+    t0 = origin if origin is not None else readings.groupBy(dev).agg(F.min(F.unix_micros(F.col(ts))).alias("t0"))
     events = materialize(readings.where(fault).select(dev, F.unix_micros(F.col(ts)).alias("t")).distinct())
 
     # next pointer of every fault time, and the first alert of every device
@@ -342,27 +337,32 @@ def throttle_alerts(readings: DataFrame, fault: Column | None = None, seconds: f
     return marked.select("device", F.timestamp_micros("t").alias("ts"))
 
 
-def throttled_alert_stream(readings: DataFrame, seconds: float = 30.0) -> DataFrame:
-    """Device-rule faults, throttled per device with the last emission time as state."""
-    import pandas as pd
-    lim = pd.Timedelta(seconds=seconds)
-    faults = readings.where(P.device_fault()).select(F.col("id_maquina").alias("device"),
-                                                     F.col("dataHora_medicao").alias("ts"))
-
-    def fold(key, pdfs, state):
-        last = pd.Timestamp(state.get[0]) if state.exists else None
-        keep = []
-        for pdf in pdfs:
-            for t in pdf.sort_values("ts")["ts"]:
-                if last is None:
-                    last = t                     # device start: first fault seen
-                    continue
-                if t - last > lim:
-                    keep.append(t)
-                    last = t
-        if last is not None:
-            state.update((last.to_pydatetime(),))
-        yield pd.DataFrame({"device": [key[0]] * len(keep), "ts": keep})
-
-    return faults.groupBy("device").applyInPandasWithState(
-        fold, THROTTLE_OUT, T.StructType([T.StructField("last", T.TimestampType())]), "append", "NoTimeout")
+def run_alert_stream(readings: DataFrame, out_path: str, checkpoint: str, seconds: float = 30.0,
+                     available_now: bool = True, interval: str = "5 seconds"):
+    """Throttled device faults as L1 alert rows.
+
+    Each micro-batch runs the batch throttle from where the device's clock
+    stands: its last alert, or its first reading ever. That clock is a table
+    beside the checkpoint, one short row per device. Devices' readings are
+    expected in time order over the batches; a reading that comes late is
+    judged against the clock it meets.
+    """
+    from ..operators.alerts import threshold_alert_rows
+    from ..session import materialize
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        cur = materialize(P.with_measures_as_null_nan(df.where(F.col("dataHora_medicao").isNotNull())))
+        micros = F.unix_micros("dataHora_medicao")
+        clock = cur.groupBy(F.col("id_maquina").alias("device")).agg(F.min(micros).alias("first"))
+        held = _previous(df.sparkSession, checkpoint, batch_id)
+        held = clock.select("device", F.lit(None).cast("long").alias("t0")).limit(0) if held is None else held
+        clock = materialize(clock.join(held, "device", "full").select("device", F.coalesce("t0", "first").alias("t0")))
+        sent = materialize(throttle_alerts(cur, seconds=seconds, origin=clock))
+        at = cur.where(P.device_fault()).join(sent, (F.col("id_maquina") == F.col("device"))
+                                              & (F.col("dataHora_medicao") == F.col("ts")), "left_semi")
+        threshold_alert_rows(at).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+        last = sent.groupBy("device").agg(F.max(F.unix_micros("ts")).alias("last"))
+        clock.join(last, "device", "left").select("device", F.coalesce("last", "t0").alias("t0")) \
+            .write.mode("overwrite").parquet(_state_path(checkpoint, batch_id))
+
+    return _started(readings, batch, checkpoint, available_now, interval)

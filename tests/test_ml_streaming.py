@@ -174,10 +174,7 @@ def test_running_stats_state_across_batches(spark):
 
     def run():
         rd = T.stream_readings(T.read_message_stream(spark, drop)).withColumn("id_medicao", F.lit(0).cast("long"))
-        q = (T.running_device_stats(rd, n=3).writeStream.outputMode("append")
-             .foreachBatch(lambda df, b: df.write.mode("append").parquet(out))
-             .option("checkpointLocation", ck).trigger(availableNow=True).start())
-        q.awaitTermination()
+        T.run_device_stats(rd, out, ck, n=3).awaitTermination()
     _write_lines(drop, "a.json", [_data_msg("ESP32_A", s, float(s)) for s in range(0, 4)])
     run()
     _write_lines(drop, "b.json", [_data_msg("ESP32_A", s, float(s)) for s in range(4, 6)])
@@ -186,14 +183,40 @@ def test_running_stats_state_across_batches(spark):
     assert got == {0: 0.0, 1: 0.5, 2: 1.0, 3: 2.0, 4: 3.0, 5: 4.0}
 
 
+def test_running_stats_of_many_rows_of_one_device_in_a_batch(spark):
+    """More rows of a device than an Arrow batch holds, shuffled over several batches' files."""
+    base = tempfile.mkdtemp(prefix="running-")
+    rng = np.random.default_rng(3)
+    temps = rng.normal(50, 9, 24_000)
+    for part in range(2):
+        at = np.arange(part * 12_000, (part + 1) * 12_000)
+        rng.shuffle(at)
+        _write_lines(f"{base}/drop", f"{part}.json", [
+            ("plant/x/sensors/data", {"device_id": "ESP32_A", "timestamp": int(1704067200000 + 1000 * i),
+                                      "sensors": {"temperature": float(temps[i])}}) for i in at])
+        rd = T.stream_readings(T.read_message_stream(spark, f"{base}/drop")).withColumn("id_medicao", F.lit(0).cast("long"))
+        T.run_device_stats(rd, f"{base}/out", f"{base}/ck").awaitTermination()
+    got = {int((r.dataHora_medicao - T0).total_seconds()): r.avg_temp_last_n for r in spark.read.parquet(f"{base}/out").collect()}
+    c = np.concatenate(([0], np.cumsum(temps)))
+    assert len(got) == 24_000
+    assert all(abs(v - (c[i + 1] - c[max(0, i - 99)]) / min(100, i + 1)) < 1e-6 for i, v in got.items())
+
+
 def test_throttle_batch_and_stream_agree(spark):
-    secs = [0, 10, 31, 45, 62, 70, 100]
-    faults = spark.createDataFrame([("A", T0 + dt.timedelta(seconds=s)) for s in secs],
-                                   "id_maquina string, dataHora_medicao timestamp")
-    got = sorted(int((r.ts - T0).total_seconds())
-                 for r in T.throttle_alerts(faults, F.lit(True)).collect())
-    # start = first reading (0): emit > 30 s after the last emission: 31, 62, 100
-    assert got == [31, 62, 100]
+    secs = [0, 10, 31, 45, 62, 70, 100, 101, 140, 200, 231, 260]
+    msgs = [_data_msg("ESP32_A", s, 96.0 if s not in (0, 140) else 20.0) for s in secs]
+    base = tempfile.mkdtemp(prefix="alerts-")
+    for i, part in enumerate((msgs[:4], msgs[4:5], msgs[5:])):
+        _write_lines(f"{base}/drop", f"{i}.json", list(reversed(part)))
+        rd = T.stream_readings(T.read_message_stream(spark, f"{base}/drop")).withColumn("id_medicao", F.lit(0).cast("long"))
+        T.run_alert_stream(rd, f"{base}/out", f"{base}/ck").awaitTermination()
+    alerts = spark.read.parquet(f"{base}/out").orderBy("timestamp").collect()
+    whole = T.stream_readings(_raw(spark, msgs))
+    batch = sorted(r.ts for r in T.throttle_alerts(whole).collect())
+    # start = first reading (0, no fault): alerts more than 30 s after the last one
+    assert [int((t - T0).total_seconds()) for t in batch] == [31, 62, 100, 200, 231]
+    assert [r.timestamp for r in alerts] == batch
+    assert {(r.alert_type, r.severity) for r in alerts} == {("TEMPERATURE_HIGH", "CRITICAL")}
 
 
 @pytest.mark.parametrize("chunk_rows", [5, 1_000_000])

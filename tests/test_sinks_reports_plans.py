@@ -79,7 +79,7 @@ def test_cross_validation_and_baseline(spark):
     rows = [(i, "S", f"M{i % 3}", 70.0 + (i % 40), 1000.0, 1.0, 50.0, 0.0, 0.0, 9.8,
              "S" if (i % 40) > 25 else "N", "E") for i in range(300)]
     df = make_readings(spark, rows).withColumn("target", F.when(F.col("flag_falha") == "S", 1).otherwise(0))
-    data = M.assemble(df.withColumn("fold", M.fold_column()), ["vl_temperatura"])
+    data = M.assemble(M.with_folds(df), ["vl_temperatura"])
     ranked = M.cross_validate({"lr": M._lr(1.0, 300), "rf": M._rf(10, 5, 2)}, data)
     assert {n for _, n in ranked} == {"lr", "rf"} and all(0 <= s <= 1 for s, _ in ranked)
     base = M.baseline(df, ["vl_temperatura", "vl_pressao"])
