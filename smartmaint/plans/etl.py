@@ -53,7 +53,20 @@ def aggregate_for_reporting(clean: DataFrame, scale: int | None = 2) -> dict[str
 def etl_cycle(spark: SparkSession, readings: DataFrame, machines: DataFrame, as_of=AS_OF,
               hours: float = 1, out_path: str | None = None, stamp: str = "cycle",
               pipeline: str = "etl", run_id: int = 0, materialize_clean: bool = True) -> CycleResult:
+    """T7. Every outcome leaves a run-log row: success, a stopped gate (its rows count as failed), an error.
+
+    The checks of each cycle are appended to ``tables/t_checks`` (the history that W13 reads).
+    """
     t0 = time.time()
+
+    def finish(res: CycleResult, failed: int = 0, predictions: int = 0) -> CycleResult:
+        res.seconds = time.time() - t0
+        if out_path:
+            run_log_row(spark, pipeline, run_id, as_of, res.seconds, res.records - failed, failed, res.success, res.error,
+                        predictions=predictions).write.mode("append").parquet(f"{out_path}/run_log")
+        return res
+
+    n, checks = 0, []
     try:
         raw = extract(readings, machines, as_of, hours)
         if materialize_clean:
@@ -62,10 +75,12 @@ def etl_cycle(spark: SparkSession, readings: DataFrame, machines: DataFrame, as_
             raw = materialize(raw)
         checks = [r.asDict() for r in Q.quality_report(raw, as_of).collect()]
         n = checks[0]["total_records"] if checks else 0
+        if out_path:
+            log_checks(spark, pipeline, run_id, checks).write.mode("append").parquet(f"{out_path}/tables/t_checks")
         if n == 0:
-            return CycleResult(True, 0, checks, seconds=time.time() - t0)
+            return finish(CycleResult(True, 0, checks))
         if not Q.quality_gate(checks, n):
-            return CycleResult(False, n, checks, seconds=time.time() - t0, error="quality gate")
+            return finish(CycleResult(False, n, checks, error="quality gate"), failed=n)
         clean = Q.clean(raw, ordered=False)
         if materialize_clean:
             # four branches (three aggregates, risk) and the export read it
@@ -73,16 +88,21 @@ def etl_cycle(spark: SparkSession, readings: DataFrame, machines: DataFrame, as_
         aggs = aggregate_for_reporting(clean)
         preds = L.etl_risk(clean)
         if out_path:
-            sinks.replace_aggregates(aggs, f"{out_path}/tables")
+            lost = [name for name, ok in sinks.replace_aggregates(aggs, f"{out_path}/tables").items() if not ok]
+            if lost:
+                return finish(CycleResult(False, n, checks, aggs, error=f"tables not written: {', '.join(lost)}"), failed=n)
             sinks.export_csv(clean.orderBy("dataHora_medicao", "id_medicao"), aggs, f"{out_path}/export", stamp)
             preds.write.mode("overwrite").parquet(f"{out_path}/tables/t_predictions")
-        res = CycleResult(True, n, checks, aggs, preds, clean, time.time() - t0)
-        if out_path:
-            run_log_row(spark, pipeline, run_id, as_of, res.seconds, n, 0, True,
-                        predictions=preds.count()).write.mode("append").parquet(f"{out_path}/run_log")
-        return res
-    except Exception as e:  # noqa: BLE001 - a failed cycle is recorded, not raised
-        return CycleResult(False, 0, seconds=time.time() - t0, error=f"{type(e).__name__}: {e}")
+        return finish(CycleResult(True, n, checks, aggs, preds, clean), predictions=preds.count() if out_path else 0)
+    except Exception as e:  # noqa: BLE001 - a failed cycle is recorded in the run log, not raised
+        return finish(CycleResult(False, n, checks, error=f"{type(e).__name__}: {e}"), failed=n)
+
+
+def log_checks(spark: SparkSession, pipeline: str, run_id: int, checks: list[dict]) -> DataFrame:
+    """The cycle's checks as history rows (pipeline, run_id, seq, check_name, passed, timestamp, affected_records)."""
+    return spark.createDataFrame(
+        [(pipeline, run_id, i, c["check_name"], c["passed"], c["timestamp"], c["affected_records"]) for i, c in enumerate(checks)],
+        "pipeline string, run_id long, seq long, check_name string, passed boolean, timestamp timestamp, affected_records long")
 
 
 def etl_summary(spark: SparkSession, sf_dir: str, as_of=AS_OF, hours: float = 24 * 31) -> DataFrame:

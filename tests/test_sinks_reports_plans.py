@@ -96,6 +96,16 @@ def test_etl_cycle_and_entry(spark):
     assert res.success and res.records == 1000
     assert spark.read.parquet(f"{out}/tables/t_agg_hourly_trends").count() > 0
     assert spark.read.parquet(f"{out}/run_log").first().records_processed == 1000
+    bad = etl_cycle(spark, r.withColumn("vl_temperatura", F.lit(999.0)), m, AS_OF, hours=24 * 31, out_path=out, run_id=1)
+    assert not bad.success and bad.error == "quality gate"
+    broken = etl_cycle(spark, r.drop("vl_pressao"), m, AS_OF, hours=24 * 31, out_path=out, run_id=2)
+    assert not broken.success
+    log = {x.run_id: x for x in spark.read.parquet(f"{out}/run_log").collect()}
+    assert [log[i].success for i in (0, 1, 2)] == [True, False, False]
+    assert log[1].records_failed == 1000 and log[1].records_processed == 0 and log[2].error
+    checks = spark.read.parquet(f"{out}/tables/t_checks")
+    report = health_report(spark.read.parquet(f"{out}/run_log"), checks, AS_OF).first()
+    assert report.recent_failed_checks == 1 and report.errors == 2 and report.success_rate == pytest.approx(0.5)
     empty = etl_cycle(spark, r, m, AS_OF, hours=1, out_path=None)
     assert empty.success
     df = E.entry(spark)
