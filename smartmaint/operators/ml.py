@@ -159,7 +159,7 @@ def with_folds(df: DataFrame, seed: int = SEED, folds: int = FOLDS, id_col: str
     range sort and per-partition offsets (``dense_sequence``).
     """
     from .windows import dense_sequence
-    h = F.xxhash64(F.lit(seed + 1), F.col(id_col))
+    h = split_hash(seed + 1, id_col)
     s = df.withColumn("_h", h).orderBy(label, "_h", id_col).withColumn("_o", F.monotonically_increasing_id())
     return dense_sequence(s, "_o", "_seq").withColumn("fold", F.pmod("_seq", F.lit(folds)).cast("int")).drop("_h", "_seq")
 
@@ -308,6 +308,48 @@ def knn_predict(train: DataFrame, test: DataFrame, cols: list[str], k: int = 5,
                         F.when(F.col("p1") > 0.5, 1.0).otherwise(0.0).alias("prediction"))
 
 
+def knn_grid_search(data: DataFrame, cols: list[str], grid: dict | None = None, fold_col: str = "fold",
+                    id_col: str = "id_medicao", label: str = "target") -> DataFrame:
+    """M7 for K-NN: mean F1 of class 1 over the folds for every setting (k, weights, metric, f1_score).
+
+    The neighbours of a fold are joined once per metric, for the largest k;
+    every k and weighting votes on a prefix of them. One short row per
+    candidate reaches the driver's plan, none its memory.
+    """
+    from functools import reduce
+
+    from .knn import knn_join
+    grid = grid or KNN_GRID
+    data = materialize(data.select(id_col, label, fold_col, *cols))
+    folds = sorted(r[0] for r in data.select(fold_col).distinct().collect())
+    test_id = f"test_{id_col}"
+    scored = []
+    for metric in grid["metric"]:
+        parts = [knn_join(data.where(F.col(fold_col) != f), data.where(F.col(fold_col) == f), cols, max(grid["k"]), metric,
+                          id_col, label=label).select(test_id, "train_label", "dist", "nn_rank", F.lit(f).alias("_fold")) for f in folds]
+        nn = materialize(reduce(DataFrame.unionByName, parts))
+        hit = (F.col("train_label") == 1).cast("double")
+        near = [F.col("nn_rank") <= k for k in grid["k"]]
+        votes = []
+        for k, within in zip(grid["k"], near):
+            exact = F.max(F.when(within, (F.col("dist") == 0).cast("int")))
+            inv = F.when(within & (F.col("dist") > 0), 1.0 / F.col("dist"))
+            zero = F.when(within & (F.col("dist") == 0), 1.0)
+            votes += [F.avg(F.when(within, hit)).alias(f"uniform_{k}"),
+                      F.when(exact == 1, F.sum(zero * hit) / F.sum(zero)).otherwise(F.sum(inv * hit) / F.sum(inv)).alias(f"distance_{k}")]
+        p = nn.groupBy("_fold", test_id).agg(*votes).join(data.select(F.col(id_col).alias(test_id), F.col(label).alias("_y")), test_id)
+        y = F.col("_y") == 1
+        names = [(w, k) for k in grid["k"] for w in grid["weights"]]
+        counts = p.groupBy("_fold").agg(*[F.struct(F.count_if((F.col(f"{w}_{k}") > 0.5) & y).alias("tp"),
+                                                   F.count_if((F.col(f"{w}_{k}") > 0.5) != y).alias("wrong")).alias(f"{w}_{k}") for w, k in names])
+        # F1 = 2 tp / (2 tp + fp + fn), 0 when nothing is predicted or present
+        f1 = {(w, k): F.avg(F.coalesce(F.try_divide(2.0 * F.col(f"{w}_{k}.tp"), 2 * F.col(f"{w}_{k}.tp") + F.col(f"{w}_{k}.wrong")), F.lit(0.0)))
+              for w, k in names}
+        scored.append(counts.agg(F.array(*[F.struct(F.lit(k).cast("long").alias("k"), F.lit(w).alias("weights"), F.lit(metric).alias("metric"),
+                                                    f1[w, k].alias("f1_score")) for w, k in names]).alias("c")).select(F.inline("c")))
+    return reduce(DataFrame.unionByName, scored)
+
+
 def _win_test(id_col):
     from pyspark.sql import Window
     return Window.partitionBy(f"test_{id_col}")

@@ -1012,6 +1012,35 @@ def _knn_scored(spark, sf):
     return materialize(M.knn_predict(train, test, KNN_COLS, k=5).join(test.select("id_medicao", "target"), "id_medicao"))
 
 
+KNN_GRID_CTES = KNN_CTES + """,
+fo AS (SELECT *, (row_number() OVER (ORDER BY target, CAST(('0x' || substr(md5('43_' || CAST(id_medicao AS VARCHAR)), 1, 13)) AS BIGINT),
+         id_medicao) - 1) % 5 AS fold FROM kf WHERE NOT is_test),
+di AS (SELECT a.id_medicao, a.fold, a.target AS y, b.id_medicao AS b_id, b.target AS t,
+         sqrt(""" + " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in KNN_COLS) + """) AS euclidean,
+         """ + " + ".join(f"abs(a.{c} - b.{c})" for c in KNN_COLS) + """ AS manhattan
+       FROM fo a JOIN fo b ON a.fold <> b.fold),
+rk AS (SELECT 'euclidean' AS metric, id_medicao, fold, y, t, euclidean AS dist,
+         row_number() OVER (PARTITION BY id_medicao ORDER BY euclidean, b_id) AS r FROM di QUALIFY r <= 9
+       UNION ALL SELECT 'manhattan', id_medicao, fold, y, t, manhattan,
+         row_number() OVER (PARTITION BY id_medicao ORDER BY manhattan, b_id) AS r FROM di QUALIFY r <= 9),
+vo AS (SELECT metric, k, id_medicao, fold, any_value(y) AS y, avg(CAST(t = 1 AS DOUBLE)) AS uniform,
+         CASE WHEN min(dist) = 0 THEN avg(CAST(t = 1 AS DOUBLE)) FILTER (dist = 0)
+              ELSE sum(CASE WHEN t = 1 THEN 1.0::DOUBLE / dist ELSE 0.0::DOUBLE END) / sum(1.0::DOUBLE / dist) END AS distance
+       FROM rk JOIN (VALUES (3), (5), (7), (9)) AS ks(k) ON r <= k GROUP BY ALL),
+lo AS (UNPIVOT vo ON uniform, distance INTO NAME weights VALUE p),
+ff AS (SELECT metric, k, weights, fold, count(*) FILTER (p > 0.5 AND y = 1) AS tp, count(*) FILTER ((p > 0.5) <> (y = 1)) AS wrong
+       FROM lo GROUP BY ALL)"""
+
+
+@register("knn_grid_search", with_mapping(f"""
+SELECT CAST(k AS BIGINT) AS k, weights, metric,
+  {R8('avg(CASE WHEN 2 * tp + wrong = 0 THEN 0.0::DOUBLE ELSE 2.0::DOUBLE * tp / (2 * tp + wrong) END)')} AS f1_score
+FROM ff GROUP BY ALL""", KNN_GRID_CTES))
+def q_knn_grid_search(spark, sf):
+    train, _ = _knn_inputs(spark, sf)
+    return round_doubles(M.knn_grid_search(M.with_folds(train), KNN_COLS))
+
+
 @register("binary_metrics", with_mapping(f"""
 SELECT {R8('(tp + tn)::DOUBLE / c.n')} AS accuracy, {R8('pf.p')} AS precision, {R8('pf.r')} AS recall,
   {R8('pf.f')} AS f1_score, {R8('CASE WHEN u.p > 0 AND u.n > 0 THEN u.u / (u.p * u.n) ELSE 0.0::DOUBLE END')} AS auc_roc
