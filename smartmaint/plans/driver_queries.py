@@ -231,12 +231,15 @@ def q_latest_readings(spark, sf):
     return S.latest_readings(r, m, 1000)
 
 
+# machine M7, M14, … and the sensor of error readings are taken to be unknown
 @register("orphan_readings", with_mapping("""
-SELECT r.*, 'machine' AS missing FROM readings r
-WHERE NOT EXISTS (SELECT 1 FROM machines m WHERE m.id_maquina = r.id_maquina)"""))
+SELECT r.*, 'machine' AS missing FROM readings r WHERE CAST(substr(r.id_maquina, 2) AS BIGINT) % 7 = 0
+UNION ALL SELECT r.*, 'sensor' FROM readings r WHERE r.id_sensor = 'SENS_error'"""))
 def q_orphan_readings(spark, sf):
     r, m = _t(spark, sf)
-    return J.orphan_readings(r, m)
+    known = m.where(F.substring("id_maquina", 2, 20).cast("long") % 7 != 0)
+    sensors = r.select("id_sensor").distinct().where("id_sensor != 'SENS_error'")
+    return J.orphan_readings(r, known, sensors)
 
 
 # ---------------------------------------------------------------------------
@@ -487,28 +490,54 @@ def q_quality_report(spark, sf):
     return Q.quality_report(S.recent_readings(r, m, AS_OF, hours=24 * 31), AS_OF)
 
 
+# readings with every rule broken somewhere: values shifted out of range, keys and flags taken away by id
+BROKEN_SQL = """broken AS (SELECT * REPLACE (
+  CASE WHEN id_medicao % 31 = 0 THEN vl_pressao - 2000 ELSE vl_pressao END AS vl_pressao,
+  CASE WHEN id_medicao % 37 = 0 THEN vl_humidade + 100 ELSE vl_humidade END AS vl_humidade,
+  CASE WHEN id_medicao % 41 = 0 THEN vl_temperatura + 400 ELSE vl_temperatura END AS vl_temperatura,
+  CASE WHEN id_medicao % 43 = 0 THEN 'X' ELSE flag_falha END AS flag_falha,
+  CASE WHEN id_medicao % 47 = 0 THEN NULL ELSE id_maquina END AS id_maquina,
+  CASE WHEN id_medicao % 53 = 0 THEN NULL ELSE id_sensor END AS id_sensor,
+  CASE WHEN id_medicao % 59 = 0 THEN NULL ELSE id_medicao // 2 END AS id_medicao) FROM readings)"""
+
+
+def _broken(spark, sf):
+    r, _ = _t(spark, sf)
+    e = F.col("id_medicao")
+
+    def where(n, value, c):
+        return F.when(e % n == 0, value).otherwise(F.col(c))
+
+    return r.withColumns({
+        "vl_pressao": where(31, F.col("vl_pressao") - 2000.0, "vl_pressao"),
+        "vl_humidade": where(37, F.col("vl_humidade") + 100.0, "vl_humidade"),
+        "vl_temperatura": where(41, F.col("vl_temperatura") + 400.0, "vl_temperatura"),
+        "flag_falha": where(43, F.lit("X"), "flag_falha"),
+        "id_maquina": where(47, F.lit(None).cast("string"), "id_maquina"),
+        "id_sensor": where(53, F.lit(None).cast("string"), "id_sensor"),
+        "id_medicao": F.when(e % 59 != 0, F.floor(e / 2).cast("long"))})
+
+
 @register("constraint_violations", with_mapping("""
 SELECT rule, count(*) AS count FROM (
-  SELECT 'pressure_non_negative' AS rule FROM readings WHERE vl_pressao < 0
-  UNION ALL SELECT 'humidity_range' FROM readings WHERE vl_humidade < 0 OR vl_humidade > 100
-  UNION ALL SELECT 'temperature_range' FROM readings WHERE vl_temperatura < -50 OR vl_temperatura > 200
-  UNION ALL SELECT 'flag_domain' FROM readings WHERE flag_falha NOT IN ('S', 'N')
-  UNION ALL SELECT 'id_required' FROM readings WHERE id_medicao IS NULL
-  UNION ALL SELECT 'machine_required' FROM readings WHERE id_maquina IS NULL
-  UNION ALL SELECT 'sensor_required' FROM readings WHERE id_sensor IS NULL) GROUP BY rule"""))
+  SELECT 'pressure_non_negative' AS rule FROM broken WHERE vl_pressao < 0
+  UNION ALL SELECT 'humidity_range' FROM broken WHERE vl_humidade < 0 OR vl_humidade > 100
+  UNION ALL SELECT 'temperature_range' FROM broken WHERE vl_temperatura < -50 OR vl_temperatura > 200
+  UNION ALL SELECT 'flag_domain' FROM broken WHERE flag_falha NOT IN ('S', 'N')
+  UNION ALL SELECT 'id_required' FROM broken WHERE id_medicao IS NULL
+  UNION ALL SELECT 'machine_required' FROM broken WHERE id_maquina IS NULL
+  UNION ALL SELECT 'sensor_required' FROM broken WHERE id_sensor IS NULL) GROUP BY rule""", BROKEN_SQL))
 def q_constraint_violations(spark, sf):
-    r, _ = _t(spark, sf)
-    return (Q.constraint_violations(r).select(F.explode("violations").alias("rule"))
+    return (Q.constraint_violations(_broken(spark, sf)).select(F.explode("violations").alias("rule"))
             .groupBy("rule").agg(F.count(F.lit(1)).alias("count")))
 
 
 @register("key_violations", with_mapping("""
-SELECT id_medicao, count(*) AS copies, 'duplicate_key' AS problem FROM readings
+SELECT id_medicao, count(*) AS copies, 'duplicate_key' AS problem FROM broken
 WHERE id_medicao IS NOT NULL GROUP BY id_medicao HAVING count(*) > 1
-UNION ALL SELECT id_medicao, count(*), 'null_key' FROM readings WHERE id_medicao IS NULL GROUP BY id_medicao"""))
+UNION ALL SELECT id_medicao, count(*), 'null_key' FROM broken WHERE id_medicao IS NULL GROUP BY id_medicao""", BROKEN_SQL))
 def q_key_violations(spark, sf):
-    r, _ = _t(spark, sf)
-    return Q.key_violations(r, ["id_medicao"])
+    return Q.key_violations(_broken(spark, sf), ["id_medicao"])
 
 
 MED_SQL = """med AS (SELECT quantile_cont(vl_temperatura, 0.5) AS mt, quantile_cont(vl_pressao, 0.5) AS mp,
@@ -1304,6 +1333,19 @@ def q_predictive_alerts(spark, sf):
     return L.predictive_alerts(q_score_readings(spark, sf))
 
 
+# L3 on the k-NN probabilities, which SQL reproduces; every class of severity occurs
+@register("knn_predictive_alerts", with_mapping("""
+SELECT 'ML_' || r.id_maquina || '_' || CAST(floor(epoch(r."dataHora_medicao")) AS BIGINT) AS id, r.id_maquina AS equipment_id,
+  'FAULT_PREDICTED' AS alert_type, CASE WHEN p1 > 0.8 THEN 'CRITICAL' ELSE 'WARNING' END AS severity,
+  r."dataHora_medicao" AS timestamp, p1 AS value, CASE WHEN p1 > 0.8 THEN 0.8::DOUBLE ELSE 0.6::DOUBLE END AS threshold,
+  'ACTIVE' AS status, 'ML_MODEL' AS source
+FROM pr JOIN readings r USING (id_medicao) WHERE p1 > 0.6""", KNN_PRED_CTES))
+def q_knn_predictive_alerts(spark, sf):
+    r, _ = _t(spark, sf)
+    scored = _knn_scored(spark, sf).join(r.select("id_medicao", "id_maquina", "dataHora_medicao"), "id_medicao")
+    return _no_message(L.predictive_alerts(scored, prob="p1"))
+
+
 @register("retrain")
 def q_retrain(spark, sf):
     from .training import retrain
