@@ -23,6 +23,7 @@ combined before any shuffle and met by equi-joins that can be split.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +47,9 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, th, line_no, place, words, h1, h2) of every line that has a word; ``place`` orders the lines of all documents."""
     rows = docs.select(docs[id_col].cast("long").alias("id"), F.xxhash64(docs[text_col]).alias("th"),
                        F.posexplode(F.split(docs[text_col].cast("string"), "\n")).alias("line_no", "line"))
-    spaced = F.when(F.col("line").rlike(r"[\x09-\x0D]|\x20\x20"), F.regexp_replace("line", r"[\x20\x09-\x0D]+", " ")).otherwise(F.col("line"))
+    # byte searches first: few lines need the pattern
+    uneven = reduce(Column.__or__, [F.contains("line", F.lit(x)) for x in ("  ", "\t", "\v", "\f", "\r")])
+    spaced = F.when(uneven, F.regexp_replace("line", r"[\x20\x09-\x0D]+", " ")).otherwise(F.col("line"))
     place = F.coalesce(F.col("id").cast("decimal(20,0)"), F.lit("99999999999999999999").cast("decimal(20,0)")) \
         * F.lit(1 << 32).cast("decimal(11,0)") + F.col("line_no")
     return rows.select("id", "th", "line_no", place.cast("decimal(38,0)").alias("place"), F.trim(spaced).alias("words")) \
