@@ -91,7 +91,7 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: i
     from pyspark import TaskContext
 
     from smartmaint.llm.tokens import word_tokenizer
-    tok = word_tokenizer(path)
+    tok = word_tokenizer(path, special=True)
     next_id = TaskContext.get().partitionId() << 36
     end = int(end_id).to_bytes(4, "little")
     out: list[tuple] = []

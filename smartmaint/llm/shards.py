@@ -52,7 +52,7 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, length: int) -> Iterator[
     from pyspark import TaskContext
 
     from smartmaint.llm.tokens import word_tokenizer
-    tok, part, no = word_tokenizer(path), TaskContext.get().partitionId(), 0
+    tok, part, no = word_tokenizer(path, special=True), TaskContext.get().partitionId(), 0
     stride, end = 2 * length, np.array([END_ID], "<u2").tobytes()
     held: list[bytes] = []
     size = 0

@@ -11,6 +11,10 @@ through a merge loop over the tokenizer file's own vocabulary
 UTF-8 never holds, which stands for the vocabulary's end-of-word mark). Any
 other chunk is encoded by the ``tokenizers`` library itself. The tests
 compare both on a large set of words.
+
+With ``special`` the strings of the file's added tokens (``<|endoftext|>``)
+give their one id, as the library's default does: a chunk that holds one goes
+to the library. Without, they are ordinary text.
 """
 
 from __future__ import annotations
@@ -51,7 +55,7 @@ def _byte_of_char() -> dict[str, int]:
 class WordTokenizer:
     """Ids of texts under a word-end BPE file, as packed little-endian uint32."""
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 300_000, special: bool = False):
         import json
 
         import regex
@@ -60,7 +64,12 @@ class WordTokenizer:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.exact = Tokenizer.from_file(path)
-        self.exact.encode_special_tokens = True  # their strings in a text are then ordinary text
+        added = [t["content"] for t in spec["added_tokens"]] if special else []
+        if any(t.split() != [t] for t in added):
+            raise ValueError("added tokens with white space: chunks would cut them")
+        # a file may match them in normalised text, so their case does not matter here
+        self.added = regex.compile("|".join(map(regex.escape, added)), regex.IGNORECASE).search if added else lambda _: None
+        self.exact.encode_special_tokens = not special
         self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
         # no-break space and NEL count as white space, U+0130 lower-cases to two characters
         self.simple = regex.compile("[!-~¡-įı-ɏ]*").fullmatch
@@ -81,24 +90,24 @@ class WordTokenizer:
 
     def _chunk(self, chunk: bytes) -> bytes:
         word = chunk.decode()
-        if self.simple(word):
+        if self.simple(word) and not self.added(word):
             return b"".join(map(self.pieces.__getitem__, self.split(word.lower())))
         ids = self.exact.encode(word, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def ids(self, text: str | None) -> bytes:
-        """Packed ids of the whole text (null: empty), without special tokens."""
+        """Packed ids of the whole text (null: empty); no special tokens are put around it."""
         return b"".join(map(self.chunks.__getitem__, text.encode().split())) if text else b""
 
 
-_LOADED: dict[str, WordTokenizer] = {}
+_LOADED: dict[tuple[str, bool], WordTokenizer] = {}
 
 
-def word_tokenizer(path: str) -> WordTokenizer:
-    """One tokenizer for each file and worker process."""
-    if path not in _LOADED:
-        _LOADED[path] = WordTokenizer(path)
-    return _LOADED[path]
+def word_tokenizer(path: str, special: bool = False) -> WordTokenizer:
+    """One tokenizer for each file, mode and worker process."""
+    if (path, special) not in _LOADED:
+        _LOADED[path, special] = WordTokenizer(path, special=special)
+    return _LOADED[path, special]
 
 
 def default_path() -> str:

@@ -52,6 +52,19 @@ def test_token_ids_equal_the_tokenizer(edge_rows):
         assert np.frombuffer(tok.ids(t), "<u4").tolist() == want, t
 
 
+def test_added_tokens_in_a_text_give_the_ids_of_an_unmodified_tokenizer(spark):
+    from tokenizers import Tokenizer
+    exact = Tokenizer.from_file(tokens.default_path())
+    texts = ["hello <|endoftext|> world", "a<|endoftext|>b<|startoftext|><|endoftext|>. É<|endoftext|>日本", "<|ENDOFTEXT|> <|endoftext |> x<|startoftext|>"]
+    tok = tokens.word_tokenizer(tokens.default_path(), special=True)
+    want = {i: exact.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts)}
+    assert want[0] == [3306, 49407, 1002]
+    for i, t in enumerate(texts):
+        assert np.frombuffer(tok.ids(t), "<u4").tolist() == want[i], t
+    got = packing.pack_documents(frame(spark, list(enumerate(texts))), tokens.default_path()).collect()
+    assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist()[:-1] for r in got} == want
+
+
 def test_cache_generations_keep_values():
     g = tokens.Generations(lambda k: k * 2, 3)
     assert [g[i] for i in [1, 2, 3, 4, 1, 5, 6, 1, 2]] == [2, 4, 6, 8, 2, 10, 12, 2, 4]
