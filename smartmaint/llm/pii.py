@@ -18,6 +18,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from smartmaint.llm.common import table
 
+# Characters of an IBAN by country: the ISO 13616 registry, then countries that use IBANs without being listed there.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH CR HR LI LV",
+    22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+for _n, _more in {25: "AO CV GW MZ", 26: "DZ IR", 27: "CF CG CM GA GQ KM MG TD", 28: "BF BJ CI MA ML NE SN TG"}.items():
+    IBAN_LENGTHS[_n] += " " + _more
+# Exactly as many characters as the country has, with single blanks at most, so that a following word, BIC or IBAN is never eaten.
+_IBAN = r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2})(?:" + "|".join(
+    r"(?:%s)[0-9]{2}(?:\x20?[A-Z0-9]){%d}+" % (c.replace(" ", "|"), n - 4) for n, c in IBAN_LENGTHS.items()) + r")(?![A-Za-z0-9])"
+
 # Kind, pattern, what a text must hold to have a match, in the order that breaks ties between equal starts.
 # A local part or number can only start a match where its run of characters starts, or where the last match ended.
 PATTERNS = [
@@ -25,7 +38,7 @@ PATTERNS = [
     ("ip", r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}", "."),
     ("card", r"[0-9](?:[\x20-]?[0-9])++", None),
     ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+"),
-    ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", None),
+    ("iban", _IBAN, None),
 ]
 BASE_KINDS = ("email", "ip", "card", "phone")
 

@@ -214,6 +214,18 @@ def test_ibans_need_their_checksum_and_context_scores(spark):
     assert got[4] == [("iban", 0, 22, 0.8)]
 
 
+def test_ibans_end_where_their_country_says(spark):
+    de, gb, no = "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "NO93 8601 1117 947"
+    spaced = "DE89 3704 0044 0532 0130 00"
+    texts = [f"{de} Please pay", f"{spaced} BIC COBADEFF", f"{de} {spaced} {gb} {no} {de}", f"{no} 2024 {gb} X", f"{de}0 {spaced}0 ZZ{de[2:]}"]
+    want = [[de], [spaced], [de, spaced, gb, no, de], [no, gb], []]
+    got = {r.doc_id: [texts[r.doc_id][s.start:s.end] for s in r.spans if s.kind == "iban"]
+           for r in pii.find_pii(frame(spark, list(enumerate(texts))), ["doc_id"]).collect()}
+    assert got == dict(enumerate(want))
+    codes = [c for v in pii.IBAN_LENGTHS.values() for c in v.split()]
+    assert len(codes) == len(set(codes))
+
+
 # ---- exact search -------------------------------------------------------
 
 def test_top_k_equals_brute_force(spark, monkeypatch):
