@@ -9,7 +9,8 @@ p = 1 - prod(1 - p_window). Table and softmax are trained jointly, in numpy,
 by gradient descent with momentum on the documents' labels.
 
 The fit uses a bounded sample of labelled rows (``SAMPLE_ROWS`` rows and
-``SAMPLE_BYTES`` of text, taken in the order of a hash of the id). Scoring
+``SAMPLE_BYTES`` of text, taken in the order of a hash of the id, without
+texts above ``LONGEST_SHARE`` of those bytes). Scoring
 reads every whole text in its own task; by linearity the averages need one
 number for each table row, so 4 * BUCKETS bytes are broadcast.
 """
@@ -22,6 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from smartmaint.llm.common import row_slices, table
 from smartmaint.llm.words import LOWER, text_bytes, word_bounds, word_hashes
@@ -32,6 +34,8 @@ GRAMS = (3, 6)
 WINDOW = 16
 SAMPLE_ROWS = 4000
 SAMPLE_BYTES = 24 << 20
+LONGEST_SHARE = 1 / 64  # of the sample's bytes, for a single text
+SHORT_BYTES = 4096  # never too long
 STEPS = 100
 THRESHOLD = 0.3
 SLICE_BYTES = 2 << 20
@@ -173,17 +177,36 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS,
     """At most ``rows`` labelled texts of at most ``size`` bytes, in the order of a hash of the id.
 
     ``docs`` (doc_id, text), ``labels`` (doc_id, label 0/1); null ids and
-    labels take no part, of several labels of an id the largest counts.
+    labels take no part, of several labels of an id the largest counts, rows
+    equal in id and text count once. Texts above ``size * LONGEST_SHARE``
+    bytes (but not those up to ``SHORT_BYTES``) are left out, and a text that does not fit into what is left is
+    passed over; lengths are measured in Spark, so only chosen texts reach
+    the driver. ValueError if labelled texts have a label that none of the
+    chosen ones has.
     """
+    spark, longest = docs.sparkSession, max(int(size * LONGEST_SHARE), SHORT_BYTES)
     one = labels.dropna().groupBy("doc_id").agg(F.max("label").alias("label"))
-    chosen = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)  # bounded, so it may be broadcast
-    found = docs.join(F.broadcast(chosen), "doc_id").select("label", F.coalesce(F.col("text"), F.lit("")).alias("text"),
-                                                            F.xxhash64("doc_id").alias("h")).orderBy("h")
-    texts, ys, left = [], [], size
-    for y, text, _ in found.toLocalIterator():
-        left -= len(text.encode())
-        if left < 0:
-            break
+    src = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    keyed = src.withColumn("th", F.xxhash64("text"))
+    sized = keyed.select("doc_id", "th", F.octet_length("text").alias("bytes")).join(one, "doc_id")
+    fits = sized.filter(F.col("bytes") <= longest).distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "th").limit(rows)
+    chosen, left = [], size
+    for r in fits.collect():  # bounded: short rows
+        if r["bytes"] <= left:
+            left -= r["bytes"]
+            chosen.append(r)
+    got = {r["label"] for r in chosen}
+    if len(got) < 2:
+        lost = sorted(r["label"] for r in sized.select("label").distinct().collect() if r["label"] not in got)
+        if lost:
+            raise ValueError(f"no text with label {lost} in the fit sample of {len(chosen)} rows")
+    if not chosen:
+        return pa.array([], pa.large_string()), np.array([], float)
+    picked = spark.createDataFrame([(i, r["doc_id"], r["th"], r["label"]) for i, r in enumerate(chosen)],
+                                   StructType([StructField("at", IntegerType()), *[fits.schema[c] for c in ("doc_id", "th", "label")]]))
+    found = keyed.join(F.broadcast(picked), ["doc_id", "th"]).select("at", "label", "text").dropDuplicates(["at"]).orderBy("at")
+    texts, ys = [], []
+    for _, y, text in found.toLocalIterator():
         texts.append(text)
         ys.append(y)
     return pa.array(texts, pa.large_string()), np.array(ys, float)

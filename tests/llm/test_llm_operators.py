@@ -522,6 +522,21 @@ def test_held_out_rows_are_never_sampled(spark):
     assert len(toxicity.labelled_sample(docs, labels, size=40)[0]) < 10
 
 
+def test_long_labelled_texts_do_not_end_the_sample(spark):
+    rows = [(i, f"text {i}") for i in range(300)]
+    first = [r.doc_id for r in frame(spark, rows).orderBy(F.xxhash64("doc_id"), "doc_id").limit(5).collect()]
+    rows = [(i, "x" * 20_000 if i in first else t) for i, t in rows]
+    docs = frame(spark, rows + rows[:50])
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, label int")
+    texts, y = toxicity.labelled_sample(docs, labels, size=16_000)
+    assert sorted(int(t.split()[1]) for t in texts.to_pylist()) == [i for i in range(300) if i not in first]
+    assert [int(t.split()[1]) % 2 for t in texts.to_pylist()] == y.tolist()
+    tight, _ = toxicity.labelled_sample(frame(spark, [(i, "y" * (15 if i in first else 1)) for i, _ in rows]), labels, size=960)
+    assert sum(map(len, tight.to_pylist())) <= 960 and len(tight) == 300
+    with pytest.raises(ValueError, match="label"):
+        toxicity.labelled_sample(docs, labels.withColumn("label", F.col("doc_id").isin(first).cast("int")), size=16_000)
+
+
 # ---- token shards -------------------------------------------------------
 
 @pytest.mark.parametrize("n", [1, 2, 3, 17, 1000, 4097])
