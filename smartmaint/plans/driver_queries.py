@@ -1350,7 +1350,7 @@ def q_knn_predictive_alerts(spark, sf):
 def q_retrain(spark, sf):
     from .training import retrain
     r, m = _t(spark, sf)
-    return retrain(spark, r, m, AS_OF, quick=True, knn=False)
+    return retrain(spark, r, m, AS_OF)
 
 
 THRESHOLD_DEDUP_SQL = ALERT_ROWS_SQL + """,

@@ -111,3 +111,13 @@ def test_etl_cycle_and_entry(spark):
     df = E.entry(spark)
     assert df.count() == 15 and "vl_temperatura_mean" in df.columns
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_registered_retrain_runs_the_whole_search(spark, monkeypatch):
+    from smartmaint.plans import driver_queries, training
+    calls = []
+    monkeypatch.setattr(driver_queries, "_t", lambda spark, sf: ("readings", "machines"))
+    monkeypatch.setattr(training, "retrain", lambda spark, r, m, as_of, **kw: calls.append(kw))
+    driver_queries.q_retrain(spark, "sf")
+    assert not calls[0].get("quick") and calls[0].get("knn", True)
+    assert len(training._grid(1000, calls[0].get("quick", False))) == 27 + 3
