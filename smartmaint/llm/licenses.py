@@ -30,21 +30,79 @@ SIMILARITY = 0.8
 MAX_TEMPLATE_WORDS = 100_000
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # of lower-cased text: all ASCII but digits and letters
 
-# Notices by which texts state their license.
+# The bodies of short licenses, whole.
+_BODIES = [
+    ("MIT", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use,
+copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software
+is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included
+in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO
+EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT,
+TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    ("ISC", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
+provided that the above copyright notice and this permission notice appear in all copies."""),
+    ("BSD", """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the
+following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the
+following disclaimer in the documentation and/or other materials provided with the distribution."""),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("Zlib", """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable
+for any damages arising from the use of this software."""),
+]
+
+# Titles and first clauses by which the bodies of long licenses show (the GNU titles are among _FORMS).
+_PASSAGES = [
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("Apache-2.0", "\"License\" shall mean the terms and conditions for use, reproduction, and distribution as defined by Sections 1 "
+                   "through 9 of this document."),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("MPL-2.0", "\"Contributor\" means each individual or legal entity that creates, contributes to the creation of, or owns Covered "
+                "Software."),
+    ("CC0-1.0", "Creative Commons Legal Code CC0 1.0 Universal"),
+    ("EPL-2.0", "Eclipse Public License - v 2.0"),
+    ("EUPL-1.2", "European Union Public Licence v. 1.2"),
+    ("BSL-1.0", "Boost Software License - Version 1.0"),
+]
+
+# General short forms: each name with each lead of _LEADS.
+_NAMES = [("MIT", "MIT License"), ("ISC", "ISC License"), ("Zlib", "zlib License"), ("BSD", "BSD License")]
+_LEADS = ["Licensed under the", "Released under the", "Distributed under the", "Available under the", "Published under the",
+          "Provided under the", "The terms of the"]
+
+# A version or kind at the end must change more than a fifth of a form's shingles, or its neighbours match too.
+_FORMS = [
+    ("Apache-2.0", "the Apache License, Version 2.0"), ("Apache-2.0", "the Apache License 2.0"), ("Apache-2.0", "the Apache 2.0 License"),
+    ("BSD", "the BSD 2-Clause License"), ("BSD", "the BSD 3-Clause License"), ("CC0-1.0", "the CC0 1.0 Universal"),
+    ("Unlicense", "the terms of the Unlicense"),
+    *[(f"{k}-{v}", f"{name} {word}{v.removesuffix('.0')}") for k, name, versions in (
+        ("GPL", "GNU General Public License", ("2.0", "3.0")), ("LGPL", "GNU Lesser General Public License", ("2.1", "3.0")),
+        ("AGPL", "GNU Affero General Public License", ("3.0",))) for v in versions for word in ("version ", "v")],
+    *[(f"{k}-{v}", f"under the terms of the {name} as published by the Free Software Foundation, either version {v.removesuffix('.0')} of the "
+       "License") for k, name, versions in (
+        ("GPL", "GNU General Public License", ("2.0", "3.0")), ("LGPL", "GNU Lesser General Public License", ("2.1", "3.0")),
+        ("AGPL", "GNU Affero General Public License", ("3.0",))) for v in versions],
+    *[(f"CC-BY-{v}", f"{lead} CC BY {v}") for v in ("3.0", "4.0") for lead in ("Licensed under", "Released under", "Available under",
+                                                                             "Distributed under")],
+    *[(f"CC-{k}-{v}", f"CC {k.replace('-', ' ')} {v}") for k in ("BY-SA", "BY-ND", "BY-NC", "BY-NC-SA", "BY-NC-ND") for v in ("3.0", "4.0")],
+    *[(f"CC-{k}-{v}", f"Creative Commons {name} {v} {scope}") for k, name in (
+        ("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"),
+        ("BY-NC", "Attribution-NonCommercial"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+        ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives")) for v, scope in (("3.0", "Unported"), ("4.0", "International"))],
+]
+
+# Statements, passages and bodies by which texts state their license.
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
                    "compliance with the License."),
-    ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
             "documentation files"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-                "Public License as published by the Free Software Foundation, either version 3 of the License"),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
             "the following conditions are met"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    *_BODIES, *_PASSAGES, *_FORMS,
+    *[(k, f"{lead} {name}") for k, name in _NAMES for lead in _LEADS],
 ]
 
 
@@ -73,25 +131,38 @@ def _bands(window: Column) -> Column:
     return F.array(*[F.xxhash64(F.lit(b), *[least(b * ROWS + r) for r in range(ROWS)]) for b in range(BANDS)])
 
 
-def template_bands(spark: SparkSession, templates: list[tuple[str, str]], shingle: int) -> DataFrame:
-    """(size, band, name, parts) for every window of every template; ``parts`` are the template's distinct shingles."""
-    usable = [(n, t) for n, t in templates if len([w for w in re.split("[^0-9a-z\x80-\U0010ffff]+", t.lower()) if w]) >= shingle]
-    if sum(len(t.split()) for _, t in usable) > MAX_TEMPLATE_WORDS:
+def _plain(text: str) -> list[str]:
+    return [w for w in re.split(SEPARATORS, re.sub("[A-Z]", lambda m: m[0].lower(), text)) if w]
+
+
+def template_bands(spark: SparkSession, templates: list[tuple[str, str]], shingle: int) -> tuple[DataFrame, DataFrame]:
+    """(size, band, tid) for every window of every template of at least ``shingle`` words, and once for each
+    template (tid, name, size, parts); ``parts`` are its distinct shingles."""
+    usable = [(n, t) for n, t in templates if len(_plain(t)) >= shingle]
+    if sum(len(_plain(t)) for _, t in templates) > MAX_TEMPLATE_WORDS:
         raise ValueError(f"templates exceed {MAX_TEMPLATE_WORDS} words")
-    df = spark.createDataFrame([(i, n, t) for i, (n, t) in enumerate(usable)], "tid int, name string, text string")
-    h = df.select("tid", "name", _shingles(_words(F.col("text")), shingle).alias("h"))
-    sizes = {s: window_size(s) for s in range(1, 1 + max((len(t.split()) * 2 for _, t in usable), default=1))}
-    size = F.lit(1)
-    for s in sorted(set(sizes.values())):
-        size = F.when(F.size("h") >= s + max(1, s // 2) - 1, F.lit(s)).otherwise(size)
-    h = h.withColumn("size", size)
+    df = spark.createDataFrame([(i, n, t, window_size(len(_plain(t)) - shingle + 1)) for i, (n, t) in enumerate(usable)],
+                               "tid int, name string, text string, size int")
+    h = df.select("tid", "name", "size", _shingles(_words(F.col("text")), shingle).alias("h"))
     starts = F.sequence(F.lit(0), F.size("h") - F.col("size"))
-    wins = h.select("tid", "name", "size", F.array_distinct("h").alias("parts"),
-                    F.explode(F.transform(starts, lambda i: F.slice(F.col("h"), i + 1, F.col("size")))).alias("w"))
-    return wins.select("tid", "name", "size", "parts", F.explode(_bands(F.col("w"))).alias("band")).distinct()
+    wins = h.select("tid", "size", F.explode(F.transform(starts, lambda i: F.slice(F.col("h"), i + 1, F.col("size")))).alias("w"))
+    return wins.select("tid", "size", F.explode(_bands(F.col("w"))).alias("band")).distinct(), \
+        h.select("tid", "name", "size", F.array_distinct("h").alias("parts"))
 
 
-def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = None, keep: list[str] | None = None,
+def _short_matches(words: Column, short: list[tuple[str, str]]) -> Column:
+    """Structs (name, c, at) of the templates under a shingle's length whose whole word sequence is in the text."""
+    line = F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
+    each = []
+    for name, text in short:
+        at = F.instr(line, " " + " ".join(_plain(text)) + " ")
+        before = F.substring(line, F.lit(1), at)
+        each.append(F.when(at > 0, F.struct(F.lit(name).alias("name"), F.lit(-1.0).alias("c"),
+                                            (F.length(before) - F.length(F.translate(before, " ", "")) - 1).cast("int").alias("at"))))
+    return F.array_compact(F.array(*each))
+
+
+def scan_licenses(docs: DataFrame, templates: DataFrame | list[tuple[str, str]] | None = None, keep: list[str] | None = None,
                   shingle: int = SHINGLE, similarity: float = SIMILARITY, text_col: str = "text") -> DataFrame:
     """The ``keep`` columns (default: all but the text) and ``licenses`` of every row.
 
@@ -100,23 +171,36 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = Non
     at least ``similarity``. Words are runs of digits, letters a-z after
     lower-casing A-Z, and non-ASCII characters.
 
-    Null and empty texts, and texts or templates under ``shingle`` words, have
-    no match. Whole texts are scanned. Repeated rows and null ids give rows
+    ``templates`` is a list or a table of (name, text), of whole license texts
+    or of statements, ``MAX_TEMPLATE_WORDS`` words in all. Templates under
+    ``shingle`` words match by their whole word sequence; those without any
+    word match nothing.
+
+    Null and empty texts have no match. Whole texts are scanned. Repeated rows and null ids give rows
     like others; an empty table gives no rows.
     """
     spark = docs.sparkSession
     templates = TEMPLATES if templates is None else templates
     keep = [c for c in docs.columns if c != text_col] if keep is None else keep
-    bands = template_bands(spark, templates, shingle)
-    info = bands.select("size", "parts").collect()  # bounded by MAX_TEMPLATE_WORDS
+    if isinstance(templates, DataFrame):
+        templates = [(n, t) for n, t in templates.select("name", "text").limit(MAX_TEMPLATE_WORDS + 1).collect() if t]
+    short = [(n, t) for n, t in templates if 0 < len(_plain(t)) < shingle]
+    bands, whole = template_bands(spark, templates, shingle)
+    info = whole.collect()  # bounded by MAX_TEMPLATE_WORDS
     known = sorted({x for r in info for x in r["parts"]})
     sizes = sorted({r["size"] for r in info})
-    reach = max((len(r["parts"]) for r in info), default=0)
+    reach = F.lit(0)
+    for s in sizes:
+        # a template is as long as its shingles, repeated ones included: below three windows
+        reach = F.when(F.col("x.s") == s, 3 * s).otherwise(reach)
 
     row = [F.col(f"c{i}") for i in range(len(keep))]
     src = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(keep)], docs[text_col].cast("string").alias("text")) \
         .withColumn("row", F.monotonically_increasing_id())
     words = src.select("row", *row, _words(F.coalesce("text", F.lit(""))).alias("w"))
+    if short:  # then one more column of each row
+        words = words.withColumn("short", _short_matches(F.col("w"), short))
+        row.append(F.col("short"))
     hashed = words.select("row", *row, _shingles(F.col("w"), shingle).alias("h"))
     hits = F.filter(F.transform("h", lambda x, i: F.when(x.isin(known), i)), lambda i: i.isNotNull())
     hit = hashed.select("row", *row, "h", hits.alias("hits"))
@@ -132,10 +216,12 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = Non
     cut = cut.select("row", *row, F.col("x.s").alias("size"), F.col("x.at").alias("at"), F.slice("h", F.col("x.at") + 1, F.col("x.s")).alias("win"),
                      F.slice("h", around + 1, F.col("x.at") - around + F.col("x.s") + reach).alias("region"))
     probes = cut.select("row", *row, "size", "at", "region", F.explode_outer(F.when(F.col("size").isNotNull(), _bands(F.col("win")))).alias("band"))
-    met = probes.join(F.broadcast(bands), ["size", "band"], "left")
+    met = probes.join(F.broadcast(bands), ["size", "band"], "left").join(F.broadcast(whole.select("tid", "name", "parts")), "tid", "left")
     share = F.size(F.array_intersect("region", "parts")) / F.size("parts")
     found = met.select("row", *row, F.when(share >= similarity, F.struct("name", (-share).alias("c"), F.col("at"))).alias("m"))
     lists = found.groupBy("row", *row).agg(F.array_sort(F.collect_set("m")).alias("m"))
+    if short:
+        lists = lists.withColumn("m", F.array_sort(F.concat("m", "short")))
     names = F.array_distinct(F.transform("m", lambda x: x["name"]))
     best = F.transform(names, lambda n: F.get(F.filter("m", lambda x: x["name"] == n), 0))
     return lists.select(*[c.alias(k) for c, k in zip(row, keep)], F.transform(best, lambda x: F.struct(

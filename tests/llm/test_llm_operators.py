@@ -390,6 +390,25 @@ def test_license_windows_and_containment(spark, edge_rows):
     assert licenses.scan_licenses(docs.limit(0)).count() == 0
 
 
+def test_usual_statements_short_templates_and_whole_texts_match(spark):
+    rng = random.Random(81)
+    stated = [("Licensed under the MIT License", "MIT"), ("distributed under the ISC license.", "ISC"), ("under the GNU Lesser General Public License v2.1", "LGPL-2.1"),
+              ("GNU Affero General Public License, version 3", "AGPL-3.0"), ("licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+              ("released under the CC0 1.0 Universal", "CC0-1.0"), ("Licensed under CC-BY-SA 4.0", "CC-BY-SA-4.0"), (licenses._BODIES[0][1], "MIT")]
+    docs = frame(spark, [(i, f"{prose(rng, 40)}\n{t}\n{prose(rng, 40)}") for i, (t, _) in enumerate(stated)])
+    got = {r.doc_id: [x.name for x in r.licenses] for r in licenses.scan_licenses(docs).collect()}
+    assert got == {i: [n] for i, (_, n) in enumerate(stated)}
+    long_text = prose(rng, 600)
+    templates = spark.createDataFrame([("whole", long_text), ("reserved", "All rights reserved."), ("one", "Zork!"), ("none", "!"), ("null", None)],
+                                      "name string, text string")
+    rows = [(1, f"{prose(rng, 30)} ALL rights, reserved {prose(rng, 30)}"), (2, f"{prose(rng, 700)} {long_text} zork"),
+            (3, "all rights are reserved, overall rights reserved"), (4, None), (5, long_text[:len(long_text) // 2]), (6, "zork"), (6, "zork")]
+    found = licenses.scan_licenses(frame(spark, rows), templates).collect()
+    assert Counter((r.doc_id, tuple(x.name for x in r.licenses)) for r in found) == Counter(
+        [(1, ("reserved",)), (2, ("one", "whole")), (3, ()), (4, ()), (5, ()), (6, ("one",)), (6, ("one",))])
+    assert [(x.word, x.containment) for r in found if r.doc_id == 1 for x in r.licenses] == [(30, 1.0)]
+
+
 def test_window_sizes_leave_room_for_half_a_window():
     for t in range(1, 300):
         s = licenses.window_size(t)
