@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from smartmaint.llm import decontamination, licenses, line_dedup, topk
+from smartmaint.llm import decontamination, licenses, line_dedup, merkle, topk
 from smartmaint.llm.chat_format import op5_chat_formatting
 from smartmaint.llm.decontamination import op6_benchmark_decontamination
 from smartmaint.llm.licenses import op7_license_scan
 from smartmaint.llm.line_dedup import op2_line_dedup
+from smartmaint.llm.merkle import op12_merkle_manifest
 from smartmaint.llm.packing import op1_packing
 from smartmaint.llm.pii import op3_pii
 from smartmaint.llm.shards import op10_token_shards
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_token_shards": op10_token_shards,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -34,4 +36,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_exact_topk": topk.ORACLE,
     "op6_benchmark_decontamination": decontamination.ORACLE,
     "op7_license_scan": licenses.ORACLE,
+    "op12_merkle_manifest": merkle.ORACLE,
 }
