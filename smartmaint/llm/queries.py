@@ -6,6 +6,7 @@ import corpus_pipeline
 from smartmaint.llm import decontamination, licenses, line_dedup, merkle, topk
 from smartmaint.llm.chat_format import op5_chat_formatting
 from smartmaint.llm.decontamination import op6_benchmark_decontamination
+from smartmaint.llm.fingerprints import op13_fingerprints
 from smartmaint.llm.licenses import op7_license_scan
 from smartmaint.llm.line_dedup import op2_line_dedup
 from smartmaint.llm.merkle import op12_merkle_manifest
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_token_shards": op10_token_shards,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_fingerprints": op13_fingerprints,
     "pipeline": corpus_pipeline.run,
 }
 
