@@ -21,7 +21,7 @@ tier by tier; what lies above a block is found once for the whole block.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -33,6 +33,9 @@ from smartmaint.llm.line_dedup import small
 BLOCK_BITS = 10
 FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
 SEGMENT_SCHEMA = "tree long, block long, total long, leaves int, levels int, nodes binary"
+SEGMENTS = pa.schema([("tree", pa.int64()), ("block", pa.int64()), ("total", pa.int64()), ("leaves", pa.int32()), ("levels", pa.int32()),
+                      ("nodes", pa.binary())])
+FLUSH = 64  # segments in an Arrow batch
 
 
 def leaf_hash(fields: list[Column]) -> Column:
@@ -89,14 +92,32 @@ def siblings(i: int, n: int, levels: int) -> list[tuple[str, int]]:
     return out
 
 
-def _build(group: pa.Table, bits: int) -> pa.Table:
-    """One segment of the log from the leaves of an aligned block."""
-    rows = sorted(zip(group.column("no").to_pylist(), group.column("digest").to_pylist()))
-    total, block = group.column("total")[0].as_py(), rows[0][0] >> bits
-    levels = min(bits, (total - 1).bit_length())
-    nodes = b"".join(append_log([d for _, d in rows], levels))
-    return pa.table({"tree": group.column("tree")[:1], "block": pa.array([block], pa.int64()), "total": group.column("total")[:1],
-                     "leaves": pa.array([len(rows)], pa.int32()), "levels": pa.array([levels], pa.int32()), "nodes": pa.array([nodes], pa.binary())})
+def _build(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """One segment of the log for each aligned block of the leaves (tree, block, no, total, digest), sorted by place."""
+    block, leaves, total = None, [], 0
+    out: list[tuple] = []
+
+    def done() -> None:
+        levels = min(bits, (total - 1).bit_length())
+        out.append((*block, total, len(leaves), levels, b"".join(append_log(leaves, levels))))
+
+    def flush() -> pa.RecordBatch:
+        cols = list(zip(*out)) or [()] * len(SEGMENTS)
+        out.clear()
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, SEGMENTS)], schema=SEGMENTS)
+
+    for b in batches:
+        for tree, no, n, digest in zip(*(b.column(c).to_pylist() for c in ("tree", "no", "total", "digest"))):
+            if block != (tree, no >> bits):
+                if leaves:
+                    done()
+                block, leaves, total = (tree, no >> bits), [], n
+                if len(out) >= FLUSH:
+                    yield flush()
+            leaves.append(digest)
+    if leaves:
+        done()
+    yield flush()
 
 
 def _path(segment: dict, i: int) -> list[str]:
@@ -123,8 +144,8 @@ def _log(leaves: DataFrame, bits: int) -> list[DataFrame]:
     most = leaves.agg(F.max("total")).first()[0] or 0
     tiers = []
     while most:
-        blocks = leaves.groupBy("tree", F.shiftright("no", bits).alias("block"))
-        tiers.append(materialize(blocks.applyInArrow(lambda t: _build(t, bits), SEGMENT_SCHEMA)))
+        blocks = leaves.withColumn("block", F.shiftright("no", bits)).repartition("tree", "block").sortWithinPartitions("tree", "no")
+        tiers.append(materialize(blocks.mapInArrow(lambda b: _build(b, bits), SEGMENT_SCHEMA)))
         if most <= 1 << bits:
             break
         most = -(-most // (1 << bits))
@@ -166,22 +187,45 @@ def _roots(tiers: list[DataFrame]) -> DataFrame:
     return tiers[-1].select("tree", F.expr("substring(nodes, -32, 32)").alias("digest"))
 
 
+def _leaf_paths(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """A row for each leaf of each segment: the siblings on its way up."""
+    for b in batches:
+        for k in range(b.num_rows):
+            s = b.slice(k, 1).to_pylist()[0]
+            n, first = s["leaves"], s["block"] << bits
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([s["tree"]] * n, pa.int64()), pa.array(range(first, first + n), pa.int64()),
+                 pa.array([_path(s, i) for i in range(n)], pa.list_(pa.string())),
+                 *[pa.array([s[c]] * n, pa.string()) for c in ("subroot", "root")]],
+                names=["tree", "block", "above", "subroot", "root"])
+
+
 def _descend(tiers: list[DataFrame], above: DataFrame, bits: int) -> DataFrame:
     """Paths above the blocks of the lowest tier, from those above the highest one's (tree, block, above, subroot, root)."""
     schema = "tree long, block long, above array<string>, subroot string, root string"
     for segments in reversed(tiers[1:]):
-        above = materialize(segments.join(above, ["tree", "block"]).groupBy("tree", "block").applyInArrow(
-            lambda t: _leaf_paths(t, bits), schema))
+        above = materialize(segments.join(above, ["tree", "block"]).mapInArrow(lambda b: _leaf_paths(b, bits), schema))
     return above
 
 
-def _leaf_paths(group: pa.Table, bits: int) -> pa.Table:
-    """One row for each leaf of a segment: the siblings on its way up."""
-    s = group.to_pylist()[0]
-    n, first = s["leaves"], s["block"] << bits
-    return pa.table({"tree": pa.array([s["tree"]] * n, pa.int64()), "block": pa.array(range(first, first + n), pa.int64()),
-                     "above": pa.array([_path(s, i) for i in range(n)], pa.list_(pa.string())),
-                     **{c: pa.array([s[c]] * n, pa.string()) for c in ("subroot", "root")}})
+def _extract(batches: Iterator[pa.RecordBatch], kept: list[str], bits: int, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Proofs of the leaves that follow each segment's row in a sorted partition."""
+    segment = None
+    for b in batches:
+        leaf, paths, subroots, roots = [], [], [], []
+        whole = b.column("segment")
+        for at, (no, digest) in enumerate(zip(b.column("no").to_pylist(), b.column("digest").to_pylist())):
+            if no is None:
+                segment = whole[at].as_py()
+            else:
+                leaf.append(at)
+                paths.append(_path(segment, no - (segment["block"] << bits)))
+                subroots.append(segment["subroot"])
+                roots.append(segment["root"])
+        rows = b.take(pa.array(leaf, pa.int64()))
+        yield pa.RecordBatch.from_arrays(
+            [rows.column("id"), *[rows.column(c) for c in kept], pa.array([d.hex() for d in rows.column("digest").to_pylist()], pa.string()),
+             pa.array(paths, pa.list_(pa.string())), pa.array(subroots, pa.string()), pa.array(roots, pa.string())], names=names)
 
 
 def proofs(manifest: Manifest) -> DataFrame:
@@ -206,20 +250,13 @@ def proofs(manifest: Manifest) -> DataFrame:
     start = _roots(manifest.tiers).join(top, "tree").select(
         "tree", F.lit(0).cast("long").alias("block"), "above", F.lower(F.hex("digest")).alias("subroot"), "root")
     above = _descend(manifest.tiers, start, bits)
-    segments = manifest.tiers[0].join(above, ["tree", "block"])
-
-    def extract(leaves: pa.Table, segment: pa.Table) -> pa.Table:
-        s = segment.to_pylist()[0]
-        at = leaves.column("no").to_pylist()
-        n = len(at)
-        path = [_path(s, no - (s["block"] << bits)) for no in at]
-        return pa.Table.from_arrays(
-            [leaves.column("id"), *[leaves.column(c) for c in kept], pa.array([d.hex() for d in leaves.column("digest").to_pylist()], pa.string()),
-             pa.array(path, pa.list_(pa.string())), pa.array([s["subroot"]] * n, pa.string()), pa.array([s["root"]] * n, pa.string())],
-            names=["id", *kept, "leaf", "proof", "subroot", "root"])
-
-    blocks = rows.withColumn("block", F.shiftright("no", bits))
-    return blocks.groupBy("tree", "block").cogroup(segments.groupBy("tree", "block")).applyInArrow(extract, schema)
+    segments = manifest.tiers[0].join(above, ["tree", "block"]).select(
+        "tree", "block", F.struct("block", "leaves", "levels", "nodes", "above", "subroot", "root").alias("segment"))
+    # a segment, then its leaves: one partition streams them, a batch and a segment at a time
+    both = rows.withColumn("block", F.shiftright("no", bits)).unionByName(segments, allowMissingColumns=True)
+    dealt = both.repartition("tree", "block").sortWithinPartitions("tree", "block", F.col("no").asc_nulls_first())
+    names = ["id", *kept, "leaf", "proof", "subroot", "root"]
+    return dealt.mapInArrow(lambda b: _extract(b, kept, bits, names), schema)
 
 
 def folded_root(leaf: Column, proof: Column) -> Column:
