@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from smartmaint.llm import decontamination, licenses, line_dedup, merkle, topk
+from smartmaint.llm import conversation_repair, decontamination, licenses, line_dedup, merkle, topk
 from smartmaint.llm.chat_format import op5_chat_formatting
+from smartmaint.llm.conversation_repair import op11_conversation_repair
 from smartmaint.llm.decontamination import op6_benchmark_decontamination
 from smartmaint.llm.fingerprints import op13_fingerprints
 from smartmaint.llm.licenses import op7_license_scan
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_token_shards": op10_token_shards,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_fingerprints": op13_fingerprints,
     "pipeline": corpus_pipeline.run,
@@ -38,5 +40,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_exact_topk": topk.ORACLE,
     "op6_benchmark_decontamination": decontamination.ORACLE,
     "op7_license_scan": licenses.ORACLE,
+    "op11_conversation_repair": conversation_repair.ORACLE,
     "op12_merkle_manifest": merkle.ORACLE,
 }
