@@ -46,6 +46,7 @@ MIN_ROWS_TEMPORAL = 50
 TEST_SIZE = 0.2
 SEED = 42
 FOLDS = 5
+MAX_CATEGORIES = 10_000
 
 
 # --- M15: features ------------------------------------------------------------
@@ -57,12 +58,31 @@ def fit_medians(df: DataFrame, cols=BASE_FEATURES) -> dict:
     return {c: q[(c, 0.5)] for c in present}
 
 
-def build_features(df: DataFrame, medians: dict | None = None, temporal: bool | None = None) -> DataFrame:
+def fit_encodings(df: DataFrame, cols=("tipo_maquina", "localizacao")) -> dict:
+    """W8's codes as they are in ``df``: per column the sorted distinct values (types and locations: few)."""
+    out = {}
+    for c in cols:
+        if c in df.columns:
+            key = F.coalesce(F.col(c).cast("string"), F.lit("None")).alias("v")
+            out[c] = [r["v"] for r in df.select(key).distinct().orderBy("v").limit(MAX_CATEGORIES + 1).collect()]
+            if len(out[c]) > MAX_CATEGORIES:
+                raise ValueError(f"{c} has more than {MAX_CATEGORIES} values")
+    return out
+
+
+def apply_encoding(df: DataFrame, col: str, values: list[str]) -> DataFrame:
+    """``<col>_encoded`` by the stored ``values``; a value not among them gets NULL (0 once features are filled)."""
+    codes = df.sparkSession.createDataFrame([(v, i) for i, v in enumerate(values)], f"_key string, {col}_encoded long")
+    return df.withColumn("_key", F.coalesce(F.col(col).cast("string"), F.lit("None"))).join(codes, "_key", "left").drop("_key")
+
+
+def build_features(df: DataFrame, medians: dict | None = None, temporal: bool | None = None, encodings: dict | None = None) -> DataFrame:
     """P9 + C1 (all ten measures) → P5, P6 → P11, W1–W3 → W8 → P7 → P13.
 
     ``medians`` defaults to the medians of ``df`` itself (the reference uses
     all rows, test included); pass train-only medians to avoid that.
     ``temporal`` defaults to "more than 50 rows" (one count action).
+    ``encodings`` (see ``fit_encodings``) default to the codes of ``df``.
     """
     medians = medians if medians is not None else fit_medians(df)
     out = df.select(*[F.coalesce(P.nan_to_null(P.coerce_numeric(F.col(c).cast("string"))),
@@ -77,7 +97,7 @@ def build_features(df: DataFrame, medians: dict | None = None, temporal: bool |
         out = rolling_features(out, ("vl_temperatura", "vl_pressao", "vl_humidade"), 5)
     for c in ("tipo_maquina", "localizacao"):
         if c in out.columns:
-            out = label_encode(out, c)
+            out = label_encode(out, c) if encodings is None else apply_encoding(out, c, encodings.get(c, []))
     out = out.select("*", *P.alert_flags())
     if "flag_falha" in out.columns:
         out = out.withColumn("target", P.fault_target())
@@ -281,22 +301,14 @@ def classification_report(pred: DataFrame, label: str = "target", prediction: st
 # --- M4, J5: K-nearest neighbours ---------------------------------------------------------------
 
 def knn_predict(train: DataFrame, test: DataFrame, cols: list[str], k: int = 5, weights: str = "uniform",
-                metric: str = "euclidean", label: str = "target", id_col: str = "id_medicao",
-                cells_per_dim: int | None = None, grid_dims: int = 3) -> DataFrame:
-    """M4: exact k-NN classification as a distributed, pruned join.
-
-    Train points are assigned to cells of a grid over ``grid_dims``
-    coordinates (cut at train quantiles). Phase 1 finds, for every test
-    point, its k nearest train points inside its own cell and neighbouring
-    cells → an upper bound on its k-th distance. Phase 2 joins every test
-    point only with the cells whose box lies within that bound (a box
-    distance in the grid coordinates never exceeds the true distance), so
-    the result is exact while far cells are never paired. Ties on distance
-    are broken by train id. Probability = (weighted) vote share; with
-    ``distance`` weights an exact match takes all the weight.
+                metric: str = "euclidean", label: str = "target", id_col: str = "id_medicao") -> DataFrame:
+    """M4: exact k-NN classification on the pruned join of ``knn``.
+
+    Ties on distance are broken by train id. Probability = (weighted) vote
+    share; with ``distance`` weights an exact match takes all the weight.
     """
     from .knn import knn_join
-    nn = knn_join(train, test, cols, k, metric, id_col, cells_per_dim, grid_dims, label)
+    nn = knn_join(train, test, cols, k, metric, id_col, label)
     if weights == "distance":
         exact = F.max((F.col("dist") == 0).cast("int")).over(_win_test(id_col))
         w = F.when(exact == 1, (F.col("dist") == 0).cast("double")).otherwise(1.0 / F.col("dist"))
@@ -375,24 +387,67 @@ def with_p1(pred: DataFrame) -> DataFrame:
     return pred.withColumn("p1", vector_to_array("probability")[1])
 
 
-def cross_validate(estimators: dict, data: DataFrame, fold_col: str = "fold", parallelism: int = 4) -> list:
-    """M7: mean F1 of class 1 over the folds for each candidate; returns sorted [(f1, name)].
+def _f1(tp: float, wrong: float) -> float:
+    return 2.0 * tp / (2.0 * tp + wrong) if tp else 0.0
+
+
+TREES_AT_ONCE = 25
+
+
+def forest_search(data: DataFrame, grid: dict | None = None, fold_col: str = "fold", parallelism: int = 8, seed: int = SEED):
+    """M7 for random forests: ({(trees, depth, min_split): mean F1 over the folds}, the full forest of all rows).
 
-    Every fold fit is a distributed Spark ML fit; candidates are independent.
+    One forest a fold (most trees, largest depth, no limit on splits) holds
+    every forest of the grid (see ``forest``); the fold's rows are sent down
+    once and every candidate's votes counted in one aggregate. Forests are fitted
+    ``TREES_AT_ONCE`` trees at a time, each lot with a seed of its own, which
+    bounds the driver's memory; the lots of all folds run side by side.
     """
     from concurrent.futures import ThreadPoolExecutor
+
+    from .forest import candidate_votes, forest_of, joined
+    grid = grid or RF_GRID
+    names = [(t, d, m) for t in grid["numTrees"] for d in grid["maxDepth"] for m in grid["min_split"]]
+    combos = [(t, 30 if d is None else d, m) for t, d, m in names]
+    most, deepest = max(t for t, _, _ in combos), max(d for _, d, _ in combos)
+    lots = [min(TREES_AT_ONCE, most - first) for first in range(0, most, TREES_AT_ONCE)]
     folds = sorted(r[0] for r in data.select(fold_col).distinct().collect())
 
-    def score(name_est):
-        name, est = name_est
-        f1s = []
-        for f in folds:
-            tr, va = data.where(F.col(fold_col) != f), data.where(F.col(fold_col) == f)
-            m = est.fit(tr)
-            f1s.append(binary_metrics(m.transform(va), probability=None).first()["f1_score"])
-        return (sum(f1s) / len(f1s), name)
+    def fitted(job):
+        fold, lot = job
+        est = _rf(lots[lot], deepest, 2, seed + lot).setCacheNodeIds(True).setMaxMemoryInMB(32)
+        return forest_of(est.fit(data if fold is None else data.where(F.col(fold_col) != fold)))
+
+    def scored(fold, forest):
+        votes = candidate_votes(data.where(F.col(fold_col) == fold), forest, combos, ["target"])
+        hit = [F.get("votes", F.lit(i)) > 0.5 for i in range(len(combos))]
+        counts = votes.agg(*[F.count_if(h & (F.col("target") == 1)).alias(f"tp{i}") for i, h in enumerate(hit)],
+                           *[F.count_if(h != (F.col("target") == 1)).alias(f"wrong{i}") for i, h in enumerate(hit)]).first()
+        return [_f1(counts[f"tp{i}"], counts[f"wrong{i}"]) for i in range(len(combos))]
+
+    jobs = [(f, lot) for f in [*folds, None] for lot in range(len(lots))]
     with ThreadPoolExecutor(max_workers=parallelism) as ex:
-        return sorted(ex.map(score, estimators.items()), key=lambda t: (-t[0], t[1]))
+        parts = dict(zip(jobs, ex.map(fitted, jobs)))
+        forests = {f: joined([parts[f, lot] for lot in range(len(lots))]) for f in [*folds, None]}
+        per_fold = list(ex.map(lambda f: scored(f, forests[f]), folds))
+    return {n: sum(f[i] for f in per_fold) / len(per_fold) for i, n in enumerate(names)}, forests[None]
+
+
+def regression_search(data: DataFrame, grid: dict | None = None, fold_col: str = "fold", parallelism: int = 4) -> dict:
+    """M7 for logistic regression: {C: mean F1 over the folds}."""
+    from concurrent.futures import ThreadPoolExecutor
+    folds = sorted(r[0] for r in data.select(fold_col).distinct().collect())
+    n = data.count()
+
+    def score(job):
+        c, f = job
+        m = _lr(c, n).fit(data.where(F.col(fold_col) != f))
+        return binary_metrics(m.transform(data.where(F.col(fold_col) == f)), probability=None).first()["f1_score"]
+
+    jobs = [(c, f) for c in (grid or LR_GRID)["C"] for f in folds]
+    with ThreadPoolExecutor(max_workers=parallelism) as ex:
+        got = dict(zip(jobs, ex.map(score, jobs)))
+    return {c: sum(got[c, f] for f in folds) / len(folds) for c in (grid or LR_GRID)["C"]}
 
 
 def feature_importances(model, cols: list[str], n: int = 10) -> list[tuple[str, float]]:
@@ -430,22 +485,23 @@ def best_model(results: dict) -> str:
     return sorted(results, key=lambda n: (-results[n]["metrics"]["f1_score"], n))[0]
 
 
+# FIXED VALUES: features that the serving path being replaced sends as 0.
 ZEROED_AT_SERVING = ["hour", "day_of_week", "tipo_maquina_encoded", "localizacao_encoded",
                      "vl_temperatura_rolling_mean", "vl_temperatura_rolling_std", "vl_pressao_rolling_mean",
                      "vl_pressao_rolling_std", "vl_humidade_rolling_mean", "vl_humidade_rolling_std"]
 
 
-def serving_features(df: DataFrame, medians: dict, reference_compatible: bool = False) -> DataFrame:
-    """The training feature function on new rows (train medians).
+def serving_features(df: DataFrame, medians: dict, encodings: dict | None = None, reference_compatible: bool = False) -> DataFrame:
+    """The training feature function on new rows, with the medians and codes of training.
 
-    ``reference_compatible=True`` reproduces the reference's serving path,
-    which sends 0 for the time, rolling and encoded features.
+    ``reference_compatible=True`` sends 0 for the time, rolling and encoded
+    features and looks at each row alone.
     """
-    out = build_features(df, medians=medians, temporal=True)
-    if reference_compatible:
-        out = out.select(*[F.lit(0.0).alias(c) if c in ZEROED_AT_SERVING else F.col(f"`{c}`")
-                           for c in out.columns])
-    return out
+    if not reference_compatible:
+        return build_features(df, medians=medians, temporal=True, encodings=encodings or {})
+    plain = [c for c in df.columns if c not in ("tipo_maquina", "localizacao")]
+    out = build_features(df.select(*plain), medians=medians, temporal=False)
+    return out.select("*", *[F.lit(0.0).alias(c) for c in ZEROED_AT_SERVING])
 
 
 def baseline(df: DataFrame, cols: list[str], seed: int = SEED) -> dict:
@@ -464,8 +520,8 @@ def baseline(df: DataFrame, cols: list[str], seed: int = SEED) -> dict:
 def training_report(spark, results: dict, best: str, n_rows: int, features: list[str]) -> DataFrame:
     """One-row report (best model, per-model metrics and parameters, features)."""
     import json
-    models = {n: {"metrics": r["metrics"], "best_params": r.get("best_params"), "cv_score": r.get("cv_score")}
-              for n, r in results.items()}
+    models = {n: {"metrics": r["metrics"], "best_params": r.get("best_params"), "cv_score": r.get("cv_score"),
+                  "candidates": r.get("candidates")} for n, r in results.items()}
     return spark.createDataFrame([(best, n_rows, len(features), json.dumps(features), json.dumps(models))],
                                  "best_model string, training_rows long, n_features int, features string, "
                                  "models string")

@@ -1330,7 +1330,16 @@ def q_notification_outbox(spark, sf):
 
 @register("predictive_alerts")
 def q_predictive_alerts(spark, sf):
-    return L.predictive_alerts(q_score_readings(spark, sf))
+    from ..operators.forest import ForestModel, forest_of
+    from ..session import materialize
+    r, m = _t(spark, sf)
+    hist = materialize(S.historical_readings(r, m, AS_OF, 30))
+    medians, encodings = M.fit_medians(hist), M.fit_encodings(hist)
+    feats, cols = M.select_features(materialize(M.build_features(hist, medians, encodings=encodings)))
+    scaler = M.fit_robust_scaler(feats, cols)
+    fitted = M._rf(20, 20, 2).setCacheNodeIds(True).setMaxMemoryInMB(32).fit(M.assemble(M.robust_scale(feats, scaler), cols))
+    scored = _saved_and_loaded(spark, medians, encodings, cols, scaler, ForestModel(forest=forest_of(fitted))).transform(hist)
+    return L.predictive_alerts(scored)
 
 
 # L3 on the k-NN probabilities, which SQL reproduces; every class of severity occurs
@@ -1346,6 +1355,39 @@ def q_knn_predictive_alerts(spark, sf):
     return _no_message(L.predictive_alerts(scored, prob="p1"))
 
 
+def _saved_and_loaded(spark, medians, encodings, cols, scaler, classifier):
+    """A serving pipeline, saved in the checkpoint folder and loaded again."""
+    import uuid
+
+    from ..session import scratch_path
+    from .serving import load_pipeline, save_pipeline, serving_pipeline
+    path = scratch_path(spark, f"pipeline-{uuid.uuid4().hex}")
+    save_pipeline(serving_pipeline(medians, encodings, cols, scaler, classifier), path)
+    return load_pipeline(path)
+
+
+# S13 + M13 + M14: median fill, columns, scaler and k-NN rows all come from the saved pipeline
+@register("saved_pipeline_scores", with_mapping(f"""
+SELECT pr.id_medicao, {R8('p1')} AS probability, yhat AS predicted_class, {R8('greatest(p1, 1.0 - p1)')} AS confidence,
+  CASE WHEN p1 >= 0.8 THEN 'CRITICAL' WHEN p1 >= 0.6 THEN 'HIGH' WHEN p1 >= 0.4 THEN 'MEDIUM' ELSE 'LOW' END AS alert_level,
+  {R8('kf.vl_temperatura')} AS used_temperature, {R8('kf.vl_vibracao')} AS used_vibration
+FROM pr JOIN kf USING (id_medicao)""", KNN_PRED_CTES))
+def q_saved_pipeline_scores(spark, sf):
+    from ..operators.forest import KnnModel
+    from ..session import materialize
+    r, _ = _t(spark, sf)
+    base = materialize(M.stratified_split(r.withColumn("target", P.fault_target())))
+    train, test = base.where(~F.col("is_test")), base.where(F.col("is_test")).drop("target", "is_test")
+    medians = M.fit_medians(base)
+    plain = {c: (0.0, 1.0) for c in KNN_COLS}
+    rows = M.serving_features(train, medians, reference_compatible=True).select("id_medicao", "target", *[F.col(c).alias(f"z_{c}") for c in KNN_COLS])
+    pipeline = _saved_and_loaded(spark, medians, {}, KNN_COLS, plain, KnnModel(train=rows, cols=[f"z_{c}" for c in KNN_COLS], k=5))
+    scored = pipeline.transform(test)
+    return round_doubles(scored.select("id_medicao", "probability", "predicted_class", "confidence", "alert_level",
+                                       F.element_at("features_used", "vl_temperatura").alias("used_temperature"),
+                                       F.element_at("features_used", "vl_vibracao").alias("used_vibration")))
+
+
 @register("retrain")
 def q_retrain(spark, sf):
     from .training import retrain

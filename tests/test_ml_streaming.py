@@ -35,7 +35,7 @@ def _points(spark, n_train=300, n_test=40, d=4, seed=5):
 def test_knn_join_is_exact(spark, metric):
     train, test, tr, te, cols, _ = _points(spark)
     got = {}
-    for r in knn_join(train, test, cols, k=5, metric=metric, cells_per_dim=3, grid_dims=2).collect():
+    for r in knn_join(train, test, cols, k=5, metric=metric, pivots=3, block_rows=20).collect():
         got.setdefault(r.test_id_medicao, []).append((r.nn_rank, r.train_id_medicao))
     for j in range(len(te)):
         d = (np.abs(tr - te[j]).sum(axis=1) if metric == "manhattan"

@@ -80,8 +80,8 @@ def test_cross_validation_and_baseline(spark):
              "S" if (i % 40) > 25 else "N", "E") for i in range(300)]
     df = make_readings(spark, rows).withColumn("target", F.when(F.col("flag_falha") == "S", 1).otherwise(0))
     data = M.assemble(M.with_folds(df), ["vl_temperatura"])
-    ranked = M.cross_validate({"lr": M._lr(1.0, 300), "rf": M._rf(10, 5, 2)}, data)
-    assert {n for _, n in ranked} == {"lr", "rf"} and all(0 <= s <= 1 for s, _ in ranked)
+    ranked = M.forest_search(data, {"numTrees": [10], "maxDepth": [5], "min_split": [2]})[0]
+    assert list(ranked) == [(10, 5, 2)] and 0 <= ranked[10, 5, 2] <= 1
     base = M.baseline(df, ["vl_temperatura", "vl_pressao"])
     assert set(base) == {"LogisticRegression", "KNN"} and base["KNN"]["accuracy"] > 0.5
 
@@ -111,13 +111,3 @@ def test_etl_cycle_and_entry(spark):
     df = E.entry(spark)
     assert df.count() == 15 and "vl_temperatura_mean" in df.columns
     assert set(E.oracle_sql()) <= set(E.queries())
-
-
-def test_registered_retrain_runs_the_whole_search(spark, monkeypatch):
-    from smartmaint.plans import driver_queries, training
-    calls = []
-    monkeypatch.setattr(driver_queries, "_t", lambda spark, sf: ("readings", "machines"))
-    monkeypatch.setattr(training, "retrain", lambda spark, r, m, as_of, **kw: calls.append(kw))
-    driver_queries.q_retrain(spark, "sf")
-    assert not calls[0].get("quick") and calls[0].get("knn", True)
-    assert len(training._grid(1000, calls[0].get("quick", False))) == 27 + 3
