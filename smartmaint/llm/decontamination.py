@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from smartmaint.llm.common import materialize, row_slices, table
+from smartmaint.llm.common import materialize, table
 from smartmaint.llm.words import text_bytes, word_bounds, word_hashes
 
 WINDOW = 13
@@ -42,7 +42,9 @@ class Block:
     vocabulary: np.ndarray            # sorted word hashes; code = place + 1
     seen: np.ndarray                  # bitmap over the hashes' top bits
     by_length: dict                   # window length -> (sorted distinct keys, first owner, owners' item, owners' offset)
-    item_ids: list
+    item_ids: pa.Array
+    sets: dict                        # window length -> number of each distinct key's set of items
+    members: list                     # the items of each set
 
 
 def _keys(codes: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
@@ -67,7 +69,7 @@ def code_block(items: list[tuple[str, str]], window: int) -> Block:
         if n:
             w = min(window, n)
             by_length.setdefault(w, []).append((i, first[i] + np.arange(n - w + 1)))
-    out = {}
+    out, sets, numbers = {}, {}, {}
     for w, parts in by_length.items():
         at = np.concatenate([p for _, p in parts])
         item = np.concatenate([np.full(len(p), i) for i, p in parts])
@@ -75,7 +77,10 @@ def code_block(items: list[tuple[str, str]], window: int) -> Block:
         order = np.argsort(keys, kind="stable")
         distinct, owner = np.unique(keys[order], return_index=True)
         out[w] = (distinct, np.append(owner, len(order)), item[order], (at - first[item])[order])
-    return Block(vocabulary, seen, out, [i for i, _ in items])
+        owners = np.split(item[order], owner[1:])
+        sets[w] = np.array([numbers.setdefault(np.unique(o).tobytes(), len(numbers)) for o in owners])
+    members = [np.frombuffer(b, np.int64) for b in numbers]
+    return Block(vocabulary, seen, out, pa.array([i for i, _ in items], pa.string()), sets, members)
 
 
 def _code(block: Block, hashes: np.ndarray) -> np.ndarray:
@@ -96,15 +101,15 @@ def _spread(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def search_shard(block: Block, hashes: np.ndarray, first: np.ndarray):
-    """Matches of the block's windows in one shard of documents.
+    """Occurrences of the block's windows in one shard of documents.
 
-    Yields (window length, row of each occurrence, its place in the row, item
-    place, item offset), with one entry for each owner of a window.
+    Yields (window length, row of each occurrence, its place in the row, its
+    window). Owners of a window are not spread here.
     """
     codes = _code(block, hashes)
     known = np.concatenate(([0], np.cumsum(codes[:-1] > 0)))
     row_of = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    for w, (windows, owner, item, offset) in block.by_length.items():
+    for w, (windows, _, _, _) in block.by_length.items():
         if len(hashes) < w:
             continue
         at = np.flatnonzero(known[w:] - known[:-w] == w)
@@ -114,9 +119,28 @@ def search_shard(block: Block, hashes: np.ndarray, first: np.ndarray):
         keys, at = keys[order], at[order]
         found, which = _spread(np.searchsorted(keys, windows, "left"), np.searchsorted(keys, windows, "right"))
         at = at[found]
-        pair, occurrence = _spread(owner[which], owner[which + 1])
         row = row_of[at]
-        yield w, row, at - first[row], occurrence, item[pair], offset[pair]
+        yield w, row, at - first[row], which
+
+
+def _items_of(block: Block, w: int, row: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, item), each set of items spread once for a row, however many of its windows share it."""
+    pairs = np.unique(row * (len(block.members) + 1) + block.sets[w][which])
+    row, number = np.divmod(pairs, len(block.members) + 1)
+    sizes = np.array([len(m) for m in block.members])[number]
+    return np.repeat(row, sizes), np.concatenate([block.members[k] for k in number.tolist()] or [np.empty(0, np.int64)])
+
+
+def _lists(row: np.ndarray, values: pa.Array, n: int) -> pa.Array:
+    """Sorted distinct values of each of ``n`` rows."""
+    coded = values.dictionary_encode()
+    sorted_ = pa.compute.array_sort_indices(coded.dictionary)
+    rank = np.empty(len(sorted_), np.int64)
+    rank[sorted_.to_numpy()] = np.arange(len(sorted_))
+    key = np.unique(row * (len(rank) + 1) + rank[coded.indices.to_numpy()] if len(row) else np.empty(0, np.int64))
+    row, at = np.divmod(key, len(rank) + 1)
+    offsets = np.searchsorted(row, np.arange(n + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), coded.dictionary.take(sorted_).take(pa.array(at)))
 
 
 def longest_matches(w: int, row, place, item, offset) -> tuple[np.ndarray, ...]:
@@ -141,37 +165,53 @@ def _union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _pass(batches: Iterator[pa.RecordBatch], block, schema: pa.Schema, first_pass: bool,
-          text: str) -> Iterator[pa.RecordBatch]:
-    block = block.value
-    for part in row_slices(batches, text, SHARD_BYTES):
-        raw, rows = text_bytes(part.column(part.schema.get_field_index(text)))
-        starts, ends, first = word_bounds(raw, rows)
-        hashes = word_hashes(raw, starts, ends)
-        n = part.num_rows
-        if first_pass:
-            spans, items, matches = {}, {}, {}
-        else:
-            spans, items, matches = ({i: v for i, v in enumerate(part.column(part.schema.get_field_index(c)).to_pylist()) if v}
-                                     for c in ("__spans", "__items", "__matches"))
-            spans = {i: [(s["s"], s["e"]) for s in v] for i, v in spans.items()}
-        for w, row, place, occurrence, item, offset in search_shard(block, hashes, first):
-            # spans of hit words: sorted occurrences merge where they touch
-            flat = np.unique(row * (1 << 40) + place)
-            cut = np.flatnonzero(np.diff(flat) > w) + 1
-            for s, e in zip(flat[np.concatenate(([0], cut))] if len(flat) else [], flat[np.append(cut, len(flat)) - 1] if len(flat) else []):
-                spans.setdefault(int(s) >> 40, []).append((int(s) & ((1 << 40) - 1), (int(e) & ((1 << 40) - 1)) + w))
-            for r, i, o, p, k in zip(*longest_matches(w, row[occurrence], place[occurrence], item, offset)):
+def _search(text: pa.Array, state: pa.Array | None, block: Block, kind: pa.StructType, with_items: bool, with_matches: bool) -> pa.Array:
+    """The state (words, spans, items, matches) of some whole texts after this block."""
+    raw, rows = text_bytes(text)
+    starts, ends, first = word_bounds(raw, rows)
+    hashes = word_hashes(raw, starts, ends)
+    n, spans, matches = len(text), {}, {}
+    item_rows, item_values = [np.empty(0, np.int64)], [pa.array([], pa.string())]
+    if state is not None:
+        spans = {i: [(s["s"], s["e"]) for s in v] for i, v in enumerate(state.field("spans").to_pylist()) if v}
+        matches = {i: v for i, v in enumerate(state.field("matches").to_pylist()) if v}
+        before = state.field("items")
+        item_rows.append(pa.compute.list_parent_indices(before).to_numpy())
+        item_values.append(before.flatten())
+    for w, row, place, which in search_shard(block, hashes, first):
+        # spans of hit words: sorted occurrences merge where they touch
+        flat = np.unique(row * (1 << 40) + place)
+        cut = np.flatnonzero(np.diff(flat) > w) + 1
+        for s, e in zip(flat[np.concatenate(([0], cut))] if len(flat) else [], flat[np.append(cut, len(flat)) - 1] if len(flat) else []):
+            spans.setdefault(int(s) >> 40, []).append((int(s) & ((1 << 40) - 1), (int(e) & ((1 << 40) - 1)) + w))
+        if with_items:
+            r, i = _items_of(block, w, row, which)
+            item_rows.append(r)
+            item_values.append(block.item_ids.take(pa.array(i)))
+        if with_matches:
+            _, owner, item, offset = block.by_length[w]
+            pair, occurrence = _spread(owner[which], owner[which + 1])
+            for r, i, o, p, k in zip(*longest_matches(w, row[occurrence], place[occurrence], item[pair], offset[pair])):
                 matches.setdefault(int(r), []).append(
-                    {"item_id": block.item_ids[i], "item_start": int(o), "doc_start": int(p), "words": int(k)})
-                items.setdefault(int(r), []).append(block.item_ids[i])
-        spans = {i: _union(v) for i, v in spans.items()}
-        cols = [part.column(part.schema.get_field_index(f.name)) for f in schema if not f.name.startswith("__") or f.name == "__text"]
-        cols += [pa.array(np.diff(first), pa.int64()),
-                 pa.array([[{"s": s, "e": e} for s, e in spans.get(i, [])] for i in range(n)], schema.field("__spans").type),
-                 pa.array([sorted(set(items.get(i, []))) for i in range(n)], schema.field("__items").type),
-                 pa.array([matches.get(i, []) for i in range(n)], schema.field("__matches").type)]
-        yield pa.RecordBatch.from_arrays(cols, schema=schema)
+                    {"item_id": block.item_ids[int(i)].as_py(), "item_start": int(o), "doc_start": int(p), "words": int(k)})
+    spans = {i: _union(v) for i, v in spans.items()}
+    cols = [pa.array(np.diff(first), pa.int64()),
+            pa.array([[{"s": s, "e": e} for s, e in spans.get(i, [])] for i in range(n)], kind.field("spans").type),
+            _lists(np.concatenate(item_rows), pa.concat_arrays(item_values), n).cast(kind.field("items").type),
+            pa.array([matches.get(i, []) for i in range(n)], kind.field("matches").type)]
+    return pa.StructArray.from_arrays(cols, fields=list(kind))
+
+
+def _slices(text: pa.Array) -> list[tuple[int, int]]:
+    """Row ranges that hold about ``SHARD_BYTES`` of text each."""
+    lens = pa.compute.fill_null(pa.compute.binary_length(text), 0).to_numpy(zero_copy_only=False)
+    cuts, size = [0], 0
+    for i, x in enumerate(lens.tolist()):
+        if size and size + x > SHARD_BYTES:
+            cuts.append(i)
+            size = 0
+        size += x
+    return list(zip(cuts, [*cuts[1:], len(text)]))
 
 
 def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
@@ -187,24 +227,43 @@ def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str,
     yield block
 
 
-def _scan(docs: DataFrame, benchmark: DataFrame, window: int, kept: list[str], text_col: str, block_bytes: int) -> DataFrame:
-    """The kept columns as c0, c1, … (so that no name can clash) and __words, __spans, __items, __matches."""
-    text = f"c{kept.index(text_col)}" if text_col in kept else "__text"
-    cur = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(kept) if c != text_col], docs[text_col].cast("string").alias(text))
-    fields = list(cur.schema.fields)
-    base = T._parse_datatype_string("__words bigint, __spans array<struct<s:bigint,e:bigint>>, __items array<string>, __matches " + MATCH)
+STATE = "struct<words:bigint,spans:array<struct<s:bigint,e:bigint>>,items:array<string>,matches:" + MATCH + ">"
+
+
+def _scan(docs: DataFrame, benchmark: DataFrame, window: int, kept: list[str], text_col: str, block_bytes: int,
+          with_items: bool = True, with_matches: bool = True) -> DataFrame:
+    """The kept columns as c0, c1, … (so that no name can clash) and __words, __spans, __items, __matches.
+
+    Only the text (and, with several blocks, what the blocks before found)
+    goes through Python; the other columns stay where they are.
+    """
+    cur = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(kept)], docs[text_col].cast("string").alias("__text"))
+    kind = to_arrow_schema(T.StructType([T.StructField("s", T._parse_datatype_string(STATE))])).field(0).type
     blocks = _blocks(benchmark, block_bytes)
-    block, pass_no = next(blocks), 0
+    block, first_pass = next(blocks), True
     while block is not None:
         after = next(blocks, None)
-        out = T.StructType([f for f in fields if after is not None or f.name != "__text"] + base.fields)
         shipped = docs.sparkSession.sparkContext.broadcast(code_block(block, window))
-        schema, is_first = to_arrow_schema(out), pass_no == 0
-        cur = cur.mapInArrow(lambda b, s=shipped, a=schema, p=is_first: _pass(b, s, a, p, text), out)
+
+        def searched(text: pa.Array, state: pa.Array | None, s=shipped) -> pa.Array:
+            parts = [_search(text.slice(a, b - a), None if state is None else state.slice(a, b - a), s.value, kind, with_items, with_matches)
+                     for a, b in _slices(text)]
+            return pa.concat_arrays(parts) if parts else pa.array([], kind)
+
+        if first_pass:
+            @F.arrow_udf(STATE)
+            def search(text: pa.Array) -> pa.Array:
+                return searched(text, None)
+            cur = cur.withColumn("__state", search("__text"))
+        else:
+            @F.arrow_udf(STATE)
+            def search_on(text: pa.Array, state: pa.Array) -> pa.Array:
+                return searched(text, state)
+            cur = cur.withColumn("__state", search_on("__text", "__state"))
         if after is not None:
             cur = materialize(cur)
-        block, pass_no = after, pass_no + 1
-    return cur
+        block, first_pass = after, False
+    return cur.select(*[f"c{i}" for i in range(len(kept))], *[F.col(f"__state.{x}").alias(f"__{x}") for x in ("words", "spans", "items", "matches")])
 
 
 def _decision(share: int):
@@ -213,7 +272,7 @@ def _decision(share: int):
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep: list[str] | None = None,
-                       text_col: str = "text", block_bytes: int = BLOCK_BYTES, share: int = ITEM_SHARE) -> DataFrame:
+                       text_col: str = "text", block_bytes: int = BLOCK_BYTES, share: int = ITEM_SHARE, matches: bool = True) -> DataFrame:
     """Verbatim benchmark passages in whole documents.
 
     ``benchmark`` has the columns (item id, text). Returns the ``keep``
@@ -222,7 +281,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     ``window`` consecutive item words (a shorter item is one window), the
     items (sorted as strings), the longest matches with their places, and
     whether a 1/``share`` part of the words is hit. A ``keep`` column that
-    bears one of these names is replaced.
+    bears one of these names is replaced. Without ``matches`` that list is
+    empty, and passages that many items share cost no entry for each of them.
 
     Null or empty texts have no words and are clean. Repeated rows and null
     ids are rows like others. An empty benchmark leaves everything clean; an
@@ -231,7 +291,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     made = ["n_words", "n_hit", "n_items", "item_ids", "matches", "contaminated"]
     kept = [c for c in (docs.columns if keep is None else keep) if c not in made]
     n_hit, contaminated = _decision(share)
-    return _scan(docs, benchmark, window, kept, text_col, block_bytes).select(
+    return _scan(docs, benchmark, window, kept, text_col, block_bytes, with_matches=matches).select(
         *[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)],
         F.col("__words").alias("n_words"), n_hit.alias("n_hit"), F.size("__items").cast("long").alias("n_items"),
         F.col("__items").alias("item_ids"), F.col("__matches").alias("matches"), contaminated.alias("contaminated"))
@@ -239,14 +299,14 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = ITEM_SHARE) -> DataFrame:
     """``docs`` without the contaminated rows; all its columns, whatever their names."""
-    found = _scan(docs, benchmark, window, docs.columns, "text", BLOCK_BYTES)
+    found = _scan(docs, benchmark, window, docs.columns, "text", BLOCK_BYTES, with_items=False, with_matches=False)
     return found.filter(~_decision(share)[1]).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: words, hit words and items of ``benchmark`` windows, contaminated or not."""
     found = find_contamination(table(spark, sf_dir, "documents"),
-                               table(spark, sf_dir, "benchmark").select("item_id", "text"), keep=["doc_id"])
+                               table(spark, sf_dir, "benchmark").select("item_id", "text"), keep=["doc_id"], matches=False)
     return found.select("doc_id", "n_words", "n_hit", "n_items",
                         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 

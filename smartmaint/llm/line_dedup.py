@@ -50,8 +50,10 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     # byte searches first: few lines need the pattern
     uneven = reduce(Column.__or__, [F.contains("line", F.lit(x)) for x in ("  ", "\t", "\v", "\f", "\r")])
     spaced = F.when(uneven, F.regexp_replace("line", r"[\x20\x09-\x0D]+", " ")).otherwise(F.col("line"))
-    place = F.coalesce(F.col("id").cast("decimal(20,0)"), F.lit("99999999999999999999").cast("decimal(20,0)")) \
-        * F.lit(1 << 32).cast("decimal(11,0)") + F.col("line_no")
+    # id (null: last), 30 bits of the text's hash, line number in one number below 10^38
+    row = F.coalesce(F.col("id").cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)"), F.lit(str(1 << 64)).cast("decimal(20,0)"))
+    low = F.shiftleft(F.col("th").bitwiseAND(F.lit((1 << 30) - 1)), 32) + F.col("line_no")
+    place = row.cast("decimal(38,0)") * F.lit(str(1 << 62)).cast("decimal(19,0)") + low.cast("decimal(20,0)")
     return rows.select("id", "th", "line_no", place.cast("decimal(38,0)").alias("place"), F.trim(spaced).alias("words")) \
         .filter("words != ''") \
         .withColumns({"h1": F.xxhash64("words"), "h2": F.xxhash64(F.lit(7), "words")})
@@ -135,40 +137,51 @@ def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "do
     lines = lines_of(docs, id_col, text_col)
     n = F.length("words") - F.length(F.replace(F.col("words"), F.lit(" "), F.lit(""))) + 1
     keyed = lines.withColumn("n", n)
-    keyed = keyed.select("h1", "h2", "place", *[k.alias(f"k{i}") for i, k in enumerate(_halves(F.col("n"), F.col("words"), min_words), 1)])
+    # lines as short rows, written once: who has which, and the keys of its halves
+    keyed = materialize(keyed.select("id", "th", "line_no", "h1", "h2", "place",
+                                     *[k.alias(f"k{i}") for i, k in enumerate(_halves(F.col("n"), F.col("words"), min_words), 1)]))
     # the halves follow from the line, so they may be grouping keys
     distinct = materialize(keyed.groupBy("h1", "h2", "k1", "k2", "k3", "k4").agg(F.min("place").alias("place"), F.count("*").alias("n")))
     near = near_lines(lines, distinct).withColumn("near", F.lit(True))
     repeated = distinct.select("h1", "h2", F.col("place").alias("first"), "n").join(near, ["h1", "h2"], "left") \
         .filter("n > 1 OR near").select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
-    gone = lines.select("id", "th", "line_no", "place", "h1", "h2").join(small(materialize(repeated)), ["h1", "h2"]) \
+    gone = keyed.select("id", "th", "line_no", "place", "h1", "h2").join(small(materialize(repeated)), ["h1", "h2"]) \
         .filter("near OR place != first")
     return gone.groupBy("id", "th").agg(F.collect_set("line_no").alias("removed"))
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with repeated and nearly repeated lines taken out, and the column ``__removed`` (line numbers).
+    """``docs`` with repeated and nearly repeated lines taken out, and a last column of their numbers.
 
-    A line goes if an equal line, or from ``min_words`` words on a line within
-    one word edit, comes earlier in the order (id, line number); null ids come
-    last. Every row stays, if need be with an empty text, and lines without a
+    The last column is ``__removed``, with more underscores in front if
+    ``docs`` has that name. A line goes if an equal line, or from ``min_words``
+    words on a line within one word edit, comes earlier in the order (id, hash
+    of the text, line number); null ids come last. Every row stays, if need be
+    with an empty text, and lines without a
     word stay where they are. Rows equal in id and text count as one document
     and lose the same lines. Null texts stay null. An empty table gives no
     rows. All other columns pass, whatever their names.
     """
-    gone = removed_lines(docs, min_words, id_col, text_col).select(
-        F.col("id").alias("__id"), F.col("th").alias("__th"), F.col("removed").alias("__removed"))
-    lines = F.split(F.col(text_col), "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__removed"))
+    taken = {c.lower() for c in docs.columns}
+
+    def free(name: str) -> str:
+        while name in taken:
+            name = "_" + name
+        return name
+
+    i, t, removed = free("__id"), free("__th"), free("__removed")
+    gone = removed_lines(docs, min_words, id_col, text_col).select(F.col("id").alias(i), F.col("th").alias(t), F.col("removed").alias(removed))
+    lines = F.split(docs[text_col], "\n")
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone[removed])
     kept = F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
-    out = docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["__id"]) & (F.xxhash64(docs[text_col]) == gone["__th"]), "left")
-    return out.select(*[F.when(F.col("__removed").isNull(), docs[c]).otherwise(kept).alias(c) if c == text_col else docs[c]
-                        for c in docs.columns], F.coalesce("__removed", F.array().cast("array<int>")).alias("__removed"))
+    out = docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone[i]) & (F.xxhash64(docs[text_col]) == gone[t]), "left")
+    return out.select(*[F.when(gone[removed].isNull(), docs[c]).otherwise(kept).alias(c) if c == text_col else docs[c]
+                        for c in docs.columns], F.coalesce(gone[removed], F.array().cast("array<int>")).alias(removed))
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: lines removed and the hash of the text that stays."""
-    out = dedup_lines(table(spark, sf_dir, "documents"))
+    out = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.size("__removed").cast("long").alias("n_removed"),
                       F.length(F.coalesce("text", F.lit(""))).cast("long").alias("kept_chars"),
                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))

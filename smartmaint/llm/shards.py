@@ -23,6 +23,7 @@ from smartmaint.llm.common import materialize, table
 
 LENGTH = 2048
 SHARD_SEQUENCES = 1024
+SHARDS_PER_TASK = 8
 END_ID = 1
 PAD_ID = 0
 KEY = 20240131
@@ -68,7 +69,10 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, length: int) -> Iterator[
 
     for b in batches:
         for text in b.column(0):
-            ids = np.frombuffer(tok.ids(text.as_py()), "<u4").astype("<u2").tobytes() + end
+            ids = np.frombuffer(tok.ids(text.as_py()), "<u4")
+            if len(ids) and ids.max() > 0xFFFF:
+                raise ValueError("the vocabulary does not fit into two bytes")
+            ids = ids.astype("<u2").tobytes() + end
             held.append(ids)
             size += len(ids)
             if size >= 256 * stride:
@@ -135,7 +139,11 @@ def training_shards(docs: DataFrame, tokenizer_path: str, length: int = LENGTH,
     from pyspark.sql.types import _parse_datatype_string
     schema = to_arrow_schema(_parse_datatype_string(SHARD_SCHEMA))
     placed = cut.select(slot("part", "no").alias("slot"), "tokens", "ids").withColumn("shard", F.floor(F.col("slot") / sequences))
-    return placed.repartitionByRange("shard").sortWithinPartitions("slot").select("slot", "tokens", "ids") \
+    # slots are dense, so ranges of shards are known without a look at the rows
+    n = max(1, -(-total // sequences))
+    parts = min(n, max(cut.rdd.getNumPartitions(), -(-n // SHARDS_PER_TASK)))
+    part = F.floor(F.col("shard") * parts / n).cast("int")
+    return placed.repartitionById(parts, part).sortWithinPartitions("slot").select("slot", "tokens", "ids") \
         .mapInArrow(lambda b: _shards(b, sequences, schema), SHARD_SCHEMA)
 
 

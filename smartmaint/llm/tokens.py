@@ -68,7 +68,10 @@ class WordTokenizer:
         if any(t.split() != [t] for t in added):
             raise ValueError("added tokens with white space: chunks would cut them")
         # a file may match them in normalised text, so their case does not matter here
-        self.added = regex.compile("|".join(map(regex.escape, added)), regex.IGNORECASE).search if added else lambda _: None
+        # each begins with one of few characters, which is looked for first
+        self.first = "".join(sorted({c for t in added for c in (t[0].lower(), t[0].upper())}))
+        found = regex.compile("|".join(map(regex.escape, added)), regex.IGNORECASE).search if added else None
+        self.added = (lambda w: any(c in w for c in self.first) and found(w)) if added else lambda _: None
         self.exact.encode_special_tokens = not special
         self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
         # no-break space and NEL count as white space, U+0130 lower-cases to two characters

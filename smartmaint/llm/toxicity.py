@@ -5,12 +5,14 @@ hashes to a row of an embedding table, so an unseen misspelling shares
 vectors with the words it resembles. A window of ``WINDOW`` words is the
 average of its words' bags; a linear softmax over the average gives the
 window's probability, and a document is toxic if any window is:
-p = 1 - prod(1 - p_window). Table and softmax are trained jointly, in numpy,
+p = 1 - prod(1 - p_window). Beyond ``SPAN`` windows the product is that of
+``SPAN`` average ones, so that a text does not look worse for being long. Table and softmax are trained jointly, in numpy,
 by gradient descent with momentum on the documents' labels.
 
 The fit uses a bounded sample of labelled rows (``SAMPLE_ROWS`` rows and
 ``SAMPLE_BYTES`` of text, taken in the order of a hash of the id, without
-texts above ``LONGEST_SHARE`` of those bytes). Scoring
+texts above ``LONGEST_SHARE`` of those bytes). Each label gets its share of
+the rows, a rare one up to ``RARE_SHARE``; weights make up for that. Scoring
 reads every whole text in its own task; by linearity the averages need one
 number for each table row, so 4 * BUCKETS bytes are broadcast.
 """
@@ -32,13 +34,15 @@ BUCKETS = 1 << 18
 DIM = 8
 GRAMS = (3, 6)
 WINDOW = 16
+SPAN = 64  # windows
+RARE_SHARE = 0.1
 SAMPLE_ROWS = 4000
 SAMPLE_BYTES = 24 << 20
 LONGEST_SHARE = 1 / 64  # of the sample's bytes, for a single text
 SHORT_BYTES = 4096  # never too long
 STEPS = 100
 THRESHOLD = 0.3
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _SCALE = 4.0  # of the averaged window vector
 
 
@@ -87,6 +91,11 @@ class Bags:
     words_in: np.ndarray  # distinct words of each window, at least 1
     docs: int
 
+    @property
+    def share(self) -> np.ndarray:
+        """What a window of each document counts: less in texts of more than ``SPAN`` windows."""
+        return np.minimum(1.0, SPAN / np.maximum(np.bincount(self.doc, minlength=self.docs), 1))
+
     def logits(self, weight: np.ndarray, per_word: np.ndarray, bias: float) -> np.ndarray:
         s = _sums(weight[self.rows], self.bounds) / per_word
         return np.bincount(self.window, s[self.word], minlength=len(self.doc)) / self.words_in * _SCALE + bias
@@ -111,13 +120,14 @@ def _softplus(z: np.ndarray) -> np.ndarray:
     return np.logaddexp(0, z)
 
 
-def fit(texts: pa.Array, labels: np.ndarray, steps: int = STEPS, seed: int = 0) -> Model:
-    """Joint gradient descent on the embedding table and the softmax.
+def fit(texts: pa.Array, labels: np.ndarray, weights: np.ndarray | None = None, steps: int = STEPS, seed: int = 0) -> Model:
+    """Joint gradient descent on the embedding table and the softmax; ``weights`` count rows more or less.
 
     Without both labels the score is the share of label 1, smoothed so that
     no labels at all give 0.1 and nothing is rejected.
     """
     y = np.asarray(labels, float)
+    of_row = np.ones(len(y)) if weights is None else np.asarray(weights, float) * len(y) / np.sum(weights)
     if not len(y) or y.min() == y.max():
         share = (y.sum() + 0.1) / (len(y) + 1)
         return Model(np.zeros(BUCKETS, np.float32), float(np.log(share / (1 - share))))
@@ -136,15 +146,16 @@ def fit(texts: pa.Array, labels: np.ndarray, steps: int = STEPS, seed: int = 0)
     softmax = rng.normal(0, 1, (DIM, 2))
     softmax /= np.linalg.norm(softmax[:, 1] - softmax[:, 0])
     # so that an average document starts at the share of label 1
-    bias = np.array([0.0, np.log(y.mean() / (len(b.doc) / len(y)))])
+    bias = np.array([0.0, np.log((y * of_row).mean() / (len(b.doc) / len(y)))])
+    share = b.share[b.doc]
     speed = np.zeros(len(used))
     for _ in range(steps):
         diff = softmax[:, 1] - softmax[:, 0]
         weight = table_ @ diff.astype(np.float32)
         z = b.logits(weight, per_word, bias[1] - bias[0])
-        total = np.maximum(np.bincount(b.doc, _softplus(z), minlength=len(y)), 1e-9)  # -log(1 - p)
-        per_doc = np.where(y == 1, -1 / np.expm1(np.minimum(total, 50)), 1.0) / len(y)
-        d = per_doc[b.doc] / (1 + np.exp(-np.clip(z, -50, 50)))
+        total = np.maximum(np.bincount(b.doc, share * _softplus(z), minlength=len(y)), 1e-9)  # -log(1 - p)
+        per_doc = np.where(y == 1, -1 / np.expm1(np.minimum(total, 50)), 1.0) * of_row / len(y)
+        d = share * per_doc[b.doc] / (1 + np.exp(-np.clip(z, -50, 50)))
         g_word = np.bincount(b.word, (d / b.words_in * _SCALE)[b.window], minlength=len(per_word)) / per_word
         g_row = np.bincount(b.rows, g_word[owner], minlength=len(used))
         speed = 0.9 * speed + g_row
@@ -170,65 +181,75 @@ def scores(model: Model, texts: pa.Array) -> np.ndarray:
     # rows that the fit left out carry no weight and do not count in a word's bag
     per_word = np.sqrt(np.maximum(_sums(model.weight[b.rows] != 0, b.bounds), 1))
     z = b.logits(model.weight, per_word, model.bias)
-    return -np.expm1(-np.bincount(b.doc, _softplus(z), minlength=b.docs))
+    return -np.expm1(-b.share * np.bincount(b.doc, _softplus(z), minlength=b.docs))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, size: int = SAMPLE_BYTES):
-    """At most ``rows`` labelled texts of at most ``size`` bytes, in the order of a hash of the id.
+    """(texts, labels, weights): at most ``rows`` labelled texts of at most ``size`` bytes, in the order of a hash of the id.
 
     ``docs`` (doc_id, text), ``labels`` (doc_id, label 0/1); null ids and
     labels take no part, of several labels of an id the largest counts, rows
-    equal in id and text count once. Texts above ``size * LONGEST_SHARE``
-    bytes (but not those up to ``SHORT_BYTES``) are left out, and a text that does not fit into what is left is
-    passed over; lengths are measured in Spark, so only chosen texts reach
-    the driver. ValueError if labelled texts have a label that none of the
-    chosen ones has.
+    equal in id and text count once. Each label is given rows by its share,
+    but a rare one up to ``RARE_SHARE`` of them; a row weighs what it stands
+    for. Texts above ``size * LONGEST_SHARE`` bytes (but not those up to
+    ``SHORT_BYTES``) are left out, unless a label has no other: then its
+    shortest are taken. A text that does not fit into what is left is passed
+    over, and each label has its part of the bytes. Lengths are measured in
+    Spark, so only chosen texts reach the driver.
     """
     spark, longest = docs.sparkSession, max(int(size * LONGEST_SHARE), SHORT_BYTES)
     one = labels.dropna().groupBy("doc_id").agg(F.max("label").alias("label"))
     src = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     keyed = src.withColumn("th", F.xxhash64("text"))
-    sized = keyed.select("doc_id", "th", F.octet_length("text").alias("bytes")).join(one, "doc_id")
-    fits = sized.filter(F.col("bytes") <= longest).distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "th").limit(rows)
-    chosen, left = [], size
-    for r in fits.collect():  # bounded: short rows
-        if r["bytes"] <= left:
-            left -= r["bytes"]
-            chosen.append(r)
-    got = {r["label"] for r in chosen}
-    if len(got) < 2:
-        lost = sorted(r["label"] for r in sized.select("label").distinct().collect() if r["label"] not in got)
-        if lost:
-            raise ValueError(f"no text with label {lost} in the fit sample of {len(chosen)} rows")
+    sized = keyed.select("doc_id", "th", F.octet_length("text").alias("bytes")).join(one, "doc_id").distinct()
+    sized = sized.withColumn("fits", F.col("bytes") <= longest)
+    counts = {r["label"]: r for r in sized.groupBy("label").agg(F.count("*").alias("n"), F.count_if("fits").alias("fit")).collect()}  # two labels
+    whole = sum(r["n"] for r in counts.values())
+    rare = {y: min(r["n"], int(rows * RARE_SHARE)) for y, r in counts.items()}
+    quota = {y: max(rare[y], min(round(rows * r["n"] / whole), rows - sum(v for z, v in rare.items() if z != y))) for y, r in counts.items()}
+    quota = {y: min(q, counts[y]["n"]) for y, q in quota.items()}
+    part = {y: max(q / max(1, sum(quota.values())), RARE_SHARE / 2 if counts[y]["fit"] else 0.25) for y, q in quota.items()}
+    chosen, weight = [], {}
+    for y, r in sorted(counts.items()):
+        of_label = sized.filter(F.col("label") == y)
+        by = [F.xxhash64("doc_id"), "doc_id", "th"]
+        found = of_label.filter("fits").orderBy(*by).limit(quota[y]) if r["fit"] else of_label.orderBy("bytes", *by).limit(quota[y])
+        left, before = int(size * part[y] / sum(part.values())), len(chosen)
+        for x in found.collect():  # bounded: short rows
+            if x["bytes"] <= left:
+                left -= x["bytes"]
+                chosen.append(x)
+        if len(chosen) > before:
+            weight[y] = r["n"] / (len(chosen) - before)
     if not chosen:
-        return pa.array([], pa.large_string()), np.array([], float)
-    picked = spark.createDataFrame([(i, r["doc_id"], r["th"], r["label"]) for i, r in enumerate(chosen)],
-                                   StructType([StructField("at", IntegerType()), *[fits.schema[c] for c in ("doc_id", "th", "label")]]))
+        return pa.array([], pa.large_string()), np.array([], float), np.array([], float)
+    schema = StructType([StructField("at", IntegerType()), *[sized.schema[c] for c in ("doc_id", "th", "label")]])
+    picked = spark.createDataFrame([(i, r["doc_id"], r["th"], r["label"]) for i, r in enumerate(chosen)], schema)
     found = keyed.join(F.broadcast(picked), ["doc_id", "th"]).select("at", "label", "text").dropDuplicates(["at"]).orderBy("at")
     texts, ys = [], []
     for _, y, text in found.toLocalIterator():
         texts.append(text)
         ys.append(y)
-    return pa.array(texts, pa.large_string()), np.array(ys, float)
+    return pa.array(texts, pa.large_string()), np.array(ys, float), np.array([weight[y] for y in ys])
 
 
 def score_documents(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
     """The ``keep`` columns as c0, c1, … and ``score`` (0 to 1) of every whole text.
 
     Null and empty texts get the score of an empty window; repeated rows get
-    equal scores; an empty table gives no rows.
+    equal scores; an empty table gives no rows. Only the text goes through
+    Python; the other columns stay where they are.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(model)
-    src = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(keep)], docs[text_col].cast("string").alias("__text"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in row_slices(batches, "__text", SLICE_BYTES):
-            s = scores(shipped.value, part.column(part.num_columns - 1))
-            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(s, pa.float64())],
-                                             names=[*part.schema.names[:-1], "score"])
+    @F.arrow_udf("double")
+    def score(text: pa.Array) -> pa.Array:
+        rows = pa.RecordBatch.from_arrays([text], names=["t"])
+        parts = [scores(shipped.value, part.column(0)) for part in row_slices(iter([rows]), "t", SLICE_BYTES)]
+        return pa.array(np.concatenate(parts) if parts else np.empty(0), pa.float64())
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
-    return src.mapInArrow(run, f"{schema}, score double" if schema else "score double")
+    src = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(keep)], docs[text_col].cast("string").alias("__text"))
+    return src.select(*[f"c{i}" for i in range(len(keep))], score("__text").alias("score"))
 
 
 def is_held_out(doc_id):

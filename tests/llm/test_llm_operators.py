@@ -12,6 +12,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from smartmaint.llm import chat_format, common, components, decontamination, licenses, line_dedup, packing, pii, shards, simhash, tokens, topk, toxicity, words
@@ -118,12 +119,13 @@ def test_packing_round_trip(spark, edge_rows):
 def _line_dedup_by_hand(rows, min_words=8):
     docs = {(i, t) for i, t in rows if t is not None}
     lines = defaultdict(list)
-    key = lambda i, n: (i is None, i if i is not None else 0, n)
+    low = lambda t: xxhash.xxh64_intdigest(t.encode(), 42) & ((1 << 30) - 1)
+    key = lambda i, t, n: (i is None, i if i is not None else 0, low(t), n)
     for i, t in docs:
         for n, line in enumerate(t.split("\n")):
             w = tuple(x for x in re.split(r"[\x20\x09-\x0D]+", line) if x)
             if w:
-                lines[w].append((key(i, n), i, t, n))
+                lines[w].append((key(i, t, n), i, t, n))
     first = {w: min(p[0] for p in ps) for w, ps in lines.items()}
     gone = set()
     for w, ps in lines.items():
@@ -534,7 +536,7 @@ def test_toxicity_without_both_labels():
 def test_held_out_rows_are_never_sampled(spark):
     docs = frame(spark, [(i, f"text {i}") for i in range(200)] + [(None, "x")])
     labels = spark.createDataFrame([(i, i % 2) for i in range(200)] + [(3, 1), (5, None), (None, 1)], "doc_id long, label int")
-    texts, y = toxicity.labelled_sample(docs, labels.filter(~toxicity.is_held_out(F.col("doc_id"))), rows=50)
+    texts, y, _ = toxicity.labelled_sample(docs, labels.filter(~toxicity.is_held_out(F.col("doc_id"))), rows=50)
     ids = [int(t.split()[1]) for t in texts.to_pylist()]
     assert len(ids) == 50 and all(zlib.crc32(str(i).encode()) % 4 != 2 for i in ids)
     assert all(v == (1 if i == 3 else i % 2) for i, v in zip(ids, y))
@@ -547,13 +549,80 @@ def test_long_labelled_texts_do_not_end_the_sample(spark):
     rows = [(i, "x" * 20_000 if i in first else t) for i, t in rows]
     docs = frame(spark, rows + rows[:50])
     labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, label int")
-    texts, y = toxicity.labelled_sample(docs, labels, size=16_000)
+    texts, y, _ = toxicity.labelled_sample(docs, labels, size=16_000)
     assert sorted(int(t.split()[1]) for t in texts.to_pylist()) == [i for i in range(300) if i not in first]
     assert [int(t.split()[1]) % 2 for t in texts.to_pylist()] == y.tolist()
-    tight, _ = toxicity.labelled_sample(frame(spark, [(i, "y" * (15 if i in first else 1)) for i, _ in rows]), labels, size=960)
+    tight, _, _ = toxicity.labelled_sample(frame(spark, [(i, "y" * (15 if i in first else 1)) for i, _ in rows]), labels, size=960)
     assert sum(map(len, tight.to_pylist())) <= 960 and len(tight) == 300
-    with pytest.raises(ValueError, match="label"):
-        toxicity.labelled_sample(docs, labels.withColumn("label", F.col("doc_id").isin(first).cast("int")), size=16_000)
+    only_long = labels.withColumn("label", F.col("doc_id").isin(first).cast("int"))
+    texts, y, weights = toxicity.labelled_sample(docs, only_long, size=100_000)
+    assert sum(map(len, texts.to_pylist())) <= 100_000 and 1 <= y.sum() <= 5
+    assert np.isclose(weights[y == 1].sum(), 5) and np.isclose(weights[y == 0].sum(), 295)
+    assert set(toxicity.labelled_sample(docs, only_long, size=16_000)[1]) == {0}  # no toxic text fits: nothing to learn, no crash
+
+
+def test_one_positive_in_ten_thousand_labels(spark):
+    rng = random.Random(21)
+    rows = [(i, prose(rng, 8) + (" snarkfit wurgle" if i == 77 else "")) for i in range(10_000)]
+    labels = spark.createDataFrame([(i, int(i == 77)) for i, _ in rows], "doc_id long, label int")
+    texts, y, weights = toxicity.labelled_sample(frame(spark, rows), labels)
+    assert y.sum() == 1 and 3500 <= len(y) <= toxicity.SAMPLE_ROWS and np.isclose(weights.sum(), 10_000)
+    s = toxicity.scores(toxicity.fit(texts, y, weights), pa.array([t for _, t in rows[:200]]))
+    assert (s[[i for i in range(200) if i != 77]] < toxicity.THRESHOLD).all()
+
+
+def test_rare_labels_are_learnt_and_long_clean_texts_stay_clean(spark):
+    rng = random.Random(22)
+    bad = ["wurgle", "snarkfit", "blortish"]
+    rows = [(i, prose(rng, 40) + (f" {rng.choice(bad)} {rng.choice(bad)} " + prose(rng, 5) if i % 100 == 0 else "")) for i in range(8000)]
+    labels = spark.createDataFrame([(i, int(i % 100 == 0)) for i, _ in rows], "doc_id long, label int")
+    texts, y, weights = toxicity.labelled_sample(frame(spark, rows), labels)
+    assert y.sum() == 80
+    model = toxicity.fit(texts, y, weights)
+    toxic = toxicity.scores(model, pa.array([prose(rng, 60) + f" {b} {b}s " + prose(rng, 60) for b in bad]))
+    assert (toxic >= toxicity.THRESHOLD).all()
+    joined = " ".join(t for i, t in rows if i % 100)  # some 300,000 words
+    assert toxicity.scores(model, pa.array([joined, joined[:700_000], prose(rng, 30)], pa.large_string())).max() < toxicity.THRESHOLD
+
+
+def test_many_items_with_one_preamble_cost_no_pairs(spark):
+    rng = random.Random(23)
+    preamble = prose(rng, 20)
+    items = [(f"i{k:04d}", f"{preamble} {prose(rng, 14)}") for k in range(1500)]
+    docs = [(i, f"{prose(rng, 5)} {preamble} unseen {prose(rng, 20)}") for i in range(150)] + [(900, items[7][1]), (901, prose(rng, 60)), (902, None)]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    for block_bytes in (decontamination.BLOCK_BYTES, 60_000):
+        found = decontamination.find_contamination(frame(spark, docs), bench, matches=False, block_bytes=block_bytes).collect()
+        assert all(r.n_items == 1500 and r.n_hit == 20 and r.item_ids == [i for i, _ in items] for r in found if r.doc_id < 150)
+        by = {r.doc_id: r for r in found}
+        assert (by[900].n_hit, by[900].contaminated, by[901].n_items, by[902].n_words) == (34, True, 0, 0)
+        assert not any(r.matches for r in found)
+
+
+def test_line_places_of_rows_that_share_an_id(spark):
+    rows = [(None, "same long line\nx1"), (None, "same long line\ny2"), (5, "dup line\na"), (5, "dup line\nb")]
+    got = line_dedup.dedup_lines(frame(spark, rows).withColumn("__removed", F.lit("mine")).withColumn("__id", F.lit(1)))
+    assert got.columns == ["doc_id", "text", "__removed", "__id", "___removed"]
+    have = Counter((r.doc_id, r.text) for r in got.collect())
+    assert have == _line_dedup_by_hand(rows) and sum("line" in t for _, t in have) == 2
+    assert all(r["__removed"] == "mine" for r in got.collect())
+    again = line_dedup.dedup_lines(got)
+    assert again.columns[-1] == "____removed" and again.count() == 4
+
+
+def test_every_sequence_lies_at_its_slot(spark):
+    rng = random.Random(24)
+    rows = [(i, prose(rng, rng.randrange(1, 300))) for i in range(120)]
+    out = shards.training_shards(frame(spark, rows).coalesce(1), tokens.default_path(), length=32, sequences=8, key=5).orderBy("shard").collect()
+    tok = tokens.word_tokenizer(tokens.default_path(), special=True)
+    stream = b"".join(np.frombuffer(tok.ids(t), "<u4").astype("<u2").tobytes() + np.array([shards.END_ID], "<u2").tobytes() for _, t in rows)
+    n = -(-len(stream) // 64)
+    stream += np.full((n * 64 - len(stream)) // 2, shards.PAD_ID, "<u2").tobytes()
+    slots = shards.feistel(np.arange(n), n, 5)
+    want = [b""] * n
+    for i, s in enumerate(slots.tolist()):
+        want[s] = stream[64 * i:64 * i + 64]
+    assert b"".join(bytes(r.payload) for r in out) == b"".join(want)
 
 
 # ---- token shards -------------------------------------------------------
