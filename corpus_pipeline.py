@@ -32,7 +32,7 @@ def dedup_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     out = dedup_lines(docs)
     length = F.length("text").cast("long")
-    return out.select(*[F.when(F.size("__removed") > 0, length).otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(c)
+    return out.select(*[F.when(F.size(out.columns[-1]) > 0, length).otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(c)
                         for c in docs.columns])
 
 
