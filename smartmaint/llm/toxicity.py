@@ -105,14 +105,27 @@ def bags(texts: pa.Array) -> Bags:
     raw, at = text_bytes(texts)
     starts, ends, first = word_bounds(raw, at)
     _, sample, word = np.unique(word_hashes(raw, starts, ends), return_index=True, return_inverse=True)
+    word = word.astype(np.int32)
     rows, bounds = subwords(raw, starts[sample], ends[sample]) if len(sample) else (np.empty(0, int), np.zeros(1, int))
+    del raw, starts, ends
     n = np.diff(first)
-    row = np.repeat(np.arange(len(n)), n)
+    row = np.repeat(np.arange(len(n), dtype=np.int32), n)
     windows = np.maximum(-(-n // WINDOW), 1)  # a text without words is one empty window
-    window = (np.cumsum(windows) - windows)[row] + (np.arange(len(row)) - first[row]) // WINDOW
-    pair = np.unique(window * max(1, len(sample)) + word)
-    window, word = np.divmod(pair, max(1, len(sample)))
-    doc = np.repeat(np.arange(len(n)), windows)
+    pair = np.arange(len(row))
+    pair -= first[row]
+    pair //= WINDOW
+    pair += (np.cumsum(windows) - windows)[row]
+    del row
+    pair *= max(1, len(sample))
+    pair += word
+    del word
+    pair.sort()
+    pair = pair[np.diff(pair, prepend=-1) > 0]
+    window = (pair // max(1, len(sample))).astype(np.int32)
+    pair %= max(1, len(sample))
+    word = pair.astype(np.int32)
+    del pair
+    doc = np.repeat(np.arange(len(n), dtype=np.int32), windows)
     return Bags(rows, bounds, window, word, doc, np.maximum(np.bincount(window, minlength=len(doc)), 1), len(n))
 
 
@@ -134,7 +147,7 @@ def fit(texts: pa.Array, labels: np.ndarray, weights: np.ndarray | None = None,
     b = bags(texts)
     # rows seen in a few documents only would learn those documents by heart
     seen = np.zeros(BUCKETS)
-    in_docs = np.bincount(np.unique(b.doc[b.window] * len(b.bounds) + b.word) % len(b.bounds), minlength=len(b.bounds) - 1)
+    in_docs = np.bincount(np.unique(b.doc[b.window].astype(np.int64) * len(b.bounds) + b.word) % len(b.bounds), minlength=len(b.bounds) - 1)
     owner = np.repeat(np.arange(len(b.bounds) - 1), np.diff(b.bounds))
     seen += np.bincount(b.rows, in_docs[owner], minlength=BUCKETS)
     known = seen[b.rows] >= max(5, min(20, len(y) // 200))
@@ -147,7 +160,7 @@ def fit(texts: pa.Array, labels: np.ndarray, weights: np.ndarray | None = None,
     softmax /= np.linalg.norm(softmax[:, 1] - softmax[:, 0])
     # so that an average document starts at the share of label 1
     bias = np.array([0.0, np.log((y * of_row).mean() / (len(b.doc) / len(y)))])
-    share = b.share[b.doc]
+    share = b.share[b.doc].astype(np.float32)
     speed = np.zeros(len(used))
     for _ in range(steps):
         diff = softmax[:, 1] - softmax[:, 0]
