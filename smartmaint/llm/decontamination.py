@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from smartmaint.llm.common import materialize, table
+from smartmaint.llm.common import materialize, release, table
 from smartmaint.llm.words import text_bytes, word_bounds, word_hashes
 
 WINDOW = 13
@@ -248,6 +248,7 @@ def _scan(docs: DataFrame, benchmark: DataFrame, window: int, kept: list[str], t
         def searched(text: pa.Array, state: pa.Array | None, s=shipped) -> pa.Array:
             parts = [_search(text.slice(a, b - a), None if state is None else state.slice(a, b - a), s.value, kind, with_items, with_matches)
                      for a, b in _slices(text)]
+            release()
             return pa.concat_arrays(parts) if parts else pa.array([], kind)
 
         if first_pass:

@@ -42,7 +42,7 @@ LONGEST_SHARE = 1 / 64  # of the sample's bytes, for a single text
 SHORT_BYTES = 4096  # never too long
 STEPS = 100
 THRESHOLD = 0.3
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 _SCALE = 4.0  # of the averaged window vector
 
 
