@@ -113,6 +113,14 @@ def word_tokenizer(path: str, special: bool = False) -> WordTokenizer:
     return _LOADED[path, special]
 
 
+def forget() -> None:
+    """Empty the word caches; they fill again as needed."""
+    for t in _LOADED.values():
+        for cache in (t.pieces, t.chunks):
+            cache.clear()
+            cache.old = {}
+
+
 def default_path() -> str:
     import public_tokenizers
     return public_tokenizers.path("word_bpe_49k.json")
