@@ -94,7 +94,9 @@ class WordTokenizer:
     def _chunk(self, chunk: bytes) -> bytes:
         word = chunk.decode()
         if self.simple(word) and not self.added(word):
-            return b"".join(map(self.pieces.__getitem__, self.split(word.lower())))
+            pieces = self.split(word.lower())
+            # a chunk of one piece is kept once, under the chunk
+            return self._piece(pieces[0]) if len(pieces) == 1 else b"".join(map(self.pieces.__getitem__, pieces))
         ids = self.exact.encode(word, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
