@@ -3,7 +3,8 @@
 The broker is re-aimed as a file drop (or Kafka) of ``(topic, value)``
 records; the same column functions serve batch and stream. Writes go through
 ``foreachBatch`` into per-batch folders, so a replayed batch overwrites its
-own output (exactly once with the checkpointed offsets).
+own output (exactly once with the checkpointed offsets), or, for the whole
+ingestion (``ingest_tables``), into one commit of all tables per batch.
 """
 
 from __future__ import annotations
@@ -199,6 +200,94 @@ def ingest(raw_stream: DataFrame, out_path: str, checkpoint: str, machines_path:
     return w.start()
 
 
+def _same_reading(cols: list[str], a: str, b: str) -> Column:
+    """Null-safe equality of all columns: a redelivered message, not another reading of the same moment."""
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}"))
+    return cond
+
+
+MESSAGE_COLS = ["id_sensor", "id_maquina", "dataHora_medicao", *[f.name for f in schemas._MEASURE_FIELDS],
+                "flag_falha", "fonte_dados"]
+
+
+def commit_batch(raw: DataFrame, batch_id: int, base: str, name: str = "ingest", ingested_at=None) -> bool:
+    """One micro-batch of messages into all tables of the store ``base``, in one commit.
+
+    ``t_medicao`` gains the batch's new readings by day, with ids that go on
+    from the last commit's; ``t_equipamento`` and ``t_sensor`` the machines
+    and sensors seen for the first time; ``t_dead_letters``, ``t_status`` and
+    ``t_heartbeats`` the rejected, status and heartbeat messages. A message
+    that came before, in this batch or any earlier one, is told by all its
+    values: two readings of one moment both stay. Only stored rows between
+    the batch's first and last time are compared (day folders and row groups
+    outside are not read).
+
+    Returns False, having done nothing, if ``name`` has committed
+    ``batch_id`` already (a stream's batch numbers belong to one checkpoint).
+    A batch that fails before the commit leaves no trace in the tables.
+    """
+    from ..operators.windows import assign_ids
+    from ..session import materialize
+    from ..sources import versions as V
+    from ..sources.sinks import with_storage_columns
+    spark = raw.sparkSession
+    before = V.head(spark, base)
+    if before["streams"].get(name, -1) >= batch_id:
+        return False
+    raw = materialize(raw.select("topic", "value"))
+    seen = materialize(stream_readings(raw).select("device_id", *MESSAGE_COLS, "localizacao", "tipo_maquina")
+                       .dropDuplicates(MESSAGE_COLS))
+    lo, hi = seen.agg(F.min("dataHora_medicao"), F.max("dataHora_medicao")).first()
+    fresh = seen
+    if lo is not None:
+        t = F.col("dataHora_medicao")
+        stored = (V.read_table(spark, base, "t_medicao", schemas.READINGS_STORED, before)
+                  .where((F.col("dt") >= F.lit(lo.date())) & (F.col("dt") <= F.lit(hi.date())) & (t >= F.lit(lo)) & (t <= F.lit(hi))))
+        fresh = materialize(seen.alias("n").join(stored.alias("o"), _same_reading(MESSAGE_COLS, "n", "o"), "left_anti"))
+    machines = V.read_table(spark, base, "t_equipamento", schemas.MACHINES, before)
+    sensors = V.read_table(spark, base, "t_sensor", schemas.SENSORS, before)
+    count, last = fresh.count(), before["counters"].get("id_medicao", 0)
+    rows = assign_ids(fresh.select(*MESSAGE_COLS), None, order=["dataHora_medicao", "id_maquina"])
+    rows = rows.withColumn("id_medicao", F.col("id_medicao") + F.lit(last).cast("long"))
+    stored_cols = [c for c in schemas.READINGS_STORED.names]
+    append = {"t_medicao": V.stage(with_storage_columns(rows, ingested_at).select(*stored_cols), base, "t_medicao", by_day=True)}
+    for table, df in (("t_equipamento", new_machines(fresh, machines)), ("t_sensor", new_sensors(fresh, sensors)),
+                      ("t_dead_letters", dead_letters(raw)), ("t_status", status_messages(raw)),
+                      ("t_heartbeats", heartbeats(raw))):
+        append[table] = V.stage(df, base, table)
+    V.commit(spark, base, before, append=append, streams={name: batch_id}, counters={"id_medicao": last + count})
+    return True
+
+
+def ingest_tables(raw_stream: DataFrame, base: str, checkpoint: str, name: str = "ingest",
+                  available_now: bool = True, interval: str = "5 seconds"):
+    """The whole ingestion as one stream; every micro-batch is one commit of all tables (``commit_batch``)."""
+    def batch(df: DataFrame, batch_id: int) -> None:
+        commit_batch(df, batch_id, base, name)
+    return _started(raw_stream, batch, checkpoint, available_now, interval)
+
+
+def run_hourly_trends(readings: DataFrame, out_path: str, checkpoint: str, delay: str = "10 minutes",
+                      available_now: bool = True, interval: str = "5 seconds"):
+    """T9 in append mode: each hour is written once, when the watermark has passed its end.
+
+    One folder per batch. Rows of an hour that is already out are late: they
+    are dropped, and ``late_rows`` counts them.
+    """
+    w = (hourly_trends_stream(readings, delay).writeStream.outputMode("append")
+         .foreachBatch(lambda df, i: df.write.mode("overwrite").parquet(f"{out_path}/batch_id={i}"))
+         .option("checkpointLocation", checkpoint))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
+    return w.start()
+
+
+def late_rows(query) -> int:
+    """State rows (after the partial aggregation of a batch) that came behind the watermark, by the query's progress."""
+    return sum(op["numRowsDroppedByWatermark"] for p in (query.recentProgress or []) for op in p["stateOperators"])
+
+
 def progress_table(spark: SparkSession, query) -> DataFrame:
     """The query's recent progress as rows (batch, rows in, duration)."""
     rows = [(p.get("batchId"), p.get("numInputRows"), p.get("timestamp"),
