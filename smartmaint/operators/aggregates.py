@@ -27,6 +27,7 @@ def fault_count(flag: str = "flag_falha") -> Column:
 
 def equipment_summary(df: DataFrame, scale: int | None = 2) -> DataFrame:
     """A1: per machine temperature/pressure/humidity/vibration stats, faults, count, last."""
+    df = P.with_measures_as_null_nan(df)
     spec = [("vl_temperatura", ["mean", "max", "min", "std"]),
             ("vl_pressao", ["mean", "max", "min"]),
             ("vl_humidade", ["mean", "max"]),
@@ -42,6 +43,7 @@ def equipment_summary(df: DataFrame, scale: int | None = 2) -> DataFrame:
 
 def hourly_trends(df: DataFrame, scale: int | None = 2) -> DataFrame:
     """A2: per hour the four means, faults and readings (non-null ids); NULL hours dropped."""
+    df = P.with_measures_as_null_nan(df)
     return (df.where(F.col("dataHora_medicao").isNotNull()).groupBy(P.hour_bucket().alias("hour"))
             .agg(*[_r(F.avg(c), scale).alias(c) for c in
                    ("vl_temperatura", "vl_pressao", "vl_humidade", "vl_vibracao")],
@@ -57,6 +59,7 @@ def location_type_summary(df: DataFrame, scale: int | None = 2) -> DataFrame:
     (location, type, machine) — partial sums that shrink a hot machine to one
     row — and the machines are then counted as rows.
     """
+    df = P.with_measures_as_null_nan(df)
     per = (df.where(F.col("localizacao").isNotNull() & F.col("tipo_maquina").isNotNull())
            .groupBy("localizacao", "tipo_maquina", "id_maquina")
            .agg(F.sum("vl_temperatura").alias("_s"), F.count("vl_temperatura").alias("_c"),
@@ -75,6 +78,7 @@ def machine_stats(machines: DataFrame, readings: DataFrame) -> DataFrame:
     readings get count 0, faults 0 and NULL statistics, exactly as the outer
     join followed by grouping.
     """
+    readings = P.with_measures_as_null_nan(readings)
     per = readings.groupBy("id_maquina").agg(
         F.count("id_medicao").alias("total_medicoes"),
         F.avg("vl_temperatura").alias("temp_media"),
@@ -102,6 +106,7 @@ def machine_validation(df: DataFrame) -> DataFrame:
 
 def machine_summary_24h(df: DataFrame, as_of, hours: float = 24, scale: int | None = 2) -> DataFrame:
     """A6 + P26: last-24 h summary per machine with a health status."""
+    df = P.with_measures_as_null_nan(df)
     from ..sources.readers import hours_before, since
     r = since(df, hours_before(as_of, hours))
     out = r.groupBy("id_maquina").agg(
@@ -137,6 +142,7 @@ def kpis(df: DataFrame, total_machines: int = 10, window: int = 100) -> DataFram
     KPI is mean(oldest 100) − mean(newest 100), the sign the reference shows;
     ``trend_24h`` is the opposite, newest − oldest. Empty input → no rows.
     """
+    df = P.with_measures_as_null_nan(df)
     from .windows import head_tail_change
     per = df.groupBy("id_maquina").agg(F.sum("vl_temperatura").alias("_s"), F.count("vl_temperatura").alias("_c"),
                                        F.count(F.lit(1)).alias("_n"), fault_count().alias("_f"))
@@ -177,6 +183,7 @@ def kpis_24h(df: DataFrame, as_of, hours: float = 24) -> DataFrame:
     an empty window gives NULL rate/availability. Per-machine partial
     aggregates first, so both distinct counts are row counts.
     """
+    df = P.with_measures_as_null_nan(df)
     from ..sources.readers import hours_before
     in_w = F.col("dataHora_medicao") >= hours_before(as_of, hours)
     per = df.groupBy("id_maquina").agg(
@@ -249,6 +256,7 @@ def label_counts(df: DataFrame, label: str = "flag_falha") -> DataFrame:
 def trailing_mean_temperature(machines: DataFrame, readings: DataFrame, as_of,
                               hours: float = 1) -> DataFrame:
     """A19 (FN_TEMP_MEDIA_MOVEL): mean temperature of the last hour, 0 if none."""
+    readings = P.with_measures_as_null_nan(readings)
     from ..sources.readers import hours_before, since
     r = since(readings, hours_before(as_of, hours))
     per = r.groupBy("id_maquina").agg(F.avg("vl_temperatura").alias("_m"))
@@ -279,9 +287,10 @@ def profile(df: DataFrame) -> DataFrame:
 
 
 def null_share(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Share of NULL per column, long form (column, null_share)."""
-    cols = cols or df.columns
-    one = df.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(f"_s{i}") for i, c in enumerate(cols)])
+    """Share of NULL (and NaN) per column, long form (column, null_share)."""
+    cols, kinds = cols or df.columns, dict(df.dtypes)
+    missing = [(P.nan_to_null(c) if kinds[c] in ("double", "float") else F.col(c)).isNull() for c in cols]
+    one = df.agg(*[F.avg(x.cast("double")).alias(f"_s{i}") for i, x in enumerate(missing)])
     return one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_s{i}").alias("null_share"))
                                          for i, c in enumerate(cols)])))
 

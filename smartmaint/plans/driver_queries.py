@@ -12,6 +12,8 @@ compared as sets (sort order is not part of the check).
 
 from __future__ import annotations
 
+import datetime
+
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -1131,9 +1133,13 @@ def _scratch(spark, name):
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:8]}")
 
 
-def _run_stream(spark, sf, build, name, heartbeats=False, dup=False, slices=3):
+def _run_stream(spark, sf, build, name, heartbeats=False, dup=False, slices=3, more=None, late_hours=0, max_files=1000,
+                read=True):
     """Write the message drop in time slices and run ``build(raw, out, ck)`` to completion after each.
 
+    ``more(readings)`` adds messages; ``late_hours`` sends the first hours'
+    messages once again behind all others. Without ``read`` the output's path is returned.
+
     Every slice is at least one micro-batch on the same checkpoint, so state
     passes from batch to batch.
     """
@@ -1143,15 +1149,21 @@ def _run_stream(spark, sf, build, name, heartbeats=False, dup=False, slices=3):
         msgs = msgs.unionByName(msgs)
     if heartbeats:
         msgs = msgs.unionByName(T.heartbeat_messages(r))
+    if more:
+        msgs = msgs.unionByName(more(r))
     drop, out, ck = (_scratch(spark, f"{name}-{x}") for x in ("drop", "out", "ck"))
     lo, hi = r.agg(F.min("dataHora_medicao"), F.max("dataHora_medicao")).first()
     cuts = [lo + (hi - lo) * i / slices for i in range(1, slices)]
+    parts = []
     for a, b in zip([None, *cuts], [*cuts, None]):
         part = msgs if a is None else msgs.where(F.col("event_time") > F.lit(a))
-        part = part if b is None else part.where(F.col("event_time") <= F.lit(b))
+        parts.append(part if b is None else part.where(F.col("event_time") <= F.lit(b)))
+    if late_hours:
+        parts.append(msgs.where(F.col("event_time") < F.lit(lo + datetime.timedelta(hours=late_hours))))
+    for part in parts:
         T.write_message_drop(part, drop, mode="append")
-        build(T.read_message_stream(spark, drop, 1000), out, ck).awaitTermination()
-    return spark.read.parquet(out)
+        build(T.read_message_stream(spark, drop, max_files), out, ck).awaitTermination()
+    return spark.read.parquet(out) if read else out
 
 
 STREAM_SQL = f"""SELECT 'ESP32_' || r.id_maquina AS device_id, replace(r.id_maquina, '_', '') || '_EQ' AS id_maquina,
@@ -1425,3 +1437,6 @@ def q_health_report(spark, sf):
     for i, back in enumerate((2, 1, 0)):
         etl_cycle(spark, r, m, end - _dt.timedelta(days=back), hours=24, out_path=out, stamp=f"c{i}", run_id=i)
     return health_report(spark.read.parquet(f"{out}/run_log"), None, AS_OF).drop("avg_processing_time", "uptime_hours")
+
+
+from . import store_queries  # noqa: E402,F401  (registers its queries)

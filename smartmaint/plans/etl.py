@@ -21,6 +21,7 @@ from ..operators.reports import run_log_row
 from ..session import materialize
 from ..sources import readers as S
 from ..sources import sinks
+from ..sources import versions as V
 from ..sources.fixtures import AS_OF, load_tables
 
 
@@ -52,18 +53,36 @@ def aggregate_for_reporting(clean: DataFrame, scale: int | None = 2) -> dict[str
 
 def etl_cycle(spark: SparkSession, readings: DataFrame, machines: DataFrame, as_of=AS_OF,
               hours: float = 1, out_path: str | None = None, stamp: str = "cycle",
-              pipeline: str = "etl", run_id: int = 0, materialize_clean: bool = True) -> CycleResult:
+              pipeline: str = "etl", run_id: int = 0, materialize_clean: bool = True,
+              store: str | None = None) -> CycleResult:
     """T7. Every outcome leaves a run-log row: success, a stopped gate (its rows count as failed), an error.
 
     The checks of each cycle are appended to ``tables/t_checks`` (the history that W13 reads).
+
+    With ``store`` the cycle is one commit of that store (``sources.versions``):
+    the aggregate tables and ``t_predictions`` replaced, alerts, checks and the
+    run appended to the histories ``t_alerts``, ``t_checks`` and ``t_run_log``
+    (S10, O8). A failed cycle leaves the tables as they were and adds its
+    checks and its run alone. A ``run_id`` up to the last committed one does nothing.
     """
     t0 = time.time()
+    if store and V.head(spark, store)["streams"].get(pipeline, -1) >= run_id:
+        return CycleResult(True, error="committed before")
+    replace, append = {}, {}
 
     def finish(res: CycleResult, failed: int = 0, predictions: int = 0) -> CycleResult:
         res.seconds = time.time() - t0
         if out_path:
             run_log_row(spark, pipeline, run_id, as_of, res.seconds, res.records - failed, failed, res.success, res.error,
                         predictions=predictions).write.mode("append").parquet(f"{out_path}/run_log")
+        if store:
+            row = run_log_row(spark, pipeline, run_id, as_of, res.seconds, res.records - failed, failed, res.success, res.error,
+                              predictions=predictions)
+            history = {"t_run_log": V.stage(row, store, "t_run_log")}
+            if checks:
+                history["t_checks"] = V.stage(log_checks(spark, pipeline, run_id, checks), store, "t_checks")
+            V.commit(spark, store, V.head(spark, store), replace=replace if res.success else {},
+                     append={**history, **(append if res.success else {})}, streams={pipeline: run_id})
         return res
 
     n, checks = 0, []
@@ -93,7 +112,12 @@ def etl_cycle(spark: SparkSession, readings: DataFrame, machines: DataFrame, as_
                 return finish(CycleResult(False, n, checks, aggs, error=f"tables not written: {', '.join(lost)}"), failed=n)
             sinks.export_csv(clean.orderBy("dataHora_medicao", "id_medicao"), aggs, f"{out_path}/export", stamp)
             preds.write.mode("overwrite").parquet(f"{out_path}/tables/t_predictions")
-        return finish(CycleResult(True, n, checks, aggs, preds, clean), predictions=preds.count() if out_path else 0)
+        if store:
+            for name, df in aggs.items():
+                replace[f"t_agg_{name}"] = V.stage(df, store, f"t_agg_{name}")
+            replace["t_predictions"] = V.stage(preds, store, "t_predictions")
+            append["t_alerts"] = V.stage(L.threshold_alerts(clean), store, "t_alerts")
+        return finish(CycleResult(True, n, checks, aggs, preds, clean), predictions=preds.count() if out_path or store else 0)
     except Exception as e:  # noqa: BLE001 - a failed cycle is recorded in the run log, not raised
         return finish(CycleResult(False, n, checks, error=f"{type(e).__name__}: {e}"), failed=n)
 

@@ -116,3 +116,21 @@ RUN_LOG = T.StructType([
     T.StructField("error", T.StringType(), True),
     T.StructField("predictions", T.LongType(), True),
 ])
+
+CHECK_LOG = T.StructType([
+    T.StructField("pipeline", T.StringType(), True),
+    T.StructField("run_id", T.LongType(), True),
+    T.StructField("seq", T.LongType(), True),
+    T.StructField("check_name", T.StringType(), True),
+    T.StructField("passed", T.BooleanType(), True),
+    T.StructField("timestamp", T.TimestampType(), True),
+    T.StructField("affected_records", T.LongType(), True),
+])
+
+DEAD_LETTERS = T.StructType([T.StructField(c, T.StringType(), True) for c in ("topic", "value", "reason")])
+
+HEARTBEATS = T.StructType([
+    T.StructField("device_id", T.StringType(), True),
+    T.StructField("last_seen", T.TimestampType(), True),
+    T.StructField("beats", T.LongType(), True),
+])

@@ -104,7 +104,7 @@ def stream_readings(raw: DataFrame) -> DataFrame:
     """Messages → readings rows (ids derived, sensors unpacked, defaults, magnitude)."""
     good, _ = parse_messages(raw)
     m = F.col("msg")
-    return good.select(
+    return P.with_measures_as_null_nan(good.select(
         m["device_id"].alias("device_id"),
         P.derive_machine_id(m["device_id"]).alias("id_maquina"),
         P.derive_sensor_id(m["device_id"]).alias("id_sensor"),
@@ -115,7 +115,7 @@ def stream_readings(raw: DataFrame) -> DataFrame:
         F.substring(F.coalesce(m["location"], F.lit("Unknown")), 1, 50).alias("localizacao"),
         F.substring(F.coalesce(m["equipment_type"], F.lit("Unknown")), 1, 16).alias("tipo_maquina"),
         m["avg_temp_5min"].alias("avg_temp_5min"), m["max_vibration_5min"].alias("max_vibration_5min"),
-    ).withColumn("vibration_magnitude", P.vibration_magnitude())
+    )).withColumn("vibration_magnitude", P.vibration_magnitude())
 
 
 def dead_letters(raw: DataFrame) -> DataFrame:

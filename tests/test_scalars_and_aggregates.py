@@ -150,3 +150,24 @@ def test_correlation_matches_pandas(spark):
     df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b)], "a double, b double")
     got = {(r.col_a, r.col_b): r.corr for r in A.correlation_matrix(df, ["a", "b"]).collect()}
     assert math.isclose(got[("a", "b")], float(np.corrcoef(a, b)[0, 1]), rel_tol=1e-9)
+
+
+def test_nan_measures_count_as_missing(spark, readings, machines):
+    """A NaN newest temperature changes no mean, gives no risk and counts as missing (FIXTURES.md §C)."""
+    from smartmaint import schemas
+    from smartmaint.operators import aggregates as A
+    from smartmaint.operators import alerts as L
+    nan = float("nan")
+    row = (8, "MPU_001", "PUMP_001", dt.datetime(2024, 1, 1, 0, 30), nan, nan, nan, nan, 0.0, 0.0, 0.0, None, None, None, "N", "ESP32")
+    df = readings.unionByName(spark.createDataFrame([row], schemas.READINGS))
+    one = "id_maquina = 'PUMP_001'"
+    a, b = (A.equipment_summary(x).where(one).first() for x in (df, readings))
+    assert a.vl_temperatura_mean == b.vl_temperatura_mean and a.vl_temperatura_max == b.vl_temperatura_max
+    assert a.dataHora_medicao_count == b.dataHora_medicao_count + 1
+    assert A.hourly_trends(df).first().vl_temperatura == A.hourly_trends(readings).first().vl_temperatura
+    assert A.machine_stats(machines, df).where(one).first().temp_media == A.machine_stats(machines, readings).where(one).first().temp_media
+    risk = L.etl_risk(df).where("equipment_id = 'PUMP_001'").first()
+    assert risk.fault_probability == 0.0 and risk.alert_level == "LOW"
+    assert L.dashboard_risk(df).where("equipment = 'PUMP_001'").first().risk_score == 0.0
+    shares = {r.column: r.null_share for r in A.null_share(df, ["vl_temperatura", "id_maquina"]).collect()}
+    assert shares == {"vl_temperatura": 1 / 8, "id_maquina": 0.0}

@@ -19,7 +19,6 @@ from smartmaint.streaming import ingest as T
 from conftest import reading
 
 COUNTS = ty.StructType([ty.StructField("k", ty.StringType()), ty.StructField("n", ty.LongType())])
-DEAD = ty.StructType([ty.StructField(c, ty.StringType()) for c in ("topic", "value", "reason")])
 
 
 def _store():
@@ -97,7 +96,7 @@ def test_ingestion_commits_all_tables_or_none(spark, monkeypatch):
         return (sorted((r.id_medicao, r.id_maquina, r.vl_temperatura) for r in m),
                 sorted(r.id_maquina for r in V.read_table(spark, base, "t_equipamento", schemas.MACHINES).collect()),
                 sorted(r.id_sensor for r in V.read_table(spark, base, "t_sensor", schemas.SENSORS).collect()),
-                sorted(r.reason for r in V.read_table(spark, base, "t_dead_letters", DEAD).collect()))
+                sorted(r.reason for r in V.read_table(spark, base, "t_dead_letters", schemas.DEAD_LETTERS).collect()))
 
     assert T.commit_batch(raw(first), 0, base)
     one = tables()
@@ -150,3 +149,35 @@ def test_stream_commits_and_append_windows_with_late_rows(spark):
     assert got == {1: (10.0, 5), 3: (25.0, 2)}  # 06:00 is still open
     assert V.read_table(spark, f"{work}/store", "t_medicao", schemas.READINGS_STORED).count() == 8  # 01:02 came twice
     assert V.head(spark, f"{work}/store")["counters"]["id_medicao"] == 8
+
+
+def test_cycles_commit_tables_and_histories_and_views_answer_sql(spark, readings, machines):
+    from smartmaint.plans.etl import etl_cycle
+    from smartmaint.sources import sinks
+    base, as_of = _store(), "2024-01-01 01:00:00"
+    readings = readings.fillna(0.0, subset=["vl_gyro_x", "vl_gyro_y", "vl_gyro_z"])
+    names = ("t_agg_equipment_summary", "t_agg_hourly_trends", "t_agg_location_type_summary", "t_predictions")
+
+    def rows(table, schema):
+        return V.read_table(spark, base, table, schema).collect()
+
+    assert etl_cycle(spark, readings, machines, as_of, hours=1, store=base, run_id=0).success
+    first = {t: V.head(spark, base)["tables"][t] for t in names}
+    broken = etl_cycle(spark, readings.drop("vl_pressao"), machines, as_of, hours=1, store=base, run_id=1)
+    assert not broken.success and {t: V.head(spark, base)["tables"][t] for t in names} == first
+    stopped = etl_cycle(spark, readings.withColumn("vl_temperatura", F.lit(999.0)), machines, as_of, hours=1, store=base, run_id=2)
+    assert stopped.error == "quality gate" and {t: V.head(spark, base)["tables"][t] for t in names} == first
+    again = readings.where("id_medicao <= 6")
+    assert etl_cycle(spark, again, machines, as_of, hours=1, store=base, run_id=3).success
+    number = V.head(spark, base)["number"]
+    assert etl_cycle(spark, readings, machines, as_of, hours=1, store=base, run_id=3).error == "committed before"
+    assert V.head(spark, base)["number"] == number
+    assert [(r.run_id, r.success) for r in sorted(rows("t_run_log", schemas.RUN_LOG))] == [(0, True), (1, False), (2, False), (3, True)]
+    assert sorted(r.run_id for r in rows("t_checks", schemas.CHECK_LOG)) == [0] * 4 + [2] * 4 + [3] * 4
+    alerts = [(r.equipment_id, r.alert_type) for r in rows("t_alerts", schemas.ALERT)]
+    assert alerts.count(("PUMP_001", "HUMIDITY_HIGH")) == 2 and alerts.count(("TURB_001", "HUMIDITY_HIGH")) == 1
+    sinks.create_views(machines, readings, as_of)
+    stats = {r.id_maquina: r.total_medicoes for r in spark.sql("SELECT * FROM v_stats_equipamento").collect()}
+    assert stats == {"PUMP_001": 3, "TURB_001": 2, "COMP_001": 1, "PUMP_002": 1, "MOTOR_001": 0}
+    kinds = {r.id_maquina: r.tipo_alerta for r in spark.sql("SELECT id_maquina, tipo_alerta FROM v_alertas_ativos").collect()}
+    assert kinds == {"PUMP_001": "TEMPERATURA_CRITICA", "TURB_001": "TEMPERATURA_CRITICA"}
