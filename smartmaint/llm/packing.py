@@ -90,7 +90,7 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: i
 
     from pyspark import TaskContext
 
-    from smartmaint.llm.tokens import word_tokenizer
+    from smartmaint.llm.tokens import rest, word_tokenizer
     tok = word_tokenizer(path, special=True)
     next_id = TaskContext.get().partitionId() << 36
     end = int(end_id).to_bytes(4, "little")
@@ -143,6 +143,7 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: i
             if len(out) >= 4096:
                 yield flush()
     close()
+    rest()
     if out:
         yield flush()
 

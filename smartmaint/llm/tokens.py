@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import os
 import struct
+import threading
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -105,11 +106,16 @@ class WordTokenizer:
         return b"".join(map(self.chunks.__getitem__, text.encode().split())) if text else b""
 
 
+IDLE_SECONDS = 2.0
+
 _LOADED: dict[tuple[str, bool], WordTokenizer] = {}
+_RESTING: list[threading.Timer] = []
 
 
 def word_tokenizer(path: str, special: bool = False) -> WordTokenizer:
     """One tokenizer for each file, mode and worker process."""
+    while _RESTING:
+        _RESTING.pop().cancel()
     if (path, special) not in _LOADED:
         _LOADED[path, special] = WordTokenizer(path, special=special)
     return _LOADED[path, special]
@@ -123,6 +129,19 @@ def forget() -> None:
             cache.old = {}
 
 
+def rest() -> None:
+    """A task is done: if none follows in this worker within ``IDLE_SECONDS``, its word caches go.
+
+    Spark keeps idle workers, and other stages need the memory. A task that
+    begins while the caches go only fills them again; ids do not change.
+    """
+    from smartmaint.llm.common import release
+    timer = threading.Timer(IDLE_SECONDS, release)
+    timer.daemon = True
+    timer.start()
+    _RESTING.append(timer)
+
+
 def default_path() -> str:
     import public_tokenizers
     return public_tokenizers.path("word_bpe_49k.json")
