@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from smartmaint.llm.common import materialize, release, table
+from smartmaint.llm.common import bounded_batches, materialize, release, table
 from smartmaint.llm.words import text_bytes, word_bounds, word_hashes
 
 WINDOW = 13
@@ -237,7 +237,7 @@ def _scan(docs: DataFrame, benchmark: DataFrame, window: int, kept: list[str], t
     Only the text (and, with several blocks, what the blocks before found)
     goes through Python; the other columns stay where they are.
     """
-    cur = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(kept)], docs[text_col].cast("string").alias("__text"))
+    cur = bounded_batches(docs).select(*[docs[c].alias(f"c{i}") for i, c in enumerate(kept)], docs[text_col].cast("string").alias("__text"))
     kind = to_arrow_schema(T.StructType([T.StructField("s", T._parse_datatype_string(STATE))])).field(0).type
     blocks = _blocks(benchmark, block_bytes)
     block, first_pass = next(blocks), True

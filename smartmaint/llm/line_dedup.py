@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from smartmaint.llm.common import materialize, row_slices, table
+from smartmaint.llm.common import bounded_batches, materialize, row_slices, table
 
 MIN_WORDS = 8
 BROADCAST_ROWS = 500_000  # a counted side of up to so many short rows is broadcast, a larger one is shuffled
@@ -121,7 +121,7 @@ def near_lines(lines: DataFrame, distinct: DataFrame) -> DataFrame:
     able = materialize(distinct.join(able, "h1", "left_semi").select("h1", "h2", "place"))
     texts = materialize(lines.join(small(able), ["h1", "h2", "place"], "left_semi").select("h1", "h2", "place", "words")
                         .dropDuplicates(["h1", "h2"]))
-    variants = texts.mapInArrow(_variants, "key long, kind byte, h1 long, h2 long, place decimal(38,0)")
+    variants = bounded_batches(texts).mapInArrow(_variants, "key long, kind byte, h1 long, h2 long, place decimal(38,0)")
     met = variants.groupBy("key").agg(F.count("*").alias("n"), F.min(F.when(F.col("kind") != 1, F.col("place"))).alias("whole"),
                                       F.min(F.when(F.col("kind") == 1, F.col("place"))).alias("longer")).filter("n > 1")
     pairs = variants.join(small(materialize(met)), "key").select(

@@ -23,6 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from smartmaint.llm.common import bounded_batches
+
 CAPACITY = 2048
 END_ID = 1
 MAX_PIECE = 256
@@ -166,7 +168,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACIT
         return _pack(batches, tokenizer_path, capacity, end_id, max_piece, keep_ids)
 
     src = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    packed = src.mapInArrow(run, SCHEMA)
+    packed = bounded_batches(src).mapInArrow(run, SCHEMA)
     return packed if keep_ids else packed.drop("ids")
 
 

@@ -19,7 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from smartmaint.llm.common import materialize, table
+from smartmaint.llm.common import bounded_batches, materialize, table
 
 LENGTH = 2048
 SHARD_SEQUENCES = 1024
@@ -126,7 +126,7 @@ def training_shards(docs: DataFrame, tokenizer_path: str, length: int = LENGTH,
     looked at; an empty table gives no rows.
     """
     src = docs.select(docs[text_col].cast("string").alias("text"))
-    cut = materialize(src.mapInArrow(lambda b: _cut(b, tokenizer_path, length), "part long, no long, tokens int, ids binary"))
+    cut = materialize(bounded_batches(src).mapInArrow(lambda b: _cut(b, tokenizer_path, length), "part long, no long, tokens int, ids binary"))
     counts = sorted(cut.groupBy("part").count().collect())  # one short row for each task of the cut
     total = sum(r[1] for r in counts)
     first = dict(zip([r[0] for r in counts], np.concatenate(([0], np.cumsum([r[1] for r in counts]))).tolist()))

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from smartmaint.llm.common import materialize, table
+from smartmaint.llm.common import bounded_batches, materialize, table
 from smartmaint.llm.components import components
 
 SHINGLE = 3
@@ -133,7 +133,7 @@ def with_fingerprints(docs: DataFrame, keys: list, shingle: int = SHINGLE, text_
     """The ``keys`` columns and ``fp`` (64 bits, as a signed long) of every row, as a written table."""
     src = docs.select(*keys, docs[text_col].cast("string").alias("__text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1]) + ", fp long"
-    return materialize(src.mapInArrow(lambda b: _fingerprints(b, shingle), schema))
+    return materialize(bounded_batches(src).mapInArrow(lambda b: _fingerprints(b, shingle), schema))
 
 
 def group_roots(fps: DataFrame, radius: int = RADIUS) -> DataFrame:

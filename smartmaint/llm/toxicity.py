@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from smartmaint.llm.common import row_slices, table
+from smartmaint.llm.common import bounded_batches, row_slices, table
 from smartmaint.llm.words import LOWER, text_bytes, word_bounds, word_hashes
 
 BUCKETS = 1 << 18
@@ -262,7 +262,7 @@ def score_documents(docs: DataFrame, model: Model, keep: list[str], text_col: st
         return pa.array(np.concatenate(parts) if parts else np.empty(0), pa.float64())
 
     src = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(keep)], docs[text_col].cast("string").alias("__text"))
-    return src.select(*[f"c{i}" for i in range(len(keep))], score("__text").alias("score"))
+    return bounded_batches(src).select(*[f"c{i}" for i in range(len(keep))], score("__text").alias("score"))
 
 
 def is_held_out(doc_id):
