@@ -67,21 +67,22 @@ def head(spark: SparkSession, base: str) -> dict:
     return json.loads(json.dumps(EMPTY))
 
 
-def stage(df: DataFrame, base: str, table: str, by_day: bool = False) -> list[dict]:
+def stage(df: DataFrame, base: str, table: str, by_day: bool = False, by: str | None = None) -> list[dict]:
     """Write rows to new data folders and name them; nobody sees them before a commit.
 
     ``by_day`` lays them out by the column ``dt``, each file ordered by
-    (machine, time) where the table has them.
+    (machine, time) where the table has them; ``by`` by another column.
     """
+    by = "dt" if by_day else by
     spark = df.sparkSession
     root = f"data/{table}/part=w{uuid.uuid4().hex}"
     path = f"{base.rstrip('/')}/{root}"
     order = [c for c in ("dt", "id_maquina", "dataHora_medicao") if c in df.columns]
     w = (df.sortWithinPartitions(*order) if by_day and order else df).write
-    (w.partitionBy("dt") if by_day else w).parquet(path)
-    if not by_day:
+    (w.partitionBy(by) if by else w).parquet(path)
+    if not by:
         return [{"path": root}]
-    return [{"path": f"{root}/{n}", "dt": n[3:]} for n in _names(spark, path) if n.startswith("dt=")]
+    return [{"path": f"{root}/{n}", by: n[len(by) + 1:]} for n in _names(spark, path) if n.startswith(f"{by}=")]
 
 
 def commit(spark: SparkSession, base: str, before: dict, replace: dict[str, list[dict]] | None = None,
@@ -201,12 +202,12 @@ def remove_unused(spark: SparkSession, base: str, keep: int = 10) -> int:
         if n not in kept:
             fs, p = _fs(spark, _commit_file(base, n))
             fs.delete(p, False)
-    roots = {u.rsplit("/dt=", 1)[0] for u in used}
+    roots = {"/".join(u.split("/")[:3]) for u in used}  # data/<table>/part=<id>
     removed = 0
     for table in _names(spark, f"{base}/data"):
         for part in _names(spark, f"{base}/data/{table}"):
             root = f"data/{table}/{part}"
-            below = [f"{root}/{d}" for d in _names(spark, f"{base}/{root}") if d.startswith("dt=")]
+            below = [f"{root}/{d}" for d in _names(spark, f"{base}/{root}") if "=" in d]
             for path in ([root] if root not in roots else [b for b in below if root not in used and b not in used]):
                 fs, p = _fs(spark, f"{base}/{path}")
                 removed += bool(fs.delete(p, True))

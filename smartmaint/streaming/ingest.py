@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import scalars as P
+from .state import BUCKETS, BucketedState
 
 ISO_FMT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
@@ -309,13 +310,9 @@ def hourly_trends_stream(readings: DataFrame, delay: str = "10 minutes") -> Data
                     "vl_vibracao", "flag_falha", "id_medicao"))
 
 
-def _state_path(checkpoint: str, batch_id: int) -> str:
-    return f"{checkpoint.rstrip('/')}-state/batch_id={batch_id}"
-
-
-def _previous(spark: SparkSession, checkpoint: str, batch_id: int) -> DataFrame | None:
-    """The state that the batch before left (batch ids are consecutive; a replay reads the same state again)."""
-    return spark.read.parquet(_state_path(checkpoint, batch_id - 1)) if batch_id else None
+def state_store(checkpoint: str) -> str:
+    """The store beside a stream's checkpoint that holds its state."""
+    return f"{checkpoint.rstrip('/')}-state"
 
 
 def _started(readings: DataFrame, batch, checkpoint: str, available_now: bool, interval: str):
@@ -325,14 +322,16 @@ def _started(readings: DataFrame, batch, checkpoint: str, available_now: bool, i
 
 
 def run_device_stats(readings: DataFrame, out_path: str, checkpoint: str, n: int = 100,
-                     available_now: bool = True, interval: str = "5 seconds"):
+                     available_now: bool = True, interval: str = "5 seconds", buckets: int = BUCKETS):
     """Per device, mean temperature and max vibration magnitude of its last ``n`` readings.
 
     Each micro-batch is one batch window (``device_running_stats``, so a hot
-    device is split over tasks) over its rows and the last ``n − 1`` rows of
-    every device, which the batch before left as a table beside the
-    checkpoint. Rows of a batch go by (time, id) per device, after all rows
-    of earlier batches. A replayed batch overwrites its own output and state.
+    device is split over tasks) over its rows and the last ``n − 1`` rows that
+    earlier batches left of its devices. These lie beside the checkpoint in
+    ``buckets`` hash buckets, of which a batch reads and rewrites those that
+    its devices fall into (``BucketedState``). Rows of a batch go by (time,
+    id) per device, after all rows of earlier batches. A batch that failed
+    half-way overwrites its output; one that has committed does nothing.
     """
     from ..operators.windows import device_running_stats
     from ..session import materialize
@@ -340,16 +339,19 @@ def run_device_stats(readings: DataFrame, out_path: str, checkpoint: str, n: int
 
     def batch(df: DataFrame, batch_id: int) -> None:
         cur = P.with_measures_as_null_nan(df.select(*cols)).withColumn("_pos", F.lit(0)).withColumn("_new", F.lit(True))
-        held = _previous(df.sparkSession, checkpoint, batch_id)
-        if held is not None:
-            cur = cur.unionByName(held.withColumn("_new", F.lit(False)))
-        cur = materialize(cur).withColumn("_ord", F.struct("_new", "_pos", "dataHora_medicao"))
+        state = BucketedState(df.sparkSession, state_store(checkpoint), batch_id, "id_maquina",
+                              cur.drop("_new").schema, buckets)
+        if state.done:
+            return
+        cur = materialize(cur)
+        held = state.held(cur)
+        cur = materialize(cur.unionByName(held.withColumn("_new", F.lit(False)))).withColumn("_ord", F.struct("_new", "_pos", "dataHora_medicao"))
         stats = device_running_stats(cur, n, ts="_ord")
         stats.where("_new").select("id_maquina", "dataHora_medicao", "avg_temp_last_n", "max_vibration_last_n") \
             .write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
         w = Window.partitionBy("id_maquina").orderBy(F.col("_ord").desc(), F.col("id_medicao").desc())
         last = cur.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") < n).withColumn("_pos", -F.col("_rn"))
-        last.select(*cols, "_pos").write.mode("overwrite").parquet(_state_path(checkpoint, batch_id))
+        state.save(last)
 
     return _started(readings, batch, checkpoint, available_now, interval)
 
@@ -427,12 +429,14 @@ def throttle_alerts(readings: DataFrame, fault: Column | None = None, seconds: f
 
 
 def run_alert_stream(readings: DataFrame, out_path: str, checkpoint: str, seconds: float = 30.0,
-                     available_now: bool = True, interval: str = "5 seconds"):
+                     available_now: bool = True, interval: str = "5 seconds", buckets: int = BUCKETS):
     """Throttled device faults as L1 alert rows.
 
     Each micro-batch runs the batch throttle from where the device's clock
-    stands: its last alert, or its first reading ever. That clock is a table
-    beside the checkpoint, one short row per device. Devices' readings are
+    stands: its last alert, or its first reading ever. That clock is one
+    short row per device, kept beside the checkpoint in ``buckets`` hash
+    buckets; a batch reads and rewrites those of its own devices
+    (``BucketedState``). Devices' readings are
     expected in time order over the batches; a reading that comes late is
     judged against the clock it meets.
     """
@@ -443,15 +447,17 @@ def run_alert_stream(readings: DataFrame, out_path: str, checkpoint: str, second
         cur = materialize(P.with_measures_as_null_nan(df.where(F.col("dataHora_medicao").isNotNull())))
         micros = F.unix_micros("dataHora_medicao")
         clock = cur.groupBy(F.col("id_maquina").alias("device")).agg(F.min(micros).alias("first"))
-        held = _previous(df.sparkSession, checkpoint, batch_id)
-        held = clock.select("device", F.lit(None).cast("long").alias("t0")).limit(0) if held is None else held
+        shape = clock.select("device", F.lit(None).cast("long").alias("t0")).schema
+        state = BucketedState(df.sparkSession, state_store(checkpoint), batch_id, "device", shape, buckets)
+        if state.done:
+            return
+        held = state.held(cur, "id_maquina")
         clock = materialize(clock.join(held, "device", "full").select("device", F.coalesce("t0", "first").alias("t0")))
         sent = materialize(throttle_alerts(cur, seconds=seconds, origin=clock))
         at = cur.where(P.device_fault()).join(sent, (F.col("id_maquina") == F.col("device"))
                                               & (F.col("dataHora_medicao") == F.col("ts")), "left_semi")
         threshold_alert_rows(at).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
         last = sent.groupBy("device").agg(F.max(F.unix_micros("ts")).alias("last"))
-        clock.join(last, "device", "left").select("device", F.coalesce("last", "t0").alias("t0")) \
-            .write.mode("overwrite").parquet(_state_path(checkpoint, batch_id))
+        state.save(clock.join(last, "device", "left").select("device", F.coalesce("last", "t0").alias("t0")))
 
     return _started(readings, batch, checkpoint, available_now, interval)

@@ -15,6 +15,7 @@ from smartmaint import schemas
 from smartmaint.sources import versions as V
 from smartmaint.sources.sinks import with_storage_columns
 from smartmaint.streaming import ingest as T
+from smartmaint.streaming.state import BucketedState
 
 from conftest import reading
 
@@ -181,3 +182,52 @@ def test_cycles_commit_tables_and_histories_and_views_answer_sql(spark, readings
     assert stats == {"PUMP_001": 3, "TURB_001": 2, "COMP_001": 1, "PUMP_002": 1, "MOTOR_001": 0}
     kinds = {r.id_maquina: r.tipo_alerta for r in spark.sql("SELECT id_maquina, tipo_alerta FROM v_alertas_ativos").collect()}
     assert kinds == {"PUMP_001": "TEMPERATURA_CRITICA", "TURB_001": "TEMPERATURA_CRITICA"}
+
+
+def test_state_buckets_that_a_batch_does_not_touch_are_not_rewritten(spark):
+    """A batch of one device leaves the other buckets' folders as they are; a replay changes nothing."""
+    base = f"{_store()}/state"
+    shape = ty.StructType([ty.StructField("device", ty.StringType()), ty.StructField("t0", ty.LongType())])
+    many = spark.range(10_000).select(F.concat(F.lit("d"), "id").alias("device"), F.col("id").alias("t0"))
+    first = BucketedState(spark, base, 0, "device", shape, buckets=64)
+    assert not first.done and first.held(many).count() == 0
+    first.save(many)
+    assert BucketedState(spark, base, 0, "device", shape).done
+    before = {e["bucket"]: e["path"] for e in V.head(spark, base)["tables"]["state"]}
+    assert len(before) == 64
+
+    one = spark.createDataFrame([("d7", -1), (None, -2)], shape)
+    second = BucketedState(spark, base, 1, "device", shape, buckets=5)  # the store keeps its 64
+    held = second.held(one)
+    assert len(second.touched) == 2 and 0 < held.count() < 1000
+    second.save(held.where("device <> 'd7'").unionByName(one))
+    after = {e["bucket"]: e["path"] for e in V.head(spark, base)["tables"]["state"]}
+    assert {b for b in before if before[b] != after[b]} == second.touched
+    rows = {r.device: r.t0 for r in V.read_table(spark, base, "state", shape).collect()}
+    assert len(rows) == 10_001 and rows["d7"] == -1 and rows[None] == -2 and rows["d8"] == 8
+
+    third = BucketedState(spark, base, 2, "device", shape)
+    third.save(third.held(one).where("device is not null"))
+    kept = {e["path"] for n in (2, 3) for e in V._load(spark, base, n)["tables"]["state"]}
+    on_disk = {os.path.relpath(d, base) for d, _, fs in os.walk(f"{base}/data") if any(f.endswith(".parquet") for f in fs)}
+    assert on_disk == kept  # what only the first commit named is gone
+
+
+def test_stream_state_survives_a_batch_that_fails_before_its_commit(spark, monkeypatch):
+    from test_ml_streaming import _data_msg, _write_lines
+    base = _store()
+
+    def run():
+        rd = T.stream_readings(T.read_message_stream(spark, f"{base}/drop")).withColumn("id_medicao", F.lit(0).cast("long"))
+        T.run_device_stats(rd, f"{base}/out", f"{base}/ck", n=3, buckets=4).awaitTermination()
+    _write_lines(f"{base}/drop", "a.json", [_data_msg("ESP32_A", s, float(s)) for s in range(4)] + [_data_msg("ESP32_B", 0, 9.0)])
+    run()
+    _write_lines(f"{base}/drop", "b.json", [_data_msg("ESP32_A", s, float(s)) for s in range(4, 6)])
+    with monkeypatch.context() as m:
+        m.setattr(V, "commit", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(Exception):
+            run()
+    run()
+    got = {(r.id_maquina, r.dataHora_medicao.second): r.avg_temp_last_n for r in spark.read.parquet(f"{base}/out").collect()}
+    b = [k for k in got if got[k] == 9.0]
+    assert len(b) == 1 and {s: v for (m, s), v in got.items() if (m, s) != b[0]} == {0: 0.0, 1: 0.5, 2: 1.0, 3: 2.0, 4: 3.0, 5: 4.0}
