@@ -8,8 +8,10 @@ A conversation is cut into windows of at most ``budget`` tokens, at turns:
 prefix sums of the turns' tokens say where a window must end. A later window
 starts with the conversation's system turn and with as many of the turns
 before it as ``history`` tokens hold; these repeats are masked, so that each
-assistant text is a target once. A single turn above the budget is a window
-of its own and is not cut.
+assistant text is a target once. Repeated turns give way to the next turn, the
+oldest first; the system turn stays. Turns are not cut: a turn that exceeds
+the budget, alone or with the system turn, has a window without other turns;
+no other window exceeds it.
 
 Long conversations: turns are numbered by a range sort (a partition's running
 numbers plus the counts of the partitions before it, which matter only for
@@ -21,6 +23,7 @@ a third of all turns is formatted by many.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,7 +35,6 @@ from smartmaint.llm.line_dedup import small
 BUDGET = 1024
 HISTORY = 256
 SEGMENT = 4096
-HISTORY_TURNS = 32  # no more turns than these are repeated
 
 START, END = "<|im_start|>", "<|im_end|>"
 # Control strings of common chat templates.
@@ -42,19 +44,17 @@ WINDOW_SCHEMA = ("conv_id long, segment long, window long, formatted string, "
                  "loss array<struct<start:int,end:int>>, repeated int, tokens int")
 
 
-def _rest() -> str:
-    import re
-    return "|".join(re.escape(c[1:]) for c in CONTROL)
+_REST = "|".join(re.escape(c[1:]) for c in CONTROL)
+_PLAIN = re.compile(rf"([<\[])(\\*)({_REST})")
+_ESCAPED = re.compile(rf"([<\[])\\(\\*)({_REST})")
 
 
 def escape(text: str) -> str:
-    import re
-    return re.sub(rf"([<\[])(\\*)({_rest()})", r"\1\\\2\3", text)
+    return _PLAIN.sub(r"\1\\\2\3", text)
 
 
 def unescape(text: str) -> str:
-    import re
-    return re.sub(rf"([<\[])\\(\\*)({_rest()})", r"\1\2\3", text)
+    return _ESCAPED.sub(r"\1\2\3", text)
 
 
 def _role_out(role: str) -> str:
@@ -113,8 +113,10 @@ class _Segment:
             before = []
             if self.turns[i][0] > 0:
                 lowest = 1 if self.system and self.turns[0][0] == 0 else 0  # the system turn is repeated by itself
-                first = max(lowest, i - HISTORY_TURNS, int(np.searchsorted(upto, upto[i] - history, "left")))
-                before = ([self.system] if self.system else []) + [t for _, t in self.turns[first:i]]
+                system = [self.system] if self.system else []
+                left = min(history, budget - self.turns[i][1][3] - sum(t[3] for t in system))
+                first = max(lowest, int(np.searchsorted(upto, upto[i] - left, "left"))) if left > 0 else i
+                before = system + [t for _, t in self.turns[first:i]]
             used = sum(t[3] for t in before)
             j = max(i + 1, int(np.searchsorted(upto, upto[i] + budget - used, "right")) - 1)
             parts, loss, at = [], [], 0
@@ -164,7 +166,11 @@ def format_conversations(turns: DataFrame, tokenizer_path: str, budget: int = BU
     text, so repeated rows are turns of their own. Null texts and roles are
     empty; an empty assistant text has no span. A null id is a conversation
     of its own. An empty table gives no rows; other columns are ignored.
+    ``history`` may be ``segment`` at most: every turn has a token, so the
+    last ``history`` turns of a segment are all that the next can repeat.
     """
+    if history > segment:
+        raise ValueError("history must not exceed segment")
     src = turns.select(turns["conv_id"].cast("long").alias("conv_id"), F.coalesce(turns["role"].cast("string"), F.lit("")).alias("role"),
                        F.coalesce(turns["text"].cast("string"), F.lit("")).alias("text"), turns["turn"].alias("turn")) \
         .withColumn("th", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
@@ -184,7 +190,7 @@ def format_conversations(turns: DataFrame, tokenizer_path: str, budget: int = BU
     # the last turns of a segment are the next one's history, and its system turn goes to every segment
     copies = F.when((F.col("no") == 0) & (F.col("role") == "system") & (F.col("total") > segment),
                     F.sequence(F.lit(0).cast("long"), F.floor((F.col("total") - 1) / segment))) \
-        .when((F.col("no") % segment >= segment - HISTORY_TURNS) & ((own + 1) * segment < F.col("total")), F.array(own, own + 1)) \
+        .when((F.col("no") % segment >= segment - history) & ((own + 1) * segment < F.col("total")), F.array(own, own + 1)) \
         .otherwise(F.array(own))
     dealt = rows.select("conv_id", F.explode(copies).alias("segment"), "no", "role", "text") \
         .repartition("conv_id", "segment").sortWithinPartitions("conv_id", "segment", "no")

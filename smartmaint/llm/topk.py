@@ -8,9 +8,10 @@ then merge in a tree: first over groups of ``FAN`` shards, then over what is
 left, each time ranked per query after a per-task cut to k, so that no task
 gets more than k rows of a query from another task.
 
-Products are exact: in 64-bit floats while every sum stays below 2^53, in
-64-bit integers below 2^63, else in Python's integers, where a score beyond
-64 bits is cut to the nearest one. The work grows with queries times rows,
+Products are exact: in 64-bit floats while every sum stays below 2^53, else
+in 64-bit integers that wrap, where a float estimate with its error bound
+tells which sums fit. A score beyond 64 bits is cut to the nearest one; only
+sums too near that edge are added in Python's integers. The work grows with queries times rows,
 as an exact search does; memory does not.
 """
 
@@ -36,7 +37,10 @@ def _scaled(column: pa.Array) -> tuple[list[int], list[np.ndarray]]:
     column = column.cast(pa.large_list(pa.float64()))
     off, flat = column.offsets.to_numpy(), column.values
     good = np.isfinite(np.asarray(flat.fill_null(np.nan), float)) if len(flat) else np.empty(0, bool)
-    values = np.floor(np.asarray(flat.fill_null(0.0), float) * SCALE) if len(flat) else np.empty(0)
+    with np.errstate(over="ignore", invalid="ignore"):
+        scaled = np.floor(np.asarray(flat.fill_null(0.0), float) * SCALE) if len(flat) else np.empty(0)
+    most = np.finfo(float).max
+    values = np.clip(scaled, -most, most)  # 1024 x may leave the range of a double; such scores are cut anyway
     places, rows = [], []
     for i in range(len(column)):
         if column[i].is_valid and good[off[i]:off[i + 1]].all():
@@ -77,14 +81,30 @@ def _unpack(ids: bytes, vals: bytes, dim: int) -> tuple[np.ndarray, np.ndarray]:
     return i, np.frombuffer(vals, np.float64).reshape(len(i), dim)
 
 
+def _wrapped(a: np.ndarray) -> np.ndarray:
+    """Integers held in floats, modulo 2^64."""
+    m = np.fmod(np.abs(a), 2.0 ** 64).astype(np.uint64)
+    return np.where(a < 0, ~m + np.uint64(1), m)
+
+
 def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Exact inner products of rows that hold integers, as 64-bit integers."""
-    most = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * max(1, q.shape[1])
-    if most < _LIMIT:
-        return (q @ x.T).astype(np.int64)
-    exact = [[sum(int(a) * int(b) for a, b in zip(r, s)) for s in x] for r in q]
+    dim = max(1, q.shape[1])
+    with np.errstate(over="ignore", invalid="ignore"):
+        most = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * dim
+        if most < _LIMIT:
+            return (q @ x.T).astype(np.int64)
+        found = (_wrapped(q) @ _wrapped(x).T).view(np.int64)
+        if most < 2.0 ** 62:
+            return found
+        near, slack = q @ x.T, (np.abs(q) @ np.abs(x).T) * (dim * 2.0 ** -51)
+        above, below = near - slack >= 2.0 ** 63, near + slack <= -2.0 ** 63
+        sure = above | below | (np.abs(near) + slack < 2.0 ** 63)
     low, high = -(1 << 63), (1 << 63) - 1
-    return np.array([[min(high, max(low, v)) for v in r] for r in exact], np.int64).reshape(len(q), len(x))
+    found[above], found[below] = high, low
+    for i, j in zip(*np.nonzero(~sure)):
+        found[i, j] = min(high, max(low, sum(int(a) * int(b) for a, b in zip(q[i], x[j]))))
+    return found
 
 
 def best_of(ids: np.ndarray, scores: np.ndarray, k: int) -> list[tuple[int, int]]:
