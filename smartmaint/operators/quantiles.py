@@ -18,6 +18,10 @@ A hot group is thus spread over ``B`` buckets, and no step collects a group.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -174,6 +178,28 @@ def global_quantiles(df: DataFrame, cols: list[str], probs: list[float], **kw) -
     return res
 
 
+def _bucket_counts(batches: Iterator[pa.RecordBatch], spans: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """Rows per bucket of each span (iid, column, lo, hi, hi_open, cuts): 2 × cuts below the value, + 1 on a cut."""
+    total = {iid: np.zeros(2 * len(cuts) + 1, np.int64) for iid, *_, cuts in spans}
+    at = {iid: np.array(cuts) for iid, *_, cuts in spans}
+    for b in batches:
+        for iid, k, lo, hi, hi_open, _ in spans:
+            x = b.column(k).to_numpy(zero_copy_only=False)
+            within = ~np.isnan(x)
+            if lo is not None:
+                within &= x > lo
+            if hi is not None:
+                within &= (x < hi) if hi_open else (x <= hi)
+            x = x[within]
+            below = np.searchsorted(at[iid], x, "left")
+            on = np.searchsorted(at[iid], x, "right") > below
+            total[iid] += np.bincount(2 * below + on, minlength=len(total[iid]))
+    for iid, n in total.items():
+        some = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), iid), pa.int32()), pa.array(some, pa.int32()), pa.array(n[some], pa.int64())],
+                                         names=["iid", "b", "cnt"])
+
+
 def order_statistics(df: DataFrame, ranks: dict, sizes: dict | None = None, limit: int = 1_000_000,
                      buckets: int = 1000, accuracy: int = 10_000) -> dict:
     """Exact order statistics by iterative narrowing → ``{(col, rank): value}``.
@@ -195,8 +221,9 @@ def order_statistics(df: DataFrame, ranks: dict, sizes: dict | None = None, limi
         row = df.agg(*[F.count(F.when(~F.isnan(F.col(c).cast("double")), F.col(c))).alias(f"n{i}")
                        for i, c in enumerate(cols)]).first()
         sizes = {c: row[f"n{i}"] for i, c in enumerate(cols)}
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("k"), F.col(c).cast("double").alias("x")) for i, c in enumerate(cols)])).alias("u")
+    wide = df.select(*[F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(cols)])
+    long = wide.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("k"), F.col(f"_{i}").alias("x")) for i in range(len(cols))])).alias("u")
     ).select("u.k", "u.x").where(F.col("x").isNotNull() & ~F.isnan("x"))
 
     keyed = []
@@ -231,12 +258,10 @@ def order_statistics(df: DataFrame, ranks: dict, sizes: dict | None = None, limi
         sub = long.join(F.broadcast(iv), in_interval()).select("iid", "x")
         sk = {r["iid"]: sorted(set(r["c"])) for r in
               sub.groupBy("iid").agg(F.percentile_approx("x", cut_p, accuracy).alias("c")).collect()}
-        cuts_df = spark.createDataFrame(list(sk.items()), "iid int, cuts array<double>")
-        m = F.size(F.filter("cuts", lambda c: c < F.col("x")))
-        eq = F.array_contains("cuts", F.col("x")).cast("int")
+        spans = [(iid, k, lo, hi, hi_open, sk[iid]) for (k, lo, hi, hi_open), iid in ids.items()]
         per = {}
-        for row in (sub.join(F.broadcast(cuts_df), "iid")
-                    .groupBy("iid", (m * 2 + eq).alias("b")).agg(F.count(F.lit(1)).alias("cnt")).collect()):
+        for row in (wide.mapInArrow(lambda b, spans=spans: _bucket_counts(b, spans), "iid int, b int, cnt long")
+                    .groupBy("iid", "b").agg(F.sum("cnt").alias("cnt")).collect()):
             per.setdefault(row["iid"], []).append((row["b"], row["cnt"]))
         for tid, t in open_:
             iid = ids[ivkey(t)]
