@@ -77,8 +77,18 @@ def route_by_topic(raw: DataFrame) -> DataFrame:
                           .when(t.contains("status"), "status"))
 
 
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with ``value`` as the column ``name``, evaluated once a row.
+
+    A plain column is copied by the optimizer into every filter and field
+    that reads it, and the text would be parsed for each of them.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def _parsed(raw: DataFrame) -> DataFrame:
-    return raw.withColumn("msg", F.from_json("value", schemas.MESSAGE_BODY))
+    msg = _once(raw, "msg", F.from_json("value", schemas.MESSAGE_BODY))
+    return _once(msg, "event_ts", P.normalise_timestamp(F.col("msg")["timestamp"]))
 
 
 def _reason() -> Column:
@@ -88,7 +98,7 @@ def _reason() -> Column:
             .when(m["device_id"].isNull(), "missing_device_id")
             .when(m["timestamp"].isNull(), "missing_timestamp")
             .when(m["sensors"].isNull(), "missing_sensors")
-            .when(P.normalise_timestamp(m["timestamp"]).isNull(), "bad_timestamp"))
+            .when(F.col("event_ts").isNull(), "bad_timestamp"))
 
 
 def parse_messages(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -109,7 +119,7 @@ def stream_readings(raw: DataFrame) -> DataFrame:
         m["device_id"].alias("device_id"),
         P.derive_machine_id(m["device_id"]).alias("id_maquina"),
         P.derive_sensor_id(m["device_id"]).alias("id_sensor"),
-        P.normalise_timestamp(m["timestamp"]).alias("dataHora_medicao"),
+        F.col("event_ts").alias("dataHora_medicao"),
         *P.unpack_sensors(m["sensors"]),
         F.when(F.coalesce(m["fault_detected"], F.lit(False)), "S").otherwise("N").alias("flag_falha"),
         F.lit("MQTT").alias("fonte_dados"),
