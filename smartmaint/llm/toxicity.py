@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from smartmaint.llm.common import bounded_batches, row_slices, table
+from smartmaint.llm.common import bounded_batches, release, row_slices, table
 from smartmaint.llm.words import LOWER, text_bytes, word_bounds, word_hashes
 
 BUCKETS = 1 << 18
@@ -43,6 +43,8 @@ SHORT_BYTES = 4096  # never too long
 STEPS = 100
 THRESHOLD = 0.3
 SLICE_BYTES = 1 << 19
+WORD_BYTES_AT_ONCE = 1 << 16
+ROWS_AT_ONCE = 1 << 18  # table rows
 _SCALE = 4.0  # of the averaged window vector
 
 
@@ -55,7 +57,18 @@ class Model:
 
 def subwords(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Table rows of the character n-grams of each word, and where each word's rows begin (length: words + 1)."""
-    low = LOWER[raw]
+    low, parts, bounds, i = LOWER[raw], [], [np.zeros(1, np.int64)], 0
+    upto = np.cumsum(ends - starts)
+    while i < len(starts):  # some words at a time: the sort below takes many times their rows
+        j = max(i + 1, int(np.searchsorted(upto, upto[i] + WORD_BYTES_AT_ONCE, "right")))
+        rows, at = _some_subwords(low, starts[i:j], ends[i:j])
+        parts.append(rows)
+        bounds.append(at[1:] + bounds[-1][-1])
+        i = j
+    return np.concatenate(parts) if parts else np.empty(0, np.int32), np.concatenate(bounds)
+
+
+def _some_subwords(low: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     text = b"".join([b"<" + low[a:b].tobytes() + b">" for a, b in zip(starts.tolist(), ends.tolist())])
     cp = np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le"), np.uint32).astype(np.uint64)
     first, after = np.flatnonzero(cp == 60), np.flatnonzero(cp == 62) + 1
@@ -75,9 +88,15 @@ def subwords(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     return rows[order], np.searchsorted(owner[order], np.arange(len(starts) + 1))
 
 
-def _sums(x: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    total = np.concatenate(([0.0], np.cumsum(x, dtype=np.float64)))
-    return total[bounds[1:]] - total[bounds[:-1]]
+def _sums(table_: np.ndarray, rows: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sums of the table's values at ``rows``, word by word; running sums of some rows at a time."""
+    at, carry = np.zeros(len(bounds)), 0.0
+    for i in range(0, len(rows), ROWS_AT_ONCE):
+        total = np.cumsum(np.concatenate(([carry], table_[rows[i:i + ROWS_AT_ONCE]])), dtype=np.float64)
+        first, after = np.searchsorted(bounds, [i, i + len(total)])
+        at[first:after] = total[bounds[first:after] - i]
+        carry = total[-1]
+    return np.diff(at)
 
 
 @dataclass
@@ -97,7 +116,7 @@ class Bags:
         return np.minimum(1.0, SPAN / np.maximum(np.bincount(self.doc, minlength=self.docs), 1))
 
     def logits(self, weight: np.ndarray, per_word: np.ndarray, bias: float) -> np.ndarray:
-        s = _sums(weight[self.rows], self.bounds) / per_word
+        s = _sums(weight, self.rows, self.bounds) / per_word
         return np.bincount(self.window, s[self.word], minlength=len(self.doc)) / self.words_in * _SCALE + bias
 
 
@@ -129,6 +148,10 @@ def bags(texts: pa.Array) -> Bags:
     return Bags(rows, bounds, window, word, doc, np.maximum(np.bincount(window, minlength=len(doc)), 1), len(n))
 
 
+def _slices(n: int) -> list[slice]:
+    return [slice(i, i + ROWS_AT_ONCE) for i in range(0, n, ROWS_AT_ONCE)]
+
+
 def _softplus(z: np.ndarray) -> np.ndarray:
     return np.logaddexp(0, z)
 
@@ -148,12 +171,22 @@ def fit(texts: pa.Array, labels: np.ndarray, weights: np.ndarray | None = None,
     # rows seen in a few documents only would learn those documents by heart
     seen = np.zeros(BUCKETS)
     in_docs = np.bincount(np.unique(b.doc[b.window].astype(np.int64) * len(b.bounds) + b.word) % len(b.bounds), minlength=len(b.bounds) - 1)
-    owner = np.repeat(np.arange(len(b.bounds) - 1), np.diff(b.bounds))
-    seen += np.bincount(b.rows, in_docs[owner], minlength=BUCKETS)
-    known = seen[b.rows] >= max(5, min(20, len(y) // 200))
-    b.bounds = np.concatenate(([0], np.cumsum(known)))[b.bounds]
-    used, b.rows = np.unique(b.rows[known], return_inverse=True)
-    owner, per_word = owner[known], np.sqrt(np.maximum(np.diff(b.bounds), 1))
+    owner = np.repeat(np.arange(len(b.bounds) - 1, dtype=np.int32), np.diff(b.bounds))
+    for part in _slices(len(b.rows)):
+        np.add.at(seen, b.rows[part], in_docs[owner[part]].astype(float))
+    often = seen >= max(5, min(20, len(y) // 200))
+    left, kept, met = np.zeros(len(b.bounds) - 1, np.int64), [np.empty(0, np.int32)], np.zeros(BUCKETS, bool)
+    for part in _slices(len(b.rows)):
+        known = often[b.rows[part]]
+        left += np.bincount(owner[part][known], minlength=len(left))
+        kept.append(b.rows[part][known])
+        met[kept[-1]] = True
+    used = np.flatnonzero(met)
+    place = np.zeros(BUCKETS, np.int32)
+    place[used] = np.arange(len(used))
+    b.rows, b.bounds = place[np.concatenate(kept)], np.concatenate(([0], np.cumsum(left)))
+    owner, kept = np.repeat(np.arange(len(left), dtype=np.int32), left), []
+    per_word = np.sqrt(np.maximum(np.diff(b.bounds), 1))
     rng = np.random.default_rng(seed)
     table_ = np.zeros((len(used), DIM), np.float32)  # the other rows stay zero
     softmax = rng.normal(0, 1, (DIM, 2))
@@ -170,7 +203,9 @@ def fit(texts: pa.Array, labels: np.ndarray, weights: np.ndarray | None = None,
         per_doc = np.where(y == 1, -1 / np.expm1(np.minimum(total, 50)), 1.0) * of_row / len(y)
         d = share * per_doc[b.doc] / (1 + np.exp(-np.clip(z, -50, 50)))
         g_word = np.bincount(b.word, (d / b.words_in * _SCALE)[b.window], minlength=len(per_word)) / per_word
-        g_row = np.bincount(b.rows, g_word[owner], minlength=len(used))
+        g_row = np.zeros(len(used))
+        for part in _slices(len(owner)):
+            np.add.at(g_row, b.rows[part], g_word[owner[part]])
         speed = 0.9 * speed + g_row
         top = np.abs(speed).max(initial=0)
         if not top:
@@ -192,7 +227,7 @@ def scores(model: Model, texts: pa.Array) -> np.ndarray:
         return np.full(len(texts), 1 / (1 + np.exp(-model.bias)))
     b = bags(texts)
     # rows that the fit left out carry no weight and do not count in a word's bag
-    per_word = np.sqrt(np.maximum(_sums(model.weight[b.rows] != 0, b.bounds), 1))
+    per_word = np.sqrt(np.maximum(_sums(model.weight != 0, b.rows, b.bounds), 1))
     z = b.logits(model.weight, per_word, model.bias)
     return -np.expm1(-b.share * np.bincount(b.doc, _softplus(z), minlength=b.docs))
 
@@ -272,7 +307,11 @@ def is_held_out(doc_id):
 
 def trained_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Model:
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
-    return fit(*labelled_sample(docs.select("doc_id", "text"), labels.filter(~is_held_out(F.col("doc_id")))))
+    sample = labelled_sample(docs.select("doc_id", "text"), labels.filter(~is_held_out(F.col("doc_id"))))
+    release()  # the driver's copies of the texts, before the fit needs the room
+    model = fit(*sample)
+    release()
+    return model
 
 
 def remove_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
