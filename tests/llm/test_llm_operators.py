@@ -697,5 +697,5 @@ def test_pipeline_stages_keep_columns_and_take_effect(spark, tmp_path):
 def test_oracle_sql_names_registered_queries():
     from smartmaint.llm import queries
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES) and "pipeline" in queries.QUERIES
-    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES if q.startswith("op")) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES if q.startswith("op")) == list(range(1, 14))
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
