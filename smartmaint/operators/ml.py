@@ -376,6 +376,21 @@ def _rf(num_trees, depth, min_split, seed=SEED):
                                   minInstancesPerNode=max(1, math.ceil(min_split / 2)), seed=seed)
 
 
+FIT_ROWS = 300_000
+
+
+def spread(train: DataFrame) -> DataFrame:
+    """The rows of a fit, evenly dealt to tasks of at most about ``FIT_ROWS`` rows; up to that many rows stay as they lie.
+
+    Feature tables compress to some 40 bytes a row, so splits by bytes would give a task millions of rows,
+    each of which every level of every tree visits.
+    """
+    n = train.count()
+    if n <= FIT_ROWS:
+        return train
+    return train.repartition(max(math.ceil(n / FIT_ROWS), train.sparkSession.sparkContext.defaultParallelism))
+
+
 def _lr(C, n):
     from pyspark.ml.classification import LogisticRegression
     return LogisticRegression(featuresCol="features", labelCol="target", regParam=1.0 / (C * max(n, 1)),

@@ -1002,7 +1002,7 @@ def _ml_ready(spark, sf):
     sp = M.stratified_split(feats)
     train, test = sp.where(~F.col("is_test")), sp.where(F.col("is_test"))
     scaler = M.fit_robust_scaler(train, cols)
-    return M.assemble(M.robust_scale(train, scaler), cols), M.assemble(M.robust_scale(test, scaler), cols), cols
+    return M.spread(M.assemble(M.robust_scale(train, scaler).select("target", *cols), cols)), M.assemble(M.robust_scale(test, scaler), cols), cols
 
 
 @register("train_random_forest")
@@ -1111,7 +1111,7 @@ def q_score_readings(spark, sf):
     sp = M.stratified_split(feats)
     train = sp.where(~F.col("is_test"))
     scaler = M.fit_robust_scaler(train, cols)
-    model = M._lr(1.0, train.count()).fit(M.assemble(M.robust_scale(train, scaler), cols))
+    model = M._lr(1.0, train.count()).fit(M.spread(M.assemble(M.robust_scale(train, scaler).select("target", *cols), cols)))
     return M.score(feats.select("id_medicao", "id_maquina", "dataHora_medicao", *cols), model, cols, scaler) \
         .select("id_medicao", "id_maquina", "dataHora_medicao", "probability", "predicted_class", "confidence",
                 "alert_level")
