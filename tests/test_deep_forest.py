@@ -41,14 +41,14 @@ def _checked(forest, depth):
 def test_subtrees_and_wide_nodes_give_one_forest_of_spark_quality(spark, rows, monkeypatch):
     train, test = rows.where("id_medicao % 4 != 0"), rows.where("id_medicao % 4 = 0")
     monkeypatch.setattr(D, "SUBTREE_ROWS", 300)
-    got = D.deep_forest(train, 12, 12, 42)
+    got = D.deep_forest(D.binned(train), 12, 12, 42)
     _checked(got, 12)
     assert len(got.roots) == 12
     assert abs(got.rows[got.roots].mean() - train.count()) < 100 and len(set(got.rows[got.roots])) > 6
-    again = D.deep_forest(train, 12, 12, 42)
+    again = D.deep_forest(D.binned(train), 12, 12, 42)
     assert all(np.array_equal(getattr(got, c), getattr(again, c)) for c in ("tree", "feature", "threshold", "left", "right", "p1", "rows"))
     monkeypatch.setattr(D, "SUBTREE_ROWS", 10 ** 6)  # no wide node
-    whole = D.deep_forest(train, 12, 12, 42)
+    whole = D.deep_forest(D.binned(train), 12, 12, 42)
     _checked(whole, 12)
     assert list(whole.rows[whole.roots]) == list(got.rows[got.roots])
     want = _f1(ForestModel(forest=forest_of(M._rf(12, 12, 2).fit(train))), test)
@@ -57,9 +57,8 @@ def test_subtrees_and_wide_nodes_give_one_forest_of_spark_quality(spark, rows, m
 
 def test_routing_of_training_rows_gives_the_shares_of_the_leaves(rows, monkeypatch):
     monkeypatch.setattr(D, "SUBTREE_ROWS", 500)
-    table, cuts = D._binned(rows, "features", "target")
-    monkeypatch.setattr(D, "_binned", lambda *_: (table, cuts))
-    forest = D.deep_forest(rows, 2, 6, 7)
+    table, cuts = D.binned(rows)
+    forest = D.deep_forest((table, cuts), 2, 6, 7)
     kept = table.toPandas()
     middle = [np.concatenate((c, [c[-1] + 1])) for c in cuts]
     x = np.array([[middle[i][b] for i, b in enumerate(r)] for r in kept["bins"]])
@@ -87,3 +86,17 @@ def test_many_rows_are_not_fitted_level_by_level(rows, monkeypatch):
     monkeypatch.setattr(M, "LEVEL_ROWS", 100)
     monkeypatch.setattr(M, "_rf", lambda *a: pytest.fail("level by level"))
     assert len(M.fit_forest(rows, 3, 20).roots) == 3
+
+
+def test_the_search_grows_and_scores_lot_by_lot(rows, monkeypatch):
+    data = rows.withColumn("fold", (F.col("id_medicao") % 3).cast("int"))
+    grid = {"numTrees": [3, 5], "maxDepth": [None, 4], "min_split": [2, 20]}
+    monkeypatch.setattr(M, "LEVEL_ROWS", 100)
+    monkeypatch.setattr(M, "TREES_AT_ONCE", 2)
+    monkeypatch.setattr(M, "_rf", lambda *a: pytest.fail("level by level"))
+    at_once, whole = M.forest_search(data, grid)
+    assert set(at_once) == {(t, d, m) for t in (3, 5) for d in (None, 4) for m in (2, 20)}
+    assert len(whole.roots) == 5 and min(at_once.values()) > 0.7
+    monkeypatch.setattr(M, "NODES_AT_ONCE", 1)  # every lot a part of its own
+    by_lot, _ = M.forest_search(data, grid)
+    assert all(by_lot[k] == pytest.approx(v, abs=1e-3) for k, v in at_once.items())
