@@ -8,7 +8,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from smartmaint.session import materialize  # noqa: F401  (re-exported: a written table in spark.checkpoint.dir)
+from smartmaint.session import BATCH_BYTES, bounded_batches, materialize  # noqa: F401  (re-exported: Arrow batches of large rows; a written table in spark.checkpoint.dir)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,23 +32,6 @@ def release() -> None:
         trim(0)
 
 
-BATCH_BYTES = "4m"
-
-
-def bounded_batches(df: DataFrame) -> DataFrame:
-    """``df``, in a session whose Arrow batches to Python end at ``BATCH_BYTES``, unless it sets a bound itself.
-
-    By default a batch holds 10,000 rows or 64 MB; the executor then holds
-    several such buffers for every task, for whole texts that are read one by one.
-    A single row above the bound is a batch of its own.
-    """
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    spark = df.sparkSession
-    if spark.conf.get(key) == "67108864b" and spark.sparkContext.getConf().get(key) is None:
-        spark.conf.set(key, BATCH_BYTES)
-    return df
-
-
 def row_slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches by rows so that each slice holds about ``max_bytes`` of ``column``.
 
